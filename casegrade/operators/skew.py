@@ -3,18 +3,20 @@
 Assume one key may hold a third of the left rows (e.g. a feed that repeats
 one claim id). A plain shuffle join sends all of them to one task. Here:
 
-1. ``hot_keys`` — keys holding at least ``min_share`` of a seeded sample of
-   the left side. There can be at most ``1 / min_share`` of them, so the set
-   has a proven size bound and may be broadcast.
-2. Left rows of hot keys get a random salt in ``[0, buckets)``; all other
-   rows get salt 0.
-3. Right rows of hot keys are replicated once per salt (at most
-   ``buckets / min_share`` extra rows in total); the others keep salt 0.
-4. Join on ``(key, salt)``: a hot key's rows spread over ``buckets`` tasks.
+1. ``hot_key_values`` — keys holding at least ``min_share`` (and at least
+   ``min_sample_rows`` rows) of a seeded sample of the left side's key column. There can be at most
+   ``1 / min_share`` of them (100 by default), so collecting the list to the
+   driver has a proven bound.
+2. No hot key (the usual case): a plain left join. The flag side keeps the
+   ``claim_id`` partitioning of its aggregation (no second exchange) and AQE
+   may broadcast it when its measured size is small.
+3. Hot keys: left rows of hot keys get a random salt in ``[0, buckets)``,
+   all others salt 0; right rows of hot keys are replicated once per salt
+   (at most ``buckets / min_share`` extra rows). Joining on ``(key, salt)``
+   spreads a hot key over ``buckets`` tasks.
 
 Each left row still meets exactly the right rows of its key, so the result
-equals the plain join; only the work distribution changes. AQE may still turn
-the join into a broadcast when the right side is measured small.
+equals the plain join; only the work distribution changes.
 """
 
 from __future__ import annotations
@@ -24,7 +26,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_HOT = "_hot_key"
 _SALT = "_salt"
 
 
@@ -34,30 +35,41 @@ class SkewGuard:
     sample_fraction: float = 0.01
     buckets: int = 64
     seed: int = 17
+    min_sample_rows: int = 20    # and >= this many sampled rows (tiny samples)
 
 
-def hot_keys(df: DataFrame, key: str, min_share: float, sample_fraction: float, seed: int) -> DataFrame:
-    """Keys with at least ``min_share`` of a sample; at most 1/min_share rows."""
-    sample = df.select(key).filter(F.col(key).isNotNull()).sample(fraction=sample_fraction, seed=seed)
+def hot_keys(df: DataFrame, key: str, guard: SkewGuard) -> DataFrame:
+    """Keys with at least ``min_share`` of a sample: at most 1/min_share rows."""
+    sample = (df.select(key).filter(F.col(key).isNotNull())
+              .sample(fraction=guard.sample_fraction, seed=guard.seed))
     counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    return counts.filter(F.col("_n") >= F.lit(min_share) * total).select(key)
+    return (counts.filter((F.col("_n") >= F.lit(guard.min_share) * total)
+                          & (F.col("_n") >= guard.min_sample_rows))
+            .select(key))
+
+
+def hot_key_values(df: DataFrame, key: str, guard: SkewGuard) -> list:
+    rows = hot_keys(df, key, guard).collect()   # bounded: <= 1 / min_share rows
+    return [r[0] for r in rows]
 
 
 def salted_left_join(left: DataFrame, right: DataFrame, key: str,
-                     guard: SkewGuard | None = None) -> DataFrame:
-    """``left`` LEFT JOIN ``right`` USING (key), with hot keys salted."""
+                     guard: SkewGuard | None = None, hot: list | None = None) -> DataFrame:
+    """``left`` LEFT JOIN ``right`` USING (key), with hot keys salted.
+
+    ``hot`` may be passed when already known; otherwise it is measured.
+    """
     if guard is None:
         return left.join(right, key, "left")
-    hot = hot_keys(left, key, guard.min_share, guard.sample_fraction, guard.seed)
-    hot = F.broadcast(hot.withColumn(_HOT, F.lit(True)))  # <= 1/min_share rows
-    salted_left = (left.join(hot, key, "left")
-                   .withColumn(_SALT, F.when(F.col(_HOT), F.floor(F.rand(guard.seed) * guard.buckets).cast("int"))
-                               .otherwise(F.lit(0)))
-                   .drop(_HOT))
-    salted_right = (right.join(hot, key, "left")
-                    .withColumn(_SALT, F.explode(
-                        F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(guard.buckets - 1)))
-                        .otherwise(F.array(F.lit(0)))))
-                    .drop(_HOT))
+    if hot is None:
+        hot = hot_key_values(left, key, guard)
+    if not hot:
+        return left.join(right, key, "left")
+    is_hot = F.col(key).isin(*hot)
+    salted_left = left.withColumn(
+        _SALT, F.when(is_hot, F.floor(F.rand(guard.seed) * guard.buckets).cast("int")).otherwise(F.lit(0)))
+    salted_right = right.withColumn(
+        _SALT, F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(guard.buckets - 1)))
+                         .otherwise(F.array(F.lit(0)))))
     return salted_left.join(salted_right, [key, _SALT], "left").drop(_SALT)

@@ -1,0 +1,37 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_ORACLE = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from casegrade.session import get_session
+    s = get_session("local[*]", 8, extra_conf={"spark.ui.showConsoleProgress": "false"})
+    yield s
+
+
+def raw_claim(claim_id, date="2026-01-05", body="knee", lit="false", priors="0", rescued=None, src="f.csv"):
+    return (claim_id, date, body, lit, priors, rescued, src)
+
+
+CLAIM_DDL = ("claim_id string, date_of_loss string, body_part string, is_litigated string, "
+             "number_of_priors string, _rescued_data string, _source_file string")
+MED_DDL = ("claim_id string, medical_events array<struct<type:string,date:string>>, "
+           "_rescued_data string, _source_file string")
+
+
+def claims_df(spark, rows):
+    from pyspark.sql import functions as F
+    return spark.createDataFrame(rows, CLAIM_DDL).withColumn("_ingested_at", F.current_timestamp())
+
+
+def medical_df(spark, rows):
+    from pyspark.sql import functions as F
+    return spark.createDataFrame(rows, MED_DDL).withColumn("_ingested_at", F.current_timestamp())
