@@ -19,7 +19,8 @@ from ..functions.casts import clean_lower, clean_text, present, to_type
 LINEAGE = ("_source_file", "_ingested_at", "_rescued_data")
 
 
-def stage_claims(raw: DataFrame, strict: bool = False) -> DataFrame:
+def stage_claims(raw: DataFrame, strict: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``keep`` carries extra raw columns through unchanged (e.g. ``batch_id``)."""
     cleaned = raw.select(
         clean_text("claim_id").alias("claim_id"),
         to_type("date_of_loss", "date", strict).alias("date_of_loss"),
@@ -27,6 +28,7 @@ def stage_claims(raw: DataFrame, strict: bool = False) -> DataFrame:
         to_type("is_litigated", "boolean", strict).alias("is_litigated"),
         to_type("number_of_priors", "int", strict).alias("number_of_priors"),
         *LINEAGE,
+        *keep,
     )
     return cleaned.filter(present("claim_id"))
 

@@ -170,3 +170,17 @@ CORE_SQL = {
     "dq_accepted_values": dq_sql(("accepted_values",), False),
     "dq_report": dq_sql(None, True),
 }
+
+
+INGEST_SQL = {
+    "ingest_claims_csv": with_chain(
+        "select claim_id, date_of_loss, body_part, is_litigated, number_of_priors from stg_claims"),
+    "rescued_fields": with_chain(
+        "select trim(concat(' C', cast(o_orderkey as varchar), ' ')) as claim_id, "
+        "'{\"policy_id\":\"P' || cast(o_custkey as varchar) || '\"}' as _rescued_data "
+        f"from orders where o_orderpriority in ({_in(k for k, v in TT.PRIORITY_TO_BODY_PART.items() if v in TT.REORDERED_LAYOUT_BODY_PARTS)})"),
+    "ingest_medical_json": with_chain("select claim_id, event_type, event_date from stg_medical"),
+    "ingest_incremental": with_chain(
+        "select claim_id, date_of_loss, body_part, is_litigated, number_of_priors, "
+        "case when is_litigated then 0 else 1 end as batch_id from stg_claims"),
+}

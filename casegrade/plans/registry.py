@@ -20,7 +20,8 @@ from ..operators.scoring import complexity_score, join_claims, medical_flags, sc
 from ..operators.skew import SkewGuard
 from ..operators.staging import medical_event_types, stage_claims, stage_medical
 from ..sources.testtables import raw_claims, raw_medical
-from .oracle import CORE_SQL, FIXED_REPORT_DATE
+from . import ingest_queries as IQ
+from .oracle import CORE_SQL, FIXED_REPORT_DATE, INGEST_SQL
 
 SKEW_GUARD = SkewGuard()
 REPORT_DATE = dt.date.fromisoformat(FIXED_REPORT_DATE)
@@ -105,6 +106,10 @@ QUERIES: dict[str, Query] = {
     "dq_unique": _dq(("unique",), False),
     "dq_accepted_values": _dq(("accepted_values",), False),
     "dq_report": _dq(None, True),
+    "ingest_claims_csv": IQ.q_ingest_claims_csv,
+    "rescued_fields": IQ.q_rescued_fields,
+    "ingest_medical_json": IQ.q_ingest_medical_json,
+    "ingest_incremental": IQ.q_ingest_incremental,
 }
 
-ORACLE_SQL: dict[str, str] = dict(CORE_SQL)
+ORACLE_SQL: dict[str, str] = {**CORE_SQL, **INGEST_SQL}

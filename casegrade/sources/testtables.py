@@ -20,6 +20,10 @@ FIXED VALUES — the mapping (also written out in FIXTURES.md §4):
 * event type        by l_returnflag: R 'surgery', A 'opioid prescription',
                       N 'physical therapy'
 * event date        = l_shipdate as a date, as text
+* claim file layouts by body part: ' Spine ', 'HEAD', 'arm' use the
+  standard header; 'Back', 'knee' use a reordered header with an extra
+  column policy_id = 'P' || o_custkey (rescued on ingest)
+* incremental drops: litigated claims first, the others second
 * _source_file      = the table's file name ('orders.parquet',
                       'lineitem.parquet'); a literal, because reading the
                       ``_metadata`` column makes the scans fetch row indexes
@@ -44,9 +48,14 @@ RETURNFLAG_TO_EVENT = {
     "N": "physical therapy",
 }
 PRIORS_MODULUS = 6
+REORDERED_LAYOUT_BODY_PARTS = ("Back", "knee")
+REORDERED_HEADER = ("number_of_priors", "claim_id", "is_litigated", "body_part", "date_of_loss", "policy_id")
 # ---------------------------------------------------------------------------
 
 
+CLAIM_COLUMNS = ("claim_id", "date_of_loss", "body_part", "is_litigated", "number_of_priors")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -58,9 +67,11 @@ def _lookup(col: Column, mapping: dict[str, str]) -> Column:
     return expr
 
 
-def raw_claims(spark: SparkSession, sf_dir: str, ingested_at: Column | None = None) -> DataFrame:
+def raw_claims(spark: SparkSession, sf_dir: str, ingested_at: Column | None = None,
+               with_policy: bool = False) -> DataFrame:
     """Bronze-shaped claims (all text) from ``orders``."""
     o = table(spark, sf_dir, "orders")
+    extra = [F.concat(F.lit("P"), F.col("o_custkey").cast("string")).alias("policy_id")] if with_policy else []
     return o.select(
         F.concat(F.lit(" C"), F.col("o_orderkey").cast("string"), F.lit(" ")).alias("claim_id"),
         F.col("o_orderdate").cast("date").cast("string").alias("date_of_loss"),
@@ -70,6 +81,7 @@ def raw_claims(spark: SparkSession, sf_dir: str, ingested_at: Column | None = No
         F.lit(None).cast("string").alias("_rescued_data"),
         (ingested_at if ingested_at is not None else F.current_timestamp()).alias("_ingested_at"),
         F.lit("orders.parquet").alias("_source_file"),
+        *extra,
     )
 
 
@@ -87,3 +99,26 @@ def raw_medical(spark: SparkSession, sf_dir: str, ingested_at: Column | None = N
         (ingested_at if ingested_at is not None else F.current_timestamp()).alias("_ingested_at"),
         F.lit("lineitem.parquet").alias("_source_file"),
     )
+
+
+def claim_files_by_layout(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Raw claim rows split by header layout (every row in exactly one part)."""
+    raw = raw_claims(spark, sf_dir, with_policy=True)
+    reordered = F.col("body_part").isin(*REORDERED_LAYOUT_BODY_PARTS)
+    return [
+        raw.filter(~reordered).select(*CLAIM_COLUMNS),
+        raw.filter(reordered).select(*REORDERED_HEADER),
+    ]
+
+
+def claim_drops(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Two successive landing drops (litigated first); together all claims."""
+    raw = raw_claims(spark, sf_dir).select(*CLAIM_COLUMNS)
+    first = F.col("is_litigated") == "true"
+    return [raw.filter(first), raw.filter(~first)]
+
+
+def medical_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON record object per medical row, as an API would return it."""
+    raw = raw_medical(spark, sf_dir)
+    return raw.select(F.to_json(F.struct("claim_id", "medical_events")).alias("rec"))
