@@ -184,3 +184,53 @@ INGEST_SQL = {
         "select claim_id, date_of_loss, body_part, is_litigated, number_of_priors, "
         "case when is_litigated then 0 else 1 end as batch_id from stg_claims"),
 }
+
+
+DOC_FILES = "select text || chr(10) as content from documents"
+
+LEDGER_SQL = {
+    "ledger_file_scan": f"""
+        select strlen(content) as file_size_bytes, sha256(content) as file_hash, 'LANDED' as status
+        from ({DOC_FILES}) f""",
+    "ledger_duplicates": f"""
+        select sha256(content) as file_hash,
+               count(*) over (partition by sha256(content)) as n_copies,
+               count(*) over (partition by sha256(content)) > 1 as is_duplicate_content
+        from ({DOC_FILES}) f""",
+    "ledger_new_files": """
+        with cand as (
+            select 'claims_' || cast(doc_id as varchar) ||
+                   case lang when 'de' then '.CSV' when 'fr' then '.txt' else '.csv' end as file_name
+            from documents),
+        man as (
+            select case when toxic = 1 then 'api_medical_activity' else 'sftp_claims' end as source_system,
+                   'claims_' || cast(doc_id as varchar) || '.csv' as file_name,
+                   case when quality = 1 then 'LANDED' else 'FAILED' end as status
+            from labels)
+        select file_name from cand c
+        where lower(file_name) like '%.csv'
+          and not exists (select 1 from man m where m.file_name = c.file_name
+                          and m.source_system = 'sftp_claims' and m.status = 'LANDED')""",
+    "payload_hash": "select doc_id, sha256(text) as payload_hash from documents",
+    "payload_record_count": """
+        with p as (
+            select event_id,
+                   case event_type
+                     when 'click' then '[' || props || ', ' || props || ']'
+                     when 'view' then '{"data": [' || props || '], "page": 1}'
+                     when 'signup' then '{"results": [' || props || ', ' || props || ', ' || props || ']}'
+                     when 'purchase' then '{"data": ' || cast(user_id as varchar) || ', "item": ' || props || '}'
+                     else 'error: ' || props end as payload
+            from events)
+        select event_id,
+               case when json_valid(payload) then
+                 cast(coalesce(
+                   case when json_type(payload) = 'ARRAY' then json_array_length(payload) end,
+                   case when json_type(payload, '$.data') = 'ARRAY' then json_array_length(payload, '$.data') end,
+                   case when json_type(payload, '$.results') = 'ARRAY' then json_array_length(payload, '$.results') end,
+                   1) as bigint)
+               end as record_count,
+               case when json_valid(payload) then 'LANDED' else 'FAILED' end as status
+        from p""",
+    "payload_manifest": "select 'LANDED' as status, count(*) as n_records from lineitem",
+}

@@ -21,7 +21,8 @@ from ..operators.skew import SkewGuard
 from ..operators.staging import medical_event_types, stage_claims, stage_medical
 from ..sources.testtables import raw_claims, raw_medical
 from . import ingest_queries as IQ
-from .oracle import CORE_SQL, FIXED_REPORT_DATE, INGEST_SQL
+from . import ledger_queries as LQ
+from .oracle import CORE_SQL, FIXED_REPORT_DATE, INGEST_SQL, LEDGER_SQL
 
 SKEW_GUARD = SkewGuard()
 REPORT_DATE = dt.date.fromisoformat(FIXED_REPORT_DATE)
@@ -110,6 +111,12 @@ QUERIES: dict[str, Query] = {
     "rescued_fields": IQ.q_rescued_fields,
     "ingest_medical_json": IQ.q_ingest_medical_json,
     "ingest_incremental": IQ.q_ingest_incremental,
+    "ledger_file_scan": LQ.q_ledger_file_scan,
+    "ledger_duplicates": LQ.q_ledger_duplicates,
+    "ledger_new_files": LQ.q_ledger_new_files,
+    "payload_hash": LQ.q_payload_hash,
+    "payload_record_count": LQ.q_payload_record_count,
+    "payload_manifest": LQ.q_payload_manifest,
 }
 
-ORACLE_SQL: dict[str, str] = {**CORE_SQL, **INGEST_SQL}
+ORACLE_SQL: dict[str, str] = {**CORE_SQL, **INGEST_SQL, **LEDGER_SQL}

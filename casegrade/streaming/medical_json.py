@@ -26,34 +26,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-EVENTS_TYPE = "array<struct<type:string,date:string>>"
-
-# Spark's parse_json reads the first JSON value and ignores what follows
-# ('{"a":1} xx' parses), which would silently drop records. Parsing the text
-# wrapped in brackets makes the parser consume all of it: the text is one
-# document exactly when '[' || text || ']' parses (to one element; a blank
-# file gives none). Else, JSON Lines: every non-blank line must be exactly one
-# document. Else no document (corrupt file).
-_WHOLE = "try_variant_get(try_parse_json(concat('[', value, ']')), '$', 'array<variant>')"
-_LINE_DOCS = """
-transform(filter(split(value, '\\n'), l -> trim(l) <> ''), l ->
-    case when array_size(try_variant_get(try_parse_json(concat('[', l, ']')), '$', 'array<variant>')) = 1
-         then try_variant_get(try_parse_json(concat('[', l, ']')), '$', 'array<variant>')[0] end)
-"""
+from ..functions.payload import payload_documents, unwrap_records
 
-# Records of one document: list, then "data" list, then "results" list, else the document itself.
-_UNWRAP = """
-coalesce(try_variant_get(d, '$', 'array<variant>'),
-         try_variant_get(d, '$.data', 'array<variant>'),
-         try_variant_get(d, '$.results', 'array<variant>'),
-         array(d))
-"""
-
-_RECORDS = f"""
-case when _docs is null then array(cast(null as variant))
-     else flatten(transform(_docs, d -> {_UNWRAP}))
-end
-"""
+EVENTS_TYPE = "array<struct<type:string,date:string>>"
 
 # Keys kept in _rescued_data: unknown ones, and known ones whose value could
 # not be typed (an explicit JSON null is not rescued).
@@ -67,12 +42,10 @@ map_filter(try_variant_get(r, '$', 'map<string,variant>'), (k, x) ->
 
 def parse_payloads(text: DataFrame) -> DataFrame:
     """(value, _source_file) payload texts -> bronze medical rows (without _ingested_at)."""
-    whole = F.expr(_WHOLE)
-    lines = F.expr(_LINE_DOCS)
-    one_doc_per_line = F.forall(lines, lambda x: x.isNotNull())
-    docs = text.select("value", "_source_file",
-                       F.coalesce(whole, F.when(one_doc_per_line, lines)).alias("_docs"))
-    recs = docs.select("value", "_source_file", F.explode(F.expr(_RECORDS)).alias("r"))
+    docs = text.select("value", "_source_file", payload_documents("value").alias("_docs"))
+    records = F.when(F.col("_docs").isNull(), F.array(F.lit(None).cast("variant"))) \
+        .otherwise(F.flatten(F.transform("_docs", unwrap_records)))
+    recs = docs.select("value", "_source_file", F.explode(records).alias("r"))
     typed = recs.select(
         "value", "_source_file", "r",
         F.expr("try_variant_get(r, '$.claim_id', 'string')").alias("claim_id"),
