@@ -19,17 +19,22 @@ def payload_hash(text: Column | str) -> Column:
     return F.sha2(c, 256)
 
 
-def _wrapped_values(text: Column) -> Column:
+def _wrapped(text: Column) -> Column:
     # Spark's parser stops after the first JSON value ('{"a":1} xx' parses);
     # inside brackets it has to read, and check, the whole text.
-    return F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+
+
+def _single(wrapped: Column) -> Column:
+    """The one value of a bracket-wrapped parse, null unless exactly one."""
+    return F.when(F.try_variant_get(wrapped, "$[1]", "variant").isNull(),
+                  F.try_variant_get(wrapped, "$[0]", "variant"))
 
 
 def parse_document(text: Column | str) -> Column:
     """VARIANT of a text that is exactly one JSON document, else null."""
     c = F.col(text) if isinstance(text, str) else text
-    arr = _wrapped_values(c)
-    return F.when(F.array_size(arr) == 1, arr[0])
+    return _single(_wrapped(c))
 
 
 def payload_documents(text: Column | str) -> Column:
@@ -37,12 +42,16 @@ def payload_documents(text: Column | str) -> Column:
 
     The whole text when it is one JSON document; else its non-blank lines
     when every one of them is a JSON document (JSON Lines); else null.
+    Each text and line is parsed once (lambda bodies get no common
+    sub-expression elimination, so parses are not repeated inside them).
     """
     c = F.col(text) if isinstance(text, str) else text
     whole = parse_document(c)
-    lines = F.transform(F.filter(F.split(c, "\n"), lambda ln: F.trim(ln) != ""), lambda ln: parse_document(ln))
-    every_line = (F.array_size(lines) > 0) & F.forall(lines, lambda d: d.isNotNull())
-    return F.when(whole.isNotNull(), F.array(whole)).when(every_line, lines)
+    lines = F.transform(
+        F.transform(F.filter(F.split(c, "\n"), lambda ln: F.trim(ln) != ""), _wrapped), _single)
+    every_line = F.forall(lines, lambda d: d.isNotNull())
+    return F.when(whole.isNotNull(), F.array(whole)).when(
+        F.trim(c) != "", F.when(every_line, lines))
 
 
 def unwrap_records(doc: Column) -> Column:

@@ -91,8 +91,12 @@ def payload_rows(texts: DataFrame, source_system: str, api_url: str | None = Non
 
 
 def payload_manifest(spark: SparkSession, landing_dir: str, source_system: str,
-                     api_url: str | None = None, suffix: str = ".json") -> DataFrame:
-    texts = (spark.read.option("pathGlobFilter", suffix_glob(suffix)).text(landing_dir, wholetext=True)
+                     api_url: str | None = None, suffix: str | None = ".json") -> DataFrame:
+    """``suffix=None`` takes every (non-hidden) file, as the JSON ingest does."""
+    reader = spark.read
+    if suffix:
+        reader = reader.option("pathGlobFilter", suffix_glob(suffix))
+    texts = (reader.text(landing_dir, wholetext=True)
              .select("value", F.col("_metadata.file_path").alias("landing_path")))
     return payload_rows(texts, source_system, api_url)
 

@@ -49,10 +49,9 @@ class Layout:
         return cls(f"{base}/casegrade/{name}")
 
 
-def record_landed_files(spark: SparkSession, lay: Layout) -> dict:
+def record_landed_files(spark: SparkSession, lay: Layout) -> None:
     """Append ledger rows for landed files not yet recorded as LANDED."""
     import os
-    out = {}
     exists = (lambda p: os.path.exists(p)) if "://" not in lay.base else (lambda p: True)
     if exists(lay.landing_claims):
         scan = L.scan_files(spark, lay.landing_claims, SFTP_CLAIMS)
@@ -61,13 +60,12 @@ def record_landed_files(spark: SparkSession, lay: Layout) -> dict:
                              "file_name", "left_anti")
         L.append_manifest(scan, lay.file_manifest, "file")
     if exists(lay.landing_medical):
-        pm = L.payload_manifest(spark, lay.landing_medical, API_MEDICAL_ACTIVITY)
+        pm = L.payload_manifest(spark, lay.landing_medical, API_MEDICAL_ACTIVITY, suffix=None)
         if exists(lay.payload_manifest):
             done = (L.read_manifest(spark, lay.payload_manifest, "payload")
                     .filter(F.col("status") == "LANDED").select("landing_path"))
             pm = pm.join(done, "landing_path", "left_anti")
         L.append_manifest(pm, lay.payload_manifest, "payload")
-    return out
 
 
 def ingest(spark: SparkSession, lay: Layout) -> None:

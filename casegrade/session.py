@@ -45,6 +45,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    # Listing N explicit files (every micro-batch of a file stream does) runs a
+    # job with up to 10,000 one-file tasks; the cluster's own parallelism is
+    # enough and avoids thousands of tiny tasks.
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    if key not in (extra_conf or {}):
+        spark.conf.set(key, str(max(8, spark.sparkContext.defaultParallelism)))
     return spark
 
 
