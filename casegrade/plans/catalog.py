@@ -49,6 +49,14 @@ def setup_namespaces(spark: SparkSession) -> None:
         spark.sql(f"create schema if not exists {ns}")
 
 
+def create_table(spark: SparkSession, name: str, schema, path: str) -> None:
+    """``create table if not exists`` from a declared schema (K5, K6)."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"create table if not exists {name} ({cols}) using parquet location '{_quote(path)}'")
+    if name in TABLE_COMMENTS:
+        spark.sql(f"comment on table {name} is '{_quote(TABLE_COMMENTS[name])}'")
+
+
 def register_table(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> None:
     """External parquet table on ``path``; recovers partitions; sets comments."""
     spark.sql(f"create table if not exists {name} using parquet location '{_quote(path)}'")

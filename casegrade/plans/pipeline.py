@@ -16,7 +16,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ledger as L
@@ -25,7 +25,7 @@ from ..operators.mart import high_complexity_daily, write_table
 from ..operators.scoring import complexity_score
 from ..operators.skew import SkewGuard
 from ..operators.staging import medical_event_types, stage_claims, stage_medical
-from ..schemas import API_MEDICAL_ACTIVITY, SFTP_CLAIMS
+from ..schemas import API_MEDICAL_ACTIVITY, FILE_MANIFEST, PAYLOAD_MANIFEST, SFTP_CLAIMS
 from ..session import shared_dir
 from ..streaming.claims_csv import ingest_claims_csv, read_bronze_claims
 from ..streaming.medical_json import ingest_medical_json, read_bronze_medical
@@ -49,23 +49,38 @@ class Layout:
         return cls(f"{base}/casegrade/{name}")
 
 
-def record_landed_files(spark: SparkSession, lay: Layout) -> None:
-    """Append ledger rows for landed files not yet recorded as LANDED."""
+def _append_counted(rows: DataFrame, path: str, kind: str) -> dict:
+    """Append ledger rows; LANDED / FAILED counts come from the same pass."""
+    obs = Observation(f"ledger_{kind}")
+    counted = rows.observe(obs, F.count_if(F.col("status") == "LANDED").alias("landed"),
+                           F.count_if(F.col("status") == "FAILED").alias("failed"))
+    L.append_manifest(counted, path, kind)
+    return {k: int(v or 0) for k, v in obs.get.items()}
+
+
+def record_landed_files(spark: SparkSession, lay: Layout) -> dict:
+    """Append ledger rows for landed files not yet recorded as LANDED.
+
+    Returns ``{"files": {"landed": n, "failed": m}, "payloads": {...}}``: a
+    failed file is a row plus a count, never a stopped run.
+    """
     import os
+    counts = {}
     exists = (lambda p: os.path.exists(p)) if "://" not in lay.base else (lambda p: True)
     if exists(lay.landing_claims):
         scan = L.scan_files(spark, lay.landing_claims, SFTP_CLAIMS)
         if exists(lay.file_manifest):
             scan = scan.join(L.landed_names(L.read_manifest(spark, lay.file_manifest), SFTP_CLAIMS),
                              "file_name", "left_anti")
-        L.append_manifest(scan, lay.file_manifest, "file")
+        counts["files"] = _append_counted(scan, lay.file_manifest, "file")
     if exists(lay.landing_medical):
         pm = L.payload_manifest(spark, lay.landing_medical, API_MEDICAL_ACTIVITY, suffix=None)
         if exists(lay.payload_manifest):
             done = (L.read_manifest(spark, lay.payload_manifest, "payload")
                     .filter(F.col("status") == "LANDED").select("landing_path"))
             pm = pm.join(done, "landing_path", "left_anti")
-        L.append_manifest(pm, lay.payload_manifest, "payload")
+        counts["payloads"] = _append_counted(pm, lay.payload_manifest, "payload")
+    return counts
 
 
 def ingest(spark: SparkSession, lay: Layout) -> None:
@@ -102,6 +117,8 @@ def register(spark: SparkSession, lay: Layout) -> None:
     catalog.register_table(spark, "silver.int_claim_complexity_score", lay.int_claim_complexity_score)
     catalog.register_table(spark, "gold.high_complexity_claims_daily", lay.high_complexity_claims_daily)
     catalog.register_table(spark, "audit.dq_results", lay.dq_results)
+    catalog.create_table(spark, "audit.file_manifest", FILE_MANIFEST, lay.file_manifest)
+    catalog.create_table(spark, "audit.payload_manifest", PAYLOAD_MANIFEST, lay.payload_manifest)
 
 
 def run_pipeline(spark: SparkSession, lay: Layout, report_date: dt.date | None = None,
@@ -109,7 +126,7 @@ def run_pipeline(spark: SparkSession, lay: Layout, report_date: dt.date | None =
                  with_catalog: bool = True) -> DataFrame:
     """Run every step; returns the declared-test results (22 rows)."""
     if with_ledger:
-        record_landed_files(spark, lay)
+        record_landed_files(spark, lay)   # counts are also in the manifests
     ingest(spark, lay)
     models = build_models(spark, lay, F.lit(report_date) if report_date else None, None, skew_guard)
     results = run_tests(spark, lay, models)

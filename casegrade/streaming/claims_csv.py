@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import CLAIM_FIELDS, RAW_CLAIMS
+from .schema_registry import track_schema
 
 BINARY_FILE = T.StructType([
     T.StructField("path", T.StringType()),
@@ -117,6 +118,7 @@ def ingest_claims_csv(spark: SparkSession, landing_dir: str, table_dir: str, che
                       available_now: bool = True, path_glob: str | None = None,
                       max_files_per_trigger: int | None = None, sep: str = ",") -> StreamingQuery:
     """Start the ingest; with ``available_now`` it stops by itself when done."""
+    track_schema(spark, checkpoint_dir, RAW_CLAIMS)
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE)
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)

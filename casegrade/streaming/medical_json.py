@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.payload import payload_documents, unwrap_records
+from .schema_registry import track_schema
 
 EVENTS_TYPE = "array<struct<type:string,date:string>>"
 
@@ -73,6 +74,8 @@ def medical_stream(spark: SparkSession, landing_dir: str, path_glob: str | None
 def ingest_medical_json(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint_dir: str,
                         available_now: bool = True, path_glob: str | None = None) -> StreamingQuery:
     """Start the ingest; with ``available_now`` it stops by itself when done."""
+    from ..schemas import RAW_MEDICAL
+    track_schema(spark, checkpoint_dir, RAW_MEDICAL)
     writer = (medical_stream(spark, landing_dir, path_glob).writeStream
               .format("parquet")
               .option("checkpointLocation", checkpoint_dir)

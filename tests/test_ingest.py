@@ -100,3 +100,18 @@ def test_csv_exactly_once_and_replay_idempotent(spark):
     bronze = read_bronze_claims(spark, f"{d}/bronze")
     assert sorted(r.claim_id for r in bronze.collect()) == ["A", "B", "C"]
     assert {r.batch_id: r.n for r in bronze.groupBy("batch_id").agg(F.count("*").alias("n")).collect()} == {0: 1, 1: 2}
+
+
+def test_schema_registry_detects_code_change(spark):
+    import pytest
+    from pyspark.sql import types as T
+
+    from casegrade.streaming.schema_registry import SchemaChanged, read_schema, track_schema
+    d = scratch_dir(spark, "t-schema")
+    s1 = T.StructType([T.StructField("a", T.StringType())])
+    assert read_schema(spark, d) is None
+    track_schema(spark, d, s1)
+    assert read_schema(spark, d) == s1
+    track_schema(spark, d, s1)
+    with pytest.raises(SchemaChanged):
+        track_schema(spark, d, T.StructType([T.StructField("a", T.IntegerType())]))

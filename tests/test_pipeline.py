@@ -34,7 +34,9 @@ def test_run_pipeline_end_to_end(spark):
     assert n_files > 0 and fm.filter(F.col("status") != "LANDED").count() == 0
     pm = spark.read.parquet(lay.payload_manifest)
     assert pm.agg(F.sum("record_count")).first()[0] == TT.table(spark, SF_SMALL, "lineitem").count()
-    P.record_landed_files(spark, lay)
+    again = P.record_landed_files(spark, lay)
+    assert again["files"] == {"landed": 0, "failed": 0}
     assert spark.read.parquet(lay.file_manifest).count() == n_files
+    assert spark.table("audit.file_manifest").count() == n_files
     desc = {r.col_name: r.data_type for r in spark.sql("describe table extended gold.high_complexity_claims_daily").collect()}
     assert desc.get("Comment")
