@@ -139,3 +139,25 @@ def violations(df: DataFrame, t: ColumnTest) -> DataFrame:
         return (df.filter(c.isNotNull()).groupBy(t.column)
                 .agg(F.count(F.lit(1)).alias("n_records")).filter(F.col("n_records") > 1))
     raise ValueError(t.test)
+
+
+def observe_tests(df: DataFrame, tests: list[ColumnTest], name: str = "dq"):
+    """Inline checks on a write: ``(observed_df, observation)``.
+
+    not_null counts null rows and accepted_values counts the *rows* outside
+    the list, both computed while the DataFrame is written (no extra pass);
+    ``observation.get`` holds them after the write. ``unique`` needs a
+    ``groupBy`` and stays with ``run_tests``.
+    """
+    from pyspark.sql import Observation
+    metrics = []
+    for t in tests:
+        c = F.col(t.column)
+        if t.test == "not_null":
+            metrics.append(F.count_if(c.isNull()).alias(f"{t.column}:not_null"))
+        elif t.test == "accepted_values":
+            metrics.append(F.count_if(c.isNotNull() & ~c.isin(*t.values)).alias(f"{t.column}:accepted_values_rows"))
+    obs = Observation(name)
+    if not metrics:
+        return df, obs
+    return df.observe(obs, F.count(F.lit(1)).alias("n_rows"), *metrics), obs

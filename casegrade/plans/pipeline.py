@@ -99,7 +99,11 @@ def build_models(spark: SparkSession, lay: Layout, report_date: Column | None =
     write_table(scored, lay.int_claim_complexity_score)
     scored = spark.read.parquet(lay.int_claim_complexity_score)
     gold = high_complexity_daily(scored, report_date, processed_at)
+    gold, checks = Q.observe_tests(gold, Q.tests_for("high_complexity_claims_daily"), "gold_write")
     write_table(gold, lay.high_complexity_claims_daily)
+    if any(v for k, v in checks.get.items() if k != "n_rows"):
+        import logging
+        logging.getLogger(__name__).warning("gold table written with failing checks: %s", checks.get)
     gold = spark.read.parquet(lay.high_complexity_claims_daily)
     return {"stg_claims": stg_claims, "stg_medical_activity": stg_medical,
             "int_claim_complexity_score": scored, "high_complexity_claims_daily": gold}

@@ -60,10 +60,19 @@ def shared_dir(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local tests) a folder of our
     own is created and registered, so executors and driver agree on it.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if path:
+        return path.rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception:          # a remote session has no SparkContext here
+        sc = None
+    path = sc.getCheckpointDir() if sc is not None else None
     if not path:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="casegrade-ckpt-"))
-        path = spark.sparkContext.getCheckpointDir()
+        path = tempfile.mkdtemp(prefix="casegrade-ckpt-")
+        if sc is not None:
+            sc.setCheckpointDir(path)
+            path = sc.getCheckpointDir()
     return path.rstrip("/")
 
 

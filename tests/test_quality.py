@@ -60,3 +60,15 @@ def test_gold_clock_columns_injectable(spark):
                               stage_medical(medical_df(spark, [("C1", [("surgery", None)], None, "m")])))
     g = high_complexity_daily(scored, report_date=F.lit(dt.date(2026, 3, 1))).collect()
     assert g[0].report_date == dt.date(2026, 3, 1) and g[0].processed_at is not None
+
+
+def test_observed_checks_during_write(spark):
+    from casegrade.session import scratch_dir
+    df = spark.createDataFrame([("a", "HIGH"), (None, "LOW"), ("c", None)], "claim_id string, complexity_band string")
+    tests = Q.tests_for("high_complexity_claims_daily")
+    tests = [t for t in tests if t.column in ("claim_id", "complexity_band")]
+    observed, obs = Q.observe_tests(df, tests)
+    observed.write.mode("overwrite").parquet(scratch_dir(spark, "t-obs"))
+    got = obs.get
+    assert got["n_rows"] == 3 and got["claim_id:not_null"] == 1
+    assert got["complexity_band:not_null"] == 1 and got["complexity_band:accepted_values_rows"] == 1
