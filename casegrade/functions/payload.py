@@ -1,10 +1,14 @@
-"""Payload helpers: hash, strict JSON documents, record count.
+"""Payload helpers: hash, strict JSON documents, records, record count.
 
-Record count of a payload document: a list -> its length; an object whose
+A payload file holds one JSON document, or JSON Lines (one document per
+line). Record count of a document: a list -> its length; an object whose
 ``data`` is a list -> that length; else an object whose ``results`` is a
-list -> that length; anything else -> 1. A JSON Lines file counts the
-records of every line. A text that is neither has no documents (its ledger
-row is FAILED, its ingest row is rescued as a corrupt record).
+list -> that length; anything else -> 1.
+
+Documents are split into record texts with ``from_json(..., 'array<string>')``
+(a streaming Jackson parse, limited only by the row size), and only single
+records become VARIANT values, so a large payload is never held as one
+variant (Spark caps a variant at 16 MiB).
 """
 
 from __future__ import annotations
@@ -12,6 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_TEXTS = "array<string>"
+_ENVELOPE = "struct<data:array<string>,results:array<string>>"
+
 
 def payload_hash(text: Column | str) -> Column:
     """Hex SHA-256 of the UTF-8 bytes of the text (or of binary content)."""
@@ -19,58 +26,50 @@ def payload_hash(text: Column | str) -> Column:
     return F.sha2(c, 256)
 
 
-def _wrapped(text: Column) -> Column:
-    # Spark's parser stops after the first JSON value ('{"a":1} xx' parses);
-    # inside brackets it has to read, and check, the whole text.
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-
-
-def _single(wrapped: Column) -> Column:
-    """The one value of a bracket-wrapped parse, null unless exactly one."""
-    return F.when(F.try_variant_get(wrapped, "$[1]", "variant").isNull(),
-                  F.try_variant_get(wrapped, "$[0]", "variant"))
-
-
-def parse_document(text: Column | str) -> Column:
-    """VARIANT of a text that is exactly one JSON document, else null."""
-    c = F.col(text) if isinstance(text, str) else text
-    return _single(_wrapped(c))
+def _values(text: Column) -> Column:
+    # The parsers stop after the first JSON value ('{"a":1} xx' parses);
+    # inside brackets they have to read, and check, the whole text. Each top
+    # level value comes back as its (compact) JSON text.
+    return F.from_json(F.concat(F.lit("["), text, F.lit("]")), _TEXTS)
 
 
-def payload_documents(text: Column | str) -> Column:
-    """``array<variant>`` of the documents in a payload file, or null.
+def document_texts(text: Column | str) -> Column:
+    """``array<string>`` of the JSON documents of a payload file, or null.
 
-    The whole text when it is one JSON document; else its non-blank lines
-    when every one of them is a JSON document (JSON Lines); else null.
-    Each text and line is parsed once (lambda bodies get no common
-    sub-expression elimination, so parses are not repeated inside them).
+    The whole text when it is exactly one document; else its non-blank lines
+    when each is exactly one document (JSON Lines); else null (not JSON).
     """
     c = F.col(text) if isinstance(text, str) else text
-    whole = parse_document(c)
-    lines = F.transform(
-        F.transform(F.filter(F.split(c, "\n"), lambda ln: F.trim(ln) != ""), _wrapped), _single)
-    every_line = F.forall(lines, lambda d: d.isNotNull())
-    return F.when(whole.isNotNull(), F.array(whole)).when(
-        F.trim(c) != "", F.when(every_line, lines))
+    whole = _values(c)
+    lines = F.transform(F.filter(F.split(c, "\n"), lambda ln: F.trim(ln) != ""), _values)
+    every_line = (F.size(lines) > 0) & F.forall(lines, lambda a: F.size(a) == 1)
+    return (F.when(F.size(whole) == 1, whole)
+            .when(every_line, F.transform(lines, lambda a: a[0])))
 
 
-def unwrap_records(doc: Column) -> Column:
-    """Records of one document: the list, the ``data`` list, the ``results``
-    list, else the document itself (same precedence as the record count)."""
-    return F.coalesce(F.try_variant_get(doc, "$", "array<variant>"),
-                      F.try_variant_get(doc, "$.data", "array<variant>"),
-                      F.try_variant_get(doc, "$.results", "array<variant>"),
-                      F.array(doc))
+def record_texts(doc: Column) -> Column:
+    """Record texts of one document: the list, the ``data`` list, the
+    ``results`` list, else the document itself (as one record)."""
+    first = F.substring(doc, 1, 1)
+    env = F.from_json(doc, _ENVELOPE)      # a non-list field comes back null
+    return (F.when(first == "[", F.from_json(doc, _TEXTS))
+            .when(first == "{", F.coalesce(env["data"], env["results"], F.array(doc)))
+            .otherwise(F.array(doc)))
 
 
 def record_count(doc: Column) -> Column:
-    """Records in one parsed payload document (bigint), null when ``doc`` is null."""
-    def length(path: str) -> Column:
-        return F.array_size(F.try_variant_get(doc, path, "array<variant>"))
-    return F.when(doc.isNotNull(),
-                  F.coalesce(length("$"), length("$.data"), length("$.results"), F.lit(1))).cast("bigint")
+    """Records in one document text (bigint)."""
+    return F.size(record_texts(doc)).cast("bigint")
 
 
 def payload_record_count(docs: Column) -> Column:
     """Sum of the record counts of a file's documents; null without documents."""
     return F.aggregate(F.transform(docs, record_count), F.lit(0).cast("bigint"), lambda a, b: a + b)
+
+
+def parse_document(text: Column | str) -> Column:
+    """VARIANT of a text that is exactly one JSON document, else null
+    (for single records; a document is split with ``document_texts``)."""
+    c = F.col(text) if isinstance(text, str) else text
+    vals = _values(c)
+    return F.when(F.size(vals) == 1, F.try_parse_json(vals[0]))

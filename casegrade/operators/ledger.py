@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.payload import payload_documents, payload_hash, payload_record_count
+from ..functions.payload import document_texts, payload_hash, payload_record_count
 from ..schemas import FAILED, FILE_MANIFEST, LANDED, PAYLOAD_MANIFEST
 from .skew import SkewGuard, salted_left_join
 
@@ -75,7 +75,7 @@ def scan_files(spark: SparkSession, landing_dir: str, source_system: str, suffix
 
 def payload_rows(texts: DataFrame, source_system: str, api_url: str | None = None) -> DataFrame:
     """(value, landing_path) payload texts -> PAYLOAD_MANIFEST rows."""
-    docs = payload_documents(F.col("value"))
+    docs = document_texts(F.col("value"))
     ok = docs.isNotNull()
     return texts.select(
         F.lit(source_system).alias("source_system"),

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.payload import parse_document, payload_hash, record_count
+from ..functions.payload import document_texts, payload_hash, payload_record_count
 from ..operators import ledger as L
 from ..schemas import API_MEDICAL_ACTIVITY, FAILED, LANDED, SFTP_CLAIMS
 from ..session import scratch_dir
@@ -87,11 +87,11 @@ def event_payloads(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_payload_record_count(spark: SparkSession, sf: str) -> DataFrame:
-    doc = parse_document(F.col("payload"))
+    docs = document_texts(F.col("payload"))
     return event_payloads(spark, sf).select(
         "event_id",
-        record_count(doc).alias("record_count"),
-        F.when(doc.isNotNull(), F.lit(LANDED)).otherwise(F.lit(FAILED)).alias("status"))
+        payload_record_count(docs).alias("record_count"),
+        F.when(docs.isNotNull(), F.lit(LANDED)).otherwise(F.lit(FAILED)).alias("status"))
 
 
 def q_payload_manifest(spark: SparkSession, sf: str) -> DataFrame:

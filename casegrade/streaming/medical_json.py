@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.payload import payload_documents, unwrap_records
+from ..functions.payload import document_texts, record_texts
 from .schema_registry import track_schema
 
 EVENTS_TYPE = "array<struct<type:string,date:string>>"
@@ -43,17 +43,20 @@ map_filter(try_variant_get(r, '$', 'map<string,variant>'), (k, x) ->
 
 def parse_payloads(text: DataFrame) -> DataFrame:
     """(value, _source_file) payload texts -> bronze medical rows (without _ingested_at)."""
-    docs = text.select("value", "_source_file", payload_documents("value").alias("_docs"))
-    records = F.when(F.col("_docs").isNull(), F.array(F.lit(None).cast("variant"))) \
-        .otherwise(F.flatten(F.transform("_docs", unwrap_records)))
-    recs = docs.select("value", "_source_file", F.explode(records).alias("r"))
+    docs = text.select("value", "_source_file", document_texts("value").alias("_docs"))
+    # a file that is not JSON becomes one null record (rescued as corrupt)
+    records = F.when(F.col("_docs").isNull(), F.array(F.lit(None).cast("string"))) \
+        .otherwise(F.flatten(F.transform("_docs", record_texts)))
+    recs = (docs.select("value", "_source_file", F.explode(records).alias("rec"))
+            .withColumn("r", F.try_parse_json("rec")))
     typed = recs.select(
-        "value", "_source_file", "r",
+        "value", "_source_file", "rec", "r",
         F.expr("try_variant_get(r, '$.claim_id', 'string')").alias("claim_id"),
         F.expr(f"try_variant_get(r, '$.medical_events', '{EVENTS_TYPE}')").alias("medical_events"),
         F.expr(_RESCUE).alias("_extra"),
     )
-    rescued = (F.when(F.col("r").isNull(), F.to_json(F.struct(F.col("value").alias("_corrupt_record"))))
+    corrupt_text = F.coalesce(F.col("rec"), F.col("value"))
+    rescued = (F.when(F.col("r").isNull(), F.to_json(F.struct(corrupt_text.alias("_corrupt_record"))))
                .when(F.col("_extra").isNull(), F.to_json(F.struct(F.col("r").alias("_value"))))
                .when(F.size("_extra") > 0, F.to_json("_extra")))
     return typed.select("claim_id", "medical_events", rescued.alias("_rescued_data"), "_source_file")

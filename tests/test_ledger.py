@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from casegrade.functions.payload import parse_document, payload_documents, payload_record_count
+from casegrade.functions.payload import document_texts, parse_document, payload_record_count
 from casegrade.operators import ledger as L
 from casegrade.session import scratch_dir
 
@@ -88,5 +88,5 @@ def test_parse_document_strict(spark):
     df = spark.createDataFrame([('{"a":1}',), ('{"a":1} x',), ('[1] [2]',)], "t string")
     got = [r.ok for r in df.select(parse_document("t").isNotNull().alias("ok")).collect()]
     assert got == [True, False, False]
-    n = df.select(payload_record_count(payload_documents("t")).alias("n")).collect()
+    n = df.select(payload_record_count(document_texts("t")).alias("n")).collect()
     assert [r.n for r in n] == [1, None, None]
