@@ -102,8 +102,9 @@ def payload_manifest(spark: SparkSession, landing_dir: str, source_system: str,
 
 
 def landed_names(manifest: DataFrame, source_system: str) -> DataFrame:
+    # distinct: a name recorded many times is pre-aggregated before the join
     return (manifest.filter((F.col("source_system") == source_system) & (F.col("status") == LANDED))
-            .select("file_name"))
+            .select("file_name").distinct())
 
 
 def new_files(candidates: DataFrame, manifest: DataFrame, source_system: str,

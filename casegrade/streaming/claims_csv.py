@@ -8,18 +8,22 @@ must keep all of it. So:
 1. A ``binaryFile`` stream (only ``path`` is selected, so file contents are
    not read) discovers new files; the checkpoint makes each file part of
    exactly one micro-batch. ``availableNow`` takes what is there and stops.
-2. In ``foreachBatch``: each file's header is its first line, found with a
-   distributed text read of the files' first splits (``file_block_start = 0``,
-   first line by ``monotonically_increasing_id`` per file).
-3. Files are grouped by header; each group is read with a schema made from
-   that very header (all columns text, plus a corrupt-record column), so
-   positions equal names. Known columns are taken by name (missing ones are
-   null); extra columns and malformed rows go to ``_rescued_data`` as JSON.
+2. In ``foreachBatch`` the batch's files are scanned ONCE as text lines
+   (kept for the batch with ``persist``, released after the write). Each
+   file's header is its first non-blank line of its first split, found by
+   line position (``monotonically_increasing_id``) per file.
+3. Files are grouped by header layout; the lines of each layout are parsed
+   with ``from_csv`` and a schema made from that very header (all columns
+   text, plus a corrupt-record column), so positions equal names. Like the
+   CSV reader's default mode this is line based. Known columns are taken by
+   name (missing ones are null); extra columns and malformed rows go to
+   ``_rescued_data`` as JSON.
 4. The batch is written with overwrite to ``<table>/batch_id=<n>``: a batch
    replayed after a failure replaces its own output (idempotent), and
    ``foreachBatch`` + checkpoint gives exactly-once files.
 
-Only file paths and one header line per file reach the driver.
+Only file paths and one header line per file reach the driver; micro-batches
+hold at most ``max_files_per_trigger`` files.
 """
 
 from __future__ import annotations
@@ -27,9 +31,10 @@ from __future__ import annotations
 import csv
 import io
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import types as T  # noqa: F401  (BINARY_FILE)
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import CLAIM_FIELDS, RAW_CLAIMS
@@ -58,47 +63,62 @@ def header_columns(line: str, sep: str = ",") -> list[str]:
     return names
 
 
-def file_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(file_path, header) for each file: its first line."""
-    lines = spark.read.text(paths).select(
+def batch_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Text lines of the files with file, split start and position."""
+    return spark.read.text(paths).select(
         "value",
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("pos"))
-    return (lines.filter(F.col("block_start") == 0)
-            .groupBy("file_path").agg(F.min_by("value", "pos").alias("header")))
-
-
-def read_by_header(spark: SparkSession, files: list[str], columns: list[str], sep: str = ",") -> DataFrame:
-    """Files sharing one header -> raw claim rows (without _ingested_at)."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
-                          + [T.StructField(CORRUPT, T.StringType())])
-    df = (spark.read.schema(schema)
-          .option("header", True)
-          .option("sep", sep)
-          .option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT)
-          .csv(files))
+        F.col("_metadata.file_path").alias("_source_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_pos"))
+
+
+def file_headers(lines: DataFrame) -> DataFrame:
+    """(_source_file, _hpos, header): each file's first non-blank line."""
+    return (lines.filter((F.col("_block") == 0) & (F.trim("value") != ""))
+            .groupBy("_source_file")
+            .agg(F.min("_pos").alias("_hpos"), F.min_by("value", "_pos").alias("header")))
+
+
+def _csv_options(sep: str) -> dict:
+    return {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def parse_layout(lines: DataFrame, columns: list[str], sep: str = ",") -> DataFrame:
+    """Data lines of one header layout -> raw claim rows (without _ingested_at)."""
+    ddl = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in [*columns, CORRUPT])
+    rows = lines.select(F.from_csv("value", ddl, _csv_options(sep)).alias("r"), "_source_file")
     extras = [c for c in columns if c not in CLAIM_FIELDS]
-    rescue_cols = [F.col(f"`{c}`") for c in extras] + [F.col(CORRUPT)]
+    rescue_cols = [F.col("r")[c].alias(c) for c in extras] + [F.col("r")[CORRUPT].alias(CORRUPT)]
     rescued_json = F.to_json(F.struct(*rescue_cols))          # null fields are left out
     rescued = F.when(rescued_json != F.lit("{}"), rescued_json)
-    known = [F.col(f"`{c}`").alias(c) if c in columns else F.lit(None).cast("string").alias(c)
+    known = [F.col("r")[c].alias(c) if c in columns else F.lit(None).cast("string").alias(c)
              for c in CLAIM_FIELDS]
-    return df.select(*known, rescued.alias("_rescued_data"), F.col("_metadata.file_path").alias("_source_file"))
+    return rows.select(*known, rescued.alias("_rescued_data"), "_source_file")
+
 
+def load_claim_files(spark: SparkSession, paths: list[str], sep: str = ",",
+                     lines: DataFrame | None = None) -> DataFrame | None:
+    """Raw claims from a set of CSV files, every file read by its own header.
 
-def load_claim_files(spark: SparkSession, paths: list[str], sep: str = ",") -> DataFrame | None:
-    """Raw claims from a set of CSV files, every file read by its own header."""
+    ``lines`` may be a (persisted) ``batch_lines`` of the same paths.
+    """
     if not paths:
         return None
-    by_header: dict[str, list[str]] = {}
-    for r in file_headers(spark, paths).collect():        # one short row per file
-        by_header.setdefault(r.header or "", []).append(r.file_path)
-    parts = [read_by_header(spark, files, header_columns(h, sep), sep)
-             for h, files in by_header.items() if h.strip()]
-    if not parts:
+    lines = lines if lines is not None else batch_lines(spark, paths)
+    headers = file_headers(lines).collect()          # one short row per file
+    if not headers:
         return None
+    layouts: dict[str, int] = {}
+    per_file = []
+    for r in headers:
+        per_file.append((r._source_file, layouts.setdefault(r.header, len(layouts)), r._hpos))
+    # one row per file of this batch (bounded by maxFilesPerTrigger)
+    file_layout = spark.createDataFrame(per_file, "_source_file string, _layout int, _hpos long")
+    data = (lines.join(F.broadcast(file_layout), "_source_file")
+            .filter((F.col("_pos") != F.col("_hpos")) & (F.trim("value") != "")))
+    parts = [parse_layout(data.filter(F.col("_layout") == k), header_columns(h, sep), sep)
+             for h, k in layouts.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -108,15 +128,23 @@ def load_claim_files(spark: SparkSession, paths: list[str], sep: str = ",") -> D
 def _batch_writer(spark: SparkSession, table_dir: str, sep: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         paths = [r.path for r in batch.select("path").collect()]   # file names only
-        raw = load_claim_files(spark, paths, sep)
-        if raw is not None:
-            raw.write.mode("overwrite").parquet(f"{table_dir}/batch_id={batch_id}")
+        if not paths:
+            return
+        # one scan of the batch's files; kept for the header and data passes
+        # (recomputable from the files if an executor is lost)
+        lines = batch_lines(spark, paths).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            raw = load_claim_files(spark, paths, sep, lines)
+            if raw is not None:
+                raw.write.mode("overwrite").parquet(f"{table_dir}/batch_id={batch_id}")
+        finally:
+            lines.unpersist()
     return write
 
 
 def ingest_claims_csv(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint_dir: str,
                       available_now: bool = True, path_glob: str | None = None,
-                      max_files_per_trigger: int | None = None, sep: str = ",") -> StreamingQuery:
+                      max_files_per_trigger: int | None = 1000, sep: str = ",") -> StreamingQuery:
     """Start the ingest; with ``available_now`` it stops by itself when done."""
     track_schema(spark, checkpoint_dir, RAW_CLAIMS)
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE)

@@ -62,10 +62,14 @@ def parse_payloads(text: DataFrame) -> DataFrame:
     return typed.select("claim_id", "medical_events", rescued.alias("_rescued_data"), "_source_file")
 
 
-def medical_stream(spark: SparkSession, landing_dir: str, path_glob: str | None = None) -> DataFrame:
+def medical_stream(spark: SparkSession, landing_dir: str, path_glob: str | None = None,
+                   max_files_per_trigger: int | None = 10000) -> DataFrame:
     reader = spark.readStream.format("text")
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
+    if max_files_per_trigger:
+        # bounded micro-batches: a failure redoes one batch, not the backlog
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     # wholetext must be the argument of text(): as an option it is overridden
     text = reader.text(landing_dir, wholetext=True).select(
         "value", F.col("_metadata.file_path").alias("_source_file"))
@@ -75,11 +79,12 @@ def medical_stream(spark: SparkSession, landing_dir: str, path_glob: str | None
 
 
 def ingest_medical_json(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint_dir: str,
-                        available_now: bool = True, path_glob: str | None = None) -> StreamingQuery:
+                        available_now: bool = True, path_glob: str | None = None,
+                        max_files_per_trigger: int | None = 10000) -> StreamingQuery:
     """Start the ingest; with ``available_now`` it stops by itself when done."""
     from ..schemas import RAW_MEDICAL
     track_schema(spark, checkpoint_dir, RAW_MEDICAL)
-    writer = (medical_stream(spark, landing_dir, path_glob).writeStream
+    writer = (medical_stream(spark, landing_dir, path_glob, max_files_per_trigger).writeStream
               .format("parquet")
               .option("checkpointLocation", checkpoint_dir)
               .outputMode("append"))

@@ -115,3 +115,14 @@ def test_schema_registry_detects_code_change(spark):
     track_schema(spark, d, s1)
     with pytest.raises(SchemaChanged):
         track_schema(spark, d, T.StructType([T.StructField("a", T.IntegerType())]))
+
+
+def test_csv_odd_header_names_and_blank_lines(spark):
+    d = scratch_dir(spark, "t-csv-odd")
+    land = f"{d}/landing"
+    os.makedirs(land)
+    _put(land, "a.csv", '\n claim_id ,"note, free",`x`.y,claim_id\n\nC1,hello,z,dup\n\n')
+    ingest_claims_csv(spark, land, f"{d}/bronze", f"{d}/ckpt").awaitTermination()
+    rows = read_bronze_claims(spark, f"{d}/bronze").collect()
+    assert len(rows) == 1 and rows[0].claim_id == "C1"
+    assert json.loads(rows[0]._rescued_data) == {"note, free": "hello", "`x`.y": "z", "claim_id_3": "dup"}
