@@ -73,3 +73,15 @@ def parse_document(text: Column | str) -> Column:
     c = F.col(text) if isinstance(text, str) else text
     vals = _values(c)
     return F.when(F.size(vals) == 1, F.try_parse_json(vals[0]))
+
+
+# FIXED VALUE — landed payload files are named
+# medical_activity_<UTC time as yyyyMMdd_HHmmss>.json
+PAYLOAD_FILE_PREFIX = "medical_activity_"
+PAYLOAD_FILE_TIME_FORMAT = "yyyyMMdd_HHmmss"
+
+
+def payload_file_name(ts: Column | None = None) -> Column:
+    """Landing file name of a payload fetched at ``ts`` (default: now, UTC session)."""
+    t = ts if ts is not None else F.current_timestamp()
+    return F.concat(F.lit(PAYLOAD_FILE_PREFIX), F.date_format(t, PAYLOAD_FILE_TIME_FORMAT), F.lit(".json"))

@@ -115,6 +115,7 @@ def run_tests(spark: SparkSession, lay: Layout, models: dict[str, DataFrame]) ->
 
 
 def register(spark: SparkSession, lay: Layout) -> None:
+    """Tables in the catalog; the two staging models as session views."""
     catalog.setup_namespaces(spark)
     catalog.register_table(spark, "bronze.raw_claims", lay.bronze_claims, partitioned=True)
     catalog.register_table(spark, "bronze.raw_medical_activity", lay.bronze_medical)
@@ -123,6 +124,8 @@ def register(spark: SparkSession, lay: Layout) -> None:
     catalog.register_table(spark, "audit.dq_results", lay.dq_results)
     catalog.create_table(spark, "audit.file_manifest", FILE_MANIFEST, lay.file_manifest)
     catalog.create_table(spark, "audit.payload_manifest", PAYLOAD_MANIFEST, lay.payload_manifest)
+    stage_claims(spark.table("bronze.raw_claims")).createOrReplaceTempView("stg_claims")
+    stage_medical(spark.table("bronze.raw_medical_activity")).createOrReplaceTempView("stg_medical_activity")
 
 
 def run_pipeline(spark: SparkSession, lay: Layout, report_date: dt.date | None = None,

@@ -90,3 +90,11 @@ def test_parse_document_strict(spark):
     assert got == [True, False, False]
     n = df.select(payload_record_count(document_texts("t")).alias("n")).collect()
     assert [r.n for r in n] == [1, None, None]
+
+
+def test_payload_file_name(spark):
+    import datetime as dt
+
+    from casegrade.functions.payload import payload_file_name
+    df = spark.createDataFrame([(dt.datetime(2026, 5, 1, 7, 8, 9),)], "ts timestamp")
+    assert df.select(payload_file_name(F.col("ts")).alias("n")).first().n == "medical_activity_20260501_070809.json"

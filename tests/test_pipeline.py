@@ -38,5 +38,6 @@ def test_run_pipeline_end_to_end(spark):
     assert again["files"] == {"landed": 0, "failed": 0}
     assert spark.read.parquet(lay.file_manifest).count() == n_files
     assert spark.table("audit.file_manifest").count() == n_files
+    assert spark.sql("select count(*) from stg_claims").first()[0] == n_orders
     desc = {r.col_name: r.data_type for r in spark.sql("describe table extended gold.high_complexity_claims_daily").collect()}
     assert desc.get("Comment")
