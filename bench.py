@@ -50,7 +50,9 @@ def timed(fn):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = get_session(f"local[{cpus}]", cpus)
+    # local mode: the driver JVM is the whole cluster, so give it a real heap
+    mem = os.environ.get("BENCH_DRIVER_MEMORY", "16g")
+    spark = get_session(f"local[{cpus}]", cpus, extra_conf={"spark.driver.memory": mem})
     lay = P.Layout(scratch_dir(spark, "bench"))
     queries, extra = {}, {}
 
