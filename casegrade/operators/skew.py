@@ -3,10 +3,11 @@
 Assume one key may hold a third of the left rows (e.g. a feed that repeats
 one claim id). A plain shuffle join sends all of them to one task. Here:
 
-1. ``hot_key_values`` — keys holding at least ``min_share`` (and at least
-   ``min_sample_rows`` rows) of a seeded sample of the left side's key column. There can be at most
-   ``1 / min_share`` of them (100 by default), so collecting the list to the
-   driver has a proven bound.
+1. ``hot_key_values`` — the heaviest keys (each with at least
+   ``min_sample_rows`` sampled rows) of a seeded sample of the left side's
+   key column, at most ``1 / min_share`` of them (100 by default): every key
+   holding ``min_share`` of the rows is among them, and collecting the list
+   to the driver has a proven bound.
 2. No hot key (the usual case): a plain left join. The flag side keeps the
    ``claim_id`` partitioning of its aggregation (no second exchange) and AQE
    may broadcast it when its measured size is small.
@@ -38,14 +39,22 @@ class SkewGuard:
     min_sample_rows: int = 20    # and >= this many sampled rows (tiny samples)
 
 
+def max_hot_keys(guard: SkewGuard) -> int:
+    return max(1, int(1 / guard.min_share))
+
+
 def hot_keys(df: DataFrame, key: str, guard: SkewGuard) -> DataFrame:
-    """Keys with at least ``min_share`` of a sample: at most 1/min_share rows."""
+    """The heaviest keys of a seeded sample, at most ``1 / min_share`` of them.
+
+    A key holding ``min_share`` of the rows is among the ``1 / min_share``
+    heaviest, so it is always found; keys below ``min_sample_rows`` sampled
+    rows are never hot. One job: partial counts, then a top-k merge.
+    """
     sample = (df.select(key).filter(F.col(key).isNotNull())
               .sample(fraction=guard.sample_fraction, seed=guard.seed))
     counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return (counts.filter((F.col("_n") >= F.lit(guard.min_share) * total)
-                          & (F.col("_n") >= guard.min_sample_rows))
+    return (counts.filter(F.col("_n") >= guard.min_sample_rows)
+            .orderBy(F.col("_n").desc()).limit(max_hot_keys(guard))
             .select(key))
 
 
