@@ -57,6 +57,22 @@ def record_texts(doc: Column) -> Column:
             .otherwise(F.array(doc)))
 
 
+_VARIANTS = "array<variant>"
+_VARIANT_ENVELOPE = "struct<data:array<variant>,results:array<variant>>"
+
+
+def record_variants(doc: Column) -> Column:
+    """Records of one document text as VARIANT values, in the same shape
+    precedence as ``record_texts``; the list is split by the streaming parser,
+    so only single records are ever built as variants."""
+    first = F.substring(doc, 1, 1)
+    env = F.from_json(doc, _VARIANT_ENVELOPE)
+    single = F.array(F.try_parse_json(doc))
+    return (F.when(first == "[", F.from_json(doc, _VARIANTS))
+            .when(first == "{", F.coalesce(env["data"], env["results"], single))
+            .otherwise(single))
+
+
 def record_count(doc: Column) -> Column:
     """Records in one document text (bigint)."""
     return F.size(record_texts(doc)).cast("bigint")

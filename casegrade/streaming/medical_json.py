@@ -3,7 +3,8 @@
 A file stream over the landing folder (``availableNow`` by default: take all
 files present now, then stop; the checkpoint remembers which files were
 done). Each file is one API payload, usually an indented document, so it is
-read whole (``wholetext``) and parsed into a VARIANT:
+read whole (``wholetext``), checked and split into record texts by a
+streaming parse, and each record is parsed into a VARIANT:
 
 * payload shapes: a list of records, ``{"data": [...]}``, ``{"results": [...]}``
   or a single record object (same precedence as the payload record count);
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.payload import document_texts, record_texts
+from ..functions.payload import document_texts, record_variants
 from .schema_registry import track_schema
 
 EVENTS_TYPE = "array<struct<type:string,date:string>>"
@@ -42,21 +43,26 @@ map_filter(try_variant_get(r, '$', 'map<string,variant>'), (k, x) ->
 
 
 def parse_payloads(text: DataFrame) -> DataFrame:
-    """(value, _source_file) payload texts -> bronze medical rows (without _ingested_at)."""
-    docs = text.select("value", "_source_file", document_texts("value").alias("_docs"))
-    # a file that is not JSON becomes one null record (rescued as corrupt)
-    records = F.when(F.col("_docs").isNull(), F.array(F.lit(None).cast("string"))) \
-        .otherwise(F.flatten(F.transform("_docs", record_texts)))
-    recs = (docs.select("value", "_source_file", F.explode(records).alias("rec"))
-            .withColumn("r", F.try_parse_json("rec")))
+    """(value, _source_file) payload texts -> bronze medical rows (without _ingested_at).
+
+    Records come out of the document parse as VARIANT values. The file text
+    is not carried through the ``explode`` (that would copy the whole payload
+    into every record row); only a file that is not JSON keeps it, on its one
+    output row.
+    """
+    docs = text.select("_source_file", document_texts("value").alias("_docs"), "value")
+    ok = F.col("_docs").isNotNull()
+    records = F.when(ok, F.flatten(F.transform("_docs", record_variants))) \
+        .otherwise(F.array(F.lit(None).cast("variant")))
+    recs = docs.select("_source_file", F.when(~ok, F.col("value")).alias("_bad"), F.explode(records).alias("r"))
     typed = recs.select(
-        "value", "_source_file", "rec", "r",
+        "_source_file", "_bad", "r",
         F.expr("try_variant_get(r, '$.claim_id', 'string')").alias("claim_id"),
         F.expr(f"try_variant_get(r, '$.medical_events', '{EVENTS_TYPE}')").alias("medical_events"),
         F.expr(_RESCUE).alias("_extra"),
     )
-    corrupt_text = F.coalesce(F.col("rec"), F.col("value"))
-    rescued = (F.when(F.col("r").isNull(), F.to_json(F.struct(corrupt_text.alias("_corrupt_record"))))
+    rescued = (F.when(F.col("_bad").isNotNull(), F.to_json(F.struct(F.col("_bad").alias("_corrupt_record"))))
+               .when(F.col("r").isNull(), F.lit(None).cast("string"))
                .when(F.col("_extra").isNull(), F.to_json(F.struct(F.col("r").alias("_value"))))
                .when(F.size("_extra") > 0, F.to_json("_extra")))
     return typed.select("claim_id", "medical_events", rescued.alias("_rescued_data"), "_source_file")

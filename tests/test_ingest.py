@@ -126,3 +126,13 @@ def test_csv_odd_header_names_and_blank_lines(spark):
     rows = read_bronze_claims(spark, f"{d}/bronze").collect()
     assert len(rows) == 1 and rows[0].claim_id == "C1"
     assert json.loads(rows[0]._rescued_data) == {"note, free": "hello", "`x`.y": "z", "claim_id_3": "dup"}
+
+
+def test_json_list_elements_keep_their_json_type(spark):
+    from casegrade.streaming.medical_json import parse_payloads
+    df = spark.createDataFrame([('[{"claim_id": "A"}, "x", 3, "{\\"claim_id\\": \\"B\\"} junk", null]', "f")],
+                               "value string, _source_file string")
+    rows = parse_payloads(df).collect()
+    assert [r.claim_id for r in rows] == ["A", None, None, None, None]
+    assert [r._rescued_data for r in rows[1:4]] == ['{"_value":"x"}', '{"_value":3}',
+                                                      '{"_value":"{\\"claim_id\\": \\"B\\"} junk"}']
