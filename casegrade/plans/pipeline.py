@@ -25,21 +25,33 @@ from ..operators.mart import high_complexity_daily, write_table
 from ..operators.scoring import complexity_score
 from ..operators.skew import SkewGuard
 from ..operators.staging import medical_event_types, stage_claims, stage_medical
-from ..schemas import API_MEDICAL_ACTIVITY, FILE_MANIFEST, PAYLOAD_MANIFEST, SFTP_CLAIMS
+from ..schemas import (API_MEDICAL_ACTIVITY, DQ_RESULTS, FILE_MANIFEST, GOLD, PAYLOAD_MANIFEST, SCORED,
+                       SFTP_CLAIMS)
 from ..session import shared_dir
 from ..streaming.claims_csv import ingest_claims_csv, read_bronze_claims
 from ..streaming.medical_json import ingest_medical_json, read_bronze_medical
 from . import catalog
 
 
+_FOLDERS = (
+    "landing_claims", "landing_medical",                 # landed raw files
+    "bronze_claims", "bronze_medical",                   # raw tables
+    "checkpoint_claims", "checkpoint_medical",           # stream progress + tracked schema
+    "int_claim_complexity_score", "high_complexity_claims_daily", "dq_results",
+    "file_manifest", "payload_manifest",                 # ledgers
+)
+
+
 @dataclass(frozen=True)
 class Layout:
     """Folders of one pipeline deployment, all under one shared base folder."""
 
     base: str
 
-    def __getattr__(self, name):  # landing_claims, bronze_claims, ...
-        return f"{self.base}/{name}"
+    def path(self, name: str) -> str:
+        if name not in _FOLDERS:
+            raise KeyError(name)
+        return f"{self.base.rstrip('/')}/{name}"
 
     @classmethod
     def under_shared_dir(cls, spark: SparkSession, name: str = "pipeline") -> "Layout":
@@ -49,6 +61,10 @@ class Layout:
         return cls(f"{base}/casegrade/{name}")
 
 
+for _name in _FOLDERS:
+    setattr(Layout, _name, property(lambda self, _n=_name: self.path(_n)))
+
+
 def _append_counted(rows: DataFrame, path: str, kind: str) -> dict:
     """Append ledger rows; LANDED / FAILED counts come from the same pass."""
     obs = Observation(f"ledger_{kind}")
@@ -97,7 +113,8 @@ def build_models(spark: SparkSession, lay: Layout, report_date: Column | None =
     stg_medical = stage_medical(raw_medical)
     scored = complexity_score(stg_claims, medical_event_types(raw_medical), skew_guard)
     write_table(scored, lay.int_claim_complexity_score)
-    scored = spark.read.parquet(lay.int_claim_complexity_score)
+    # read back with the declared schema: no footer reads to infer it
+    scored = spark.read.schema(SCORED).parquet(lay.int_claim_complexity_score)
     gold = high_complexity_daily(scored, report_date, processed_at)
     gold, checks = Q.observe_tests(gold, Q.tests_for("high_complexity_claims_daily"), "gold_write")
     write_table(gold, lay.high_complexity_claims_daily)
@@ -111,7 +128,7 @@ def build_models(spark: SparkSession, lay: Layout, report_date: Column | None =
 
 def run_tests(spark: SparkSession, lay: Layout, models: dict[str, DataFrame]) -> DataFrame:
     write_table(Q.dq_report(models), lay.dq_results)
-    return spark.read.parquet(lay.dq_results)
+    return spark.read.schema(DQ_RESULTS).parquet(lay.dq_results)
 
 
 def register(spark: SparkSession, lay: Layout) -> None:

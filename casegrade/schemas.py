@@ -71,6 +71,23 @@ SCORED = T.StructType([
     T.StructField("_ingested_at", T.TimestampType()),
 ])
 
+GOLD = T.StructType(SCORED.fields[:9] + [
+    T.StructField("report_date", T.DateType(), False),
+    T.StructField("processed_at", T.TimestampType(), False),
+] + SCORED.fields[9:])
+
+DQ_RESULTS = T.StructType([
+    T.StructField("model", T.StringType()),
+    T.StructField("column_name", T.StringType()),
+    T.StructField("test", T.StringType()),
+    T.StructField("n_rows", T.LongType()),
+    T.StructField("n_failed", T.LongType()),
+    T.StructField("passed", T.BooleanType()),
+])
+
+# Bronze claims as stored by the CSV ingest: one folder per micro-batch.
+BRONZE_CLAIMS = T.StructType(RAW_CLAIMS.fields + [T.StructField("batch_id", T.LongType())])
+
 # Audit ledgers (append-only). Declared explicitly: a batch in which a column
 # is null in every row has no inferable type.
 FILE_MANIFEST = T.StructType([

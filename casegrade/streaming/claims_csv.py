@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T  # noqa: F401  (BINARY_FILE)
 from pyspark.sql.streaming import StreamingQuery
 
-from ..schemas import CLAIM_FIELDS, RAW_CLAIMS
+from ..schemas import BRONZE_CLAIMS, CLAIM_FIELDS, RAW_CLAIMS
 from .schema_registry import track_schema
 
 BINARY_FILE = T.StructType([
@@ -163,4 +163,4 @@ def ingest_claims_csv(spark: SparkSession, landing_dir: str, table_dir: str, che
 
 def read_bronze_claims(spark: SparkSession, table_dir: str) -> DataFrame:
     """The bronze table; ``batch_id`` is the micro-batch partition."""
-    return spark.read.parquet(table_dir)
+    return spark.read.schema(BRONZE_CLAIMS).parquet(table_dir)
