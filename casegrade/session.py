@@ -20,6 +20,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # when every build-side partition of a shuffled join is measured under
+    # this size, AQE hashes it instead of sorting both sides (the large
+    # claims side is then never sorted); the bound is checked at runtime
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # partitionBy writes replace only the partitions they touch
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
