@@ -73,8 +73,10 @@ def scan_files(spark: SparkSession, landing_dir: str, source_system: str, suffix
             .unionByName(rows(FAILED, False, F.col("length") > max_bytes)))
 
 
-def payload_rows(texts: DataFrame, source_system: str, api_url: str | None = None) -> DataFrame:
-    """(value, landing_path) payload texts -> PAYLOAD_MANIFEST rows."""
+def payload_rows(texts: DataFrame, source_system: str, api_url: str | None = None,
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """(value, landing_path) payload texts -> PAYLOAD_MANIFEST rows
+    (plus the ``keep`` columns, carried through unchanged)."""
     docs = document_texts(F.col("value"))
     ok = docs.isNotNull()
     return texts.select(
@@ -87,6 +89,7 @@ def payload_rows(texts: DataFrame, source_system: str, api_url: str | None = Non
         F.when(ok, F.lit(LANDED)).otherwise(F.lit(FAILED)).alias("status"),
         F.when(~ok, F.concat(F.lit("payload is not one JSON document: "), F.col("landing_path"))
                ).alias("error_message"),
+        *keep,
     )
 
 

@@ -100,3 +100,37 @@ def q_payload_manifest(spark: SparkSession, sf: str) -> DataFrame:
     land_json_payloads(TT.medical_records(spark, sf), f"{d}/landing")
     m = L.payload_manifest(spark, f"{d}/landing", API_MEDICAL_ACTIVITY, suffix=".txt")
     return m.groupBy("status").agg(F.sum("record_count").alias("n_records"))
+
+
+def q_ledger_status(spark: SparkSession, sf: str) -> DataFrame:
+    """One manifest row per event payload: LANDED with hash and count, or
+    FAILED with nulls and a message."""
+    texts = event_payloads(spark, sf).select(
+        "event_id", F.col("payload").alias("value"),
+        F.concat(F.lit("events/"), F.col("event_id").cast("string"), F.lit(".json")).alias("landing_path"))
+    rows = L.payload_rows(texts, API_MEDICAL_ACTIVITY, "https://api.invalid/medical-activity", keep=("event_id",))
+    return rows.select(
+        "event_id", "status", "payload_hash", "record_count",
+        F.col("error_message").isNotNull().alias("has_error"))
+
+
+def q_ledger_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Two ledger runs into one manifest: the first records the payloads of
+    the first half of the event time range, the second offers every payload
+    and appends only those not yet LANDED (FAILED ones are offered again)."""
+    d = scratch_dir(spark, "ledger-append")
+    e = TT.table(spark, sf, "events")
+    texts = event_payloads(spark, sf).join(e.select("event_id", "ts"), "event_id").select(
+        "ts", F.col("payload").alias("value"),
+        F.concat(F.lit("events/"), F.col("event_id").cast("string"), F.lit(".json")).alias("landing_path"))
+    mid = e.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).select(
+        (F.col("a") + (F.col("b") - F.col("a")) / 2).alias("m"))
+    first = texts.filter(F.col("ts") < mid.scalar()).drop("ts")
+    L.append_manifest(L.payload_rows(first, API_MEDICAL_ACTIVITY), d, "payload")
+    done = (L.read_manifest(spark, d, "payload").filter(F.col("status") == LANDED)
+            .select("landing_path").distinct())
+    second = texts.drop("ts").join(done, "landing_path", "left_anti")
+    L.append_manifest(L.payload_rows(second, API_MEDICAL_ACTIVITY), d, "payload")
+    m = L.read_manifest(spark, d, "payload")
+    return m.groupBy("status").agg(F.count(F.lit(1)).alias("n_rows"),
+                                   F.sum("record_count").alias("n_records"))

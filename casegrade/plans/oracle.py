@@ -234,3 +234,41 @@ LEDGER_SQL = {
         from p""",
     "payload_manifest": "select 'LANDED' as status, count(*) as n_records from lineitem",
 }
+
+EVENT_PAYLOADS = """
+    select event_id, ts,
+           case event_type
+             when 'click' then '[' || props || ', ' || props || ']'
+             when 'view' then '{"data": [' || props || '], "page": 1}'
+             when 'signup' then '{"results": [' || props || ', ' || props || ', ' || props || ']}'
+             when 'purchase' then '{"data": ' || cast(user_id as varchar) || ', "item": ' || props || '}'
+             else 'error: ' || props end as payload
+    from events"""
+
+EVENT_MANIFEST = f"""
+    select event_id, ts,
+           case when json_valid(payload) then 'LANDED' else 'FAILED' end as status,
+           case when json_valid(payload) then sha256(payload) end as payload_hash,
+           case when json_valid(payload) then
+             cast(coalesce(
+               case when json_type(payload) = 'ARRAY' then json_array_length(payload) end,
+               case when json_type(payload, '$.data') = 'ARRAY' then json_array_length(payload, '$.data') end,
+               case when json_type(payload, '$.results') = 'ARRAY' then json_array_length(payload, '$.results') end,
+               1) as bigint)
+           end as record_count
+    from ({EVENT_PAYLOADS}) p"""
+
+LEDGER_SQL["ledger_status"] = f"""
+    select event_id, status, payload_hash, record_count, status = 'FAILED' as has_error
+    from ({EVENT_MANIFEST}) m"""
+
+# run 1: first half of the time range; run 2: everything not yet LANDED.
+# Payloads are fixed per event, so FAILED ones fail again and appear twice.
+LEDGER_SQL["ledger_append"] = f"""
+    with m as ({EVENT_MANIFEST}),
+    mid as (select min(ts) + (max(ts) - min(ts)) / 2 as mid from events),
+    run1 as (select * from m where ts < (select mid from mid)),
+    run2 as (select * from m where event_id not in (select event_id from run1 where status = 'LANDED')),
+    allrows as (select * from run1 union all select * from run2)
+    select status, count(*) as n_rows, sum(record_count) as n_records
+    from allrows group by status"""

@@ -117,6 +117,8 @@ QUERIES: dict[str, Query] = {
     "payload_hash": LQ.q_payload_hash,
     "payload_record_count": LQ.q_payload_record_count,
     "payload_manifest": LQ.q_payload_manifest,
+    "ledger_status": LQ.q_ledger_status,
+    "ledger_append": LQ.q_ledger_append,
 }
 
 ORACLE_SQL: dict[str, str] = {**CORE_SQL, **INGEST_SQL, **LEDGER_SQL}
