@@ -11,13 +11,15 @@ one claim id). A plain shuffle join sends all of them to one task. Here:
 2. No hot key (the usual case): a plain left join. The flag side keeps the
    ``claim_id`` partitioning of its aggregation (no second exchange) and AQE
    may broadcast it when its measured size is small.
-3. Hot keys: left rows of hot keys get a random salt in ``[0, buckets)``,
-   all others salt 0; right rows of hot keys are replicated once per salt
+3. Hot keys: left rows of hot keys get a salt in ``[0, buckets)`` (a hash
+   of the row, so retries reproduce it), all others salt 0; right rows of hot keys are replicated once per salt
    (at most ``buckets / min_share`` extra rows). Joining on ``(key, salt)``
    spreads a hot key over ``buckets`` tasks.
 
 Each left row still meets exactly the right rows of its key, so the result
-equals the plain join; only the work distribution changes.
+equals the plain join; only the work distribution changes. Rows that are
+identical in every column share a salt (they cannot be told apart
+deterministically); any other mix of rows under a hot key is spread.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _SALT = "_salt"
 
@@ -76,8 +79,13 @@ def salted_left_join(left: DataFrame, right: DataFrame, key: str,
     if not hot:
         return left.join(right, key, "left")
     is_hot = F.col(key).isin(*hot)
-    salted_left = left.withColumn(
-        _SALT, F.when(is_hot, F.floor(F.rand(guard.seed) * guard.buckets).cast("int")).otherwise(F.lit(0)))
+    # The salt is a hash of the row itself, not rand(): a task recomputed
+    # after a lost executor gives every row the same salt again, so a retried
+    # shuffle can never move a row to another reducer (duplicate or lose it).
+    hashable = [F.col(f"`{f.name}`") for f in left.schema.fields
+                if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    salt = F.pmod(F.xxhash64(F.lit(guard.seed), *hashable), F.lit(guard.buckets)).cast("int")
+    salted_left = left.withColumn(_SALT, F.when(is_hot, salt).otherwise(F.lit(0)))
     salted_right = right.withColumn(
         _SALT, F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(guard.buckets - 1)))
                          .otherwise(F.array(F.lit(0)))))
