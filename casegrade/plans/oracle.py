@@ -270,5 +270,5 @@ LEDGER_SQL["ledger_append"] = f"""
     run1 as (select * from m where ts < (select mid from mid)),
     run2 as (select * from m where event_id not in (select event_id from run1 where status = 'LANDED')),
     allrows as (select * from run1 union all select * from run2)
-    select status, count(*) as n_rows, sum(record_count) as n_records
+    select status, count(*) as n_rows, cast(sum(record_count) as bigint) as n_records
     from allrows group by status"""
