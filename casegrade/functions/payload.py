@@ -40,6 +40,7 @@ def document_texts(text: Column | str) -> Column:
     when each is exactly one document (JSON Lines); else null (not JSON).
     """
     c = F.col(text) if isinstance(text, str) else text
+    c = F.regexp_replace(c, "^\ufeff", "")        # a leading byte-order mark
     whole = _values(c)
     lines = F.transform(F.filter(F.split(c, "\n"), lambda ln: F.trim(ln) != ""), _values)
     every_line = (F.size(lines) > 0) & F.forall(lines, lambda a: F.size(a) == 1)

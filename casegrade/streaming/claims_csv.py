@@ -50,9 +50,10 @@ CORRUPT = "_corrupt_record"
 
 
 def header_columns(line: str, sep: str = ",") -> list[str]:
-    """Column names of a header line (CSV-quoted cells allowed); duplicates
-    and blanks get a positional suffix so every name is unique."""
-    cells = next(csv.reader(io.StringIO(line), delimiter=sep), [])
+    """Column names of a header line (CSV-quoted cells allowed, a leading
+    byte-order mark ignored); duplicates and blanks get a positional suffix so
+    every name is unique."""
+    cells = next(csv.reader(io.StringIO(line.lstrip("\ufeff")), delimiter=sep), [])  # leading BOM
     names, seen = [], set()
     for i, c in enumerate(cells):
         name = c.strip() or f"_c{i}"

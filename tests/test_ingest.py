@@ -136,3 +136,20 @@ def test_json_list_elements_keep_their_json_type(spark):
     assert [r.claim_id for r in rows] == ["A", None, None, None, None]
     assert [r._rescued_data for r in rows[1:4]] == ['{"_value":"x"}', '{"_value":3}',
                                                       '{"_value":"{\\"claim_id\\": \\"B\\"} junk"}']
+
+
+def test_byte_order_marks_are_ignored(spark):
+    d = scratch_dir(spark, "t-bom")
+    land = f"{d}/landing"
+    os.makedirs(land)
+    with open(f"{land}/a.csv", "w", encoding="utf-8-sig") as f:
+        f.write("claim_id,body_part\nC1,knee\n")
+    ingest_claims_csv(spark, land, f"{d}/bronze", f"{d}/ckpt").awaitTermination()
+    rows = read_bronze_claims(spark, f"{d}/bronze").collect()
+    assert [(r.claim_id, r.body_part, r._rescued_data) for r in rows] == [("C1", "knee", None)]
+    jland = f"{d}/json"
+    os.makedirs(jland)
+    with open(f"{jland}/a.json", "w", encoding="utf-8-sig") as f:
+        f.write(json.dumps([{"claim_id": "J1"}]))
+    ingest_medical_json(spark, jland, f"{d}/jbronze", f"{d}/jckpt").awaitTermination()
+    assert [r.claim_id for r in read_bronze_medical(spark, f"{d}/jbronze").collect()] == ["J1"]
