@@ -34,7 +34,7 @@ def _document_files(spark: SparkSession, sf: str) -> str:
     """One text file per document, written by parallel tasks."""
     d = scratch_dir(spark, "ledger-docs")
     (TT.table(spark, sf, "documents").select("text")
-     .repartition(spark.sparkContext.defaultParallelism)
+     .repartition(int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
      .write.option("maxRecordsPerFile", 1).text(f"{d}/landing"))
     return f"{d}/landing"
 

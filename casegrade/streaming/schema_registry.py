@@ -5,12 +5,16 @@ next to the checkpoint on first use and compared afterwards, so a code change
 that would silently change the layout of an existing bronze table stops the
 run instead. Unexpected *data* never changes the schema: it is rescued into
 ``_rescued_data``.
+
+The record is a one-line text dataset written and read with Spark itself, so
+it lives on whatever file system holds the checkpoint.
 """
 
 from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
@@ -20,39 +24,23 @@ class SchemaChanged(RuntimeError):
 
 
 def _path(location: str) -> str:
-    return f"{location.rstrip('/')}/_schema.json"
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+    return f"{location.rstrip('/')}/_schema"
 
 
 def read_schema(spark: SparkSession, location: str) -> T.StructType | None:
-    fs, p = _fs(spark, _path(location))
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
     try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        text = "".join(iter(reader.readLine, None))
-    finally:
-        stream.close()
-    return T.StructType.fromJson(json.loads(text))
+        rows = spark.read.text(_path(location)).collect()     # one line
+    except AnalysisException:                                  # not recorded yet
+        return None
+    return T.StructType.fromJson(json.loads(rows[0].value)) if rows else None
 
 
 def track_schema(spark: SparkSession, location: str, schema: T.StructType) -> T.StructType:
     """Record ``schema`` at ``location`` or check it equals the recorded one."""
     known = read_schema(spark, location)
     if known is None:
-        fs, p = _fs(spark, _path(location))
-        out = fs.create(p, True)
-        try:
-            out.write(bytearray(schema.json().encode("utf-8")))
-        finally:
-            out.close()
+        (spark.createDataFrame([(schema.json(),)], "value string")
+         .coalesce(1).write.mode("overwrite").text(_path(location)))
         return schema
     if [(f.name, f.dataType) for f in known.fields] != [(f.name, f.dataType) for f in schema.fields]:
         raise SchemaChanged(f"schema at {location} is {known.simpleString()}, code declares {schema.simpleString()}")
