@@ -17,6 +17,9 @@ transfer itself is not a Spark job and is not built):
                           join (a hash held by a third of all files stays a
                           partial count per task, unlike a window).
 * ``append_manifest``   — append with the declared schema.
+* ``record_files`` / ``record_payloads`` — the same rows from a file stream
+                          (``availableNow``): every landed file is read and
+                          hashed exactly once over all runs.
 """
 
 from __future__ import annotations
@@ -41,14 +44,14 @@ def _base_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
-def scan_files(spark: SparkSession, landing_dir: str, source_system: str, suffix: str = ".csv",
-               remote_dir: str | None = None, max_bytes: int = MAX_HASHED_BYTES) -> DataFrame:
-    """Manifest rows (FILE_MANIFEST columns) for the files in ``landing_dir``.
+def manifest_rows(files: DataFrame, source_system: str, remote_dir: str | None = None,
+                  max_bytes: int = MAX_HASHED_BYTES) -> DataFrame:
+    """``binaryFile`` rows (batch or stream) -> FILE_MANIFEST rows.
 
-    Partition folders under ``landing_dir`` (``key=value``) come along as
-    extra columns after the manifest columns.
+    Partition folders (``key=value``) come along as extra columns after the
+    manifest columns. A file over ``max_bytes`` becomes a FAILED row and its
+    content is never read (the branch does not select it).
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", suffix_glob(suffix)).load(landing_dir)
     extra = [c for c in files.columns if c not in ("path", "modificationTime", "length", "content")]
     name = _base_name(F.col("path"))
     remote = F.concat(F.lit(remote_dir.rstrip("/") + "/"), name) if remote_dir else F.lit(None).cast("string")
@@ -73,6 +76,13 @@ def scan_files(spark: SparkSession, landing_dir: str, source_system: str, suffix
             .unionByName(rows(FAILED, False, F.col("length") > max_bytes)))
 
 
+def scan_files(spark: SparkSession, landing_dir: str, source_system: str, suffix: str = ".csv",
+               remote_dir: str | None = None, max_bytes: int = MAX_HASHED_BYTES) -> DataFrame:
+    """Manifest rows (FILE_MANIFEST columns) for every file in ``landing_dir``."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", suffix_glob(suffix)).load(landing_dir)
+    return manifest_rows(files, source_system, remote_dir, max_bytes)
+
+
 def payload_rows(texts: DataFrame, source_system: str, api_url: str | None = None,
                  keep: tuple[str, ...] = ()) -> DataFrame:
     """(value, landing_path) payload texts -> PAYLOAD_MANIFEST rows
@@ -141,3 +151,48 @@ def append_manifest(rows: DataFrame, path: str, kind: str = "file") -> None:
 def read_manifest(spark: SparkSession, path: str, kind: str = "file") -> DataFrame:
     schema = FILE_MANIFEST if kind == "file" else PAYLOAD_MANIFEST
     return spark.read.schema(schema).parquet(path)
+
+
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def _counted_append_stream(rows: DataFrame, out_path: str, checkpoint: str, name: str) -> dict:
+    """Append ``rows`` of a file stream to a manifest (``availableNow``);
+    returns LANDED / FAILED counts of this run from the stream's metrics."""
+    counted = rows.observe(name, F.count_if(F.col("status") == LANDED).alias("landed"),
+                           F.count_if(F.col("status") == FAILED).alias("failed"))
+    q = (counted.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start(out_path))
+    q.awaitTermination()
+    totals = {"landed": 0, "failed": 0}
+    for p in q.recentProgress:
+        m = (p.observedMetrics or {}).get(name)
+        if m is not None:
+            for k in totals:
+                totals[k] += int(m[k] or 0)
+    return totals
+
+
+def record_files(spark: SparkSession, landing_dir: str, manifest_path: str, checkpoint: str,
+                 source_system: str, suffix: str = ".csv", remote_dir: str | None = None,
+                 max_bytes: int = MAX_HASHED_BYTES) -> dict:
+    """Record every landed file exactly once (the stream checkpoint remembers
+    which files were hashed: a file is read once over all runs, never again)."""
+    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE)
+             .option("pathGlobFilter", suffix_glob(suffix)).load(landing_dir))
+    rows = manifest_rows(files, source_system, remote_dir, max_bytes)
+    rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FILE_MANIFEST.fields])
+    return _counted_append_stream(rows, manifest_path, checkpoint, "file_ledger")
+
+
+def record_payloads(spark: SparkSession, landing_dir: str, manifest_path: str, checkpoint: str,
+                    source_system: str, api_url: str | None = None, suffix: str | None = None) -> dict:
+    """Record every landed payload file exactly once (hash, record count, status)."""
+    reader = spark.readStream.format("text")
+    if suffix:
+        reader = reader.option("pathGlobFilter", suffix_glob(suffix))
+    texts = reader.text(landing_dir, wholetext=True).select(
+        "value", F.col("_metadata.file_path").alias("landing_path"))
+    rows = payload_rows(texts, source_system, api_url)
+    rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PAYLOAD_MANIFEST.fields])
+    return _counted_append_stream(rows, manifest_path, checkpoint, "payload_ledger")

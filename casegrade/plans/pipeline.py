@@ -16,7 +16,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ledger as L
@@ -39,6 +39,7 @@ _FOLDERS = (
     "checkpoint_claims", "checkpoint_medical",           # stream progress + tracked schema
     "int_claim_complexity_score", "high_complexity_claims_daily", "dq_results",
     "file_manifest", "payload_manifest",                 # ledgers
+    "checkpoint_file_ledger", "checkpoint_payload_ledger",
 )
 
 
@@ -65,38 +66,19 @@ for _name in _FOLDERS:
     setattr(Layout, _name, property(lambda self, _n=_name: self.path(_n)))
 
 
-def _append_counted(rows: DataFrame, path: str, kind: str) -> dict:
-    """Append ledger rows; LANDED / FAILED counts come from the same pass."""
-    obs = Observation(f"ledger_{kind}")
-    counted = rows.observe(obs, F.count_if(F.col("status") == "LANDED").alias("landed"),
-                           F.count_if(F.col("status") == "FAILED").alias("failed"))
-    L.append_manifest(counted, path, kind)
-    return {k: int(v or 0) for k, v in obs.get.items()}
-
-
 def record_landed_files(spark: SparkSession, lay: Layout) -> dict:
-    """Append ledger rows for landed files not yet recorded as LANDED.
+    """Ledger rows for landed files not recorded before (file streams: each
+    file is hashed once over all runs; nothing already recorded is re-read).
 
-    Returns ``{"files": {"landed": n, "failed": m}, "payloads": {...}}``: a
-    failed file is a row plus a count, never a stopped run.
+    Returns ``{"files": {"landed": n, "failed": m}, "payloads": {...}}`` for
+    this run: a failed file is a row plus a count, never a stopped run.
     """
-    import os
-    counts = {}
-    exists = (lambda p: os.path.exists(p)) if "://" not in lay.base else (lambda p: True)
-    if exists(lay.landing_claims):
-        scan = L.scan_files(spark, lay.landing_claims, SFTP_CLAIMS)
-        if exists(lay.file_manifest):
-            scan = scan.join(L.landed_names(L.read_manifest(spark, lay.file_manifest), SFTP_CLAIMS),
-                             "file_name", "left_anti")
-        counts["files"] = _append_counted(scan, lay.file_manifest, "file")
-    if exists(lay.landing_medical):
-        pm = L.payload_manifest(spark, lay.landing_medical, API_MEDICAL_ACTIVITY, suffix=None)
-        if exists(lay.payload_manifest):
-            done = (L.read_manifest(spark, lay.payload_manifest, "payload")
-                    .filter(F.col("status") == "LANDED").select("landing_path"))
-            pm = pm.join(done, "landing_path", "left_anti")
-        counts["payloads"] = _append_counted(pm, lay.payload_manifest, "payload")
-    return counts
+    return {
+        "files": L.record_files(spark, lay.landing_claims, lay.file_manifest, lay.checkpoint_file_ledger,
+                                SFTP_CLAIMS),
+        "payloads": L.record_payloads(spark, lay.landing_medical, lay.payload_manifest,
+                                      lay.checkpoint_payload_ledger, API_MEDICAL_ACTIVITY),
+    }
 
 
 def ingest(spark: SparkSession, lay: Layout) -> None:

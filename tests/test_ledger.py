@@ -98,3 +98,22 @@ def test_payload_file_name(spark):
     from casegrade.functions.payload import payload_file_name
     df = spark.createDataFrame([(dt.datetime(2026, 5, 1, 7, 8, 9),)], "ts timestamp")
     assert df.select(payload_file_name(F.col("ts")).alias("n")).first().n == "medical_activity_20260501_070809.json"
+
+
+def test_record_files_hashes_each_file_once(spark):
+    d = scratch_dir(spark, "t-record")
+    land = f"{d}/landing"
+    os.makedirs(land)
+    with open(f"{land}/a.csv", "wb") as f:
+        f.write(b"claim_id\nA\n")
+    assert L.record_files(spark, land, f"{d}/manifest", f"{d}/ckpt", "sftp_claims") == {"landed": 1, "failed": 0}
+    assert L.record_files(spark, land, f"{d}/manifest", f"{d}/ckpt", "sftp_claims") == {"landed": 0, "failed": 0}
+    with open(f"{land}/b.CSV", "wb") as f:
+        f.write(b"claim_id\nB\n")
+    with open(f"{land}/c.txt", "wb") as f:
+        f.write(b"not a claim file")
+    assert L.record_files(spark, land, f"{d}/manifest", f"{d}/ckpt", "sftp_claims") == {"landed": 1, "failed": 0}
+    m = L.read_manifest(spark, f"{d}/manifest")
+    assert sorted(r.file_name for r in m.collect()) == ["a.csv", "b.CSV"]
+    assert {r.file_hash for r in m.collect()} == {hashlib.sha256(b"claim_id\nA\n").hexdigest(),
+                                                 hashlib.sha256(b"claim_id\nB\n").hexdigest()}
