@@ -40,8 +40,11 @@ def _document_files(spark: SparkSession, sf: str) -> str:
 
 
 def q_ledger_file_scan(spark: SparkSession, sf: str) -> DataFrame:
-    scan = L.scan_files(spark, _document_files(spark, sf), SFTP_CLAIMS, suffix=".txt")
-    return scan.select("file_size_bytes", "file_hash", "status")
+    """The production ledger path: a file stream records each landed file once."""
+    landing = _document_files(spark, sf)
+    d = scratch_dir(spark, "ledger-manifest")
+    L.record_files(spark, landing, f"{d}/manifest", f"{d}/checkpoint", SFTP_CLAIMS, suffix=".txt")
+    return L.read_manifest(spark, f"{d}/manifest").select("file_size_bytes", "file_hash", "status")
 
 
 def q_ledger_duplicates(spark: SparkSession, sf: str) -> DataFrame:
