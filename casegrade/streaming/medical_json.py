@@ -69,16 +69,24 @@ def parse_payloads(text: DataFrame) -> DataFrame:
 
 
 def medical_stream(spark: SparkSession, landing_dir: str, path_glob: str | None = None,
-                   max_files_per_trigger: int | None = 10000) -> DataFrame:
+                   max_files_per_trigger: int | None = 10000, layout: str = "document") -> DataFrame:
+    """``layout="document"``: one payload document (or JSON Lines) per file,
+    read whole. ``layout="lines"``: JSON Lines feeds of any size, read line by
+    line so that large files are split over tasks; each line is a document."""
     reader = spark.readStream.format("text")
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
     if max_files_per_trigger:
         # bounded micro-batches: a failure redoes one batch, not the backlog
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    # wholetext must be the argument of text(): as an option it is overridden
-    text = reader.text(landing_dir, wholetext=True).select(
-        "value", F.col("_metadata.file_path").alias("_source_file"))
+    if layout == "document":
+        # wholetext must be the argument of text(): as an option it is overridden
+        raw = reader.text(landing_dir, wholetext=True)
+    elif layout == "lines":
+        raw = reader.text(landing_dir).filter(F.trim("value") != "")
+    else:
+        raise ValueError(layout)
+    text = raw.select("value", F.col("_metadata.file_path").alias("_source_file"))
     return (parse_payloads(text)
             .withColumn("_ingested_at", F.current_timestamp())
             .select("claim_id", "medical_events", "_rescued_data", "_ingested_at", "_source_file"))
@@ -86,11 +94,11 @@ def medical_stream(spark: SparkSession, landing_dir: str, path_glob: str | None
 
 def ingest_medical_json(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint_dir: str,
                         available_now: bool = True, path_glob: str | None = None,
-                        max_files_per_trigger: int | None = 10000) -> StreamingQuery:
+                        max_files_per_trigger: int | None = 10000, layout: str = "document") -> StreamingQuery:
     """Start the ingest; with ``available_now`` it stops by itself when done."""
     from ..schemas import RAW_MEDICAL
     track_schema(spark, checkpoint_dir, RAW_MEDICAL)
-    writer = (medical_stream(spark, landing_dir, path_glob, max_files_per_trigger).writeStream
+    writer = (medical_stream(spark, landing_dir, path_glob, max_files_per_trigger, layout).writeStream
               .format("parquet")
               .option("checkpointLocation", checkpoint_dir)
               .outputMode("append"))

@@ -153,3 +153,16 @@ def test_byte_order_marks_are_ignored(spark):
         f.write(json.dumps([{"claim_id": "J1"}]))
     ingest_medical_json(spark, jland, f"{d}/jbronze", f"{d}/jckpt").awaitTermination()
     assert [r.claim_id for r in read_bronze_medical(spark, f"{d}/jbronze").collect()] == ["J1"]
+
+
+def test_json_lines_layout_reads_line_by_line(spark):
+    d = scratch_dir(spark, "t-jsonl")
+    land = f"{d}/landing"
+    os.makedirs(land)
+    lines = [json.dumps({"claim_id": f"C{i}", "medical_events": [{"type": "surgery", "date": None}]}) for i in range(500)]
+    _put(land, "feed.jsonl", "\n".join(lines[:250]) + "\n\n" + "\n".join(lines[250:]) + "\n{broken\n")
+    ingest_medical_json(spark, land, f"{d}/bronze", f"{d}/ckpt", layout="lines").awaitTermination()
+    rows = read_bronze_medical(spark, f"{d}/bronze").collect()
+    assert sorted(r.claim_id for r in rows if r.claim_id) == sorted(f"C{i}" for i in range(500))
+    bad = [r for r in rows if r.claim_id is None]
+    assert len(bad) == 1 and json.loads(bad[0]._rescued_data) == {"_corrupt_record": "{broken"}
