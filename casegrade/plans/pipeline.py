@@ -108,6 +108,15 @@ def build_models(spark: SparkSession, lay: Layout, report_date: Column | None =
             "int_claim_complexity_score": scored, "high_complexity_claims_daily": gold}
 
 
+def stored_models(spark: SparkSession, lay: Layout) -> dict[str, DataFrame]:
+    """The four tested models of an earlier ``build_models`` run (staging views
+    over bronze, stored scored and gold tables)."""
+    return {"stg_claims": stage_claims(read_bronze_claims(spark, lay.bronze_claims)),
+            "stg_medical_activity": stage_medical(read_bronze_medical(spark, lay.bronze_medical)),
+            "int_claim_complexity_score": spark.read.schema(SCORED).parquet(lay.int_claim_complexity_score),
+            "high_complexity_claims_daily": spark.read.schema(GOLD).parquet(lay.high_complexity_claims_daily)}
+
+
 def run_tests(spark: SparkSession, lay: Layout, models: dict[str, DataFrame]) -> DataFrame:
     write_table(Q.dq_report(models), lay.dq_results)
     return spark.read.schema(DQ_RESULTS).parquet(lay.dq_results)

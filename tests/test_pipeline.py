@@ -41,3 +41,20 @@ def test_run_pipeline_end_to_end(spark):
     assert spark.sql("select count(*) from stg_claims").first()[0] == n_orders
     desc = {r.col_name: r.data_type for r in spark.sql("describe table extended gold.high_complexity_claims_daily").collect()}
     assert desc.get("Comment")
+
+
+def test_command_line_tasks(spark, capsys):
+    import json as _json
+
+    from casegrade.__main__ import main
+    lay = P.Layout(scratch_dir(spark, "t-cli"))
+    for part in TT.claim_files_by_layout(spark, SF_SMALL):
+        land_csv(part, lay.landing_claims)
+    land_json_payloads(TT.medical_records(spark, SF_SMALL), lay.landing_medical)
+    for task in ("ledger", "ingest-claims", "ingest-medical", "models"):
+        assert main([task, "--base", lay.base, "--report-date", "2026-01-01"]) == 0
+    capsys.readouterr()
+    # 'physical therapy' events fail accepted_values: --strict reports it
+    assert main(["test", "--base", lay.base, "--strict"]) == 1
+    out = _json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["tests"] == {"total": 22, "failed": 1}
