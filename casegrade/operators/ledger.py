@@ -17,18 +17,20 @@ transfer itself is not a Spark job and is not built):
                           join (a hash held by a third of all files stays a
                           partial count per task, unlike a window).
 * ``append_manifest``   — append with the declared schema.
-* ``record_files`` / ``record_payloads`` — the same rows from a file stream
-                          (``availableNow``): every landed file is read and
-                          hashed exactly once over all runs.
+* ``record_files`` / ``record_payloads`` — the same rows, incrementally
+                          (path stream, ``availableNow``): every landed file
+                          is read and hashed exactly once over all runs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.payload import document_texts, payload_hash, payload_record_count
 from ..schemas import FAILED, FILE_MANIFEST, LANDED, PAYLOAD_MANIFEST
+from ..streaming.files import batch_folder, literal_paths, path_batches
 from .skew import SkewGuard, salted_left_join
 
 # binaryFile holds a whole file in one binary value (at most 2 GiB - 1).
@@ -141,58 +143,69 @@ def flag_duplicate_content(manifest: DataFrame, hash_col: str = "file_hash",
             .withColumn("is_duplicate_content", F.coalesce(F.col("n_copies") > 1, F.lit(False))))
 
 
-def append_manifest(rows: DataFrame, path: str, kind: str = "file") -> None:
-    """Append manifest rows with the declared schema (types never inferred)."""
+def append_manifest(rows: DataFrame, path: str, kind: str = "file", batch_id: int | None = None) -> None:
+    """Append manifest rows with the declared schema (types never inferred).
+
+    Rows go to their own ``batch_id=<n>`` folder (default: the current time
+    in microseconds; a write takes far longer than that), the same layout the ledger streams write, so a manifest
+    folder is always a set of batch folders and a repeated batch id replaces
+    its own rows.
+    """
+    import time
     schema = FILE_MANIFEST if kind == "file" else PAYLOAD_MANIFEST
-    rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]) \
-        .write.mode("append").parquet(path)
+    bid = batch_id if batch_id is not None else time.time_ns() // 1000
+    _cast_to(rows, schema).write.mode("overwrite").parquet(batch_folder(path, bid))
 
 
 def read_manifest(spark: SparkSession, path: str, kind: str = "file") -> DataFrame:
+    """The manifest rows (declared columns plus ``batch_id``)."""
     schema = FILE_MANIFEST if kind == "file" else PAYLOAD_MANIFEST
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())])).parquet(path)
 
 
-BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+def _write_counted(rows: DataFrame, folder: str, name: str, totals: dict) -> None:
+    """Overwrite one batch folder; add its LANDED / FAILED counts (taken in
+    the same pass by an Observation) to ``totals``."""
+    obs = Observation(name)
+    counted = rows.observe(obs, F.count_if(F.col("status") == LANDED).alias("landed"),
+                           F.count_if(F.col("status") == FAILED).alias("failed"))
+    counted.write.mode("overwrite").parquet(folder)
+    for k, v in obs.get.items():
+        totals[k] = totals.get(k, 0) + int(v or 0)
 
 
-def _counted_append_stream(rows: DataFrame, out_path: str, checkpoint: str, name: str) -> dict:
-    """Append ``rows`` of a file stream to a manifest (``availableNow``);
-    returns LANDED / FAILED counts of this run from the stream's metrics."""
-    counted = rows.observe(name, F.count_if(F.col("status") == LANDED).alias("landed"),
-                           F.count_if(F.col("status") == FAILED).alias("failed"))
-    q = (counted.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start(out_path))
-    q.awaitTermination()
-    totals = {"landed": 0, "failed": 0}
-    for p in q.recentProgress:
-        m = (p.observedMetrics or {}).get(name)
-        if m is not None:
-            for k in totals:
-                totals[k] += int(m[k] or 0)
-    return totals
+def _cast_to(rows: DataFrame, schema) -> DataFrame:
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def record_files(spark: SparkSession, landing_dir: str, manifest_path: str, checkpoint: str,
                  source_system: str, suffix: str = ".csv", remote_dir: str | None = None,
-                 max_bytes: int = MAX_HASHED_BYTES) -> dict:
-    """Record every landed file exactly once (the stream checkpoint remembers
-    which files were hashed: a file is read once over all runs, never again)."""
-    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE)
-             .option("pathGlobFilter", suffix_glob(suffix)).load(landing_dir))
-    rows = manifest_rows(files, source_system, remote_dir, max_bytes)
-    rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FILE_MANIFEST.fields])
-    return _counted_append_stream(rows, manifest_path, checkpoint, "file_ledger")
+                 max_bytes: int = MAX_HASHED_BYTES, max_files_per_trigger: int | None = 10000) -> dict:
+    """Record every landed file exactly once: the path stream's checkpoint
+    remembers which files were hashed, so a file is read once over all runs.
+    Returns this run's ``{"landed": n, "failed": m}``."""
+    totals = {"landed": 0, "failed": 0}
+
+    def handle(paths: list[str], batch_id: int) -> None:
+        files = spark.read.format("binaryFile").load(literal_paths(paths))
+        rows = _cast_to(manifest_rows(files, source_system, remote_dir, max_bytes), FILE_MANIFEST)
+        _write_counted(rows, batch_folder(manifest_path, batch_id), "file_ledger", totals)
+    path_batches(spark, landing_dir, checkpoint, handle, suffix_glob(suffix),
+                 max_files_per_trigger).awaitTermination()
+    return totals
 
 
 def record_payloads(spark: SparkSession, landing_dir: str, manifest_path: str, checkpoint: str,
-                    source_system: str, api_url: str | None = None, suffix: str | None = None) -> dict:
+                    source_system: str, api_url: str | None = None, suffix: str | None = None,
+                    max_files_per_trigger: int | None = 10000) -> dict:
     """Record every landed payload file exactly once (hash, record count, status)."""
-    reader = spark.readStream.format("text")
-    if suffix:
-        reader = reader.option("pathGlobFilter", suffix_glob(suffix))
-    texts = reader.text(landing_dir, wholetext=True).select(
-        "value", F.col("_metadata.file_path").alias("landing_path"))
-    rows = payload_rows(texts, source_system, api_url)
-    rows = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PAYLOAD_MANIFEST.fields])
-    return _counted_append_stream(rows, manifest_path, checkpoint, "payload_ledger")
+    totals = {"landed": 0, "failed": 0}
+
+    def handle(paths: list[str], batch_id: int) -> None:
+        texts = (spark.read.text(literal_paths(paths), wholetext=True)
+                 .select("value", F.col("_metadata.file_path").alias("landing_path")))
+        rows = _cast_to(payload_rows(texts, source_system, api_url), PAYLOAD_MANIFEST)
+        _write_counted(rows, batch_folder(manifest_path, batch_id), "payload_ledger", totals)
+    path_batches(spark, landing_dir, checkpoint, handle, suffix_glob(suffix) if suffix else None,
+                 max_files_per_trigger).awaitTermination()
+    return totals

@@ -129,11 +129,11 @@ def q_ledger_append(spark: SparkSession, sf: str) -> DataFrame:
     mid = e.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).select(
         (F.col("a") + (F.col("b") - F.col("a")) / 2).alias("m"))
     first = texts.filter(F.col("ts") < mid.scalar()).drop("ts")
-    L.append_manifest(L.payload_rows(first, API_MEDICAL_ACTIVITY), d, "payload")
+    L.append_manifest(L.payload_rows(first, API_MEDICAL_ACTIVITY), d, "payload", batch_id=0)
     done = (L.read_manifest(spark, d, "payload").filter(F.col("status") == LANDED)
             .select("landing_path").distinct())
     second = texts.drop("ts").join(done, "landing_path", "left_anti")
-    L.append_manifest(L.payload_rows(second, API_MEDICAL_ACTIVITY), d, "payload")
+    L.append_manifest(L.payload_rows(second, API_MEDICAL_ACTIVITY), d, "payload", batch_id=1)
     m = L.read_manifest(spark, d, "payload")
     return m.groupBy("status").agg(F.count(F.lit(1)).alias("n_rows"),
                                    F.sum("record_count").alias("n_records"))

@@ -85,8 +85,9 @@ DQ_RESULTS = T.StructType([
     T.StructField("passed", T.BooleanType()),
 ])
 
-# Bronze claims as stored by the CSV ingest: one folder per micro-batch.
+# Bronze tables as stored by the ingest jobs: one folder per micro-batch.
 BRONZE_CLAIMS = T.StructType(RAW_CLAIMS.fields + [T.StructField("batch_id", T.LongType())])
+BRONZE_MEDICAL = T.StructType(RAW_MEDICAL.fields + [T.StructField("batch_id", T.LongType())])
 
 # Audit ledgers (append-only). Declared explicitly: a batch in which a column
 # is null in every row has no inferable type.

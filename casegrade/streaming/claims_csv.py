@@ -5,9 +5,9 @@ Open Spark's CSV reader maps a declared schema onto columns by *position*
 in another order, extra columns, or rows of the wrong width, and a raw layer
 must keep all of it. So:
 
-1. A ``binaryFile`` stream (only ``path`` is selected, so file contents are
-   not read) discovers new files; the checkpoint makes each file part of
-   exactly one micro-batch. ``availableNow`` takes what is there and stops.
+1. A stream of new file paths (``streaming/files.py``: contents are not
+   read; each file is part of exactly one micro-batch; ``availableNow``
+   takes what is there and stops).
 2. In ``foreachBatch`` the batch's files are scanned ONCE as text lines
    (kept for the batch with ``persist``, released after the write). Each
    file's header is its first non-blank line of its first split, found by
@@ -34,18 +34,12 @@ import io
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T  # noqa: F401  (BINARY_FILE)
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schemas import BRONZE_CLAIMS, CLAIM_FIELDS, RAW_CLAIMS
+from .files import batch_folder, literal_paths, path_batches
 from .schema_registry import track_schema
 
-BINARY_FILE = T.StructType([
-    T.StructField("path", T.StringType()),
-    T.StructField("modificationTime", T.TimestampType()),
-    T.StructField("length", T.LongType()),
-    T.StructField("content", T.BinaryType()),
-])
 CORRUPT = "_corrupt_record"
 
 
@@ -66,7 +60,7 @@ def header_columns(line: str, sep: str = ",") -> list[str]:
 
 def batch_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Text lines of the files with file, split start and position."""
-    return spark.read.text(paths).select(
+    return spark.read.text(literal_paths(paths)).select(
         "value",
         F.col("_metadata.file_path").alias("_source_file"),
         F.col("_metadata.file_block_start").alias("_block"),
@@ -127,17 +121,14 @@ def load_claim_files(spark: SparkSession, paths: list[str], sep: str = ",",
 
 
 def _batch_writer(spark: SparkSession, table_dir: str, sep: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        paths = [r.path for r in batch.select("path").collect()]   # file names only
-        if not paths:
-            return
+    def write(paths: list[str], batch_id: int) -> None:
         # one scan of the batch's files; kept for the header and data passes
         # (recomputable from the files if an executor is lost)
         lines = batch_lines(spark, paths).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             raw = load_claim_files(spark, paths, sep, lines)
             if raw is not None:
-                raw.write.mode("overwrite").parquet(f"{table_dir}/batch_id={batch_id}")
+                raw.write.mode("overwrite").parquet(batch_folder(table_dir, batch_id))
         finally:
             lines.unpersist()
     return write
@@ -148,18 +139,8 @@ def ingest_claims_csv(spark: SparkSession, landing_dir: str, table_dir: str, che
                       max_files_per_trigger: int | None = 1000, sep: str = ",") -> StreamingQuery:
     """Start the ingest; with ``available_now`` it stops by itself when done."""
     track_schema(spark, checkpoint_dir, RAW_CLAIMS)
-    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE)
-    if path_glob:
-        reader = reader.option("pathGlobFilter", path_glob)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    files = reader.load(landing_dir).select("path")
-    writer = (files.writeStream
-              .foreachBatch(_batch_writer(spark, table_dir, sep))
-              .option("checkpointLocation", checkpoint_dir))
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    return path_batches(spark, landing_dir, checkpoint_dir, _batch_writer(spark, table_dir, sep),
+                        path_glob, max_files_per_trigger, available_now)
 
 
 def read_bronze_claims(spark: SparkSession, table_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Medical-activity JSON files -> bronze ``raw_medical_activity``.
 
-A file stream over the landing folder (``availableNow`` by default: take all
+Incremental over the landing folder (``availableNow`` by default: take all
 files present now, then stop; the checkpoint remembers which files were
 done). Each file is one API payload, usually an indented document, so it is
 read whole (``wholetext``), checked and split into record texts by a
@@ -18,7 +18,8 @@ streaming parse, and each record is parsed into a VARIANT:
   FAILED);
 * ``_source_file`` / ``_ingested_at`` lineage per row.
 
-The sink is the parquet file sink: exactly-once through its metadata log.
+Files are discovered by the path stream of ``streaming/files.py``; each
+micro-batch overwrites its own ``batch_id=<n>`` folder (exactly once).
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.payload import document_texts, record_variants
+from ..schemas import BRONZE_MEDICAL, RAW_MEDICAL
+from .files import batch_folder, literal_paths, path_batches
 from .schema_registry import track_schema
 
 EVENTS_TYPE = "array<struct<type:string,date:string>>"
@@ -68,45 +71,43 @@ def parse_payloads(text: DataFrame) -> DataFrame:
     return typed.select("claim_id", "medical_events", rescued.alias("_rescued_data"), "_source_file")
 
 
-def medical_stream(spark: SparkSession, landing_dir: str, path_glob: str | None = None,
-                   max_files_per_trigger: int | None = 10000, layout: str = "document") -> DataFrame:
-    """``layout="document"``: one payload document (or JSON Lines) per file,
-    read whole. ``layout="lines"``: JSON Lines feeds of any size, read line by
-    line so that large files are split over tasks; each line is a document."""
-    reader = spark.readStream.format("text")
-    if path_glob:
-        reader = reader.option("pathGlobFilter", path_glob)
-    if max_files_per_trigger:
-        # bounded micro-batches: a failure redoes one batch, not the backlog
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+def read_payload_texts(spark: SparkSession, paths: list[str], layout: str = "document") -> DataFrame:
+    """(value, _source_file) of the given files.
+
+    ``layout="document"``: one payload document (or JSON Lines) per file, read
+    whole. ``layout="lines"``: JSON Lines feeds of any size, read line by line
+    so that large files are split over tasks; each line is a document.
+    """
     if layout == "document":
         # wholetext must be the argument of text(): as an option it is overridden
-        raw = reader.text(landing_dir, wholetext=True)
+        raw = spark.read.text(literal_paths(paths), wholetext=True)
     elif layout == "lines":
-        raw = reader.text(landing_dir).filter(F.trim("value") != "")
+        raw = spark.read.text(literal_paths(paths)).filter(F.trim("value") != "")
     else:
         raise ValueError(layout)
-    text = raw.select("value", F.col("_metadata.file_path").alias("_source_file"))
-    return (parse_payloads(text)
+    return raw.select("value", F.col("_metadata.file_path").alias("_source_file"))
+
+
+def load_payload_files(spark: SparkSession, paths: list[str], layout: str = "document") -> DataFrame:
+    """Bronze medical rows of the given payload files."""
+    return (parse_payloads(read_payload_texts(spark, paths, layout))
             .withColumn("_ingested_at", F.current_timestamp())
-            .select("claim_id", "medical_events", "_rescued_data", "_ingested_at", "_source_file"))
+            .select(*RAW_MEDICAL.fieldNames()))
 
 
 def ingest_medical_json(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint_dir: str,
                         available_now: bool = True, path_glob: str | None = None,
                         max_files_per_trigger: int | None = 10000, layout: str = "document") -> StreamingQuery:
     """Start the ingest; with ``available_now`` it stops by itself when done."""
-    from ..schemas import RAW_MEDICAL
+    if layout not in ("document", "lines"):
+        raise ValueError(layout)
     track_schema(spark, checkpoint_dir, RAW_MEDICAL)
-    writer = (medical_stream(spark, landing_dir, path_glob, max_files_per_trigger, layout).writeStream
-              .format("parquet")
-              .option("checkpointLocation", checkpoint_dir)
-              .outputMode("append"))
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start(table_dir)
+
+    def write(paths: list[str], batch_id: int) -> None:
+        load_payload_files(spark, paths, layout).write.mode("overwrite").parquet(batch_folder(table_dir, batch_id))
+    return path_batches(spark, landing_dir, checkpoint_dir, write, path_glob, max_files_per_trigger, available_now)
 
 
 def read_bronze_medical(spark: SparkSession, table_dir: str) -> DataFrame:
-    from ..schemas import RAW_MEDICAL
-    return spark.read.schema(RAW_MEDICAL).parquet(table_dir)
+    """The bronze table; ``batch_id`` is the micro-batch partition."""
+    return spark.read.schema(BRONZE_MEDICAL).parquet(table_dir)

@@ -95,8 +95,7 @@ def test_csv_exactly_once_and_replay_idempotent(spark):
     assert sorted(r.claim_id for r in bronze.collect()) == ["A", "B", "C"]
     # a batch replayed after a failure replaces its own output
     write = _batch_writer(spark, f"{d}/bronze", ",")
-    batch = spark.createDataFrame([(f"file:{land}/b.csv",)], "path string")
-    write(batch, 1)
+    write([f"file:{land}/b.csv"], 1)
     bronze = read_bronze_claims(spark, f"{d}/bronze")
     assert sorted(r.claim_id for r in bronze.collect()) == ["A", "B", "C"]
     assert {r.batch_id: r.n for r in bronze.groupBy("batch_id").agg(F.count("*").alias("n")).collect()} == {0: 1, 1: 2}
@@ -166,3 +165,25 @@ def test_json_lines_layout_reads_line_by_line(spark):
     assert sorted(r.claim_id for r in rows if r.claim_id) == sorted(f"C{i}" for i in range(500))
     bad = [r for r in rows if r.claim_id is None]
     assert len(bad) == 1 and json.loads(bad[0]._rescued_data) == {"_corrupt_record": "{broken"}
+
+
+def test_csv_file_names_with_glob_characters(spark):
+    d = scratch_dir(spark, "t-glob")
+    land = f"{d}/landing"
+    os.makedirs(land)
+    _put(land, "claims[1].csv", "claim_id\nG1\n")
+    _put(land, "claims{a,b}.csv", "claim_id\nG2\n")
+    ingest_claims_csv(spark, land, f"{d}/bronze", f"{d}/ckpt").awaitTermination()
+    rows = read_bronze_claims(spark, f"{d}/bronze").collect()
+    assert sorted(r.claim_id for r in rows) == ["G1", "G2"]
+    assert all(r._source_file.endswith(".csv") for r in rows)
+
+
+def test_json_and_csv_glob_file_names_each_once(spark):
+    d = scratch_dir(spark, "t-glob-json")
+    land = f"{d}/landing"
+    os.makedirs(land)
+    _put(land, "p[1].json", '[{"claim_id": "A"}]')
+    _put(land, "p{a,b}.json", '[{"claim_id": "B"}]')
+    _put(land, "plain.json", '[{"claim_id": "C"}]')
+    assert sorted(r.claim_id for r in _run_json(spark, d).collect()) == ["A", "B", "C"]
