@@ -187,6 +187,8 @@ def record_files(spark: SparkSession, landing_dir: str, manifest_path: str, chec
     totals = {"landed": 0, "failed": 0}
 
     def handle(paths: list[str], batch_id: int) -> None:
+        # a batch read: its listing gives the sizes, so a file too large to
+        # hash is never read (the FAILED branch does not select content)
         files = spark.read.format("binaryFile").load(literal_paths(paths))
         rows = _cast_to(manifest_rows(files, source_system, remote_dir, max_bytes), FILE_MANIFEST)
         _write_counted(rows, batch_folder(manifest_path, batch_id), "file_ledger", totals)
@@ -201,11 +203,14 @@ def record_payloads(spark: SparkSession, landing_dir: str, manifest_path: str, c
     """Record every landed payload file exactly once (hash, record count, status)."""
     totals = {"landed": 0, "failed": 0}
 
-    def handle(paths: list[str], batch_id: int) -> None:
-        texts = (spark.read.text(literal_paths(paths), wholetext=True)
-                 .select("value", F.col("_metadata.file_path").alias("landing_path")))
+    def handle(paths: list[str], batch_id: int, batch: DataFrame | None) -> None:
+        if batch is not None:      # the micro-batch holds each file once: decode its content
+            texts = batch.select(F.decode("content", "UTF-8").alias("value"), F.col("path").alias("landing_path"))
+        else:
+            texts = (spark.read.text(literal_paths(paths), wholetext=True)
+                     .select("value", F.col("_metadata.file_path").alias("landing_path")))
         rows = _cast_to(payload_rows(texts, source_system, api_url), PAYLOAD_MANIFEST)
         _write_counted(rows, batch_folder(manifest_path, batch_id), "payload_ledger", totals)
     path_batches(spark, landing_dir, checkpoint, handle, suffix_glob(suffix) if suffix else None,
-                 max_files_per_trigger).awaitTermination()
+                 max_files_per_trigger, with_files=True).awaitTermination()
     return totals

@@ -46,21 +46,34 @@ def batch_folder(table_dir: str, batch_id: int) -> str:
 
 
 def path_batches(spark: SparkSession, landing_dir: str, checkpoint_dir: str,
-                 handle: Callable[[list[str], int], None], path_glob: str | None = None,
-                 max_files_per_trigger: int | None = 1000, available_now: bool = True) -> StreamingQuery:
+                 handle: Callable[..., None], path_glob: str | None = None,
+                 max_files_per_trigger: int | None = 1000, available_now: bool = True,
+                 with_files: bool = False) -> StreamingQuery:
     """Stream new file paths of ``landing_dir``; ``handle(paths, batch_id)``
-    gets each micro-batch's distinct paths (never an empty list)."""
+    gets each micro-batch's distinct paths (never an empty list).
+
+    With ``with_files``, ``handle(paths, batch_id, files)`` also gets the
+    micro-batch's own ``binaryFile`` rows (``path``, ``content``) when they
+    hold each file exactly once, else ``None`` (then read ``paths``). Using
+    them reads every file once, with no second listing.
+    """
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE)
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
     if max_files_per_trigger:
         # bounded micro-batches: a failure redoes one batch, not the backlog
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    files = reader.load(landing_dir).select("path")
+    files = reader.load(landing_dir).select("path", "content") if with_files \
+        else reader.load(landing_dir).select("path")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        paths = sorted({r.path for r in batch.collect()})     # file names only, bounded
-        if paths:
+        listed = [r.path for r in batch.select("path").collect()]   # names only (content not read)
+        paths = sorted(set(listed))
+        if not paths:
+            return
+        if with_files:
+            handle(paths, batch_id, batch if len(listed) == len(paths) else None)
+        else:
             handle(paths, batch_id)
 
     writer = files.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_dir)

@@ -103,9 +103,17 @@ def ingest_medical_json(spark: SparkSession, landing_dir: str, table_dir: str, c
         raise ValueError(layout)
     track_schema(spark, checkpoint_dir, RAW_MEDICAL)
 
-    def write(paths: list[str], batch_id: int) -> None:
-        load_payload_files(spark, paths, layout).write.mode("overwrite").parquet(batch_folder(table_dir, batch_id))
-    return path_batches(spark, landing_dir, checkpoint_dir, write, path_glob, max_files_per_trigger, available_now)
+    def write(paths: list[str], batch_id: int, files: DataFrame | None = None) -> None:
+        if layout == "document" and files is not None:
+            # the micro-batch already holds each file once: decode its content
+            texts = files.select(F.decode("content", "UTF-8").alias("value"), F.col("path").alias("_source_file"))
+            raw = (parse_payloads(texts).withColumn("_ingested_at", F.current_timestamp())
+                   .select(*RAW_MEDICAL.fieldNames()))
+        else:
+            raw = load_payload_files(spark, paths, layout)
+        raw.write.mode("overwrite").parquet(batch_folder(table_dir, batch_id))
+    return path_batches(spark, landing_dir, checkpoint_dir, write, path_glob, max_files_per_trigger, available_now,
+                        with_files=(layout == "document"))
 
 
 def read_bronze_medical(spark: SparkSession, table_dir: str) -> DataFrame:
