@@ -3,12 +3,14 @@
 Every incremental job (CSV ingest, JSON ingest, file and payload ledgers) is
 the same shape: a ``binaryFile`` stream that selects only ``path`` (contents
 are not read) discovers new files, the checkpoint makes each file part of
-exactly one micro-batch, and ``foreachBatch`` reads that batch's files with a
-batch reader and overwrites the batch's own ``batch_id=<n>`` folder, so a
-batch replayed after a failure replaces its output.
+exactly one micro-batch, and ``foreachBatch`` reads that batch's files (from
+the micro-batch's own ``content`` when asked for and each file appears once,
+else with a batch reader over the paths) and overwrites the batch's own
+``batch_id=<n>`` folder, so a batch replayed after a failure replaces its
+output.
 
 The path list is de-duplicated and glob characters are escaped before the
-files are read: Spark's file stream source re-globs listed paths, and a file
+files are read again: Spark's file stream source re-globs listed paths, and a file
 named e.g. ``p[1].json`` or ``p{a,b}.json`` made it deliver files of that
 batch more than once. Only paths reach the driver, at most
 ``max_files_per_trigger`` per batch.
