@@ -117,3 +117,16 @@ def test_record_files_hashes_each_file_once(spark):
     assert sorted(r.file_name for r in m.collect()) == ["a.csv", "b.CSV"]
     assert {r.file_hash for r in m.collect()} == {hashlib.sha256(b"claim_id\nA\n").hexdigest(),
                                                  hashlib.sha256(b"claim_id\nB\n").hexdigest()}
+
+
+def test_record_files_with_glob_characters_in_names(spark):
+    d = scratch_dir(spark, "t-record-glob")
+    land = f"{d}/landing"
+    os.makedirs(land)
+    for name in ("a[1].csv", "b{x,y}.csv", "plain.csv"):
+        with open(f"{land}/{name}", "wb") as f:
+            f.write(name.encode())
+    assert L.record_files(spark, land, f"{d}/manifest", f"{d}/ckpt", "sftp_claims") == {"landed": 3, "failed": 0}
+    m = L.read_manifest(spark, f"{d}/manifest").collect()
+    assert sorted(r.file_name for r in m) == ["a[1].csv", "b{x,y}.csv", "plain.csv"]
+    assert sorted(r.file_size_bytes for r in m) == sorted(len(n) for n in ("a[1].csv", "b{x,y}.csv", "plain.csv"))
