@@ -51,11 +51,12 @@ def _gold(spark, sf):
 
 
 def models(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    scored = _scored(spark, sf)          # one hot-key check, shared by gold
     return {
         "stg_claims": _stg_claims(spark, sf),
         "stg_medical_activity": stage_medical(raw_medical(spark, sf)),
-        "int_claim_complexity_score": _scored(spark, sf),
-        "high_complexity_claims_daily": _gold(spark, sf),
+        "int_claim_complexity_score": scored,
+        "high_complexity_claims_daily": high_complexity_daily(scored, report_date=F.lit(REPORT_DATE)),
     }
 
 
