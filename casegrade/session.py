@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -89,3 +90,27 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Operators with Python tasks need it importable there; ``spark-submit
+    --py-files`` does the same for a job started that way.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(here):                      # a package inside a zip came by --py-files
+        archive = os.path.join(tempfile.mkdtemp(prefix="casegrade-pkg-"), "casegrade.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for folder, _, names in sorted(os.walk(here)):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(here)))
+        sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
