@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, sharding, simhash, substring
+from . import decontamination, langid, packing, sharding, simhash, substring
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,12 @@ def _fold(parts: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts))
 
 
+def op1_decontamination(spark, sf):
+    found = decontamination.decontaminate(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op2_substring_dedup(spark, sf):
     found = substring.remove_repeats(read_table(spark, sf, "documents"), keep=["doc_id"])
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -43,11 +49,17 @@ def op9_jump_sharding(spark, sf):
     return sharding.shard_rows(rows, "doc_id", SHARDS, ["text_crc32", "size"])
 
 
+def op10_best_fit_packing(spark, sf):
+    return packing.pack(read_table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
     "op5_language_id": op5_language_id,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op9_jump_sharding": op9_jump_sharding,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -262,11 +262,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     clash = {"n_words", "n_removed", "removed", "kept_text"} & set(keep)
     if clash:
         raise ValueError(f"output columns exist already: {sorted(clash)}")
-    rows = docs.select(id_order(id_col).alias("__d"), text_key(id_col, text_col).alias("__k"),
-                       F.col(text_col).cast("binary").alias("__t"), *keep)
-    found = repeats(docs, id_col, text_col, window)
-    met = rows.join(found, (F.col("__d") == F.col("d")) & (F.col("__k") == F.col("k")), "left").select(
-        "__t", "starts", *keep)
+    carried = list(dict.fromkeys([*keep, text_col]))
+    rows = docs.select(id_order(id_col).alias("__d"), text_key(id_col, text_col).alias("__k"), *carried)
+    found = repeats(docs, id_col, text_col, window).select(
+        F.col("d").alias("__rd"), F.col("k").alias("__rk"), F.col("starts").alias("__starts"))
+    met = rows.join(found, (F.col("__d") == F.col("__rd")) & (F.col("__k") == F.col("__rk")), "left").select(
+        F.col(text_col).cast("binary").alias("__t"), "__starts", *keep)
     names = [*keep, "n_words", "n_removed", "removed", "kept_text"]
     out = met.select(*keep).withColumns({
         "n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"),

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casegrade.llm import langid, simhash, substring
+from casegrade.llm import decontamination, langid, packing, simhash, substring
 from casegrade.llm.common import read_table, stored
 
 #: A document stays if its language has at least this posterior.
@@ -45,8 +45,19 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
             .select(*docs.columns))
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a passage of the benchmark."""
+    return decontamination.clean_rows(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack the tokenized documents: one row per piece."""
+    return packing.pack(docs).withColumnRenamed("id", "doc_id")
+
+
 STAGES = [("language_id", language_id), ("simhash_near_dedup", simhash_near_dedup),
-          ("substring_dedup", substring_dedup)]
+          ("substring_dedup", substring_dedup), ("benchmark_decontamination", benchmark_decontamination),
+          ("best_fit_packing", best_fit_packing)]
 
 #: Stages work on words, hashes and models that SQL does not express.
 ORACLE_SQL = None
