@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, langid, packing, sharding, simhash, substring
+from . import (decontamination, langid, packing, quality_gam, quality_rules, sharding, simhash, substring,
+               token_counts, warc)
+from ..session import scratch_dir
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 40
+QUALITY_THRESHOLD = 0.3
 
 
 def _fold(parts: int) -> Column:
@@ -29,18 +32,40 @@ def op2_substring_dedup(spark, sf):
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_quality_rules(spark, sf):
+    found = quality_rules.judge(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                        "n_repeat_words", "base_failed", "kept", F.array_join("broken", ",").alias("broken_rules"))
+
+
+def op4_warc_dictionary(spark, sf):
+    manifest = warc.write(read_table(spark, sf, "pages"), scratch_dir(spark, "llm-warc"))
+    return warc.read(manifest)
+
+
 def op5_language_id(spark, sf):
     docs = read_table(spark, sf, "documents").withColumn("held_out", F.coalesce(_fold(4) == 2, F.lit(False)))
     model = langid.train(docs.filter(~F.col("held_out")))
     return langid.predict(docs, model, keep=["doc_id", "held_out"])
 
 
+def op6_token_counts(spark, sf):
+    return token_counts.count_tokens(read_table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op7_simhash_near_dedup(spark, sf):
     found = simhash.near_duplicates(read_table(spark, sf, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"),
                         F.col("component").alias("component_id"))
 
 
+def op8_quality_classifier(spark, sf):
+    docs = read_table(spark, sf, "documents").withColumn("held_out", F.coalesce(_fold(5) == 0, F.lit(False)))
+    model = quality_gam.train(docs, read_table(spark, sf, "labels"), usable=_fold(5) != 0)
+    return (quality_gam.score(docs, model, keep=["doc_id", "held_out"])
+            .withColumn("predicted", (F.col("score") >= QUALITY_THRESHOLD).cast("int")))
+
+
 def op9_jump_sharding(spark, sf):
     text = F.col("text").cast("binary")
     rows = read_table(spark, sf, "documents").select(
@@ -56,8 +81,12 @@ def op10_best_fit_packing(spark, sf):
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_warc_dictionary": op4_warc_dictionary,
     "op5_language_id": op5_language_id,
+    "op6_token_counts": op6_token_counts,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_jump_sharding": op9_jump_sharding,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
