@@ -47,7 +47,7 @@ def main(argv: list[str] | None = None) -> int:
     out: dict = {"base": lay.base}
 
     if "ledger" in run:
-        out["ledger"] = P.record_landed_files(spark, lay)
+        out["ledger"] = P.record_landed_files(spark, lay, args.json_layout)
     if "ingest-claims" in run:
         ingest_claims_csv(spark, lay.landing_claims, lay.bronze_claims, lay.checkpoint_claims).awaitTermination()
     if "ingest-medical" in run:

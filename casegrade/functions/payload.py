@@ -6,9 +6,9 @@ line). Record count of a document: a list -> its length; an object whose
 list -> that length; anything else -> 1.
 
 Documents are split into record texts with ``from_json(..., 'array<string>')``
-(a streaming Jackson parse, limited only by the row size), and only single
-records become VARIANT values, so a large payload is never held as one
-variant (Spark caps a variant at 16 MiB).
+(a streaming parse, limited only by the row size). Each record is then parsed
+by itself, so a record that does not parse costs nothing but itself, and the
+record count is the number of rows by construction.
 """
 
 from __future__ import annotations
@@ -16,14 +16,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .exprs import let
+
 _TEXTS = "array<string>"
 _ENVELOPE = "struct<data:array<string>,results:array<string>>"
 
 
 def payload_hash(text: Column | str) -> Column:
-    """Hex SHA-256 of the UTF-8 bytes of the text (or of binary content)."""
+    """Hex SHA-256 of the bytes of a text or of binary content."""
     c = F.col(text) if isinstance(text, str) else text
-    return F.sha2(c, 256)
+    return F.sha2(c.cast("binary"), 256)
 
 
 def _values(text: Column) -> Column:
@@ -33,63 +35,48 @@ def _values(text: Column) -> Column:
     return F.from_json(F.concat(F.lit("["), text, F.lit("]")), _TEXTS)
 
 
+def is_one_document(text: Column) -> Column:
+    return F.coalesce(F.size(_values(text)) == 1, F.lit(False))
+
+
 def document_texts(text: Column | str) -> Column:
     """``array<string>`` of the JSON documents of a payload file, or null.
 
     The whole text when it is exactly one document; else its non-blank lines
-    when each is exactly one document (JSON Lines); else null (not JSON).
+    when each is exactly one document (JSON Lines); else null (not JSON, or
+    not UTF-8).
     """
     c = F.col(text) if isinstance(text, str) else text
-    c = F.regexp_replace(c, "^\ufeff", "")        # a leading byte-order mark
-    whole = _values(c)
-    lines = F.transform(F.filter(F.split(c, "\n"), lambda ln: F.trim(ln) != ""), _values)
-    every_line = (F.size(lines) > 0) & F.forall(lines, lambda a: F.size(a) == 1)
-    return (F.when(F.size(whole) == 1, whole)
-            .when(every_line, F.transform(lines, lambda a: a[0])))
+    c = F.when(F.is_valid_utf8(c), F.regexp_replace(c, "^﻿", ""))        # a leading byte-order mark
+
+    def by_line(t):
+        lines = F.transform(F.filter(F.split(t, "\n"), lambda ln: F.trim(ln) != ""), _values)
+        return let(lines, lambda found: F.when(
+            (F.size(found) > 0) & F.forall(found, lambda a: F.coalesce(F.size(a) == 1, F.lit(False))),
+            F.transform(found, lambda a: a[0])))
+    return let(c, lambda t: let(_values(t), lambda whole: F.when(F.size(whole) == 1, whole).otherwise(by_line(t))))
 
 
 def record_texts(doc: Column) -> Column:
     """Record texts of one document: the list, the ``data`` list, the
     ``results`` list, else the document itself (as one record)."""
     first = F.substring(doc, 1, 1)
-    env = F.from_json(doc, _ENVELOPE)      # a non-list field comes back null
+    # a field that is not a list comes back null
+    in_object = let(F.from_json(doc, _ENVELOPE), lambda env: F.coalesce(env["data"], env["results"], F.array(doc)))
     return (F.when(first == "[", F.from_json(doc, _TEXTS))
-            .when(first == "{", F.coalesce(env["data"], env["results"], F.array(doc)))
+            .when(first == "{", in_object)
             .otherwise(F.array(doc)))
 
 
-_VARIANTS = "array<variant>"
-_VARIANT_ENVELOPE = "struct<data:array<variant>,results:array<variant>>"
-
-
-def record_variants(doc: Column) -> Column:
-    """Records of one document text as VARIANT values, in the same shape
-    precedence as ``record_texts``; the list is split by the streaming parser,
-    so only single records are ever built as variants."""
-    first = F.substring(doc, 1, 1)
-    env = F.from_json(doc, _VARIANT_ENVELOPE)
-    single = F.array(F.try_parse_json(doc))
-    return (F.when(first == "[", F.from_json(doc, _VARIANTS))
-            .when(first == "{", F.coalesce(env["data"], env["results"], single))
-            .otherwise(single))
-
-
-def record_count(doc: Column) -> Column:
-    """Records in one document text (bigint)."""
-    return F.size(record_texts(doc)).cast("bigint")
+def payload_record_texts(docs: Column) -> Column:
+    """The record texts of all documents of a file; null without documents."""
+    return F.flatten(F.transform(docs, record_texts))
 
 
 def payload_record_count(docs: Column) -> Column:
     """Sum of the record counts of a file's documents; null without documents."""
-    return F.aggregate(F.transform(docs, record_count), F.lit(0).cast("bigint"), lambda a, b: a + b)
-
-
-def parse_document(text: Column | str) -> Column:
-    """VARIANT of a text that is exactly one JSON document, else null
-    (for single records; a document is split with ``document_texts``)."""
-    c = F.col(text) if isinstance(text, str) else text
-    vals = _values(c)
-    return F.when(F.size(vals) == 1, F.try_parse_json(vals[0]))
+    return F.aggregate(F.transform(docs, lambda d: F.size(record_texts(d)).cast("bigint")),
+                       F.lit(0).cast("bigint"), lambda a, b: a + b)
 
 
 # FIXED VALUE — landed payload files are named

@@ -4,12 +4,14 @@ Re-aimed as Spark jobs over files already in a landing folder (the network
 transfer itself is not a Spark job and is not built):
 
 * ``scan_files``        — one manifest row per file with the wanted suffix
-                          (case-insensitive): size, SHA-256 of the content,
-                          status LANDED; files too large to hash in one
-                          value are FAILED with a message (content not read).
-* ``payload_manifest``  — one row per JSON payload file: SHA-256 of the text,
-                          record count, LANDED, or FAILED when the text is not
-                          one JSON document.
+                          (case-insensitive): size and SHA-256, read piece by
+                          piece inside a task, so a file of any size is hashed
+                          in bounded memory. A file that cannot be read is a
+                          FAILED row with the reason; the others go on.
+* ``payload_manifest``  — one row per JSON payload file: SHA-256 of its bytes,
+                          record count, LANDED, or FAILED when it is not one
+                          JSON document. ``layout="lines"`` counts JSON Lines
+                          feeds line by line.
 * ``new_files``         — candidate names minus names already LANDED for the
                           source (FAILED ones are offered again); a
                           ``left_anti`` join, never a driver-side set.
@@ -17,25 +19,29 @@ transfer itself is not a Spark job and is not built):
                           join (a hash held by a third of all files stays a
                           partial count per task, unlike a window).
 * ``append_manifest``   — append with the declared schema.
-* ``record_files`` / ``record_payloads`` — the same rows, incrementally
-                          (path stream, ``availableNow``): every landed file
-                          is read and hashed exactly once over all runs.
+* ``record_files`` / ``record_payloads`` — one ledger run: list the landing
+                          folder, leave out what the manifest has as LANDED,
+                          scan the rest, append.
 """
 
 from __future__ import annotations
 
+import time
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.exprs import let, plain_path, source_path
 from ..functions.payload import document_texts, payload_hash, payload_record_count
 from ..schemas import FAILED, FILE_MANIFEST, LANDED, PAYLOAD_MANIFEST
-from ..streaming.files import batch_folder, literal_paths, path_batches
+from ..session import ship_package
+from ..sources import store
+from ..streaming.files import literal_paths
+from ..streaming.medical_json import by_size
 from .skew import SkewGuard, salted_left_join
 
-# binaryFile holds a whole file in one binary value (at most 2 GiB - 1).
-MAX_HASHED_BYTES = 2_147_483_647 - 1024
-
 
 def suffix_glob(suffix: str) -> str:
     """``.csv`` -> ``*.[cC][sS][vV]`` (a plain ``*.csv`` misses ``B.CSV``)."""
@@ -46,63 +52,114 @@ def _base_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
-def manifest_rows(files: DataFrame, source_system: str, remote_dir: str | None = None,
-                  max_bytes: int = MAX_HASHED_BYTES) -> DataFrame:
-    """``binaryFile`` rows (batch or stream) -> FILE_MANIFEST rows.
+def list_files(spark: SparkSession, landing_dir: str, suffix: str | None = ".csv") -> DataFrame:
+    """(path, length, file_name) of the landed files; no content is read."""
+    reader = spark.read.format("binaryFile")
+    if suffix:
+        reader = reader.option("pathGlobFilter", suffix_glob(suffix))
+    return reader.load(landing_dir).select(
+        plain_path("path").alias("path"), "length", _base_name(F.col("path")).alias("file_name"))
+
+
+def _hash_task(batches):
+    for batch in batches:
+        found = []
+        for path in batch.column(0).to_pylist():
+            try:
+                found.append((*store.sha256_of(path), None))
+            except Exception as error:          # of this file alone: it becomes its FAILED row
+                found.append((None, None, f"{type(error).__name__}: {error}"))
+        digest, size, reason = zip(*found) if found else ((), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(digest, pa.string()), pa.array(size, pa.int64()), pa.array(reason, pa.string())],
+            [*batch.schema.names, "file_hash", "file_size_bytes", "error_message"])
+
 
-    Partition folders (``key=value``) come along as extra columns after the
-    manifest columns. A file over ``max_bytes`` becomes a FAILED row and its
-    content is never read (the branch does not select it).
+def hash_files(files: DataFrame) -> DataFrame:
+    """``files`` (first column ``path``) with file_hash, file_size_bytes, error_message.
+
+    A SHA-256 is sequential, so a file is one task's work; the listing deals
+    files out by size.
     """
-    extra = [c for c in files.columns if c not in ("path", "modificationTime", "length", "content")]
-    name = _base_name(F.col("path"))
-    remote = F.concat(F.lit(remote_dir.rstrip("/") + "/"), name) if remote_dir else F.lit(None).cast("string")
-
-    def rows(status: str, hashed: bool, size_ok: Column) -> DataFrame:
-        part = files.filter(size_ok)            # length filters are pushed to the listing
-        return part.select(
-            F.lit(source_system).alias("source_system"),
-            name.alias("file_name"),
-            remote.alias("remote_path"),
-            (F.col("path") if hashed else F.lit(None).cast("string")).alias("landing_path"),
-            (F.col("length") if hashed else F.lit(None).cast("bigint")).alias("file_size_bytes"),
-            (payload_hash(F.col("content")) if hashed else F.lit(None).cast("string")).alias("file_hash"),
-            F.current_timestamp().alias("ingested_at"),
-            F.lit(status).alias("status"),
-            (F.lit(None).cast("string") if hashed else
-             F.concat(F.lit("file too large to hash: "), F.col("length").cast("string"), F.lit(" bytes"))
-             ).alias("error_message"),
-            *extra,
-        )
-    return (rows(LANDED, True, F.col("length") <= max_bytes)
-            .unionByName(rows(FAILED, False, F.col("length") > max_bytes)))
+    ship_package(files.sparkSession)
+    out = files.withColumns({"file_hash": F.lit(""), "file_size_bytes": F.lit(0).cast("long"),
+                             "error_message": F.lit("")})
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in out.schema.fields])
+    return files.mapInArrow(_hash_task, schema)
+
+
+def manifest_rows(files: DataFrame, source_system: str, remote_dir: str | None = None) -> DataFrame:
+    """``list_files`` rows -> FILE_MANIFEST rows."""
+    ok = F.col("error_message").isNull()
+    remote = F.concat(F.lit(remote_dir.rstrip("/") + "/"), "file_name") if remote_dir else F.lit(None).cast("string")
+    return hash_files(files.select("path", "file_name")).select(
+        F.lit(source_system).alias("source_system"), "file_name", remote.alias("remote_path"),
+        F.when(ok, F.col("path")).alias("landing_path"), "file_size_bytes", "file_hash",
+        F.current_timestamp().alias("ingested_at"),
+        F.when(ok, F.lit(LANDED)).otherwise(F.lit(FAILED)).alias("status"), "error_message")
 
 
 def scan_files(spark: SparkSession, landing_dir: str, source_system: str, suffix: str = ".csv",
-               remote_dir: str | None = None, max_bytes: int = MAX_HASHED_BYTES) -> DataFrame:
+               remote_dir: str | None = None) -> DataFrame:
     """Manifest rows (FILE_MANIFEST columns) for every file in ``landing_dir``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", suffix_glob(suffix)).load(landing_dir)
-    return manifest_rows(files, source_system, remote_dir, max_bytes)
+    return manifest_rows(list_files(spark, landing_dir, suffix), source_system, remote_dir)
 
 
-def payload_rows(texts: DataFrame, source_system: str, api_url: str | None = None,
-                 keep: tuple[str, ...] = ()) -> DataFrame:
-    """(value, landing_path) payload texts -> PAYLOAD_MANIFEST rows
-    (plus the ``keep`` columns, carried through unchanged)."""
-    docs = document_texts(F.col("value"))
-    ok = docs.isNotNull()
-    return texts.select(
+def _payload_row(source_system: str, api_url: str | None, ok: Column, digest: Column, count: Column,
+                 keep: tuple[str, ...] = ()) -> list:
+    return [
         F.lit(source_system).alias("source_system"),
         F.lit(api_url).cast("string").alias("api_url"),
         F.when(ok, F.col("landing_path")).alias("landing_path"),
-        F.when(ok, payload_hash(F.col("value"))).alias("payload_hash"),
-        F.when(ok, payload_record_count(docs)).alias("record_count"),
+        F.when(ok, digest).alias("payload_hash"),
+        F.when(ok, count).alias("record_count"),
         F.current_timestamp().alias("ingested_at"),
         F.when(ok, F.lit(LANDED)).otherwise(F.lit(FAILED)).alias("status"),
         F.when(~ok, F.concat(F.lit("payload is not one JSON document: "), F.col("landing_path"))
                ).alias("error_message"),
         *keep,
-    )
+    ]
+
+
+def payload_rows(texts: DataFrame, source_system: str, api_url: str | None = None,
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """(value, landing_path) payload texts -> PAYLOAD_MANIFEST rows
+    (plus the ``keep`` columns, carried through unchanged)."""
+    # the documents are computed once and give both the status and the count
+    read = let(document_texts("value"), lambda docs: F.struct(
+        docs.isNotNull().alias("ok"), payload_record_count(docs).alias("n")))
+    return texts.withColumn("_read", read).select(*_payload_row(
+        source_system, api_url, F.col("_read.ok"), payload_hash("value"), F.col("_read.n"), keep))
+
+
+def payload_line_rows(lines: DataFrame, hashed: DataFrame, source_system: str, api_url: str | None = None) -> DataFrame:
+    """(value, landing_path) lines of JSON Lines feeds, and the ``hash_files``
+    of their paths -> PAYLOAD_MANIFEST rows. Lines are counted where they are read."""
+    read = let(document_texts("value"), lambda docs: F.struct(
+        docs.isNotNull().alias("ok"), payload_record_count(docs).alias("n")))
+    counted = (lines.withColumn("_read", read).groupBy(F.col("landing_path").alias("_path"))
+               .agg(F.bool_and(F.col("_read.ok")).alias("_ok"), F.sum(F.col("_read.n")).alias("_n")))
+    met = hashed.withColumnRenamed("path", "landing_path").join(
+        counted, F.col("landing_path") == F.col("_path"), "left")
+    ok = F.coalesce(F.col("_ok"), F.lit(False)) & F.col("file_hash").isNotNull()
+    rows = _payload_row(source_system, api_url, ok, F.col("file_hash"), F.col("_n"))
+    return met.select(*rows[:-1], F.coalesce(F.col("error_message"), rows[-1]).alias("error_message"))
+
+
+def payload_file_rows(spark: SparkSession, files: dict[str, int], source_system: str, api_url: str | None = None,
+                      layout: str = "document") -> DataFrame:
+    """PAYLOAD_MANIFEST rows of the given files (path -> length)."""
+    whole, lines = by_size(files, layout)
+    parts = []
+    if whole:
+        texts = spark.read.text(literal_paths(whole), wholetext=True)
+        parts.append(payload_rows(texts.select("value", source_path().alias("landing_path")), source_system, api_url))
+    if lines:
+        texts = spark.read.text(literal_paths(lines)).filter(F.trim("value") != "")
+        paths = spark.createDataFrame([(p,) for p in lines], "path string").select(plain_path("path").alias("path"))
+        parts.append(payload_line_rows(texts.select("value", source_path().alias("landing_path")),
+                                       hash_files(paths.repartition(min(len(lines), 10_000))), source_system, api_url))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def payload_manifest(spark: SparkSession, landing_dir: str, source_system: str,
@@ -111,24 +168,23 @@ def payload_manifest(spark: SparkSession, landing_dir: str, source_system: str,
     reader = spark.read
     if suffix:
         reader = reader.option("pathGlobFilter", suffix_glob(suffix))
-    texts = (reader.text(landing_dir, wholetext=True)
-             .select("value", F.col("_metadata.file_path").alias("landing_path")))
+    texts = reader.text(landing_dir, wholetext=True).select("value", source_path().alias("landing_path"))
     return payload_rows(texts, source_system, api_url)
 
 
-def landed_names(manifest: DataFrame, source_system: str) -> DataFrame:
+def landed(manifest: DataFrame, source_system: str, key: str = "file_name") -> DataFrame:
     # distinct: a name recorded many times is pre-aggregated before the join
     return (manifest.filter((F.col("source_system") == source_system) & (F.col("status") == LANDED))
-            .select("file_name").distinct())
+            .select(key).distinct())
 
 
 def new_files(candidates: DataFrame, manifest: DataFrame, source_system: str,
-              suffix: str | None = ".csv") -> DataFrame:
-    """Candidates (column ``file_name``) with the suffix that are not yet LANDED."""
+              suffix: str | None = ".csv", key: str = "file_name") -> DataFrame:
+    """Candidates with the suffix (of column ``key``) that are not yet LANDED."""
     c = candidates
     if suffix:
-        c = c.filter(F.lower(F.col("file_name")).endswith(suffix.lower()))
-    return c.join(landed_names(manifest, source_system), "file_name", "left_anti")
+        c = c.filter(F.lower(F.col(key)).endswith(suffix.lower()))
+    return c.join(landed(manifest, source_system, key), key, "left_anti")
 
 
 def flag_duplicate_content(manifest: DataFrame, hash_col: str = "file_hash",
@@ -143,74 +199,71 @@ def flag_duplicate_content(manifest: DataFrame, hash_col: str = "file_hash",
             .withColumn("is_duplicate_content", F.coalesce(F.col("n_copies") > 1, F.lit(False))))
 
 
-def append_manifest(rows: DataFrame, path: str, kind: str = "file", batch_id: int | None = None) -> None:
+def _schema(kind: str) -> T.StructType:
+    return FILE_MANIFEST if kind == "file" else PAYLOAD_MANIFEST
+
+
+def append_manifest(rows: DataFrame, path: str, kind: str = "file", batch_id: int | None = None) -> dict:
     """Append manifest rows with the declared schema (types never inferred).
 
     Rows go to their own ``batch_id=<n>`` folder (default: the current time
-    in microseconds; a write takes far longer than that), the same layout the ledger streams write, so a manifest
-    folder is always a set of batch folders and a repeated batch id replaces
-    its own rows.
+    in microseconds; a write takes far longer than that), so a manifest folder
+    is a set of batch folders and a repeated batch id replaces its own rows.
+    Returns the LANDED and FAILED counts, taken in the same pass.
     """
-    import time
-    schema = FILE_MANIFEST if kind == "file" else PAYLOAD_MANIFEST
     bid = batch_id if batch_id is not None else time.time_ns() // 1000
-    _cast_to(rows, schema).write.mode("overwrite").parquet(batch_folder(path, bid))
+    obs = Observation(f"{kind}_ledger")
+    counted = _cast_to(rows, _schema(kind)).observe(
+        obs, F.count_if(F.col("status") == LANDED).alias("landed"), F.count_if(F.col("status") == FAILED).alias("failed"))
+    counted.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={bid}")
+    return {k: int(v or 0) for k, v in obs.get.items()}
+
+
+def stored_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())])
 
 
 def read_manifest(spark: SparkSession, path: str, kind: str = "file") -> DataFrame:
     """The manifest rows (declared columns plus ``batch_id``)."""
-    schema = FILE_MANIFEST if kind == "file" else PAYLOAD_MANIFEST
-    return spark.read.schema(T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())])).parquet(path)
+    return spark.read.schema(stored_schema(_schema(kind))).parquet(path)
 
 
-def _write_counted(rows: DataFrame, folder: str, name: str, totals: dict) -> None:
-    """Overwrite one batch folder; add its LANDED / FAILED counts (taken in
-    the same pass by an Observation) to ``totals``."""
-    obs = Observation(name)
-    counted = rows.observe(obs, F.count_if(F.col("status") == LANDED).alias("landed"),
-                           F.count_if(F.col("status") == FAILED).alias("failed"))
-    counted.write.mode("overwrite").parquet(folder)
-    for k, v in obs.get.items():
-        totals[k] = totals.get(k, 0) + int(v or 0)
+def _manifest_so_far(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """The manifest, made empty if there is none yet."""
+    append_manifest(spark.createDataFrame([], _schema(kind)), path, kind, batch_id=0)
+    return read_manifest(spark, path, kind)
 
 
 def _cast_to(rows: DataFrame, schema) -> DataFrame:
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def record_files(spark: SparkSession, landing_dir: str, manifest_path: str, checkpoint: str,
-                 source_system: str, suffix: str = ".csv", remote_dir: str | None = None,
-                 max_bytes: int = MAX_HASHED_BYTES, max_files_per_trigger: int | None = 10000) -> dict:
-    """Record every landed file exactly once: the path stream's checkpoint
-    remembers which files were hashed, so a file is read once over all runs.
+def record_files(spark: SparkSession, landing_dir: str, manifest_path: str, source_system: str,
+                 suffix: str = ".csv", remote_dir: str | None = None) -> dict:
+    """Record the landed files whose names are not LANDED yet; a FAILED name is
+    offered again. Of one name in several folders, the smallest path counts.
     Returns this run's ``{"landed": n, "failed": m}``."""
-    totals = {"landed": 0, "failed": 0}
+    manifest = _manifest_so_far(spark, manifest_path, "file")
+    names = list_files(spark, landing_dir, suffix).groupBy("file_name").agg(F.min("path").alias("path"))
+    fresh = new_files(names, manifest, source_system, suffix)
+    return append_manifest(manifest_rows(fresh, source_system, remote_dir), manifest_path)
 
-    def handle(paths: list[str], batch_id: int) -> None:
-        # a batch read: its listing gives the sizes, so a file too large to
-        # hash is never read (the FAILED branch does not select content)
-        files = spark.read.format("binaryFile").load(literal_paths(paths))
-        rows = _cast_to(manifest_rows(files, source_system, remote_dir, max_bytes), FILE_MANIFEST)
-        _write_counted(rows, batch_folder(manifest_path, batch_id), "file_ledger", totals)
-    path_batches(spark, landing_dir, checkpoint, handle, suffix_glob(suffix),
-                 max_files_per_trigger).awaitTermination()
-    return totals
-
-
-def record_payloads(spark: SparkSession, landing_dir: str, manifest_path: str, checkpoint: str,
-                    source_system: str, api_url: str | None = None, suffix: str | None = None,
-                    max_files_per_trigger: int | None = 10000) -> dict:
-    """Record every landed payload file exactly once (hash, record count, status)."""
-    totals = {"landed": 0, "failed": 0}
 
-    def handle(paths: list[str], batch_id: int, batch: DataFrame | None) -> None:
-        if batch is not None:      # the micro-batch holds each file once: decode its content
-            texts = batch.select(F.decode("content", "UTF-8").alias("value"), F.col("path").alias("landing_path"))
-        else:
-            texts = (spark.read.text(literal_paths(paths), wholetext=True)
-                     .select("value", F.col("_metadata.file_path").alias("landing_path")))
-        rows = _cast_to(payload_rows(texts, source_system, api_url), PAYLOAD_MANIFEST)
-        _write_counted(rows, batch_folder(manifest_path, batch_id), "payload_ledger", totals)
-    path_batches(spark, landing_dir, checkpoint, handle, suffix_glob(suffix) if suffix else None,
-                 max_files_per_trigger, with_files=True).awaitTermination()
-    return totals
+def record_payloads(spark: SparkSession, landing_dir: str, manifest_path: str, source_system: str,
+                    api_url: str | None = None, suffix: str | None = None, layout: str = "document",
+                    files_per_batch: int = 10_000) -> dict:
+    """Record the landed payloads that are not LANDED yet (hash, record count,
+    status), at most ``files_per_batch`` at a time."""
+    totals = {"landed": 0, "failed": 0}
+    manifest = _manifest_so_far(spark, manifest_path, "payload")
+    files = list_files(spark, landing_dir, suffix).select(F.col("path").alias("landing_path"), "length")
+    fresh = new_files(files, manifest, source_system, None, key="landing_path")
+    after = ""
+    while True:                                  # pages of paths; what one page holds is bounded
+        page = {r.landing_path: r.length for r in fresh.filter(F.col("landing_path") > after)
+                .orderBy("landing_path").limit(files_per_batch).collect()}
+        if not page:
+            return totals
+        after = max(page)
+        run = append_manifest(payload_file_rows(spark, page, source_system, api_url, layout), manifest_path, "payload")
+        totals = {k: totals[k] + run[k] for k in totals}

@@ -40,11 +40,15 @@ def _document_files(spark: SparkSession, sf: str) -> str:
 
 
 def q_ledger_file_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """The production ledger path: a file stream records each landed file once."""
+    """The production ledger run: list, leave out what is LANDED, hash, append."""
     landing = _document_files(spark, sf)
     d = scratch_dir(spark, "ledger-manifest")
-    L.record_files(spark, landing, f"{d}/manifest", f"{d}/checkpoint", SFTP_CLAIMS, suffix=".txt")
-    return L.read_manifest(spark, f"{d}/manifest").select("file_size_bytes", "file_hash", "status")
+    L.record_files(spark, landing, f"{d}/manifest", SFTP_CLAIMS, suffix=".txt")
+    m = L.read_manifest(spark, f"{d}/manifest")
+    return m.select("source_system", "file_size_bytes", "file_hash", "status",
+                    F.col("landing_path").endswith(F.concat(F.lit("/"), "file_name")).alias("path_ends_in_name"),
+                    F.col("file_name").endswith(".txt").alias("has_suffix"),
+                    F.col("ingested_at").isNotNull().alias("has_time"))
 
 
 def q_ledger_duplicates(spark: SparkSession, sf: str) -> DataFrame:
@@ -130,9 +134,8 @@ def q_ledger_append(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("a") + (F.col("b") - F.col("a")) / 2).alias("m"))
     first = texts.filter(F.col("ts") < mid.scalar()).drop("ts")
     L.append_manifest(L.payload_rows(first, API_MEDICAL_ACTIVITY), d, "payload", batch_id=0)
-    done = (L.read_manifest(spark, d, "payload").filter(F.col("status") == LANDED)
-            .select("landing_path").distinct())
-    second = texts.drop("ts").join(done, "landing_path", "left_anti")
+    second = L.new_files(texts.drop("ts"), L.read_manifest(spark, d, "payload"), API_MEDICAL_ACTIVITY, None,
+                         key="landing_path")
     L.append_manifest(L.payload_rows(second, API_MEDICAL_ACTIVITY), d, "payload", batch_id=1)
     m = L.read_manifest(spark, d, "payload")
     return m.groupBy("status").agg(F.count(F.lit(1)).alias("n_rows"),

@@ -31,32 +31,6 @@ RAW_MEDICAL = T.StructType([
     T.StructField("medical_events", MEDICAL_EVENTS),
 ] + _LINEAGE)
 
-STG_CLAIMS = T.StructType([
-    T.StructField("claim_id", T.StringType()),
-    T.StructField("date_of_loss", T.DateType()),
-    T.StructField("body_part", T.StringType()),
-    T.StructField("is_litigated", T.BooleanType()),
-    T.StructField("number_of_priors", T.IntegerType()),
-    T.StructField("_source_file", T.StringType()),
-    T.StructField("_ingested_at", T.TimestampType()),
-    T.StructField("_rescued_data", T.StringType()),
-])
-
-STG_MEDICAL = T.StructType([
-    T.StructField("claim_id", T.StringType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("event_date", T.DateType()),
-    T.StructField("_source_file", T.StringType()),
-    T.StructField("_ingested_at", T.TimestampType()),
-    T.StructField("_rescued_data", T.StringType()),
-])
-
-MEDICAL_FLAGS = T.StructType([
-    T.StructField("claim_id", T.StringType()),
-    T.StructField("has_surgery", T.IntegerType()),
-    T.StructField("has_opioid", T.IntegerType()),
-])
-
 SCORED = T.StructType([
     T.StructField("claim_id", T.StringType()),
     T.StructField("date_of_loss", T.DateType()),
@@ -85,9 +59,10 @@ DQ_RESULTS = T.StructType([
     T.StructField("passed", T.BooleanType()),
 ])
 
-# Bronze tables as stored by the ingest jobs: one folder per micro-batch.
-BRONZE_CLAIMS = T.StructType(RAW_CLAIMS.fields + [T.StructField("batch_id", T.LongType())])
-BRONZE_MEDICAL = T.StructType(RAW_MEDICAL.fields + [T.StructField("batch_id", T.LongType())])
+# Bronze tables as stored by the ingest jobs: one folder per stream and micro-batch.
+STREAM_PARTITIONS = [T.StructField("stream_id", T.StringType()), T.StructField("batch_id", T.LongType())]
+BRONZE_CLAIMS = T.StructType(RAW_CLAIMS.fields + STREAM_PARTITIONS)
+BRONZE_MEDICAL = T.StructType(RAW_MEDICAL.fields + STREAM_PARTITIONS)
 
 # Audit ledgers (append-only). Declared explicitly: a batch in which a column
 # is null in every row has no inferable type.

@@ -3,146 +3,130 @@
 Open Spark's CSV reader maps a declared schema onto columns by *position*
 (and type inference turns ``007`` into 7). Claim files may come with columns
 in another order, extra columns, or rows of the wrong width, and a raw layer
-must keep all of it. So:
-
-1. A stream of new file paths (``streaming/files.py``: contents are not
-   read; each file is part of exactly one micro-batch; ``availableNow``
-   takes what is there and stops).
-2. In ``foreachBatch`` the batch's files are scanned ONCE as text lines
-   (kept for the batch with ``persist``, released after the write). Each
-   file's header is its first non-blank line of its first split, found by
-   line position (``monotonically_increasing_id``) per file.
-3. Files are grouped by header layout; the lines of each layout are parsed
-   with ``from_csv`` and a schema made from that very header (all columns
-   text, plus a corrupt-record column), so positions equal names. Like the
-   CSV reader's default mode this is line based. Known columns are taken by
-   name (missing ones are null); extra columns and malformed rows go to
-   ``_rescued_data`` as JSON.
-4. The batch is written with overwrite to ``<table>/batch_id=<n>``: a batch
-   replayed after a failure replaces its own output (idempotent), and
-   ``foreachBatch`` + checkpoint gives exactly-once files.
-
-Only file paths and one header line per file reach the driver; micro-batches
-hold at most ``max_files_per_trigger`` files.
+must keep all of it. So, for each micro-batch of new files
+(``streaming/files.py``):
+
+1. The files are read as text lines. A file's header is its first non-blank
+   line, found per file with a partial aggregate. One number reaches the
+   driver: the width of the widest header.
+2. Every line, header or not, is parsed once into an array of cells. A mark
+   appended to the line shows how many cells it really has; a line whose
+   quotes swallow the mark, or with more cells than any header, has none.
+3. The lines meet their file's header, and cells get their names by position:
+   known columns are looked up, the others (and columns whose name came
+   before) go to ``_rescued_data`` as JSON. A line with another number of cells
+   than its header keeps its text there too.
+
+There is one scan and one plan whatever the number of header layouts, and no
+column name ever becomes a Spark column name, so no header can be ambiguous.
+Like the CSV reader's default mode this is line based. Headers of over
+``MAX_COLUMNS`` columns are not split: the lines of such a file are rescued
+whole.
 """
 
 from __future__ import annotations
 
-import csv
-import io
-
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.exprs import let, source_path
 from ..schemas import BRONZE_CLAIMS, CLAIM_FIELDS, RAW_CLAIMS
 from .files import batch_folder, literal_paths, path_batches
 from .schema_registry import track_schema
 
 CORRUPT = "_corrupt_record"
-
-
-def header_columns(line: str, sep: str = ",") -> list[str]:
-    """Column names of a header line (CSV-quoted cells allowed, a leading
-    byte-order mark ignored); duplicates and blanks get a positional suffix so
-    every name is unique."""
-    cells = next(csv.reader(io.StringIO(line.lstrip("\ufeff")), delimiter=sep), [])  # leading BOM
-    names, seen = [], set()
-    for i, c in enumerate(cells):
-        name = c.strip() or f"_c{i}"
-        if name in seen or name == CORRUPT:
-            name = f"{name}_{i}"
-        seen.add(name)
-        names.append(name)
-    return names
+MAX_COLUMNS = 2000
+#: Headers are broadcast to the lines while their total length is below this.
+HEADER_BYTES = 64 << 20
+_END = "\x01end\x01"
 
 
 def batch_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Text lines of the files with file, split start and position."""
     return spark.read.text(literal_paths(paths)).select(
-        "value",
-        F.col("_metadata.file_path").alias("_source_file"),
+        "value", source_path().alias("_source_file"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_pos"))
+        F.monotonically_increasing_id().alias("_pos")).filter(F.trim("value") != "")
 
 
 def file_headers(lines: DataFrame) -> DataFrame:
-    """(_source_file, _hpos, header): each file's first non-blank line."""
-    return (lines.filter((F.col("_block") == 0) & (F.trim("value") != ""))
-            .groupBy("_source_file")
+    """(_file, _hpos, header): each file's first non-blank line."""
+    return (lines.filter(F.col("_block") == 0).groupBy(F.col("_source_file").alias("_file"))
             .agg(F.min("_pos").alias("_hpos"), F.min_by("value", "_pos").alias("header")))
 
 
-def _csv_options(sep: str) -> dict:
-    return {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
-            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-
-
-def parse_layout(lines: DataFrame, columns: list[str], sep: str = ",") -> DataFrame:
-    """Data lines of one header layout -> raw claim rows (without _ingested_at)."""
-    ddl = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in [*columns, CORRUPT])
-    rows = lines.select(F.from_csv("value", ddl, _csv_options(sep)).alias("r"), "_source_file")
-    extras = [c for c in columns if c not in CLAIM_FIELDS]
-    rescue_cols = [F.col("r")[c].alias(c) for c in extras] + [F.col("r")[CORRUPT].alias(CORRUPT)]
-    rescued_json = F.to_json(F.struct(*rescue_cols))          # null fields are left out
-    rescued = F.when(rescued_json != F.lit("{}"), rescued_json)
-    known = [F.col("r")[c].alias(c) if c in columns else F.lit(None).cast("string").alias(c)
-             for c in CLAIM_FIELDS]
-    return rows.select(*known, rescued.alias("_rescued_data"), "_source_file")
-
-
-def load_claim_files(spark: SparkSession, paths: list[str], sep: str = ",",
-                     lines: DataFrame | None = None) -> DataFrame | None:
-    """Raw claims from a set of CSV files, every file read by its own header.
-
-    ``lines`` may be a (persisted) ``batch_lines`` of the same paths.
-    """
+def cells(line: Column, width: int, sep: str) -> Column:
+    """The cells of a CSV line as an array, or null if they are more than
+    ``width`` or the line's quotes are not closed."""
+    names = [f"c{i}" for i in range(width + 1)]
+    options = {"sep": sep, "mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false"}
+    fits = F.length(line) - F.length(F.replace(line, F.lit(sep), F.lit(""))) < 20_000      # the parser's own limit
+    parsed = F.from_csv(F.when(fits, F.concat(line, F.lit(sep + _END))), ", ".join(f"{n} string" for n in names), options)
+    return let(let(parsed, lambda r: F.array(*[r[n] for n in names])), lambda found: let(
+        F.array_position(found, _END), lambda end: F.when(end > 0, F.slice(found, 1, (end - 1).cast("int")))))
+
+
+def column_names(header: Column) -> Column:
+    """The names of a header's cells, all different: a blank cell is named
+    ``_c<i>``, and a name that came before gets ``_<i>`` (more underscores
+    if the header has that name too)."""
+    trimmed = F.transform(header, lambda c, i: F.coalesce(
+        F.nullif(F.trim(c), F.lit("")), F.concat(F.lit("_c"), i.cast("string"))))
+
+    def distinct(names):
+        def free(name, i):
+            ways = F.transform(F.sequence(F.lit(1), F.size(names) + 1),
+                               lambda k: F.concat(name, F.repeat(F.lit("_"), k), i.cast("string")))
+            return F.filter(ways, lambda way: ~F.array_contains(names, way))[0]
+        return F.transform(names, lambda n, i: F.when(
+            (F.array_position(names, n) <= i) | (n == CORRUPT), free(n, i)).otherwise(n))
+    return let(trimmed, distinct)
+
+
+def load_claim_files(spark: SparkSession, paths: list[str], sep: str = ",") -> DataFrame | None:
+    """Raw claims from a set of CSV files, every file read by its own header."""
     if not paths:
         return None
-    lines = lines if lines is not None else batch_lines(spark, paths)
-    headers = file_headers(lines).collect()          # one short row per file
-    if not headers:
+    lines = batch_lines(spark, paths)
+    headers = file_headers(lines)
+    count = F.least(F.size(F.split("header", F.concat(F.lit("\\Q"), F.lit(sep), F.lit("\\E")))), F.lit(MAX_COLUMNS))
+    widest, total = headers.agg(F.max(count), F.sum(F.length("header"))).first()
+    if widest is None:
         return None
-    layouts: dict[str, int] = {}
-    per_file = []
-    for r in headers:
-        per_file.append((r._source_file, layouts.setdefault(r.header, len(layouts)), r._hpos))
-    # one row per file of this batch (bounded by maxFilesPerTrigger)
-    file_layout = spark.createDataFrame(per_file, "_source_file string, _layout int, _hpos long")
-    data = (lines.join(F.broadcast(file_layout), "_source_file")
-            .filter((F.col("_pos") != F.col("_hpos")) & (F.trim("value") != "")))
-    parts = [parse_layout(data.filter(F.col("_layout") == k), header_columns(h, sep), sep)
-             for h, k in layouts.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("_ingested_at", F.current_timestamp()).select(*RAW_CLAIMS.fieldNames())
-
-
-def _batch_writer(spark: SparkSession, table_dir: str, sep: str):
-    def write(paths: list[str], batch_id: int) -> None:
-        # one scan of the batch's files; kept for the header and data passes
-        # (recomputable from the files if an executor is lost)
-        lines = batch_lines(spark, paths).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            raw = load_claim_files(spark, paths, sep, lines)
-            if raw is not None:
-                raw.write.mode("overwrite").parquet(batch_folder(table_dir, batch_id))
-        finally:
-            lines.unpersist()
-    return write
+    mark = F.regexp_replace("header", "^﻿", "")
+    named = headers.select("_file", "_hpos", column_names(cells(mark, widest, sep)).alias("_names"))
+    named = F.broadcast(named) if total <= HEADER_BYTES else named
+    rows = (lines.join(named, F.col("_source_file") == F.col("_file"))
+            .filter(F.col("_pos") != F.col("_hpos"))
+            .select("value", "_source_file", "_names", cells(F.col("value"), widest, sep).alias("_cells")))
+    known = [F.get("_cells", (F.array_position("_names", c) - 1).cast("int")).alias(c) for c in CLAIM_FIELDS]
+    whole = F.coalesce(F.size("_cells") == F.size("_names"), F.lit(False))
+    extra = F.filter(F.arrays_zip("_names", "_cells"), lambda x: x["_names"].isNotNull() & x["_cells"].isNotNull()
+                     & ~x["_names"].isin(*CLAIM_FIELDS))
+    entries = F.concat(
+        F.coalesce(F.transform(extra, lambda x: F.struct(x["_names"].alias("key"), x["_cells"].alias("value"))),
+                   F.expr("array()")),
+        F.when(whole, F.expr("array()")).otherwise(F.array(F.struct(F.lit(CORRUPT).alias("key"), "value"))))
+    rescued = let(entries, lambda e: F.when(F.size(e) > 0, F.to_json(F.map_from_entries(e))))
+    return rows.select(*known, rescued.alias("_rescued_data"), F.current_timestamp().alias("_ingested_at"),
+                       "_source_file").select(*RAW_CLAIMS.fieldNames())
 
 
 def ingest_claims_csv(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint_dir: str,
                       available_now: bool = True, path_glob: str | None = None,
-                      max_files_per_trigger: int | None = 1000, sep: str = ",") -> StreamingQuery:
+                      max_files_per_trigger: int = 1000, sep: str = ",") -> StreamingQuery:
     """Start the ingest; with ``available_now`` it stops by itself when done."""
     track_schema(spark, checkpoint_dir, RAW_CLAIMS)
-    return path_batches(spark, landing_dir, checkpoint_dir, _batch_writer(spark, table_dir, sep),
-                        path_glob, max_files_per_trigger, available_now)
+
+    def write(files: dict[str, int], stream_id: str, batch_id: int) -> None:
+        raw = load_claim_files(spark, sorted(files), sep)
+        if raw is not None:
+            raw.write.mode("overwrite").parquet(batch_folder(table_dir, stream_id, batch_id))
+    return path_batches(spark, landing_dir, checkpoint_dir, write, path_glob, max_files_per_trigger, available_now)
 
 
 def read_bronze_claims(spark: SparkSession, table_dir: str) -> DataFrame:
-    """The bronze table; ``batch_id`` is the micro-batch partition."""
+    """The bronze table; ``stream_id`` and ``batch_id`` name the micro-batch."""
     return spark.read.schema(BRONZE_CLAIMS).parquet(table_dir)

@@ -1,18 +1,17 @@
-"""File discovery for the incremental jobs: a stream of landed file paths.
+"""File discovery for the ingest streams: a stream of landed file paths.
 
-Every incremental job (CSV ingest, JSON ingest, file and payload ledgers) is
-the same shape: a ``binaryFile`` stream that selects only ``path`` (contents
-are not read) discovers new files, the checkpoint makes each file part of
-exactly one micro-batch, and ``foreachBatch`` reads that batch's files (from
-the micro-batch's own ``content`` when asked for and each file appears once,
-else with a batch reader over the paths) and overwrites the batch's own
-``batch_id=<n>`` folder, so a batch replayed after a failure replaces its
-output.
+Both ingests (CSV and JSON) have the same shape: a ``binaryFile`` stream that
+selects only path and length (contents are not read) discovers new files, the
+checkpoint makes each file part of exactly one micro-batch, and
+``foreachBatch`` reads that batch's files with a batch reader and overwrites
+the batch's own folder ``stream_id=<id>/batch_id=<n>``. The id is that of the
+checkpoint's stream, so a batch replayed after a failure replaces its own
+output, and a second checkpoint on the same table replaces nothing.
 
 The path list is de-duplicated and glob characters are escaped before the
-files are read again: Spark's file stream source re-globs listed paths, and a file
+files are read: Spark's file stream source re-globs listed paths, and a file
 named e.g. ``p[1].json`` or ``p{a,b}.json`` made it deliver files of that
-batch more than once. Only paths reach the driver, at most
+batch more than once. Only paths and lengths reach the driver, at most
 ``max_files_per_trigger`` per batch.
 """
 
@@ -43,42 +42,29 @@ def literal_paths(paths: list[str]) -> list[str]:
     return [literal_path(p) for p in paths]
 
 
-def batch_folder(table_dir: str, batch_id: int) -> str:
-    return f"{table_dir.rstrip('/')}/batch_id={batch_id}"
+def batch_folder(table_dir: str, stream_id: str, batch_id: int) -> str:
+    return f"{table_dir.rstrip('/')}/stream_id={stream_id}/batch_id={batch_id}"
 
 
 def path_batches(spark: SparkSession, landing_dir: str, checkpoint_dir: str,
-                 handle: Callable[..., None], path_glob: str | None = None,
-                 max_files_per_trigger: int | None = 1000, available_now: bool = True,
-                 with_files: bool = False) -> StreamingQuery:
-    """Stream new file paths of ``landing_dir``; ``handle(paths, batch_id)``
-    gets each micro-batch's distinct paths (never an empty list).
-
-    With ``with_files``, ``handle(paths, batch_id, files)`` also gets the
-    micro-batch's own ``binaryFile`` rows (``path``, ``content``) when they
-    hold each file exactly once, else ``None`` (then read ``paths``). Using
-    them reads every file once, with no second listing.
-    """
-    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE)
+                 handle: Callable[[dict[str, int], str, int], None], path_glob: str | None = None,
+                 max_files_per_trigger: int = 1000, available_now: bool = True) -> StreamingQuery:
+    """Stream new files of ``landing_dir``; ``handle(files, stream_id, batch_id)``
+    gets each micro-batch's paths with their lengths (never none)."""
+    if max_files_per_trigger < 1:
+        raise ValueError("max_files_per_trigger must be at least 1: it bounds what a batch lists")
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE)
+              .option("maxFilesPerTrigger", max_files_per_trigger))
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
-    if max_files_per_trigger:
-        # bounded micro-batches: a failure redoes one batch, not the backlog
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    files = reader.load(landing_dir).select("path", "content") if with_files \
-        else reader.load(landing_dir).select("path")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        listed = [r.path for r in batch.select("path").collect()]   # names only (content not read)
-        paths = sorted(set(listed))
-        if not paths:
-            return
-        if with_files:
-            handle(paths, batch_id, batch if len(listed) == len(paths) else None)
-        else:
-            handle(paths, batch_id)
-
-    writer = files.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_dir)
+        files = {r.path: r.length for r in batch.collect()}
+        if files:
+            stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            handle(files, stream_id, batch_id)
+    writer = (reader.load(landing_dir).select("path", "length").writeStream.foreachBatch(run)
+              .option("checkpointLocation", checkpoint_dir))
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()

@@ -4,22 +4,25 @@ Incremental over the landing folder (``availableNow`` by default: take all
 files present now, then stop; the checkpoint remembers which files were
 done). Each file is one API payload, usually an indented document, so it is
 read whole (``wholetext``), checked and split into record texts by a
-streaming parse, and each record is parsed into a VARIANT:
+streaming parse, and each record is parsed by itself:
 
 * payload shapes: a list of records, ``{"data": [...]}``, ``{"results": [...]}``
   or a single record object (same precedence as the payload record count);
   a file that is not one JSON document but JSON Lines (one document per
   line, every line valid) is read line by line;
-* known fields are typed with ``try_variant_get``; unknown keys, and known
-  keys whose value does not fit the type, go to ``_rescued_data`` as JSON —
-  nothing is lost and the load never fails;
-* a file that does not parse gives one row whose ``_rescued_data`` holds the
-  text (its claim id is null, so staging drops it and the ledger marks it
-  FAILED);
+* known fields are typed; unknown keys of a record or of an event, known keys
+  whose value does not fit, and events that are no objects go to
+  ``_rescued_data`` as JSON;
+* a record with a repeated key gets the last value of its known keys, and its
+  whole text is rescued under ``_record``;
+* a file that is not JSON, or not UTF-8, gives one row whose ``_rescued_data``
+  holds the text (its claim id is null, so staging drops it and the ledger
+  marks it FAILED); the other files of the batch load;
+* a file above ``WHOLE_FILE_BYTES`` does not fit a row: it is read by lines,
+  each a document of its own;
 * ``_source_file`` / ``_ingested_at`` lineage per row.
 
-Files are discovered by the path stream of ``streaming/files.py``; each
-micro-batch overwrites its own ``batch_id=<n>`` folder (exactly once).
+The number of rows of a file is its record count in the ledger.
 """
 
 from __future__ import annotations
@@ -28,12 +31,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.payload import document_texts, record_variants
+from ..functions.exprs import let, source_path
+from ..functions.payload import document_texts, is_one_document, payload_record_texts
 from ..schemas import BRONZE_MEDICAL, RAW_MEDICAL
 from .files import batch_folder, literal_paths, path_batches
 from .schema_registry import track_schema
 
 EVENTS_TYPE = "array<struct<type:string,date:string>>"
+#: A row, and so a file that is read whole, holds less than 2 GiB.
+WHOLE_FILE_BYTES = 1 << 30
+LAYOUTS = ("document", "lines")
 
 # Keys kept in _rescued_data: unknown ones, and known ones whose value could
 # not be typed (an explicit JSON null is not rescued).
@@ -43,79 +50,105 @@ map_filter(try_variant_get(r, '$', 'map<string,variant>'), (k, x) ->
     or (k = 'claim_id' and try_variant_get(x, '$', 'string') is null and not is_variant_null(x))
     or (k = 'medical_events' and try_variant_get(x, '$', '{EVENTS_TYPE}') is null and not is_variant_null(x)))
 """
+# The same for each event: (number, what its row does not hold).
+_EVENT_RESCUE = """
+filter(transform(try_variant_get(r, '$.medical_events', 'array<variant>'), (e, i) -> struct(
+    i as event,
+    case when e is null or is_variant_null(e) then map()
+         when try_variant_get(e, '$', 'map<string,variant>') is null then map('_value', e)
+         else map_filter(try_variant_get(e, '$', 'map<string,variant>'), (k, x) ->
+             k not in ('type', 'date') or (try_variant_get(x, '$', 'string') is null and not is_variant_null(x)))
+    end as rest)), p -> size(p.rest) > 0)
+"""
 
 
 def parse_payloads(text: DataFrame) -> DataFrame:
     """(value, _source_file) payload texts -> bronze medical rows (without _ingested_at).
 
-    Records come out of the document parse as VARIANT values. The file text
-    is not carried through the ``explode`` (that would copy the whole payload
-    into every record row); only a file that is not JSON keeps it, on its one
-    output row.
+    The file text is not carried through the ``explode`` (that would copy the
+    whole payload into every record row); only a file that is not JSON keeps
+    it, on its one output row.
     """
     docs = text.select("_source_file", document_texts("value").alias("_docs"), "value")
     ok = F.col("_docs").isNotNull()
-    records = F.when(ok, F.flatten(F.transform("_docs", record_variants))) \
-        .otherwise(F.array(F.lit(None).cast("variant")))
-    recs = docs.select("_source_file", F.when(~ok, F.col("value")).alias("_bad"), F.explode(records).alias("r"))
+    recs = docs.select(
+        "_source_file", F.when(~ok, F.make_valid_utf8("value")).alias("_bad"),
+        F.explode(F.when(ok, payload_record_texts(F.col("_docs"))).otherwise(F.array(F.lit(None).cast("string"))))
+        .alias("t"))
+    # in brackets the whole text has to be one value: nothing may follow it
+    one = let(F.from_json(F.concat(F.lit("["), "t", F.lit("]")), "array<variant>"), lambda a: F.when(F.size(a) == 1, a[0]))
+    recs = recs.withColumn("r", one)
+    # an object that is no variant has a repeated key somewhere
+    again = F.col("r").isNull() & F.startswith("t", F.lit("{")) & is_one_document(F.col("t"))
+    recs = recs.withColumn("j", F.when(again, F.from_json("t", f"claim_id string, medical_events {EVENTS_TYPE}")))
     typed = recs.select(
-        "_source_file", "_bad", "r",
-        F.expr("try_variant_get(r, '$.claim_id', 'string')").alias("claim_id"),
-        F.expr(f"try_variant_get(r, '$.medical_events', '{EVENTS_TYPE}')").alias("medical_events"),
+        "_source_file", "_bad", "t", "r", "j",
+        F.coalesce(F.expr("try_variant_get(r, '$.claim_id', 'string')"), F.col("j.claim_id")).alias("claim_id"),
+        F.coalesce(F.expr(f"try_variant_get(r, '$.medical_events', '{EVENTS_TYPE}')"), F.col("j.medical_events"))
+        .alias("medical_events"),
         F.expr(_RESCUE).alias("_extra"),
+        F.coalesce(F.expr(_EVENT_RESCUE), F.expr("array()")).alias("_events"),
     )
+    with_events = F.expr("map_concat(_extra, map('medical_events', to_variant_object(_events)))")
     rescued = (F.when(F.col("_bad").isNotNull(), F.to_json(F.struct(F.col("_bad").alias("_corrupt_record"))))
-               .when(F.col("r").isNull(), F.lit(None).cast("string"))
+               .when(F.col("t").isNull(), F.lit(None).cast("string"))
+               .when(F.col("j").isNotNull(), F.to_json(F.struct(F.col("t").alias("_record"))))
+               .when(F.col("r").isNull(), F.to_json(F.struct(F.col("t").alias("_value"))))
+               .when(F.expr("is_variant_null(r)"), F.lit(None).cast("string"))
                .when(F.col("_extra").isNull(), F.to_json(F.struct(F.col("r").alias("_value"))))
+               .when(F.size("_events") > 0, F.to_json(with_events))
                .when(F.size("_extra") > 0, F.to_json("_extra")))
     return typed.select("claim_id", "medical_events", rescued.alias("_rescued_data"), "_source_file")
 
 
-def read_payload_texts(spark: SparkSession, paths: list[str], layout: str = "document") -> DataFrame:
-    """(value, _source_file) of the given files.
+def by_size(files: dict[str, int], layout: str) -> tuple[list[str], list[str]]:
+    """The files to read whole, and those to read by lines."""
+    if layout not in LAYOUTS:
+        raise ValueError(layout)
+    whole = [p for p, n in files.items() if layout == "document" and n <= WHOLE_FILE_BYTES]
+    return whole, [p for p in files if p not in set(whole)]
+
+
+def read_payload_texts(spark: SparkSession, files: dict[str, int], layout: str = "document") -> DataFrame:
+    """(value, _source_file) of the given files (path -> length).
 
     ``layout="document"``: one payload document (or JSON Lines) per file, read
     whole. ``layout="lines"``: JSON Lines feeds of any size, read line by line
     so that large files are split over tasks; each line is a document.
     """
-    if layout == "document":
+    whole, lines = by_size(files, layout)
+    parts = []
+    if whole:
         # wholetext must be the argument of text(): as an option it is overridden
-        raw = spark.read.text(literal_paths(paths), wholetext=True)
-    elif layout == "lines":
-        raw = spark.read.text(literal_paths(paths)).filter(F.trim("value") != "")
-    else:
-        raise ValueError(layout)
-    return raw.select("value", F.col("_metadata.file_path").alias("_source_file"))
+        parts.append(spark.read.text(literal_paths(whole), wholetext=True).select(
+            "value", source_path().alias("_source_file")))
+    if lines:
+        parts.append(spark.read.text(literal_paths(lines)).filter(F.trim("value") != "").select(
+            "value", source_path().alias("_source_file")))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def load_payload_files(spark: SparkSession, paths: list[str], layout: str = "document") -> DataFrame:
+def load_payload_files(spark: SparkSession, files: dict[str, int], layout: str = "document") -> DataFrame:
     """Bronze medical rows of the given payload files."""
-    return (parse_payloads(read_payload_texts(spark, paths, layout))
+    return (parse_payloads(read_payload_texts(spark, files, layout))
             .withColumn("_ingested_at", F.current_timestamp())
             .select(*RAW_MEDICAL.fieldNames()))
 
 
 def ingest_medical_json(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint_dir: str,
                         available_now: bool = True, path_glob: str | None = None,
-                        max_files_per_trigger: int | None = 10000, layout: str = "document") -> StreamingQuery:
+                        max_files_per_trigger: int = 10000, layout: str = "document") -> StreamingQuery:
     """Start the ingest; with ``available_now`` it stops by itself when done."""
-    if layout not in ("document", "lines"):
+    if layout not in LAYOUTS:
         raise ValueError(layout)
     track_schema(spark, checkpoint_dir, RAW_MEDICAL)
 
-    def write(paths: list[str], batch_id: int, files: DataFrame | None = None) -> None:
-        if layout == "document" and files is not None:
-            # the micro-batch already holds each file once: decode its content
-            texts = files.select(F.decode("content", "UTF-8").alias("value"), F.col("path").alias("_source_file"))
-            raw = (parse_payloads(texts).withColumn("_ingested_at", F.current_timestamp())
-                   .select(*RAW_MEDICAL.fieldNames()))
-        else:
-            raw = load_payload_files(spark, paths, layout)
-        raw.write.mode("overwrite").parquet(batch_folder(table_dir, batch_id))
-    return path_batches(spark, landing_dir, checkpoint_dir, write, path_glob, max_files_per_trigger, available_now,
-                        with_files=(layout == "document"))
+    def write(files: dict[str, int], stream_id: str, batch_id: int) -> None:
+        load_payload_files(spark, files, layout).write.mode("overwrite").parquet(
+            batch_folder(table_dir, stream_id, batch_id))
+    return path_batches(spark, landing_dir, checkpoint_dir, write, path_glob, max_files_per_trigger, available_now)
 
 
 def read_bronze_medical(spark: SparkSession, table_dir: str) -> DataFrame:
-    """The bronze table; ``batch_id`` is the micro-batch partition."""
+    """The bronze table; ``stream_id`` and ``batch_id`` name the micro-batch."""
     return spark.read.schema(BRONZE_MEDICAL).parquet(table_dir)

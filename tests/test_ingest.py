@@ -4,8 +4,9 @@ import os
 from pyspark.sql import functions as F
 
 from casegrade.session import scratch_dir
-from casegrade.streaming.claims_csv import (_batch_writer, header_columns, ingest_claims_csv,
+from casegrade.streaming.claims_csv import (cells, column_names, ingest_claims_csv, load_claim_files,
                                             read_bronze_claims)
+from casegrade.streaming.files import batch_folder
 from casegrade.streaming.medical_json import ingest_medical_json, read_bronze_medical
 
 
@@ -58,8 +59,42 @@ def test_json_each_file_once_over_runs(spark):
     assert _run_json(spark, d).count() == 3
 
 
-def test_header_columns():
-    assert header_columns('a,"b,c", d ,a,') == ["a", "b,c", "d", "a_3", "_c4"]
+def test_column_names(spark):
+    cases = {'a,"b,c", d ,a,': ["a", "b,c", "d", "a_3", "_c4"],
+             "claim_id,Claim_ID": ["claim_id", "Claim_ID"],
+             "claim_id,x,x_3,x": ["claim_id", "x", "x_3", "x__3"],
+             "x,x,x": ["x", "x_1", "x_2"], "_corrupt_record": ["_corrupt_record_0"]}
+    df = spark.createDataFrame([(h,) for h in cases], "header string")
+    got = {r.header: r.names for r in df.select("header", column_names(cells(F.col("header"), 8, ",")).alias("names")).collect()}
+    assert got == cases
+
+
+def test_headers_that_look_alike_do_not_stop_the_feed(spark):
+    d = scratch_dir(spark, "t-csv-alike")
+    land = f"{d}/landing"
+    os.makedirs(land)
+    _put(land, "a.csv", "claim_id,Claim_ID\nA1,A2\n")
+    _put(land, "b.csv", "claim_id,x,x_3,x\nB1,1,2,3\n")
+    _put(land, "c.csv", "claim_id\nC1\n")
+    _put(land, "d.csv", 'claim_id,body_part\n"D1,knee\nD2,"a\nD3,arm,more,cells,than,any,header\nD4,arm\n')
+    ingest_claims_csv(spark, land, f"{d}/bronze", f"{d}/ckpt").awaitTermination()
+    rows = read_bronze_claims(spark, f"{d}/bronze").collect()
+    by_id = {r.claim_id: r._rescued_data and json.loads(r._rescued_data) for r in rows}
+    assert by_id["A1"] == {"Claim_ID": "A2"} and by_id["B1"] == {"x": "1", "x_3": "2", "x__3": "3"}
+    assert by_id["C1"] is None and by_id["D4"] is None
+    lost = sorted(json.loads(r._rescued_data)["_corrupt_record"] for r in rows if r.claim_id is None)
+    assert lost == sorted(['"D1,knee', 'D2,"a', "D3,arm,more,cells,than,any,header"])
+
+
+def test_one_scan_for_any_number_of_headers(spark):
+    d = scratch_dir(spark, "t-csv-many")
+    for i in range(30):
+        _put(d, f"f{i}.csv", f"x{i},claim_id\nv,C{i}\n")
+    df = load_claim_files(spark, [f"file:{d}/f{i}.csv" for i in range(30)])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 2                 # the lines, and the headers among them
+    got = {r.claim_id: json.loads(r._rescued_data) for r in df.collect()}
+    assert got == {f"C{i}": {f"x{i}": "v"} for i in range(30)}
 
 
 def test_csv_by_name_rescue_and_ids(spark):
@@ -94,8 +129,10 @@ def test_csv_exactly_once_and_replay_idempotent(spark):
     bronze = read_bronze_claims(spark, f"{d}/bronze")
     assert sorted(r.claim_id for r in bronze.collect()) == ["A", "B", "C"]
     # a batch replayed after a failure replaces its own output
-    write = _batch_writer(spark, f"{d}/bronze", ",")
-    write([f"file:{land}/b.csv"], 1)
+    stream = bronze.select("stream_id").distinct().collect()
+    assert len(stream) == 1
+    load_claim_files(spark, [f"file:{land}/b.csv"]).write.mode("overwrite").parquet(
+        batch_folder(f"{d}/bronze", stream[0].stream_id, 1))
     bronze = read_bronze_claims(spark, f"{d}/bronze")
     assert sorted(r.claim_id for r in bronze.collect()) == ["A", "B", "C"]
     assert {r.batch_id: r.n for r in bronze.groupBy("batch_id").agg(F.count("*").alias("n")).collect()} == {0: 1, 1: 2}
@@ -127,6 +164,68 @@ def test_csv_odd_header_names_and_blank_lines(spark):
     assert json.loads(rows[0]._rescued_data) == {"note, free": "hello", "`x`.y": "z", "claim_id_3": "dup"}
 
 
+def test_second_checkpoint_destroys_nothing(spark):
+    d = scratch_dir(spark, "t-second-ckpt")
+    for name in ("old", "new"):
+        os.makedirs(f"{d}/{name}")
+        _put(f"{d}/{name}", "a.csv", f"claim_id\n{name.upper()}\n")
+        ingest_claims_csv(spark, f"{d}/{name}", f"{d}/bronze", f"{d}/ckpt-{name}").awaitTermination()
+    assert sorted(r.claim_id for r in read_bronze_claims(spark, f"{d}/bronze").collect()) == ["NEW", "OLD"]
+
+
+def test_no_record_is_lost_and_no_file_stops_the_feed(spark):
+    from casegrade.operators import ledger as L
+    d = scratch_dir(spark, "t-json-dirty")
+    land = f"{d}/landing"
+    os.makedirs(land)
+    _put(land, "again.json", '[{"claim_id":"A"},{"claim_id":"B","claim_id":"B2"},{"claim_id":"C"}]')
+    _put(land, "data.json", '{"data":[{"claim_id":"D"},{"x":1,"x":2}]}')
+    _put(land, "single.json", '{"claim_id":"E","claim_id":"E2","medical_events":[{"type":"surgery"}]}')
+    _put(land, "events.json", '{"claim_id":"F","medical_events":[{"type":"surgery","date":"d","dose":5},"text",null]}')
+    with open(f"{land}/latin.json", "wb") as f:
+        f.write('[{"claim_id":"é"}]'.encode("latin-1"))
+    _put(land, "good.json", '[{"claim_id":"G"}]')
+    rows = _run_json(spark, d).collect()
+    assert sorted(r.claim_id for r in rows if r.claim_id) == ["A", "B2", "C", "D", "E2", "F", "G"]
+    by_id = {r.claim_id: r for r in rows}
+    assert json.loads(by_id["B2"]._rescued_data) == {"_record": '{"claim_id":"B","claim_id":"B2"}'}
+    assert by_id["E2"].medical_events[0].type == "surgery"
+    assert json.loads(by_id["F"]._rescued_data) == {
+        "medical_events": [{"event": 0, "rest": {"dose": 5}}, {"event": 1, "rest": {"_value": "text"}}]}
+    L.record_payloads(spark, land, f"{d}/manifest", "api")
+    ledger = {r.landing_path.rpartition("/")[2]: r.record_count
+              for r in L.read_manifest(spark, f"{d}/manifest", "payload").collect() if r.status == "LANDED"}
+    counts = {}
+    for r in rows:
+        name = r._source_file.rpartition("/")[2]
+        counts[name] = counts.get(name, 0) + 1
+    assert ledger == {k: v for k, v in counts.items() if k != "latin.json"} and counts["latin.json"] == 1
+
+
+def test_file_above_the_row_limit(spark, monkeypatch):
+    from casegrade.operators import ledger as L
+    from casegrade.streaming import medical_json as M
+    d = scratch_dir(spark, "t-big")
+    os.makedirs(f"{d}/landing")
+    os.makedirs(f"{d}/csv")
+    _put(f"{d}/landing", "big.json", '{"claim_id":"A"}\n{"claim_id":"B"}\n')
+    _put(f"{d}/landing", "indented.json", '{\n "claim_id":"Z"\n}\n' + " " * 10)
+    _put(f"{d}/landing", "s.json", '{"claim_id":"C"}')
+    _put(f"{d}/csv", "c.csv", "claim_id,body_part\nA,knee and more\n")
+    monkeypatch.setattr(M, "WHOLE_FILE_BYTES", 20)
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "10")
+    try:
+        rows = _run_json(spark, d).collect()
+        ingest_claims_csv(spark, f"{d}/csv", f"{d}/cb", f"{d}/cc").awaitTermination()
+        assert L.record_payloads(spark, f"{d}/landing", f"{d}/pm", "api") == {"landed": 2, "failed": 1}
+        assert L.record_files(spark, f"{d}/csv", f"{d}/fm", "sftp") == {"landed": 1, "failed": 0}
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert sorted(r.claim_id for r in rows if r.claim_id) == ["A", "B", "C"]
+    assert any("Z" in (r._rescued_data or "") for r in rows)
+    assert read_bronze_claims(spark, f"{d}/cb").count() == 1
+
+
 def test_json_list_elements_keep_their_json_type(spark):
     from casegrade.streaming.medical_json import parse_payloads
     df = spark.createDataFrame([('[{"claim_id": "A"}, "x", 3, "{\\"claim_id\\": \\"B\\"} junk", null]', "f")],

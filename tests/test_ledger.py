@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from casegrade.functions.payload import document_texts, parse_document, payload_record_count
+from casegrade.functions.payload import document_texts, is_one_document, payload_record_count
 from casegrade.operators import ledger as L
 from casegrade.session import scratch_dir
 
@@ -30,12 +30,26 @@ def test_scan_files_hash_size_and_suffix(spark):
     assert dup == {"a.csv": (2, True), "d.csv": (2, True), "B.CSV": (1, False)}
 
 
-def test_too_large_file_is_failed_without_reading(spark):
-    d = scratch_dir(spark, "t-big")
+def test_file_of_many_pieces(spark, monkeypatch):
+    from casegrade.sources import store
+    d = scratch_dir(spark, "t-pieces")
+    data = os.urandom(1000)
     with open(os.path.join(d, "big.csv"), "wb") as f:
-        f.write(b"0123456789")
-    r = L.scan_files(spark, d, "sftp_claims", max_bytes=5).collect()[0]
-    assert r.status == "FAILED" and r.file_hash is None and "too large" in r.error_message
+        f.write(data)
+    monkeypatch.setattr(store, "PIECE", 7)
+    assert store.sha256_of(f"file:{d}/big.csv") == (hashlib.sha256(data).hexdigest(), 1000)
+
+
+def test_unreadable_file_fails_alone(spark):
+    d = scratch_dir(spark, "t-gone")
+    with open(os.path.join(d, "a.csv"), "wb") as f:
+        f.write(b"x")
+    listed = spark.createDataFrame([(f"file:{d}/a.csv", "a.csv"), (f"file:{d}/gone.csv", "gone.csv")],
+                                   "path string, file_name string")
+    rows = {r.file_name: r for r in L.manifest_rows(listed, "sftp_claims").collect()}
+    assert rows["a.csv"].status == "LANDED" and rows["a.csv"].file_size_bytes == 1
+    gone = rows["gone.csv"]
+    assert gone.status == "FAILED" and gone.file_hash is None and gone.landing_path is None and gone.error_message
 
 
 def test_new_files_skip_landed_retry_failed(spark):
@@ -84,9 +98,9 @@ def test_append_manifest_with_all_null_column(spark):
     assert m.count() == 2 and dict(m.dtypes)["file_size_bytes"] == "bigint"
 
 
-def test_parse_document_strict(spark):
+def test_one_document_strict(spark):
     df = spark.createDataFrame([('{"a":1}',), ('{"a":1} x',), ('[1] [2]',)], "t string")
-    got = [r.ok for r in df.select(parse_document("t").isNotNull().alias("ok")).collect()]
+    got = [r.ok for r in df.select(is_one_document(F.col("t")).alias("ok")).collect()]
     assert got == [True, False, False]
     n = df.select(payload_record_count(document_texts("t")).alias("n")).collect()
     assert [r.n for r in n] == [1, None, None]
@@ -106,19 +120,56 @@ def test_record_files_hashes_each_file_once(spark):
     os.makedirs(land)
     with open(f"{land}/a.csv", "wb") as f:
         f.write(b"claim_id\nA\n")
-    assert L.record_files(spark, land, f"{d}/manifest", f"{d}/ckpt", "sftp_claims") == {"landed": 1, "failed": 0}
-    assert L.record_files(spark, land, f"{d}/manifest", f"{d}/ckpt", "sftp_claims") == {"landed": 0, "failed": 0}
+    assert L.record_files(spark, land, f"{d}/manifest", "sftp_claims") == {"landed": 1, "failed": 0}
+    assert L.record_files(spark, land, f"{d}/manifest", "sftp_claims") == {"landed": 0, "failed": 0}
     with open(f"{land}/b.CSV", "wb") as f:
         f.write(b"claim_id\nB\n")
     with open(f"{land}/c.txt", "wb") as f:
         f.write(b"not a claim file")
-    assert L.record_files(spark, land, f"{d}/manifest", f"{d}/ckpt", "sftp_claims") == {"landed": 1, "failed": 0}
+    assert L.record_files(spark, land, f"{d}/manifest", "sftp_claims") == {"landed": 1, "failed": 0}
     m = L.read_manifest(spark, f"{d}/manifest")
     assert sorted(r.file_name for r in m.collect()) == ["a.csv", "b.CSV"]
     assert {r.file_hash for r in m.collect()} == {hashlib.sha256(b"claim_id\nA\n").hexdigest(),
                                                  hashlib.sha256(b"claim_id\nB\n").hexdigest()}
 
 
+def test_failed_names_are_offered_again_and_landed_ones_are_not(spark):
+    d = scratch_dir(spark, "t-retry")
+    land = f"{d}/landing"
+    os.makedirs(f"{land}/other")
+    for name in ("a.csv", "b.csv"):
+        with open(f"{land}/{name}", "wb") as f:
+            f.write(name.encode())
+    failed = spark.createDataFrame([("sftp_claims", "a.csv", "FAILED"), ("sftp_claims", "b.csv", "LANDED")],
+                                   "source_system string, file_name string, status string")
+    for c, t in (("remote_path", "string"), ("landing_path", "string"), ("file_size_bytes", "bigint"), ("file_hash", "string"),
+                 ("ingested_at", "timestamp"), ("error_message", "string")):
+        failed = failed.withColumn(c, F.lit(None).cast(t))
+    assert L.append_manifest(failed, f"{d}/manifest") == {"landed": 1, "failed": 1}
+    assert L.record_files(spark, land, f"{d}/manifest", "sftp_claims") == {"landed": 1, "failed": 0}
+    with open(f"{land}/other/b.csv", "wb") as f:              # a new path with a LANDED name
+        f.write(b"again")
+    assert L.record_files(spark, land, f"{d}/manifest", "sftp_claims") == {"landed": 0, "failed": 0}
+    got = sorted((r.file_name, r.status) for r in L.read_manifest(spark, f"{d}/manifest").collect())
+    assert got == [("a.csv", "FAILED"), ("a.csv", "LANDED"), ("b.csv", "LANDED")]
+
+
+def test_payload_runs_in_pages_and_line_mode(spark):
+    d = scratch_dir(spark, "t-payload-pages")
+    land = f"{d}/landing"
+    os.makedirs(land)
+    for i in range(5):
+        with open(f"{land}/p{i}.json", "w") as f:
+            f.write('{"a":1}\n[1,2,3]\n' if i != 3 else '{"a":1}\n{broken\n')
+    for layout in ("document", "lines"):
+        m = f"{d}/{layout}"
+        assert L.record_payloads(spark, land, m, "api", layout=layout, files_per_batch=2) == {"landed": 4, "failed": 1}
+        assert L.record_payloads(spark, land, m, "api", layout=layout) == {"landed": 0, "failed": 1}
+        rows = [r for r in L.read_manifest(spark, m, "payload").collect() if r.status == "LANDED"]
+        assert {r.record_count for r in rows} == {4}
+        assert {r.payload_hash for r in rows} == {hashlib.sha256(b'{"a":1}\n[1,2,3]\n').hexdigest()}
+
+
 def test_record_files_with_glob_characters_in_names(spark):
     d = scratch_dir(spark, "t-record-glob")
     land = f"{d}/landing"
@@ -126,7 +177,7 @@ def test_record_files_with_glob_characters_in_names(spark):
     for name in ("a[1].csv", "b{x,y}.csv", "plain.csv"):
         with open(f"{land}/{name}", "wb") as f:
             f.write(name.encode())
-    assert L.record_files(spark, land, f"{d}/manifest", f"{d}/ckpt", "sftp_claims") == {"landed": 3, "failed": 0}
+    assert L.record_files(spark, land, f"{d}/manifest", "sftp_claims") == {"landed": 3, "failed": 0}
     m = L.read_manifest(spark, f"{d}/manifest").collect()
     assert sorted(r.file_name for r in m) == ["a[1].csv", "b{x,y}.csv", "plain.csv"]
     assert sorted(r.file_size_bytes for r in m) == sorted(len(n) for n in ("a[1].csv", "b{x,y}.csv", "plain.csv"))
