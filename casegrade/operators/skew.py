@@ -3,23 +3,21 @@
 Assume one key may hold a third of the left rows (e.g. a feed that repeats
 one claim id). A plain shuffle join sends all of them to one task. Here:
 
-1. ``hot_key_values`` — the heaviest keys (each with at least
-   ``min_sample_rows`` sampled rows) of a seeded sample of the left side's
-   key column, at most ``1 / min_share`` of them (100 by default): every key
-   holding ``min_share`` of the rows is among them, and collecting the list
-   to the driver has a proven bound.
+1. ``hot_keys`` — the keys that would fill more than ``factor`` mean shuffle
+   partitions, by their share of a seeded sample. There are at most
+   ``partitions / factor`` of them, so the list is bounded by construction.
 2. No hot key (the usual case): a plain left join. The flag side keeps the
    ``claim_id`` partitioning of its aggregation (no second exchange) and AQE
    may broadcast it when its measured size is small.
-3. Hot keys: left rows of hot keys get a salt in ``[0, buckets)`` (a hash
-   of the row, so retries reproduce it), all others salt 0; right rows of hot keys are replicated once per salt
-   (at most ``buckets / min_share`` extra rows). Joining on ``(key, salt)``
-   spreads a hot key over ``buckets`` tasks.
+3. Hot keys: left rows of hot keys get a salt in ``[0, buckets)`` by their
+   place in the scan, which a retried task reproduces and which spreads equal
+   rows too; all others get salt 0. Right rows of hot keys are replicated once
+   per salt. Joining on ``(key, salt)`` spreads a hot key over ``buckets``
+   tasks.
 
 Each left row still meets exactly the right rows of its key, so the result
-equals the plain join; only the work distribution changes. Rows that are
-identical in every column share a salt (they cannot be told apart
-deterministically); any other mix of rows under a hot key is spread.
+equals the plain join; only the work distribution changes. The left side must
+be read from storage (its rows then have the same places in every attempt).
 """
 
 from __future__ import annotations
@@ -28,42 +26,36 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_SALT = "_salt"
+_SALT, _HOT = "_salt", "_hot_key"
 
 
 @dataclass(frozen=True)
 class SkewGuard:
-    min_share: float = 0.01      # a hot key holds >= 1 % of the sampled rows
+    factor: float = 4.0          # hot: as many rows as this many mean partitions
     sample_fraction: float = 0.01
     buckets: int = 64
     seed: int = 17
-    min_sample_rows: int = 20    # and >= this many sampled rows (tiny samples)
+    min_sample_rows: int = 20    # fewer sampled rows say nothing about a share
+    partitions: int | None = None  # default: spark.sql.shuffle.partitions
 
+    def parts(self, df: DataFrame) -> int:
+        return self.partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-def max_hot_keys(guard: SkewGuard) -> int:
-    return max(1, int(1 / guard.min_share))
 
+def hot_keys(df: DataFrame, key: str, guard: SkewGuard) -> list:
+    """The keys whose share of the sample is ``factor / partitions`` or more.
 
-def hot_keys(df: DataFrame, key: str, guard: SkewGuard) -> DataFrame:
-    """The heaviest keys of a seeded sample, at most ``1 / min_share`` of them.
-
-    A key holding ``min_share`` of the rows is among the ``1 / min_share``
-    heaviest, so it is always found; keys below ``min_sample_rows`` sampled
-    rows are never hot. One job: partial counts, then a top-k merge.
+    One job: partial counts, the total beside them, and a filter on the share.
     """
-    sample = (df.select(key).filter(F.col(key).isNotNull())
-              .sample(fraction=guard.sample_fraction, seed=guard.seed))
+    sample = df.select(key).sample(fraction=guard.sample_fraction, seed=guard.seed)
     counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return (counts.filter(F.col("_n") >= guard.min_sample_rows)
-            .orderBy(F.col("_n").desc()).limit(max_hot_keys(guard))
-            .select(key))
-
-
-def hot_key_values(df: DataFrame, key: str, guard: SkewGuard) -> list:
-    rows = hot_keys(df, key, guard).collect()   # bounded: <= 1 / min_share rows
-    return [r[0] for r in rows]
+    share = guard.factor / guard.parts(df)
+    total = sample.agg(F.count(F.lit(1)).alias("_total"))
+    hot = (counts.crossJoin(F.broadcast(total))           # one row
+           .filter(F.col(key).isNotNull() & (F.col("_n") >= guard.min_sample_rows)
+                   & (F.col("_n") >= share * F.col("_total"))))
+    return [r[0] for r in hot.select(key).collect()]      # at most partitions / factor
 
 
 def salted_left_join(left: DataFrame, right: DataFrame, key: str,
@@ -75,18 +67,19 @@ def salted_left_join(left: DataFrame, right: DataFrame, key: str,
     if guard is None:
         return left.join(right, key, "left")
     if hot is None:
-        hot = hot_key_values(left, key, guard)
+        hot = hot_keys(left, key, guard)
     if not hot:
         return left.join(right, key, "left")
-    is_hot = F.col(key).isin(*hot)
-    # The salt is a hash of the row itself, not rand(): a task recomputed
-    # after a lost executor gives every row the same salt again, so a retried
-    # shuffle can never move a row to another reducer (duplicate or lose it).
-    hashable = [F.col(f"`{f.name}`") for f in left.schema.fields
-                if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    salt = F.pmod(F.xxhash64(F.lit(guard.seed), *hashable), F.lit(guard.buckets)).cast("int")
-    salted_left = left.withColumn(_SALT, F.when(is_hot, salt).otherwise(F.lit(0)))
-    salted_right = right.withColumn(
-        _SALT, F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(guard.buckets - 1)))
-                         .otherwise(F.array(F.lit(0)))))
+    kind = left.schema[key].dataType.simpleString()
+    table = F.broadcast(left.sparkSession.createDataFrame([(k,) for k in hot], f"{_HOT} {kind}"))
+
+    def marked(df):
+        return df.join(table, F.col(key) == F.col(_HOT), "left")
+    place = F.pmod(F.monotonically_increasing_id(), F.lit(guard.buckets)).cast("int")
+    salted_left = (marked(left.withColumn("_place", place))
+                   .withColumn(_SALT, F.when(F.col(_HOT).isNotNull(), F.col("_place")).otherwise(F.lit(0)))
+                   .drop(_HOT, "_place"))
+    salted_right = marked(right).withColumn(
+        _SALT, F.explode(F.when(F.col(_HOT).isNotNull(), F.sequence(F.lit(0), F.lit(guard.buckets - 1)))
+                         .otherwise(F.array(F.lit(0))))).drop(_HOT)
     return salted_left.join(salted_right, [key, _SALT], "left").drop(_SALT)

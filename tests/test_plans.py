@@ -57,7 +57,7 @@ def test_hot_claim_id_is_salted_and_result_unchanged(spark):
     claims = stage_claims(claims_df(spark, rows))
     meds = stage_medical(medical_df(spark, [("HOT", [("surgery", None)], None, "m"),
                                             ("C1", [("opioid prescription", None)], None, "m")]))
-    guard = SkewGuard(min_share=0.05, sample_fraction=0.5, buckets=8)
+    guard = SkewGuard(sample_fraction=0.5, buckets=8, partitions=100)
     salted = complexity_score(claims, meds, guard)
     assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
     plain = complexity_score(claims, meds, None)
