@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import time
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+POINTER = "folder string, written_at bigint"
 
 GOLD_COLUMNS = ("claim_id", "date_of_loss", "body_part", "is_litigated", "number_of_priors",
                 "has_surgery", "has_opioid", "complexity_score", "complexity_band",
@@ -24,6 +29,28 @@ def high_complexity_daily(scored: DataFrame, report_date: Column | None = None,
             .select(*GOLD_COLUMNS))
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Full rebuild of a materialised model at ``path``."""
-    df.write.mode("overwrite").format(fmt).save(path)
+def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
+    """Full rebuild of a materialised model under ``path``; the new folder.
+
+    The rows go to a run folder of their own. Only when they are all there is a
+    pointer to it appended, in one file that Spark commits: a reader sees the
+    run before or this run, and a failed job changes nothing. Earlier runs stay
+    until they are removed from outside.
+    """
+    spark, now = df.sparkSession, time.time_ns() // 1000
+    folder = f"{path.rstrip('/')}/run_id={now}"
+    df.write.mode("errorifexists").format(fmt).save(folder)
+    (spark.createDataFrame([(folder, now)], POINTER).coalesce(1)
+     .write.mode("append").parquet(f"{path.rstrip('/')}/current"))
+    return folder
+
+
+def current_folder(spark: SparkSession, path: str) -> str:
+    """The folder of the last complete run."""
+    pointers = spark.read.schema(POINTER).parquet(f"{path.rstrip('/')}/current")
+    return pointers.agg(F.max_by("folder", "written_at")).first()[0]
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """The last complete run, with its declared schema (no footer reads to infer it)."""
+    return spark.read.schema(schema).format(fmt).load(current_folder(spark, path))

@@ -3,7 +3,8 @@
 Scale notes
 * Staging is narrow; the scored model costs two shuffles (flags ``groupBy``
   with map-side partial ``max``; the claims/flags join), both on
-  ``claim_id``; the skew guard salts claim ids holding >= 1 % of claims.
+  ``claim_id``; the skew guard salts claim ids that would fill several
+  partitions.
 * The scored model is written once to the shared folder and read back:
   gold and the declared tests scan the stored table instead of recomputing
   the join (and the write cuts the lineage, so a lost executor never
@@ -14,6 +15,7 @@ Scale notes
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,12 +23,12 @@ from pyspark.sql import functions as F
 
 from ..operators import ledger as L
 from ..operators import quality as Q
-from ..operators.mart import high_complexity_daily, write_table
+from ..operators.mart import current_folder, high_complexity_daily, read_table, write_table
 from ..operators.scoring import complexity_score
 from ..operators.skew import SkewGuard
 from ..operators.staging import medical_event_types, stage_claims, stage_medical
-from ..schemas import (API_MEDICAL_ACTIVITY, DQ_RESULTS, FILE_MANIFEST, GOLD, PAYLOAD_MANIFEST, SCORED,
-                       SFTP_CLAIMS)
+from ..schemas import (API_MEDICAL_ACTIVITY, BRONZE_CLAIMS, BRONZE_MEDICAL, DQ_RESULTS, FILE_MANIFEST, GOLD,
+                       PAYLOAD_MANIFEST, SCORED, SFTP_CLAIMS)
 from ..session import shared_dir
 from ..streaming.claims_csv import ingest_claims_csv, read_bronze_claims
 from ..streaming.medical_json import ingest_medical_json, read_bronze_medical
@@ -39,7 +41,6 @@ _FOLDERS = (
     "checkpoint_claims", "checkpoint_medical",           # stream progress + tracked schema
     "int_claim_complexity_score", "high_complexity_claims_daily", "dq_results",
     "file_manifest", "payload_manifest",                 # ledgers
-    "checkpoint_file_ledger", "checkpoint_payload_ledger",
 )
 
 
@@ -66,24 +67,24 @@ for _name in _FOLDERS:
     setattr(Layout, _name, property(lambda self, _n=_name: self.path(_n)))
 
 
-def record_landed_files(spark: SparkSession, lay: Layout) -> dict:
-    """Ledger rows for landed files not recorded before (file streams: each
-    file is hashed once over all runs; nothing already recorded is re-read).
+def record_landed_files(spark: SparkSession, lay: Layout, json_layout: str = "document") -> dict:
+    """Ledger rows for landed files that are not LANDED in the manifests yet.
 
     Returns ``{"files": {"landed": n, "failed": m}, "payloads": {...}}`` for
-    this run: a failed file is a row plus a count, never a stopped run.
+    this run: a failed file is a row plus a count, never a stopped run, and is
+    offered again by the next run.
     """
     return {
-        "files": L.record_files(spark, lay.landing_claims, lay.file_manifest, lay.checkpoint_file_ledger,
-                                SFTP_CLAIMS),
-        "payloads": L.record_payloads(spark, lay.landing_medical, lay.payload_manifest,
-                                      lay.checkpoint_payload_ledger, API_MEDICAL_ACTIVITY),
+        "files": L.record_files(spark, lay.landing_claims, lay.file_manifest, SFTP_CLAIMS),
+        "payloads": L.record_payloads(spark, lay.landing_medical, lay.payload_manifest, API_MEDICAL_ACTIVITY,
+                                      layout=json_layout),
     }
 
 
-def ingest(spark: SparkSession, lay: Layout) -> None:
+def ingest(spark: SparkSession, lay: Layout, json_layout: str = "document") -> None:
     ingest_claims_csv(spark, lay.landing_claims, lay.bronze_claims, lay.checkpoint_claims).awaitTermination()
-    ingest_medical_json(spark, lay.landing_medical, lay.bronze_medical, lay.checkpoint_medical).awaitTermination()
+    ingest_medical_json(spark, lay.landing_medical, lay.bronze_medical, lay.checkpoint_medical,
+                        layout=json_layout).awaitTermination()
 
 
 def build_models(spark: SparkSession, lay: Layout, report_date: Column | None = None,
@@ -91,21 +92,15 @@ def build_models(spark: SparkSession, lay: Layout, report_date: Column | None =
                  ) -> dict[str, DataFrame]:
     raw_claims = read_bronze_claims(spark, lay.bronze_claims)
     raw_medical = read_bronze_medical(spark, lay.bronze_medical)
-    stg_claims = stage_claims(raw_claims)
-    stg_medical = stage_medical(raw_medical)
-    scored = complexity_score(stg_claims, medical_event_types(raw_medical), skew_guard)
+    scored = complexity_score(stage_claims(raw_claims), medical_event_types(raw_medical), skew_guard)
     write_table(scored, lay.int_claim_complexity_score)
-    # read back with the declared schema: no footer reads to infer it
-    scored = spark.read.schema(SCORED).parquet(lay.int_claim_complexity_score)
+    scored = read_table(spark, lay.int_claim_complexity_score, SCORED)
     gold = high_complexity_daily(scored, report_date, processed_at)
     gold, checks = Q.observe_tests(gold, Q.tests_for("high_complexity_claims_daily"), "gold_write")
     write_table(gold, lay.high_complexity_claims_daily)
     if any(v for k, v in checks.get.items() if k != "n_rows"):
-        import logging
         logging.getLogger(__name__).warning("gold table written with failing checks: %s", checks.get)
-    gold = spark.read.parquet(lay.high_complexity_claims_daily)
-    return {"stg_claims": stg_claims, "stg_medical_activity": stg_medical,
-            "int_claim_complexity_score": scored, "high_complexity_claims_daily": gold}
+    return stored_models(spark, lay)
 
 
 def stored_models(spark: SparkSession, lay: Layout) -> dict[str, DataFrame]:
@@ -113,36 +108,38 @@ def stored_models(spark: SparkSession, lay: Layout) -> dict[str, DataFrame]:
     over bronze, stored scored and gold tables)."""
     return {"stg_claims": stage_claims(read_bronze_claims(spark, lay.bronze_claims)),
             "stg_medical_activity": stage_medical(read_bronze_medical(spark, lay.bronze_medical)),
-            "int_claim_complexity_score": spark.read.schema(SCORED).parquet(lay.int_claim_complexity_score),
-            "high_complexity_claims_daily": spark.read.schema(GOLD).parquet(lay.high_complexity_claims_daily)}
+            "int_claim_complexity_score": read_table(spark, lay.int_claim_complexity_score, SCORED),
+            "high_complexity_claims_daily": read_table(spark, lay.high_complexity_claims_daily, GOLD)}
 
 
 def run_tests(spark: SparkSession, lay: Layout, models: dict[str, DataFrame]) -> DataFrame:
     write_table(Q.dq_report(models), lay.dq_results)
-    return spark.read.schema(DQ_RESULTS).parquet(lay.dq_results)
+    return read_table(spark, lay.dq_results, DQ_RESULTS)
 
 
 def register(spark: SparkSession, lay: Layout) -> None:
-    """Tables in the catalog; the two staging models as session views."""
+    """Tables and the two staging views in the catalog, with their comments."""
     catalog.setup_namespaces(spark)
-    catalog.register_table(spark, "bronze.raw_claims", lay.bronze_claims, partitioned=True)
-    catalog.register_table(spark, "bronze.raw_medical_activity", lay.bronze_medical)
-    catalog.register_table(spark, "silver.int_claim_complexity_score", lay.int_claim_complexity_score)
-    catalog.register_table(spark, "gold.high_complexity_claims_daily", lay.high_complexity_claims_daily)
-    catalog.register_table(spark, "audit.dq_results", lay.dq_results)
-    catalog.create_table(spark, "audit.file_manifest", FILE_MANIFEST, lay.file_manifest)
-    catalog.create_table(spark, "audit.payload_manifest", PAYLOAD_MANIFEST, lay.payload_manifest)
-    stage_claims(spark.table("bronze.raw_claims")).createOrReplaceTempView("stg_claims")
-    stage_medical(spark.table("bronze.raw_medical_activity")).createOrReplaceTempView("stg_medical_activity")
+    catalog.register_stream_table(spark, "bronze.raw_claims", BRONZE_CLAIMS, lay.bronze_claims)
+    catalog.register_stream_table(spark, "bronze.raw_medical_activity", BRONZE_MEDICAL, lay.bronze_medical)
+    for name, schema, path in (("silver.int_claim_complexity_score", SCORED, lay.int_claim_complexity_score),
+                               ("gold.high_complexity_claims_daily", GOLD, lay.high_complexity_claims_daily),
+                               ("audit.dq_results", DQ_RESULTS, lay.dq_results)):
+        catalog.register_table(spark, name, schema, current_folder(spark, path))
+    for name, schema, path in (("audit.file_manifest", FILE_MANIFEST, lay.file_manifest),
+                               ("audit.payload_manifest", PAYLOAD_MANIFEST, lay.payload_manifest)):
+        catalog.register_stream_table(spark, name, L.stored_schema(schema), path, ("batch_id",))
+    catalog.register_view(spark, "silver.stg_claims")
+    catalog.register_view(spark, "silver.stg_medical_activity")
 
 
 def run_pipeline(spark: SparkSession, lay: Layout, report_date: dt.date | None = None,
                  skew_guard: SkewGuard | None = SkewGuard(), with_ledger: bool = True,
-                 with_catalog: bool = True) -> DataFrame:
+                 with_catalog: bool = True, json_layout: str = "document") -> DataFrame:
     """Run every step; returns the declared-test results (22 rows)."""
     if with_ledger:
-        record_landed_files(spark, lay)   # counts are also in the manifests
-    ingest(spark, lay)
+        record_landed_files(spark, lay, json_layout)   # counts are also in the manifests
+    ingest(spark, lay, json_layout)
     models = build_models(spark, lay, F.lit(report_date) if report_date else None, None, skew_guard)
     results = run_tests(spark, lay, models)
     if with_catalog:

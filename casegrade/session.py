@@ -8,6 +8,7 @@ UTC session time (landing times are UTC), UI off.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -50,20 +51,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    # Listing N explicit files (every micro-batch of a file stream does) runs a
-    # job with up to 10,000 one-file tasks; the cluster's own parallelism is
-    # enough and avoids thousands of tiny tasks.
-    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-    if key not in (extra_conf or {}):
-        spark.conf.set(key, str(max(8, spark.sparkContext.defaultParallelism)))
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a folder of our
-    own is created and registered, so executors and driver agree on it.
+    Read from the session; only when it is unset on a local master (tests) a
+    folder of our own is created and registered. A cluster without the setting
+    is an error: a folder of the driver's machine would not be shared.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
@@ -74,6 +70,9 @@ def shared_dir(spark: SparkSession) -> str:
         sc = None
     path = sc.getCheckpointDir() if sc is not None else None
     if not path:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="casegrade-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(path)
