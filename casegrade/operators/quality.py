@@ -8,10 +8,9 @@ rows the failing-rows query would return:
 * ``accepted_values`` — distinct non-null values outside the list (nulls
                         are the business of the accompanying not_null).
 
-Per model, every not_null and accepted_values test folds into ONE aggregate
-pass (partial aggregation, one tiny final exchange); each unique test is a
-``groupBy(col)`` whose map-side partial count keeps a hot value to one row
-per map task.
+A unique test is a ``groupBy(col)`` whose map-side partial counts keep a hot
+value to one row per map task; the model's not_null tests ride on the same
+pass. Accepted-values tests are one narrow pass over their columns.
 """
 
 from __future__ import annotations
@@ -84,34 +83,43 @@ def _result_row(t: ColumnTest, n_rows: Column, n_failed: Column) -> Column:
     )
 
 
-def single_pass_tests(df: DataFrame, tests: list[ColumnTest]) -> DataFrame | None:
-    """not_null + accepted_values of one model in one aggregate pass."""
-    tests = [t for t in tests if t.test in ("not_null", "accepted_values")]
-    if not tests:
-        return None
-    aggs = [F.count(F.lit(1)).alias("_n")] + [_failure_agg(t).alias(f"_f{i}") for i, t in enumerate(tests)]
-    one_row = df.agg(*aggs)
-    rows = F.array(*[_result_row(t, F.col("_n"), F.col(f"_f{i}")) for i, t in enumerate(tests)])
+def _as_rows(one_row: DataFrame, tests: list[ColumnTest]) -> DataFrame:
+    """(_n, _f0, _f1, ...) -> a result row per test."""
+    rows = F.array(*[_result_row(t, F.coalesce(F.col("_n"), F.lit(0)), F.coalesce(F.col(f"_f{i}"), F.lit(0)))
+                     for i, t in enumerate(tests)])
     return one_row.select(F.inline(rows))
 
 
-def unique_test(df: DataFrame, t: ColumnTest) -> DataFrame:
-    """Values occurring more than once, counted; plus the model's row count."""
-    per_value = (df.select(t.column).groupBy(t.column).agg(F.count(F.lit(1)).alias("_c")))
-    summary = per_value.agg(
-        F.sum("_c").alias("_n"),   # every row of the model lands in one group (null included)
-        F.count_if(F.col(t.column).isNotNull() & (F.col("_c") > 1)).alias("_f"),
-    )
-    return summary.select(F.inline(F.array(_result_row(t, F.coalesce(F.col("_n"), F.lit(0)), F.col("_f")))))
+def single_pass_tests(df: DataFrame, tests: list[ColumnTest]) -> DataFrame:
+    """not_null and accepted_values tests of one model in one aggregate pass."""
+    return _as_rows(df.agg(F.count(F.lit(1)).alias("_n"),
+                           *[_failure_agg(t).alias(f"_f{i}") for i, t in enumerate(tests)]), tests)
+
+
+def keyed_tests(df: DataFrame, unique: ColumnTest, others: list[ColumnTest]) -> DataFrame:
+    """A unique test and the not_null tests of a model in one pass: row and
+    null counts per value (partial on the map side), then their sums."""
+    key = F.col(unique.column)
+    per_value = df.groupBy(unique.column).agg(
+        F.count(F.lit(1)).alias("_c"), *[_failure_agg(t).alias(f"_p{i}") for i, t in enumerate(others)])
+    sums = per_value.agg(F.sum("_c").alias("_n"), F.count_if(key.isNotNull() & (F.col("_c") > 1)).alias("_f0"),
+                         *[F.sum(f"_p{i}").alias(f"_f{i + 1}") for i in range(len(others))])
+    return _as_rows(sums, [unique, *others])
 
 
 def run_tests(df: DataFrame, tests: list[ColumnTest]) -> DataFrame:
-    """Result rows (model, column_name, test, n_rows, n_failed) for one model."""
-    parts = []
-    sp = single_pass_tests(df, tests)
-    if sp is not None:
-        parts.append(sp)
-    parts += [unique_test(df, t) for t in tests if t.test == "unique"]
+    """Result rows (model, column_name, test, n_rows, n_failed) for one model.
+
+    A model with a unique test is read once for it and the not_null tests, and
+    its accepted_values columns once more; one without is read once.
+    """
+    unique = [t for t in tests if t.test == "unique"]
+    nulls = [t for t in tests if t.test == "not_null"]
+    accepted = [t for t in tests if t.test == "accepted_values"]
+    parts = [keyed_tests(df, t, nulls if i == 0 else []) for i, t in enumerate(unique)]
+    rest = accepted if unique else nulls + accepted
+    if rest:
+        parts.append(single_pass_tests(df, rest))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
