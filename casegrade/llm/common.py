@@ -42,8 +42,8 @@ def id_order(id_col: str) -> Column:
 
 
 def text_key(id_col: str, text_col: str) -> Column:
-    """A non-null second key that tells apart rows of one id with other texts."""
-    return F.xxhash64(F.col(text_col), F.col(id_col).isNull())
+    """A non-null second key (32 bits) that tells apart rows of one id with other texts."""
+    return F.shiftrightunsigned(F.xxhash64(F.col(text_col), F.col(id_col).isNull()), 32)
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: int, max_bytes: int = 4 << 20,

@@ -12,8 +12,9 @@ counted in Spark:
    hash, the document and the position, packed per (block, range) as arrays.
    Each range finds the smallest document of every hash; occurrences in larger
    documents are repeats.
-3. The repeats of a document meet its text again; overlapping and touching
-   windows merge into maximal intervals, and the covered words go.
+3. Repeats are dealt out by document, packed likewise, and gathered to one row
+   per document, which meets its text again; overlapping and touching windows
+   merge into maximal intervals, and the covered words go.
 
 A window is repeated if the same word sequence starts in a document with a
 smaller id; all windows are judged on the input. Windows are equal if their
@@ -31,8 +32,11 @@ an empty table gives no rows. Words are separated by ASCII white space.
 
 from __future__ import annotations
 
+from itertools import islice
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,8 +48,9 @@ BLOCK_WORDS = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 _CACHE_WORDS = 300_000
 
-#: One row is either entries of a range (part >= 0: hashes are set) or repeats
-#: of one document (hashes null). docs, keys and counts describe runs of entries.
+#: Entries of one target partition, as arrays: runs of entries of a document
+#: (docs, keys, counts), positions inside the documents (at), and the hashes,
+#: or null where the entries are known to be repeats.
 _PACKED = "part int, docs binary, keys binary, counts binary, at binary, hashes binary"
 
 
@@ -99,6 +104,35 @@ def _runs(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.r_[first, len(doc)])
 
 
+def _by_part(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stable order by part, and the parts in that order."""
+    order = np.argsort(part.astype(np.uint16) if part.max(initial=0) < 65536 else part, kind="stable")
+    return order, part[order]
+
+
+def _spread(ids: np.ndarray, keys: np.ndarray, parts: int) -> np.ndarray:
+    """The part that gathers a document's repeats."""
+    mixed = (ids.astype(np.uint64) ^ (keys.astype(np.uint64) << np.uint64(32))) * BASE
+    return ((mixed >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _packed(part, doc, ids, keys, at, hashes=None):
+    """One row per part: ``doc`` numbers the documents of ``ids`` and ``keys``,
+    entries lie by document and position."""
+    order, part = _by_part(part)
+    for i, n in zip(*_runs(part)):
+        e = order[i:i + n]
+        first, counts = _runs(doc[e])
+        own = doc[e[first]]
+        yield (int(part[i]), _planes(ids[own]), _planes(keys[own].astype(np.uint32)),
+               _planes(counts.astype(np.uint32)), _steps(doc[e], at[e]), None if hashes is None else hashes[e].tobytes())
+
+
+def _unpacked(d, k, c, a):
+    counts = _unplanes(c, "uint32").astype(np.int64)
+    return _unplanes(d, "int64"), _unplanes(k, "uint32"), counts, _positions(_unplanes(a, "uint32"), counts)
+
+
 def _block_rows(ids, keys, texts, parts: int, window: int):
     """Packed rows of one block; ``texts`` are arrays of word hashes."""
     order = np.argsort(ids, kind="stable")
@@ -116,29 +150,18 @@ def _block_rows(ids, keys, texts, parts: int, window: int):
     least = np.repeat(ids[doc[by_hash[first]]], count)
     known = np.zeros(len(h), bool)
     known[by_hash] = ids[doc[by_hash]] > least
-    for i, n in zip(*_runs(d := doc[known])):                 # repeats inside the block
-        a = at[known][i:i + n] if n < len(d) else at[known]
-        yield _pack(-1, ids[d[i:i + 1]], keys[d[i:i + 1]], np.array([n]), d[i:i + n], a, None, keys[d[i]] % parts)
-    rest = np.flatnonzero(~known)
-    part = ((h[rest] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.uint16 if parts <= 65535 else np.int64)
-    rest = rest[np.argsort(part, kind="stable")]              # inside a range: by document, then position
-    part = np.sort(part)
-    for i, n in zip(*_runs(part)):
-        e = rest[i:i + n]
-        run, counts = _runs(doc[e])
-        yield _pack(int(part[i]), ids[doc[e[run]]], keys[doc[e[run]]], counts, doc[e], at[e], h[e])
-
+    again, rest = np.flatnonzero(known), np.flatnonzero(~known)
+    if len(again):                                             # repeats inside the block
+        yield from _packed(_spread(ids, keys, parts)[doc[again]], doc[again], ids, keys, at[again])
+    part = ((h[rest] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    yield from _packed(part, doc[rest], ids, keys, at[rest], h[rest])
 
-def _pack(part, ids, keys, counts, doc, at, hashes, spread=None):
-    return (int(part if spread is None else spread), _planes(ids.astype(np.int64)),
-            keys.astype(np.int64).tobytes(), _planes(counts.astype(np.uint32)), _steps(doc, at),
-            None if hashes is None else hashes.tobytes())
 
-
-def _batch(rows):
+def _batches(rows, size: int = 1000):
     kinds = [pa.int32()] + [pa.binary()] * 5
     names = ["part", "docs", "keys", "counts", "at", "hashes"]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+    while some := list(islice(rows, size)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), kinds)], names)
 
 
 def _hash_task(parts: int, window: int):
@@ -146,14 +169,7 @@ def _hash_task(parts: int, window: int):
         hashes, ids, keys, texts, total = _WordHashes(), [], [], [], 0
 
         def flush():
-            rows = []
-            for row in _block_rows(np.array(ids, np.int64), np.array(keys, np.int64), texts, parts, window):
-                rows.append(row)
-                if len(rows) >= 2000:
-                    yield _batch(rows)
-                    rows = []
-            if rows:
-                yield _batch(rows)
+            return _batches(_block_rows(np.array(ids, np.int64), np.array(keys, np.int64), texts, parts, window))
         for run in slices(batches, 2):
             for d, k, t in zip(run.column(0).to_pylist(), run.column(1).to_pylist(), run.column(2)):
                 words = (t.as_py() or b"").split()
@@ -170,60 +186,63 @@ def _hash_task(parts: int, window: int):
     return task
 
 
-def _range_task(batches):
-    """Repeats among the entries of the range; repeats known before pass through."""
-    hashes, docs, keys, at, runs = [], [], [], [], []
+def _range_task(parts: int):
+    def task(batches):
+        """Repeats among the entries of the range; those known before pass through."""
+        hashes, docs, keys, at, runs = [], [], [], [], []
+        for batch in batches:
+            known = batch.filter(pc.is_null(batch.column(5)))
+            if known.num_rows:
+                yield known
+            for _, d, k, c, a, h in zip(*(col.to_pylist() for col in batch.columns)):
+                if h is not None:
+                    d, k, c, a = _unpacked(d, k, c, a)
+                    hashes.append(np.frombuffer(h, np.uint64))
+                    docs.append(d)
+                    keys.append(k)
+                    runs.append(c)
+                    at.append(a.astype(np.uint32))
+        if not hashes:
+            return
+        h, counts = np.concatenate(hashes), np.concatenate(runs)
+        hashes.clear()
+        owner = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        ids, own_keys, position = np.concatenate(docs), np.concatenate(keys), np.concatenate(at)
+        at.clear()
+        by_hash = np.argsort(h)
+        _, n = _runs(h[by_hash])
+        by_hash, n = by_hash[np.repeat(n > 1, n)], n[n > 1]
+        del h
+        if not len(n):
+            return
+        doc = ids[owner[by_hash]]
+        hit = by_hash[doc > np.repeat(np.minimum.reduceat(doc, np.cumsum(n) - n), n)]
+        hit = hit[np.lexsort((position[hit], own_keys[owner[hit]], ids[owner[hit]]))]
+        yield from _batches(_packed(_spread(ids, own_keys, parts)[owner[hit]], owner[hit], ids, own_keys, position[hit]))
+    return task
+
+
+def _gather_task(batches):
+    """One row per document with all of its repeats' positions."""
+    docs, keys, at = [], [], []
     for batch in batches:
-        passed = []
-        for _, d, k, c, a, h in zip(*(col.to_pylist() for col in batch.columns)):
-            d, k, c = _unplanes(d, "int64"), np.frombuffer(k, np.int64), _unplanes(c, "uint32").astype(np.int64)
-            if h is None:
-                passed.append((d[0], k[0], a))
-                continue
-            hashes.append(np.frombuffer(h, np.uint64))
-            docs.append(d)
-            keys.append(k)
-            runs.append(c)
-            at.append(_positions(_unplanes(a, "uint32"), c).astype(np.uint32))
-        if passed:
-            yield _found(passed)
-    if not hashes:
-        return
-    h = np.concatenate(hashes)
-    hashes.clear()
-    counts = np.concatenate(runs)
-    owner = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
-    run_doc, run_key = np.concatenate(docs), np.concatenate(keys)
-    position = np.concatenate(at)
-    at.clear()
-    by_hash = np.argsort(h)
-    first, n = _runs(h[by_hash])
-    many = np.repeat(n > 1, n)
-    by_hash, n = by_hash[many], n[n > 1]
-    del h
-    if not len(n):
+        for d, k, c, a in zip(*(batch.column(i).to_pylist() for i in range(1, 5))):
+            d, k, c, a = _unpacked(d, k, c, a)
+            docs.append(np.repeat(d, c))
+            keys.append(np.repeat(k, c))
+            at.append(a.astype(np.uint32))
+    if not docs:
         return
-    doc = run_doc[owner[by_hash]]
-    first = np.cumsum(n) - n
-    hit = by_hash[doc > np.repeat(np.minimum.reduceat(doc, first), n)]
-    order = hit[np.lexsort((position[hit], run_key[owner[hit]], run_doc[owner[hit]]))]
-    doc, key, position = run_doc[owner[order]], run_key[owner[order]], position[order]
-    first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])]) if len(doc) else []
-    ends = np.r_[first[1:], len(doc)] if len(doc) else []
-    rows = []
-    for i, j in zip(first, ends):
-        rows.append((doc[i], key[i], _steps(doc[i:j], position[i:j])))
-        if len(rows) >= 5000:
-            yield _found(rows)
-            rows = []
-    if rows:
-        yield _found(rows)
-
-
-def _found(rows):
-    d, k, a = zip(*rows)
-    return pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(k, pa.int64()), pa.array(a, pa.binary())],
-                                      ["d", "k", "at"])
+    doc, key, at = np.concatenate(docs), np.concatenate(keys), np.concatenate(at)
+    order = np.lexsort((at, key, doc))
+    doc, key, at = doc[order], key[order], at[order]
+    first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])])
+    ends = np.r_[first[1:], len(doc)]
+    for i in range(0, len(first), 2000):
+        rows = [(doc[b], key[b], _steps(doc[b:e], at[b:e])) for b, e in zip(first[i:i + 2000], ends[i:i + 2000])]
+        d, k, a = zip(*rows)
+        yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(k, pa.int64()), pa.array(a, pa.binary())],
+                                         ["d", "k", "starts"])
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -231,14 +250,14 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     """(d, k, starts): the repeated window starts of each document that has any.
 
     ``d`` and ``k`` identify rows as ``id_order`` and ``text_key`` do; ``starts``
-    is an array of packed position lists.
+    is the packed list of positions.
     """
     parts = parts or shuffle_partitions(docs.sparkSession)
     rows = docs.select(id_order(id_col).alias("d"), text_key(id_col, text_col).alias("k"),
                        F.col(text_col).cast("binary").alias("t"))
     packed = rows.mapInArrow(_hash_task(parts, window), _PACKED)
-    found = packed.repartitionById(parts, F.col("part")).mapInArrow(_range_task, "d bigint, k bigint, at binary")
-    return found.groupBy("d", "k").agg(F.collect_list("at").alias("starts"))
+    found = packed.repartitionById(parts, F.col("part")).mapInArrow(_range_task(parts), _PACKED)
+    return found.repartitionById(parts, F.col("part")).mapInArrow(_gather_task, "d bigint, k bigint, starts binary")
 
 
 def intervals(starts: np.ndarray, window: int) -> np.ndarray:
@@ -281,8 +300,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 words = (t.as_py() or b"").split()
                 spans = np.zeros((0, 2), np.int64)
                 if packed:
-                    lists = [np.cumsum(_unplanes(p, "uint32"), dtype=np.int64) for p in packed]
-                    spans = intervals(np.concatenate(lists), window)
+                    spans = intervals(np.cumsum(_unplanes(packed, "uint32"), dtype=np.int64), window)
                 left, at = [], 0
                 for begin, end in spans.tolist():
                     left += words[at:begin]
