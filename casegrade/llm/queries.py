@@ -11,6 +11,9 @@ from . import (decontamination, langid, packing, quality_gam, quality_rules, sha
                token_counts, warc)
 from ..session import scratch_dir
 from .common import read_table
+from .oracle import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 40
@@ -90,5 +93,3 @@ QUERIES: dict[str, Query] = {
     "op9_jump_sharding": op9_jump_sharding,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
-
-ORACLE_SQL: dict[str, str] = {}
