@@ -56,15 +56,19 @@ def file_headers(lines: DataFrame) -> DataFrame:
             .agg(F.min("_pos").alias("_hpos"), F.min_by("value", "_pos").alias("header")))
 
 
-def cells(line: Column, width: int, sep: str) -> Column:
-    """The cells of a CSV line as an array, or null if they are more than
-    ``width`` or the line's quotes are not closed."""
-    names = [f"c{i}" for i in range(width + 1)]
+def parsed(line: Column, width: int, sep: str) -> Column:
+    """A CSV line and the mark as a struct of ``width`` + 1 texts c0, c1, ..."""
     options = {"sep": sep, "mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "false",
                "ignoreTrailingWhiteSpace": "false"}
     fits = F.length(line) - F.length(F.replace(line, F.lit(sep), F.lit(""))) < 20_000      # the parser's own limit
-    parsed = F.from_csv(F.when(fits, F.concat(line, F.lit(sep + _END))), ", ".join(f"{n} string" for n in names), options)
-    return let(let(parsed, lambda r: F.array(*[r[n] for n in names])), lambda found: let(
+    return F.from_csv(F.when(fits, F.concat(line, F.lit(sep + _END))),
+                      ", ".join(f"c{i} string" for i in range(width + 1)), options)
+
+
+def cells(line: Column, width: int, sep: str) -> Column:
+    """The cells of a CSV line as an array, or null if they are more than
+    ``width`` or the line's quotes are not closed."""
+    return let(let(parsed(line, width, sep), lambda r: F.array(*[r[f"c{i}"] for i in range(width + 1)])), lambda found: let(
         F.array_position(found, _END), lambda end: F.when(end > 0, F.slice(found, 1, (end - 1).cast("int")))))
 
 
@@ -85,33 +89,49 @@ def column_names(header: Column) -> Column:
     return let(trimmed, distinct)
 
 
-def load_claim_files(spark: SparkSession, paths: list[str], sep: str = ",") -> DataFrame | None:
-    """Raw claims from a set of CSV files, every file read by its own header."""
+def named_headers(headers: DataFrame, width: int, sep: str) -> DataFrame:
+    """Per file: names, where the known columns are, and whether there are others."""
+    mark = F.regexp_replace("header", "^﻿", "")
+    named = headers.select("_file", "_hpos", column_names(cells(mark, width, sep)).alias("_names"))
+    places = [(F.array_position("_names", c) - 1).cast("int").alias(f"_at_{c}") for c in CLAIM_FIELDS]
+    others = F.exists("_names", lambda n: ~n.isin(*CLAIM_FIELDS))
+    return named.select("*", *places, others.alias("_others"))
+
+
+def load_claim_files(spark: SparkSession, paths: list[str], sep: str = ",",
+                     headers: DataFrame | None = None) -> DataFrame | None:
+    """Raw claims from a set of CSV files, every file read by its own header.
+
+    ``headers`` may be a (kept) ``file_headers`` of the same paths.
+    """
     if not paths:
         return None
     lines = batch_lines(spark, paths)
-    headers = file_headers(lines)
+    headers = headers if headers is not None else file_headers(lines)
     count = F.least(F.size(F.split("header", F.concat(F.lit("\\Q"), F.lit(sep), F.lit("\\E")))), F.lit(MAX_COLUMNS))
     widest, total = headers.agg(F.max(count), F.sum(F.length("header"))).first()
     if widest is None:
         return None
-    mark = F.regexp_replace("header", "^﻿", "")
-    named = headers.select("_file", "_hpos", column_names(cells(mark, widest, sep)).alias("_names"))
+    named = named_headers(headers, widest, sep)
     named = F.broadcast(named) if total <= HEADER_BYTES else named
+    # column by column: each step is used several times below and computed once
     rows = (lines.join(named, F.col("_source_file") == F.col("_file"))
             .filter(F.col("_pos") != F.col("_hpos"))
-            .select("value", "_source_file", "_names", cells(F.col("value"), widest, sep).alias("_cells")))
-    known = [F.get("_cells", (F.array_position("_names", c) - 1).cast("int")).alias(c) for c in CLAIM_FIELDS]
-    whole = F.coalesce(F.size("_cells") == F.size("_names"), F.lit(False))
-    extra = F.filter(F.arrays_zip("_names", "_cells"), lambda x: x["_names"].isNotNull() & x["_cells"].isNotNull()
-                     & ~x["_names"].isin(*CLAIM_FIELDS))
+            .withColumn("_row", parsed(F.col("value"), widest, sep))
+            .withColumn("_all", F.array(*[F.col("_row")[f"c{i}"] for i in range(widest + 1)]))
+            .withColumn("_n", (F.array_position("_all", _END) - 1).cast("int")))        # -1: no mark
+    known = [F.when(F.col(f"_at_{c}") < F.col("_n"), F.get("_all", F.col(f"_at_{c}"))).alias(c) for c in CLAIM_FIELDS]
+    whole = F.coalesce(F.col("_n") == F.size("_names"), F.lit(False))
+    extra = F.filter(F.arrays_zip("_names", F.slice("_all", F.lit(1), F.greatest("_n", F.lit(0))).alias("_cells")),
+                     lambda x: x["_names"].isNotNull() & x["_cells"].isNotNull() & ~x["_names"].isin(*CLAIM_FIELDS))
     entries = F.concat(
         F.coalesce(F.transform(extra, lambda x: F.struct(x["_names"].alias("key"), x["_cells"].alias("value"))),
                    F.expr("array()")),
         F.when(whole, F.expr("array()")).otherwise(F.array(F.struct(F.lit(CORRUPT).alias("key"), "value"))))
     rescued = let(entries, lambda e: F.when(F.size(e) > 0, F.to_json(F.map_from_entries(e))))
-    return rows.select(*known, rescued.alias("_rescued_data"), F.current_timestamp().alias("_ingested_at"),
-                       "_source_file").select(*RAW_CLAIMS.fieldNames())
+    plain = whole & ~F.col("_others")
+    return rows.select(*known, F.when(~plain, rescued).alias("_rescued_data"),
+                       F.current_timestamp().alias("_ingested_at"), "_source_file").select(*RAW_CLAIMS.fieldNames())
 
 
 def ingest_claims_csv(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint_dir: str,
@@ -121,9 +141,14 @@ def ingest_claims_csv(spark: SparkSession, landing_dir: str, table_dir: str, che
     track_schema(spark, checkpoint_dir, RAW_CLAIMS)
 
     def write(files: dict[str, int], stream_id: str, batch_id: int) -> None:
-        raw = load_claim_files(spark, sorted(files), sep)
-        if raw is not None:
-            raw.write.mode("overwrite").parquet(batch_folder(table_dir, stream_id, batch_id))
+        paths = sorted(files)
+        headers = file_headers(batch_lines(spark, paths)).persist()        # one row per file, used twice
+        try:
+            raw = load_claim_files(spark, paths, sep, headers)
+            if raw is not None:
+                raw.write.mode("overwrite").parquet(batch_folder(table_dir, stream_id, batch_id))
+        finally:
+            headers.unpersist()
     return path_batches(spark, landing_dir, checkpoint_dir, write, path_glob, max_files_per_trigger, available_now)
 
 

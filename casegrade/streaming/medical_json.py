@@ -75,14 +75,18 @@ def parse_payloads(text: DataFrame) -> DataFrame:
         "_source_file", F.when(~ok, F.make_valid_utf8("value")).alias("_bad"),
         F.explode(F.when(ok, payload_record_texts(F.col("_docs"))).otherwise(F.array(F.lit(None).cast("string"))))
         .alias("t"))
+    # A record that comes out of its typed form letter by letter holds nothing
+    # else; only the others are taken apart.
+    recs = recs.withColumn("j", F.from_json("t", f"claim_id string, medical_events {EVENTS_TYPE}"))
+    recs = recs.withColumn("plain", F.coalesce(F.to_json("j") == F.col("t"), F.lit(False)))
     # in brackets the whole text has to be one value: nothing may follow it
     one = let(F.from_json(F.concat(F.lit("["), "t", F.lit("]")), "array<variant>"), lambda a: F.when(F.size(a) == 1, a[0]))
-    recs = recs.withColumn("r", one)
+    recs = recs.withColumn("r", F.when(~F.col("plain"), one))
     # an object that is no variant has a repeated key somewhere
     again = F.col("r").isNull() & F.startswith("t", F.lit("{")) & is_one_document(F.col("t"))
-    recs = recs.withColumn("j", F.when(again, F.from_json("t", f"claim_id string, medical_events {EVENTS_TYPE}")))
+    recs = recs.withColumn("j", F.when(F.col("plain") | again, F.col("j")))
     typed = recs.select(
-        "_source_file", "_bad", "t", "r", "j",
+        "_source_file", "_bad", "t", "r", "j", "plain",
         F.coalesce(F.expr("try_variant_get(r, '$.claim_id', 'string')"), F.col("j.claim_id")).alias("claim_id"),
         F.coalesce(F.expr(f"try_variant_get(r, '$.medical_events', '{EVENTS_TYPE}')"), F.col("j.medical_events"))
         .alias("medical_events"),
@@ -91,7 +95,7 @@ def parse_payloads(text: DataFrame) -> DataFrame:
     )
     with_events = F.expr("map_concat(_extra, map('medical_events', to_variant_object(_events)))")
     rescued = (F.when(F.col("_bad").isNotNull(), F.to_json(F.struct(F.col("_bad").alias("_corrupt_record"))))
-               .when(F.col("t").isNull(), F.lit(None).cast("string"))
+               .when(F.col("t").isNull() | F.col("plain"), F.lit(None).cast("string"))
                .when(F.col("j").isNotNull(), F.to_json(F.struct(F.col("t").alias("_record"))))
                .when(F.col("r").isNull(), F.to_json(F.struct(F.col("t").alias("_value"))))
                .when(F.expr("is_variant_null(r)"), F.lit(None).cast("string"))
