@@ -84,7 +84,7 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh sub-folder of the shared folder for one run of one job."""
     base = shared_dir(spark)
     if base.startswith("file:"):
-        base = base[len("file:"):]
+        base = "/" + base[len("file:"):].lstrip("/")
     path = f"{base}/casegrade/{purpose}-{uuid.uuid4().hex[:12]}"
     if "://" not in path:
         os.makedirs(path, exist_ok=True)
@@ -105,11 +105,13 @@ def ship_package(spark: SparkSession) -> None:
         return
     here = os.path.dirname(os.path.abspath(__file__))
     if os.path.isdir(here):                      # a package inside a zip came by --py-files
-        archive = os.path.join(tempfile.mkdtemp(prefix="casegrade-pkg-"), "casegrade.zip")
-        with zipfile.ZipFile(archive, "w") as z:
+        from .sources.store import open_store
+        archive = f"{scratch_dir(spark, 'package')}/casegrade.zip"
+        store, path = open_store(archive)
+        with store.open_output_stream(path) as out, zipfile.ZipFile(out, "w") as z:
             for folder, _, names in sorted(os.walk(here)):
                 for name in sorted(n for n in names if n.endswith(".py")):
-                    path = os.path.join(folder, name)
-                    z.write(path, os.path.relpath(path, os.path.dirname(here)))
+                    source = os.path.join(folder, name)
+                    z.write(source, os.path.relpath(source, os.path.dirname(here)))
         sc.addPyFile(archive)
     _SHIPPED.add(sc.applicationId)
