@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_dir, ship_package
 
@@ -20,6 +21,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def named(names: Iterable[str]) -> list[Column]:
+    """Columns by their whole names, whatever characters these hold."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage.
 
@@ -63,3 +69,18 @@ def slices(batches: Iterator[pa.RecordBatch], text: int, max_bytes: int = 4 << 2
                 start, total = i, 0
             total += n
         yield batch.slice(start)
+
+
+def map_arrow(df: DataFrame, task, out: T.StructType) -> DataFrame:
+    """``mapInArrow`` by position: any column names, also with dots.
+
+    ``task`` takes and gives batches whose columns lie in the order of ``df``
+    and of ``out``.
+    """
+    places = [f"c{i}" for i in range(len(out.fields))]
+
+    def placed(batches):
+        for batch in task(batches):
+            yield batch.rename_columns(places)
+    schema = T.StructType([T.StructField(p, f.dataType) for p, f in zip(places, out.fields)])
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(placed, schema).toDF(*out.fieldNames())

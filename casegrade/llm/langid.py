@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored
+from .common import map_arrow, named, slices, stored
 
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
@@ -178,7 +178,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[st
     if clash:
         raise ValueError(f"output columns exist already: {sorted(clash)}")
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.col(text_col).cast("string").alias("__text"), *keep)
+    rows = docs.select(F.col(text_col).cast("string").alias("__text"), *named(keep))
 
     def score_task(batches):
         for run in slices(batches, 0):
@@ -187,4 +187,4 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[st
                 [*run.columns[1:], pa.array(names, pa.string()), pa.array(score, pa.float64())], out_names)
     out_names = [*keep, pred_col, score_col]
     schema = rows.drop("__text").withColumn(pred_col, F.lit("")).withColumn(score_col, F.lit(0.0)).schema
-    return rows.mapInArrow(score_task, schema)
+    return map_arrow(rows, score_task, schema)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import map_arrow, named, slices
 
 TRAIN_ROWS = 20_000
 BINS, PAIR_BINS = 64, 12
@@ -188,11 +188,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
     if score_col in keep:
         raise ValueError(f"output column exists already: {score_col}")
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.col(text_col).cast("binary").alias("__t"), *keep)
+    rows = docs.select(F.col(text_col).cast("binary").alias("__t"), *named(keep))
     out = rows.drop("__t").withColumn(score_col, F.lit(0.0))
     names = out.columns
 
     def task(batches):
         for run in slices(batches, 0):
             yield pa.RecordBatch.from_arrays([*run.columns[1:], pa.array(shared.value.score(_table(run, 0)))], names)
-    return rows.mapInArrow(task, out.schema)
+    return map_arrow(rows, task, out.schema)

@@ -34,7 +34,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import named, stored
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -98,9 +98,9 @@ def measures(text: Column) -> Column:
 
 def measured(docs: DataFrame, text_col: str = "text", stratum_col: str = "lang", keep: list[str] = ()) -> DataFrame:
     """``keep`` columns, measures, ratios (struct ``ratio``), stratum, base_failed."""
-    rows = docs.select(*keep, F.coalesce(F.col(stratum_col).cast("string"), F.lit("none")).alias("stratum"),
+    rows = docs.select(*named(keep), F.coalesce(F.col(stratum_col).cast("string"), F.lit("none")).alias("stratum"),
                        measures(F.col(text_col)).alias("m"))
-    rows = rows.select(*keep, "stratum", "m.n_words", "m.word_chars", "m.n_symbols",
+    rows = rows.select(*named(keep), "stratum", "m.n_words", "m.word_chars", "m.n_symbols",
                        F.col("m.lines.all").alias("n_lines"), F.col("m.lines.again").alias("n_dup_lines"),
                        "m.n_repeat_words")
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_order, slices, stored, text_key
+from .common import id_order, map_arrow, named, slices, stored, text_key
 from .components import components
 
 SHINGLE_WORDS = 3
@@ -64,7 +64,7 @@ def fingerprint(text: bytes | None, width: int = SHINGLE_WORDS) -> int:
 def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int = SHINGLE_WORDS,
                       keep: list[str] = ()) -> DataFrame:
     """(id, fp) and the ``keep`` columns: the fingerprint is a signed long."""
-    rows = docs.select(F.col(text_col).cast("binary").alias("t"), F.col(id_col).alias("id"), *keep)
+    rows = docs.select(F.col(text_col).cast("binary").alias("t"), F.col(id_col).alias("id"), *named(keep))
     out = rows.drop("t").withColumn("fp", F.lit(0).cast("long"))
     names = out.columns
 
@@ -72,7 +72,7 @@ def with_fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int =
         for run in slices(batches, 0):
             fps = np.array([fingerprint(t.as_py(), width) for t in run.column(0)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*run.columns[1:], pa.array(fps)], names)
-    return rows.mapInArrow(task, out.schema)
+    return map_arrow(rows, task, out.schema)
 
 
 def _segments() -> list[Column]:
@@ -126,8 +126,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     grouped = classes.join(member, F.col("fp") == F.col("node"), "left").select(
         "fp", "least_id", F.coalesce("component", "fp").alias("root"))
     roots = grouped.groupBy("root").agg(F.min("least_id").alias("component"))
-    named = grouped.join(roots, "root").select(F.col("fp").alias("class_fp"), "component")
-    return rows.join(named, F.col("fp") == F.col("class_fp")).select("id", "fp", "component", *keep)
+    of_class = grouped.join(roots, "root").select(F.col("fp").alias("class_fp"), "component")
+    return rows.join(of_class, F.col("fp") == F.col("class_fp")).select("id", "fp", "component", *named(keep))
 
 
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -141,7 +141,7 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = near_duplicates(rows, d, text_col, keep=[k])
     firsts = (found.groupBy("component").agg(F.min(F.struct("id", k)).alias("first"))
               .select(F.col("first.id").alias(d), F.col(f"first.{k}").alias(k)))
-    return rows.join(firsts, [d, k], "left_semi").dropDuplicates([d, k]).select(*docs.columns)
+    return rows.join(firsts, [d, k], "left_semi").dropDuplicates([d, k]).select(*named(docs.columns))
 
 
 def hex_fingerprint(fp: Column) -> Column:

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_order, shuffle_partitions, slices, text_key
+from .common import id_order, map_arrow, named, shuffle_partitions, slices, text_key
 
 WINDOW = 13
 BLOCK_WORDS = 1 << 20
@@ -282,13 +282,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if clash:
         raise ValueError(f"output columns exist already: {sorted(clash)}")
     carried = list(dict.fromkeys([*keep, text_col]))
-    rows = docs.select(id_order(id_col).alias("__d"), text_key(id_col, text_col).alias("__k"), *carried)
+    rows = docs.select(id_order(id_col).alias("__d"), text_key(id_col, text_col).alias("__k"), *named(carried))
     found = repeats(docs, id_col, text_col, window).select(
         F.col("d").alias("__rd"), F.col("k").alias("__rk"), F.col("starts").alias("__starts"))
     met = rows.join(found, (F.col("__d") == F.col("__rd")) & (F.col("__k") == F.col("__rk")), "left").select(
-        F.col(text_col).cast("binary").alias("__t"), "__starts", *keep)
+        F.col(text_col).cast("binary").alias("__t"), "__starts", *named(keep))
     names = [*keep, "n_words", "n_removed", "removed", "kept_text"]
-    out = met.select(*keep).withColumns({
+    out = met.select(*named(keep)).withColumns({
         "n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"),
         "removed": F.expr("cast(array() as array<struct<begin:bigint,end:bigint>>)"), "kept_text": F.lit("")})
     span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
@@ -313,4 +313,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays(
                 [*run.columns[2:], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
                  pa.array(removed, span), pa.array(kept, pa.string())], names)
-    return met.mapInArrow(cut, out.schema)
+    return map_arrow(met, cut, out.schema)

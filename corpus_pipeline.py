@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casegrade.llm import decontamination, langid, packing, simhash, substring
-from casegrade.llm.common import read_table, stored
+from casegrade.llm.common import named, read_table, stored
 
 #: A document stays if its language has at least this posterior.
 LANGUAGE_SCORE = 0.5
@@ -23,7 +23,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs)
     judged = langid.predict(docs, model, keep=docs.columns, pred_col="__lang_pred", score_col="__lang_score")
     return (judged.filter((F.col("__lang_pred") != langid.UNKNOWN) & (F.col("__lang_score") >= LANGUAGE_SCORE))
-            .select(*docs.columns))
+            .select(*named(docs.columns)))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return (found.filter(~changed | (F.col("n_removed") < F.col("n_words")))
             .withColumn("text", F.when(changed, F.col("kept_text")).otherwise(F.col("text")))
             .withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast("long"))
-            .select(*docs.columns))
+            .select(*named(docs.columns)))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
