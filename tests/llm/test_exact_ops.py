@@ -16,6 +16,12 @@ WORDS = re.compile("[^\x20\x09-\x0D]+")
 ITEM_WORDS = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shipped(spark):
+    from casegrade.session import ship_package
+    ship_package(spark)
+
+
 def lower(text):
     return (text or "").translate({c: c + 32 for c in range(65, 91)})
 

@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 SF = "/root/testdata/sf0.01"
 
 
+@pytest.fixture(scope="module", autouse=True)
+def shipped(spark):
+    from casegrade.session import ship_package
+    ship_package(spark)
+
+
 @pytest.fixture(scope="module")
 def queries():
     from casegrade.llm.queries import QUERIES
