@@ -6,8 +6,8 @@ Which lengths share a sequence is then planned on the *histogram of lengths*
 (at most ``capacity`` counts, whatever the size of the corpus):
 
 1. Linear grouping: lengths above ``capacity / SMALL_SHARE`` are sorted and cut
-   into ``GROUPS`` groups of equal cardinality (a length is never split over
-   groups); each counts as its group's largest.
+   into ``GROUPS`` groups of about equal cardinality (a length is never split
+   over groups); each counts as its group's largest.
 2. Configurations: for the largest group left, the fullest configuration of
    groups that fits is found by dynamic programming over sums, and used as
    often as the counts allow. Each step uses up a group.
@@ -42,17 +42,14 @@ from .common import slices, stored
 from .sharding import add_slots
 
 CAPACITY = 1024
-GROUPS = 512
-SMALL_SHARE = 16
+GROUPS = 1000
+SMALL_SHARE = 4
 #: The end-of-text id of the packing, the id of a line feed, and
 #: the splitting pattern of this kind of tokenizer.
 END_ID = 2
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _CACHE_UNITS = 400_000
-_LONGEST_CACHED = 32
-#: A space between two visible characters always starts a token of its own.
-_CLEAN_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_ODD_SPACE = re.compile(r"^ | $| \s|\s ")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
 def default_tokenizer() -> str:
@@ -68,12 +65,20 @@ def _byte_of_symbol() -> dict[str, int]:
     return {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def single_spaced(text: str) -> bool:
+    """Whether all white space of a text is single spaces and line feeds between
+    visible characters. There a space starts a token, and a line feed is one."""
+    return bool(text) and not (
+        text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or " \n" in text or "\n " in text
+        or _OTHER_SPACE.search(text))
+
+
 class Tokenizer:
     """A byte-level BPE vocabulary (tokenizers JSON) with a memory of words.
 
-    Text is cut at spaces between visible characters, where a token always
-    starts; the ids of each unit are kept as little-endian unsigned 32-bit
-    values. Strings of special tokens are ordinary text.
+    A single-spaced text is cut before its spaces and line feeds; the ids of
+    each unit are kept as little-endian unsigned 32-bit values. Other texts are
+    encoded in one piece. Strings of special tokens are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -85,41 +90,37 @@ class Tokenizer:
         ranks = {b: i for b, i in ranks.items() if i < len(ranks)}
         self._encoding = tiktoken.Encoding("corpus", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._feed = ranks[b"\n"]
-        self._known: dict[str, bytes] = {}
+        self._known: dict[str, bytes] = {}          # a word, or a line feed and a word -> ids
 
     def _ids(self, text: str) -> bytes:
         return np.array(self._encoding.encode_ordinary(text), "<u4").tobytes()
 
     def _learn(self, units: set[str]) -> None:
-        """Encode units together, a line feed between them (it is one token there)."""
-        if len(self._known) + len(units) > _CACHE_UNITS:
-            self._known.clear()
-        plain = [u for u in units if "\n" not in u and not any(map(str.isspace, u))]
-        for u in units.difference(plain):
-            self._known[u] = self._ids(" " + u)
-        if plain:
-            ids = np.array(self._encoding.encode_ordinary(" " + "\n ".join(plain)), "<u4")
+        """Encode units together, line feeds between them: each is one token there."""
+        starts = [u for u in units if u[0] == "\n"]
+        feed = np.array([self._feed], "<u4").tobytes()
+        for lead, before, words in (("\n", feed, [u[1:] for u in starts]), ("", b"", list(units.difference(starts)))):
+            if not words:
+                continue
+            text = "\n".join(words) if lead else " " + "\n ".join(words)
+            ids = np.array(self._encoding.encode_ordinary(text), "<u4")
             ends = np.append(np.flatnonzero(ids == self._feed), len(ids)) * 4
             data, at = ids.tobytes(), 0
-            for u, end in zip(plain, ends.tolist(), strict=True):
-                self._known[u] = data[at:end]
+            for word, end in zip(words, ends.tolist(), strict=True):
+                self._known[lead + word] = before + data[at:end]
                 at = end + 4
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = []
-        for text in texts:
-            text = text or ""
-            cut.append(_CLEAN_SPACE.split(text) if _ODD_SPACE.search(text) else text.split(" "))
-        units = set().union(*(u[1:] for u in cut)) if cut else set()
-        self._learn({u for u in units if u not in self._known and len(u) <= _LONGEST_CACHED})
-        known, out = self._known, []
-        for u in cut:
-            rest = u[1:]
-            try:
-                out.append(self._ids(u[0]) + b"".join(map(known.__getitem__, rest)))
-            except KeyError:
-                out.append(self._ids(u[0]) + b"".join([known[x] if x in known else self._ids(" " + x) for x in rest]))
-        return out
+        """The ids of each text."""
+        cut = [t.replace("\n", " \n").split(" ") if t and single_spaced(t) else None for t in texts]
+        units = set().union(*(u[1:] for u in cut if u))
+        new = {u for u in units if u not in self._known}
+        if len(self._known) + len(new) > _CACHE_UNITS:
+            self._known, new = {}, units
+        self._learn(new)
+        get = self._known.__getitem__
+        return [self._ids(u[0]) + b"".join(map(get, u[1:])) if u else self._ids(t) if t else b""
+                for t, u in zip(texts, cut)]
 
 
 @lru_cache(maxsize=2)
