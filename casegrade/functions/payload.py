@@ -57,6 +57,16 @@ def document_texts(text: Column | str) -> Column:
     return let(c, lambda t: let(_values(t), lambda whole: F.when(F.size(whole) == 1, whole).otherwise(by_line(t))))
 
 
+def list_document(text: Column | str) -> Column:
+    """The record texts of a file that is exactly one list, in a single parse;
+    null for any other file (``document_texts`` takes those)."""
+    c = F.col(text) if isinstance(text, str) else text
+    c = F.when(F.is_valid_utf8(c), F.regexp_replace(c, "^﻿", ""))
+    # in brackets the whole text has to be one value, as in _values
+    return let(F.from_json(F.concat(F.lit("["), c, F.lit("]")), "array<array<string>>"),
+               lambda a: F.when(F.size(a) == 1, a[0]))
+
+
 def record_texts(doc: Column) -> Column:
     """Record texts of one document: the list, the ``data`` list, the
     ``results`` list, else the document itself (as one record)."""

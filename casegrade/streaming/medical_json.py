@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.exprs import let, source_path
-from ..functions.payload import document_texts, is_one_document, payload_record_texts
+from ..functions.payload import document_texts, is_one_document, list_document, payload_record_texts
 from ..schemas import BRONZE_MEDICAL, RAW_MEDICAL
 from .files import batch_folder, literal_paths, path_batches
 from .schema_registry import track_schema
@@ -69,12 +69,14 @@ def parse_payloads(text: DataFrame) -> DataFrame:
     whole payload into every record row); only a file that is not JSON keeps
     it, on its one output row.
     """
-    docs = text.select("_source_file", document_texts("value").alias("_docs"), "value")
-    ok = F.col("_docs").isNotNull()
-    recs = docs.select(
-        "_source_file", F.when(~ok, F.make_valid_utf8("value")).alias("_bad"),
-        F.explode(F.when(ok, payload_record_texts(F.col("_docs"))).otherwise(F.array(F.lit(None).cast("string"))))
-        .alias("t"))
+    docs = text.select("_source_file", "value", list_document("value").alias("_list"))
+    docs = docs.withColumn("_docs", F.when(F.col("_list").isNull(), document_texts("value")))
+    ok = F.col("_list").isNotNull() | F.col("_docs").isNotNull()
+    records = (F.when(F.col("_list").isNotNull(), F.col("_list"))
+               .when(F.col("_docs").isNotNull(), payload_record_texts(F.col("_docs")))
+               .otherwise(F.array(F.lit(None).cast("string"))))
+    recs = docs.select("_source_file", F.when(~ok, F.make_valid_utf8("value")).alias("_bad"),
+                       F.explode(records).alias("t"))
     # A record that comes out of its typed form letter by letter holds nothing
     # else; only the others are taken apart.
     recs = recs.withColumn("j", F.from_json("t", f"claim_id string, medical_events {EVENTS_TYPE}"))
