@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_order, stored, text_key
+from .common import id_order, named, stored, text_key
 
 WINDOW = 10
 #: A table with at most this many rows (of about 100 bytes) is broadcast.
@@ -93,7 +93,8 @@ def anchors(index: DataFrame, cut: DataFrame) -> DataFrame:
 
     A window with a term that no document holds is left out.
     """
-    counts = index.filter(F.col("term") != _END).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    counts = small(stored(index.filter(F.col("term") != _END).groupBy("term").agg(F.count(F.lit(1)).alias("n")),
+                          "decontamination-counts"))
     places = (cut.select("window", "terms").distinct()
               .select("window", F.size("terms").alias("size"), F.posexplode("terms").alias("off", "term")))
     rarest = Window.partitionBy("window").orderBy("n", "term", "off")
@@ -194,4 +195,4 @@ def clean_rows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     found = decontaminate(docs, items, id_col, text_col, **options)
     bad = found.filter("contaminated").select(F.col("d").alias(d), F.col("k").alias(k)).distinct()
     rows = docs.withColumns({d: id_order(id_col), k: text_key(id_col, text_col)})
-    return rows.join(bad, [d, k], "left_anti").select(*docs.columns)
+    return rows.join(bad, [d, k], "left_anti").select(*named(docs.columns))
