@@ -78,13 +78,24 @@ class Tokenizer:
 
     A single-spaced text is cut before its spaces and line feeds; the ids of
     each unit are kept as little-endian unsigned 32-bit values. Other texts are
-    encoded in one piece. Strings of special tokens are ordinary text.
+    encoded in one piece. Added tokens of the JSON (special ones too) are matched
+    in a text first, the leftmost and longest, and what lies between them is
+    encoded by itself; if one of them has matching rules of its own (single
+    words, stripped or normalized), texts that hold any go through the library.
     """
 
     def __init__(self, path: str):
         import tiktoken
         with open(path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            spec = json.load(f)
+        vocab = spec["model"]["vocab"]
+        added = [t for t in spec.get("added_tokens") or [] if t["content"]]
+        self._added = {t["content"]: np.array([vocab.get(t["content"], t["id"])], "<u4").tobytes() for t in added}
+        self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self._added, key=len, reverse=True))) + ")")
+        self._library = None
+        if any(t.get(rule) for t in added for rule in ("single_word", "lstrip", "rstrip", "normalized")):
+            import tokenizers
+            self._library = tokenizers.Tokenizer.from_file(path)
         byte = _byte_of_symbol()
         ranks = {bytes(byte[c] for c in token): i for token, i in vocab.items() if all(c in byte for c in token)}
         ranks = {b: i for b, i in ranks.items() if i < len(ranks)}
@@ -112,6 +123,19 @@ class Tokenizer:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text."""
+        held = {i for i, t in enumerate(texts) if t and any(s in t for s in self._added)}
+        if not held:
+            return self._plain(texts)
+        if self._library:
+            rest = iter(self._plain([t for i, t in enumerate(texts) if i not in held]))
+            return [np.array(self._library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if i in held
+                    else next(rest) for i, t in enumerate(texts)]
+        parts = [self._cut.split(t) if i in held else [t] for i, t in enumerate(texts)]    # every second is added
+        between = iter(self._plain([p for own in parts for p in own[::2]]))
+        return [b"".join(self._added[p] if k % 2 else next(between) for k, p in enumerate(own)) for own in parts]
+
+    def _plain(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of texts without added tokens."""
         cut = [t.replace("\n", " \n").split(" ") if t and single_spaced(t) else None for t in texts]
         units = set().union(*(u[1:] for u in cut if u))
         new = {u for u in units if u not in self._known}

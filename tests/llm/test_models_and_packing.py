@@ -222,6 +222,32 @@ def test_tokenizer_equals_the_library(library_tokens, monkeypatch):
     assert [small.encode([t])[0] for t in texts[-300:]] == expected[-300:]
 
 
+def test_added_tokens_equal_the_library(library_tokens, tmp_path):
+    import json
+
+    from casegrade.llm import packing as K
+    from tokenizers import Tokenizer
+    end = "<|endoftext|>"
+    random.seed(10)
+    alphabet = [" ", "\n", "a", "B", "'s", "1", "\t", "  ", "é", "<|", "|>", "endoftext", end, end]
+    texts = ["".join(random.choices(alphabet, k=random.randrange(20))) for _ in range(1500)]
+    for text in ["end of", " a  b\n", "x", "", LONG]:
+        texts += [end + text, text + end, f"{text}{end}{text}", f"{text} {end} {text}", f"{end}{end}{text}<{end}", text]
+    expected = [t[:-1].tobytes() for t in library_tokens(texts)]
+    assert np.frombuffer(K.tokenizer(None).encode([f"end {end} of"])[0], "<u4").tolist() == [437, 220, 50256, 286]
+    assert K.tokenizer(None).encode([*texts, None]) == [*expected, b""]
+    with open(K.default_tokenizer(), encoding="utf-8") as f:
+        spec = json.load(f)
+    plain = spec["added_tokens"][0]
+    for rules in ({}, {"lstrip": True}, {"rstrip": True}, {"single_word": True}):       # one literal begins another
+        spec["added_tokens"] = [plain, plain | {"id": 50257, "content": end + "<|"}, plain | {"id": 50258, "content": "a", **rules}]
+        path = tmp_path / f"{'-'.join(rules)}.json"
+        path.write_text(json.dumps(spec), encoding="utf-8")
+        library = Tokenizer.from_file(str(path))
+        assert K.Tokenizer(str(path)).encode(texts) == [
+            np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def best_fit_decreasing(counts, capacity):
     """Sequences that best fit takes, longest items first."""
     bins, n = {}, 0
