@@ -27,6 +27,7 @@ transfer itself is not a Spark job and is not built):
 from __future__ import annotations
 
 import time
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -39,7 +40,8 @@ from ..schemas import FAILED, FILE_MANIFEST, LANDED, PAYLOAD_MANIFEST
 from ..session import ship_package
 from ..sources import store
 from ..streaming.files import literal_paths
-from ..streaming.medical_json import by_size
+from ..streaming.large_json import cut_files
+from ..streaming.medical_json import by_size, read_lines, read_whole
 from .skew import SkewGuard, salted_left_join
 
 
@@ -132,6 +134,16 @@ def payload_rows(texts: DataFrame, source_system: str, api_url: str | None = Non
         source_system, api_url, F.col("_read.ok"), payload_hash("value"), F.col("_read.n"), keep))
 
 
+def counted_rows(counted: DataFrame, hashed: DataFrame, source_system: str, api_url: str | None = None) -> DataFrame:
+    """(_path, _ok, _n) of files, and the ``hash_files`` of their paths ->
+    PAYLOAD_MANIFEST rows."""
+    met = hashed.withColumnRenamed("path", "landing_path").join(
+        counted, F.col("landing_path") == F.col("_path"), "left")
+    ok = F.coalesce(F.col("_ok"), F.lit(False)) & F.col("file_hash").isNotNull()
+    rows = _payload_row(source_system, api_url, ok, F.col("file_hash"), F.col("_n"))
+    return met.select(*rows[:-1], F.coalesce(F.col("error_message"), rows[-1]).alias("error_message"))
+
+
 def payload_line_rows(lines: DataFrame, hashed: DataFrame, source_system: str, api_url: str | None = None) -> DataFrame:
     """(value, landing_path) lines of JSON Lines feeds, and the ``hash_files``
     of their paths -> PAYLOAD_MANIFEST rows. Lines are counted where they are read."""
@@ -139,11 +151,7 @@ def payload_line_rows(lines: DataFrame, hashed: DataFrame, source_system: str, a
         docs.isNotNull().alias("ok"), payload_record_count(docs).alias("n")))
     counted = (lines.withColumn("_read", read).groupBy(F.col("landing_path").alias("_path"))
                .agg(F.bool_and(F.col("_read.ok")).alias("_ok"), F.sum(F.col("_read.n")).alias("_n")))
-    met = hashed.withColumnRenamed("path", "landing_path").join(
-        counted, F.col("landing_path") == F.col("_path"), "left")
-    ok = F.coalesce(F.col("_ok"), F.lit(False)) & F.col("file_hash").isNotNull()
-    rows = _payload_row(source_system, api_url, ok, F.col("file_hash"), F.col("_n"))
-    return met.select(*rows[:-1], F.coalesce(F.col("error_message"), rows[-1]).alias("error_message"))
+    return counted_rows(counted, hashed, source_system, api_url)
 
 
 def payload_file_rows(spark: SparkSession, files: dict[str, int], source_system: str, api_url: str | None = None,
@@ -151,15 +159,25 @@ def payload_file_rows(spark: SparkSession, files: dict[str, int], source_system:
     """PAYLOAD_MANIFEST rows of the given files (path -> length)."""
     whole, lines = by_size(files, layout)
     parts = []
+
+    def hashed(paths):
+        listed = spark.createDataFrame([(p,) for p in paths], "path string").select(plain_path("path").alias("path"))
+        return hash_files(listed.repartition(min(len(paths), 10_000)))
+    if lines and layout == "document":
+        counts, _, single, lines, bad = cut_files(spark, {p: files[p] for p in lines})
+        whole = whole + single
+        known = [(p, True, n) for p, n in counts.items()] + [(p, False, None) for p in bad]
+        if known:
+            counted = spark.createDataFrame(known, "p string, _ok boolean, _n bigint").select(
+                plain_path("p").alias("_path"), "_ok", "_n")
+            parts.append(counted_rows(counted, hashed([p for p, _, _ in known]), source_system, api_url))
     if whole:
-        texts = spark.read.text(literal_paths(whole), wholetext=True)
-        parts.append(payload_rows(texts.select("value", source_path().alias("landing_path")), source_system, api_url))
+        texts = read_whole(spark, whole).withColumnRenamed("_source_file", "landing_path")
+        parts.append(payload_rows(texts, source_system, api_url))
     if lines:
-        texts = spark.read.text(literal_paths(lines)).filter(F.trim("value") != "")
-        paths = spark.createDataFrame([(p,) for p in lines], "path string").select(plain_path("path").alias("path"))
-        parts.append(payload_line_rows(texts.select("value", source_path().alias("landing_path")),
-                                       hash_files(paths.repartition(min(len(lines), 10_000))), source_system, api_url))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        texts = read_lines(spark, lines).withColumnRenamed("_source_file", "landing_path")
+        parts.append(payload_line_rows(texts, hashed(lines), source_system, api_url))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def payload_manifest(spark: SparkSession, landing_dir: str, source_system: str,

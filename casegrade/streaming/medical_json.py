@@ -18,8 +18,10 @@ streaming parse, and each record is parsed by itself:
 * a file that is not JSON, or not UTF-8, gives one row whose ``_rescued_data``
   holds the text (its claim id is null, so staging drops it and the ledger
   marks it FAILED); the other files of the batch load;
-* a file above ``WHOLE_FILE_BYTES`` does not fit a row: it is read by lines,
-  each a document of its own;
+* a file above ``WHOLE_FILE_BYTES`` may not fit a row: it is cut into its
+  records inside a task (``large_json``), which are parsed in the same way; one
+  that is not a single document is read by lines, each a document of its own,
+  and the text of one that is not JSON is rescued line by line;
 * ``_source_file`` / ``_ingested_at`` lineage per row.
 
 The number of rows of a file is its record count in the ledger.
@@ -27,6 +29,8 @@ The number of rows of a file is its record count in the ledger.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -35,6 +39,7 @@ from ..functions.exprs import let, source_path
 from ..functions.payload import document_texts, is_one_document, list_document, payload_record_texts
 from ..schemas import BRONZE_MEDICAL, RAW_MEDICAL
 from .files import batch_folder, literal_paths, path_batches
+from .large_json import cut_files
 from .schema_registry import track_schema
 
 EVENTS_TYPE = "array<struct<type:string,date:string>>"
@@ -77,6 +82,12 @@ def parse_payloads(text: DataFrame) -> DataFrame:
                .otherwise(F.array(F.lit(None).cast("string"))))
     recs = docs.select("_source_file", F.when(~ok, F.make_valid_utf8("value")).alias("_bad"),
                        F.explode(records).alias("t"))
+    return parse_records(recs)
+
+
+def parse_records(recs: DataFrame) -> DataFrame:
+    """(_source_file, _bad, t): a record text, or the text of a file that is not
+    JSON -> bronze medical rows (without _ingested_at)."""
     # A record that comes out of its typed form letter by letter holds nothing
     # else; only the others are taken apart.
     recs = recs.withColumn("j", F.from_json("t", f"claim_id string, medical_events {EVENTS_TYPE}"))
@@ -108,35 +119,46 @@ def parse_payloads(text: DataFrame) -> DataFrame:
 
 
 def by_size(files: dict[str, int], layout: str) -> tuple[list[str], list[str]]:
-    """The files to read whole, and those to read by lines."""
+    """The files to read whole, and the others."""
     if layout not in LAYOUTS:
         raise ValueError(layout)
     whole = [p for p, n in files.items() if layout == "document" and n <= WHOLE_FILE_BYTES]
     return whole, [p for p in files if p not in set(whole)]
 
 
-def read_payload_texts(spark: SparkSession, files: dict[str, int], layout: str = "document") -> DataFrame:
-    """(value, _source_file) of the given files (path -> length).
+def read_whole(spark: SparkSession, paths: list[str]) -> DataFrame:
+    # wholetext must be the argument of text(): as an option it is overridden
+    return spark.read.text(literal_paths(paths), wholetext=True).select("value", source_path().alias("_source_file"))
+
+
+def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return (spark.read.text(literal_paths(paths)).filter(F.trim("value") != "")
+            .select("value", source_path().alias("_source_file")))
+
 
-    ``layout="document"``: one payload document (or JSON Lines) per file, read
-    whole. ``layout="lines"``: JSON Lines feeds of any size, read line by line
-    so that large files are split over tasks; each line is a document.
+def load_payload_files(spark: SparkSession, files: dict[str, int], layout: str = "document") -> DataFrame:
+    """Bronze medical rows of the given payload files (path -> length).
+
+    ``layout="document"``: one payload document (or JSON Lines) per file.
+    ``layout="lines"``: JSON Lines feeds of any size, read line by line so that
+    large files are split over tasks; each line is a document.
     """
     whole, lines = by_size(files, layout)
     parts = []
+    if lines and layout == "document":
+        counts, records, single, lines, bad = cut_files(spark, {p: files[p] for p in lines})
+        whole = whole + single
+        none = F.lit(None).cast("string")
+        if counts:
+            parts.append(parse_records(records.select("_source_file", none.alias("_bad"), "t")))
+        if bad:
+            parts.append(parse_records(read_lines(spark, bad).select(
+                "_source_file", F.make_valid_utf8("value").alias("_bad"), none.alias("t"))))
     if whole:
-        # wholetext must be the argument of text(): as an option it is overridden
-        parts.append(spark.read.text(literal_paths(whole), wholetext=True).select(
-            "value", source_path().alias("_source_file")))
+        parts.append(parse_payloads(read_whole(spark, whole)))
     if lines:
-        parts.append(spark.read.text(literal_paths(lines)).filter(F.trim("value") != "").select(
-            "value", source_path().alias("_source_file")))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-
-def load_payload_files(spark: SparkSession, files: dict[str, int], layout: str = "document") -> DataFrame:
-    """Bronze medical rows of the given payload files."""
-    return (parse_payloads(read_payload_texts(spark, files, layout))
+        parts.append(parse_payloads(read_lines(spark, lines)))
+    return (reduce(DataFrame.unionByName, parts)
             .withColumn("_ingested_at", F.current_timestamp())
             .select(*RAW_MEDICAL.fieldNames()))
 

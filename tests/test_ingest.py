@@ -226,6 +226,49 @@ def test_file_above_the_row_limit(spark, monkeypatch):
     assert read_bronze_claims(spark, f"{d}/cb").count() == 1
 
 
+def test_size_of_a_json_file_does_not_change_its_rows(spark, monkeypatch):
+    from casegrade.operators import ledger as L
+    from casegrade.streaming import large_json as J
+    from casegrade.streaming import medical_json as M
+    from casegrade.schemas import RAW_MEDICAL
+    a, b = '{"claim_id":"A","medical_events":[{"type":"x,]}","date":"\\\\"}],"n":{"k":[1,2]}}', '{"claim_id":"B\\"[{","x":null}'
+    texts = [f"[\n {a},\n {b}\n]\n", f'{{"data": [{a},\n{b}], "next": [1, {{"a": 2}}]}}', f'{{"results":[{b}],"data":null}}',
+             f'{{"results":[{b}], "data":[{a}] }}', '{"data":[]}', "[]", "[ ]", "{}", f"{a}\n{b}\n", f"\ufeff[{a}]",
+             '{\n "claim_id": "Z"\n}\n', f"[{a}, 3, null, \"s\", [1], {{\"claim_id\":1,\"claim_id\":2}}]", f'{{"data":{{"a":[{a}]}}}}',
+             "['x', {'claim_id': 'q,]'}]", f'{{"data":[{a}],"data":[{b},{b}]}}']
+    bad = [f"[{a},\n{b}", f"[{a},]", f"[{a}}}", f'{{"data":[{a}],}}', f'{{"data":[{a}] [1]}}', f"[{a} {b}]", "[,]", f'{{"x",:[{a}]}}',
+           f"[{a}, x]", f'{{"data":[{a}], "m": y}}', f'{{"data" "z":[{a}]}}']
+    d = scratch_dir(spark, "t-sizes")
+    os.makedirs(f"{d}/landing")
+    for i, text in enumerate(texts + bad):
+        _put(f"{d}/landing", f"p{i:02}.json", text)
+    files = {f"file:{d}/landing/p{i:02}.json": len(t.encode()) for i, t in enumerate(texts + bad)}
+
+    def loaded():
+        rows = M.load_payload_files(spark, files).select(*[c for c in RAW_MEDICAL.fieldNames() if c != "_ingested_at"]).collect()
+        ledger = L.payload_file_rows(spark, files, "api").collect()
+        failed = {r._source_file for r in rows if '_corrupt_record' in (r._rescued_data or "")}
+        return (sorted(map(str, (r for r in rows if r._source_file not in failed))), failed,
+                sorted((str(r.landing_path), r.payload_hash, r.record_count, r.status, r.error_message) for r in ledger))
+    small = loaded()
+    assert {p[-8:-5] for p in small[1]} == {f"p{i:02}" for i in range(len(texts), len(texts + bad))}
+    monkeypatch.setattr(M, "WHOLE_FILE_BYTES", 0)
+    large = loaded()
+    assert large[0] == small[0] and large[1] == small[1] and large[2] == small[2]
+    for text in texts + bad:                                 # where pieces and runs end does not matter
+        def elements(size, run_bytes):
+            raw = text.encode()
+            got = list(J.cut((raw[i:i + size] for i in range(0, len(raw), size)), run_bytes))
+            joined = {}
+            if got and got[-1][0] in (J.MORE, J.BROKEN):
+                return got[-1]
+            for role, member, n, part in got:
+                n0, p0 = joined.get((role, member), (0, b""))
+                joined[role, member] = (n0 + n, p0 + (b"," if n0 else b"") + part)
+            return joined
+        assert elements(1, 1) == elements(5, 1) == elements(1000, 10) == elements(1000, 1000)
+
+
 def test_json_list_elements_keep_their_json_type(spark):
     from casegrade.streaming.medical_json import parse_payloads
     df = spark.createDataFrame([('[{"claim_id": "A"}, "x", 3, "{\\"claim_id\\": \\"B\\"} junk", null]', "f")],
