@@ -8,7 +8,7 @@ counted in Spark:
    several documents of the block hold, only the smallest document's
    occurrences go on; the others are known repeats already. So a passage that a
    third of all documents share costs one entry per block, not per document.
-2. The rest is dealt out by hash range (``repartitionById``). An entry is the
+2. The rest is dealt out by ranges of a second hash (``repartitionById``). An entry is the
    hash, the document and the position, packed per (block, range) as arrays.
    Each range finds the smallest document of every hash; occurrences in larger
    documents are repeats.
@@ -18,8 +18,11 @@ counted in Spark:
 
 A window is repeated if the same word sequence starts in a document with a
 smaller id; all windows are judged on the input. Windows are equal if their
-64-bit hashes are (within one of the ranges): with 3 million windows to a
-range that is under one false match expected in 10^13 windows.
+64-bit hashes are and they lie in one range of the second hash, so the ranges
+add bits: of n windows in P ranges, n^2 / (2^65 P) false matches are expected.
+With 3 million windows to a range that is under one in 10^13 windows. Both
+hashes rest on the 64-bit hashes of the words: v different words give another
+v^2 / 2^65 pairs of words that count as equal.
 
 Memory: a task holds one block (``BLOCK_WORDS`` words or one document) or one
 range, whose size is set by the number of shuffle partitions.
@@ -75,6 +78,14 @@ def window_hashes(words: np.ndarray, window: int) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def range_hashes(words: np.ndarray, window: int) -> np.ndarray:
+    """Hashes of the same windows that do not depend on ``window_hashes``."""
+    mixed = words ^ (words >> np.uint64(29))
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    mixed ^= mixed >> np.uint64(32)
+    return window_hashes(mixed, window)
+
+
 def _planes(values: np.ndarray) -> bytes:
     """Unsigned integers as byte planes: the planes of leading zeros compress away."""
     return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
@@ -142,18 +153,20 @@ def _block_rows(ids, keys, texts, parts: int, window: int):
     h = np.concatenate(found) if found else np.zeros(0, np.uint64)
     if not len(h):
         return
+    deal = np.concatenate([range_hashes(t, window) for t in texts])
     sizes = np.array([len(f) for f in found])
     doc = np.repeat(np.arange(len(found)), sizes)
     at = np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     by_hash = np.argsort(h, kind="stable")                     # inside a hash: by document, then position
-    first, count = _runs(h[by_hash])
+    first = np.flatnonzero(np.r_[True, (h[by_hash[1:]] != h[by_hash[:-1]]) | (deal[by_hash[1:]] != deal[by_hash[:-1]])])
+    count = np.diff(np.r_[first, len(h)])
     least = np.repeat(ids[doc[by_hash[first]]], count)
     known = np.zeros(len(h), bool)
     known[by_hash] = ids[doc[by_hash]] > least
     again, rest = np.flatnonzero(known), np.flatnonzero(~known)
     if len(again):                                             # repeats inside the block
         yield from _packed(_spread(ids, keys, parts)[doc[again]], doc[again], ids, keys, at[again])
-    part = ((h[rest] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    part = ((deal[rest] >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
     yield from _packed(part, doc[rest], ids, keys, at[rest], h[rest])
 
 

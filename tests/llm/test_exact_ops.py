@@ -463,3 +463,18 @@ def test_sharding_odd_rows(spark):
     assert J.shard_rows(docs_df(spark, []), "doc_id", 3).collect() == []
     with pytest.raises(ValueError):
         J.shard_rows(docs_df(spark, []).withColumnRenamed("u", "shard"), "doc_id", 3)
+
+
+def test_substring_ranges_add_bits_to_the_hash(monkeypatch):
+    """Windows whose first hashes collide differ by the hash that deals them out."""
+    from casegrade.llm import substring as S
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 2 ** 63, 60).astype(np.uint64) for _ in range(2)]
+    h, plain = S.window_hashes(texts[0], 13), S.window_hashes
+    rows = list(S._block_rows(np.array([1, 2]), np.array([0, 0]), texts, 64, 13))
+    parts = np.concatenate([np.repeat(r[0], len(r[5]) // 8) for r in rows])
+    hashes = np.concatenate([np.frombuffer(r[5], np.uint64) for r in rows])
+    assert len(hashes) == 2 * len(h) and np.mean(parts == hashes >> np.uint64(58)) < 0.2
+    monkeypatch.setattr(S, "window_hashes", lambda w, n: plain(w, n) if w[0] not in (texts[0][0], texts[1][0]) else h)
+    rows = list(S._block_rows(np.array([1, 2]), np.array([0, 0]), texts, 64, 13))
+    assert all(r[5] is not None for r in rows)               # no known repeats: these are other words
