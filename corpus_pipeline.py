@@ -8,6 +8,7 @@ the columns of ``documents``.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +20,14 @@ LANGUAGE_SCORE = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter or without a clear language."""
+    """Drop documents without a letter or without a clear language.
+
+    The languages are learned from ``lang``; if that is null in all rows, only
+    documents without a letter go.
+    """
     model = langid.train(docs)
+    if not model.languages:                      # one language, of equal odds for every n-gram
+        model = langid.Model(["any"], np.zeros((1, langid.BUCKETS), np.float32), np.zeros(1))
     judged = langid.predict(docs, model, keep=docs.columns, pred_col="__lang_pred", score_col="__lang_score")
     return (judged.filter((F.col("__lang_pred") != langid.UNKNOWN) & (F.col("__lang_score") >= LANGUAGE_SCORE))
             .select(*named(docs.columns)))

@@ -342,3 +342,12 @@ def test_pipeline_odd_rows(spark):
         for name, stage in P.STAGES:
             docs = stored(stage(spark, docs, SF), f"odd-{name}")
         assert (docs.count() > 0) == bool(table)
+
+
+def test_language_stage_without_labels(spark):
+    import corpus_pipeline as P
+    docs = docs_df(spark, ODD_ROWS).withColumn("lang", F.lit(None).cast("string"))
+    kept = P.language_id(spark, docs, SF)
+    assert kept.columns == docs.columns
+    lettered = [r.text for r in docs.collect() if any(c.isalpha() for c in r.text or "")]
+    assert lettered and sorted(r.text for r in kept.collect()) == sorted(lettered)
