@@ -9,7 +9,8 @@ chosen by what their joint bins explain of the residual, get the same with
 trees that split either feature.
 
 Training uses at most ``TRAIN_ROWS`` labelled rows (those with the smallest
-hashes of their ids), brought to the driver as feature rows of about 100 bytes.
+hashes of their ids), brought to the driver as feature rows of about 100 bytes;
+of rows with one id the text with the smallest hash teaches.
 Bins are quantiles of that sample. All texts are scored, whole.
 
 Defined cases: a null or empty text has the features of an empty text and a
@@ -168,14 +169,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     picked = (known.groupBy(F.col(id_col).alias("label_id")).agg(F.min(label_col).cast("int").alias("y"))
               .orderBy(F.xxhash64("label_id"), "label_id").limit(rows))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"))
-    labelled = texts.join(F.broadcast(picked), F.col("id") == F.col("label_id")).select("t", "y")
+    labelled = texts.join(F.broadcast(picked), F.col("id") == F.col("label_id")).select(
+        "t", "label_id", F.xxhash64("t").alias("h"), "y")
 
     def task(batches):
         for run in slices(batches, 0):
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c) for c in _table(run, 0).T.copy()), run.column(1)], [*FEATURES, "y"])
-    schema = ", ".join(f"{name} double" for name in FEATURES) + ", y int"
-    got = labelled.mapInArrow(task, schema).toArrow()
+                [*run.columns[1:], *(pa.array(c) for c in _table(run, 0).T.copy())], ["label_id", "h", "y", *FEATURES])
+    schema = labelled.drop("t").withColumns({name: F.lit(0.0) for name in FEATURES}).schema
+    one = (labelled.mapInArrow(task, schema).groupBy("label_id")
+           .agg(F.min(F.struct("h", *FEATURES, "y")).alias("row")))
+    got = one.select(*[F.col(f"row.{name}") for name in (*FEATURES, "y")]).toArrow()
     x = np.stack([got.column(name).to_numpy() for name in FEATURES], axis=1) if got.num_rows else \
         np.zeros((0, len(FEATURES)))
     order = np.lexsort(x.T) if len(x) else []

@@ -351,3 +351,15 @@ def test_language_stage_without_labels(spark):
     assert kept.columns == docs.columns
     lettered = [r.text for r in docs.collect() if any(c.isalpha() for c in r.text or "")]
     assert lettered and sorted(r.text for r in kept.collect()) == sorted(lettered)
+
+
+def test_quality_trains_on_one_row_of_an_id(spark, monkeypatch):
+    from casegrade.llm import quality_gam as Q
+    rows = [(1, f"clean words number {i}") for i in range(300)] + [(1, None), (2, "## $$ %%"), (3, "some text"), (None, "none")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (None, 1)], "doc_id bigint, quality int")
+    seen, fit = [], Q.fit
+    monkeypatch.setattr(Q, "fit", lambda x, y: seen.append((x.tolist(), y.tolist())) or fit(x, y))
+    Q.train(docs, labels)
+    Q.train(docs.orderBy(F.desc("text")).repartition(7), labels)
+    assert len(seen[0][1]) == 3 and sorted(seen[0][1]) == [0.0, 1.0, 1.0] and seen[0] == seen[1]
