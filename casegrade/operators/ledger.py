@@ -258,12 +258,14 @@ def _cast_to(rows: DataFrame, schema) -> DataFrame:
 
 def record_files(spark: SparkSession, landing_dir: str, manifest_path: str, source_system: str,
                  suffix: str = ".csv", remote_dir: str | None = None) -> dict:
-    """Record the landed files whose names are not LANDED yet; a FAILED name is
-    offered again. Of one name in several folders, the smallest path counts.
-    Returns this run's ``{"landed": n, "failed": m}``."""
+    """Record the landed files whose paths are not LANDED yet; a FAILED file is
+    offered again. Files of one name in several folders have a row each; a
+    LANDED row without a path holds for every file of its name. Returns this
+    run's ``{"landed": n, "failed": m}``."""
     manifest = _manifest_so_far(spark, manifest_path, "file")
-    names = list_files(spark, landing_dir, suffix).groupBy("file_name").agg(F.min("path").alias("path"))
-    fresh = new_files(names, manifest, source_system, suffix)
+    files = list_files(spark, landing_dir, suffix).select("path", "file_name", F.col("path").alias("landing_path"))
+    fresh = new_files(files, manifest.filter(F.col("landing_path").isNull()), source_system, None)
+    fresh = new_files(fresh, manifest, source_system, None, key="landing_path")
     return append_manifest(manifest_rows(fresh, source_system, remote_dir), manifest_path)
 
 

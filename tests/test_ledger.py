@@ -181,3 +181,23 @@ def test_record_files_with_glob_characters_in_names(spark):
     m = L.read_manifest(spark, f"{d}/manifest").collect()
     assert sorted(r.file_name for r in m) == ["a[1].csv", "b{x,y}.csv", "plain.csv"]
     assert sorted(r.file_size_bytes for r in m) == sorted(len(n) for n in ("a[1].csv", "b{x,y}.csv", "plain.csv"))
+
+
+def test_one_name_in_two_folders_has_a_row_each(spark):
+    from casegrade.operators import ledger as L
+    from casegrade.session import scratch_dir
+    d = scratch_dir(spark, "t-same-name")
+
+    def land(day, text):
+        os.makedirs(f"{d}/landing/date={day}")
+        with open(f"{d}/landing/date={day}/claims.csv", "w", encoding="utf-8") as f:
+            f.write(text)
+    land("a", "claim_id\nA\n")
+    land("b", "claim_id\nB\n")
+    assert L.record_files(spark, f"{d}/landing", f"{d}/m", "sftp") == {"landed": 2, "failed": 0}
+    land("c", "claim_id\nC\n")
+    assert L.record_files(spark, f"{d}/landing", f"{d}/m", "sftp") == {"landed": 1, "failed": 0}
+    assert L.record_files(spark, f"{d}/landing", f"{d}/m", "sftp") == {"landed": 0, "failed": 0}
+    rows = L.read_manifest(spark, f"{d}/m").collect()
+    assert sorted(r.landing_path.split("/")[-2] for r in rows) == ["date=a", "date=b", "date=c"]
+    assert len({r.file_hash for r in rows}) == 3 and {r.file_name for r in rows} == {"claims.csv"}
