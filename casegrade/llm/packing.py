@@ -90,6 +90,7 @@ class Tokenizer:
             spec = json.load(f)
         vocab = spec["model"]["vocab"]
         added = [t for t in spec.get("added_tokens") or [] if t["content"]]
+        del spec
         self._added = {t["content"]: np.array([vocab.get(t["content"], t["id"])], "<u4").tobytes() for t in added}
         self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self._added, key=len, reverse=True))) + ")")
         self._library = None

@@ -153,12 +153,18 @@ def _block_rows(ids, keys, texts, parts: int, window: int):
     h = np.concatenate(found) if found else np.zeros(0, np.uint64)
     if not len(h):
         return
-    deal = np.concatenate([range_hashes(t, window) for t in texts])
     sizes = np.array([len(f) for f in found])
-    doc = np.repeat(np.arange(len(found)), sizes)
+    del found
+    deal = np.concatenate([range_hashes(t, window) for t in texts])
+    doc = np.repeat(np.arange(len(sizes)), sizes)
     at = np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     by_hash = np.argsort(h, kind="stable")                     # inside a hash: by document, then position
-    first = np.flatnonzero(np.r_[True, (h[by_hash[1:]] != h[by_hash[:-1]]) | (deal[by_hash[1:]] != deal[by_hash[:-1]])])
+    ordered = h[by_hash]
+    differs = np.r_[True, ordered[1:] != ordered[:-1]]
+    del ordered
+    same = np.flatnonzero(~differs)
+    differs[same] = deal[by_hash[same]] != deal[by_hash[same - 1]]
+    first = np.flatnonzero(differs)
     count = np.diff(np.r_[first, len(h)])
     least = np.repeat(ids[doc[by_hash[first]]], count)
     known = np.zeros(len(h), bool)
