@@ -120,9 +120,101 @@ select page_id, strlen(payload)::bigint as payload_bytes,
        case when page_id <> first then first end as refers_to
 from bits"""
 
+# Edges of the forms that SQL can resolve: whole URLs and paths from the root.
+URL_FILTER = r"""
+with recursive rules(verdict, host, path) as (
+    values ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+page as (
+    select row_number() over () as n, page_id, url, html, case when strpos(url, '://') > 0
+           then substr(url, strpos(url, '://') + 3) end as rest from pages),
+part as (
+    select *, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path,
+           regexp_extract(rest, '^[^/?#]*([^#]*)', 1) as tail from page),
+tag as (
+    select n, url, unnest(regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script\s*>', ' ', 'g'),
+                                             '(?is)<(?:link|meta)\b[^>]*>')) as tag from page where rest is not null),
+target as (
+    select url, case when regexp_matches(tag, '(?is)^<link.*\brel\s*=\s*["'']?canonical')
+                     then regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
+                     when regexp_matches(tag, '(?is)^<meta.*\bhttp-equiv\s*=\s*["'']?refresh')
+                     then regexp_extract(tag, '(?is);\s*url\s*=\s*["'']?([^"''\s>]+)', 1) end as target from tag),
+whole as (
+    select url, case when strpos(target, '://') > 0 then target
+                     when starts_with(target, '/') then regexp_extract(url, '^.*?://[^/?#]*') || target end as target
+    from target where target <> ''),
+side as (select url as u, target as v from whole union all select target, url from whole),
+ends as (
+    select translate(regexp_extract(u, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+             || regexp_extract(u, '://[^/?#]*([^#]*)', 1) as a,
+           translate(regexp_extract(v, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+             || regexp_extract(v, '://[^/?#]*([^#]*)', 1) as b
+    from side where v is not null and u is not null),
+fits as (
+    select a, max_by(verdict, length(r.host || r.path)) as verdict
+    from (select distinct a from ends) e join rules r
+      on ('.' || regexp_extract(a, '^[^/?]*')) like ('%.' || r.host) and starts_with(regexp_extract(a, '^[^/?]*([^?]*)', 1), r.path)
+    group by a),
+reached as (
+    select a from fits where verdict = 'block'
+    union select ends.b from reached join ends on reached.a = ends.a),
+own as (
+    select n, max_by(r.host || r.path, length(r.host || r.path)) as rule, max_by(verdict, length(r.host || r.path)) as verdict
+    from part join rules r on ('.' || part.host) like ('%.' || r.host) and starts_with(part.path, r.path) group by n)
+select page_id, coalesce(host, '') as host, coalesce(path, '') as path, rule,
+       coalesce(verdict, case when reached.a is not null then 'block' else 'allow' end) as verdict,
+       rule is null and reached.a is not null as propagated
+from part left join own using (n) left join reached on part.host || part.tail = reached.a"""
+
+LEXICAL_SEARCH = r"""
+with doc as (
+    select row_number() over () as d, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+item as (
+    select row_number() over () as i, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+query as (select i, t, count(*) as r from (select i, unnest(w) as t from item) group by all),
+whole as (select count(*) filter (where len(w) > 0) as docs, sum(len(w))::bigint as words from doc),
+tf as (select d, t, count(*) as tf from (select d, unnest(w) as t from doc) where t in (select t from query) group by all),
+weight as (
+    select t, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as wt
+    from tf, whole group by t, docs),
+part as (
+    select d, t, wt * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(doc.w) * docs) // words))) as s
+    from tf join weight using (t) join doc using (d), whole),
+score as (select i, d, sum(r * s)::bigint as score from query join part using (t) group by all),
+ranked as (
+    select item_id, row_number() over (partition by i order by score desc, doc_id) as rank, doc_id, score
+    from score join item using (i) join doc using (d) where score > 0)
+select item_id, rank::integer as rank, doc_id, score from ranked where rank <= 10"""
+
+HARD_NEGATIVES = r"""
+with vec as (
+    select row_number() over () as n, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+    from embeddings
+    where label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pair as (
+    select a.n as a, a.vec_id as anchor_id, b.n as b, b.vec_id as other_id, a.label = b.label as same,
+           list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::bigint as score
+    from vec a join vec b on a.vec_id % 100 = 0 and a.vec_id is distinct from b.vec_id),
+positive as (
+    select * from (select *, row_number() over (partition by a order by score desc, other_id) as p from pair where same)
+    where p <= 5),
+negative as (
+    select p.anchor_id, p.other_id as positive_id, p.score as positive_score, n.other_id as negative_id,
+           n.score as negative_score, row_number() over (partition by p.a, p.p order by n.score desc, n.other_id) as rank
+    from positive p join pair n on p.a = n.a and not n.same
+    where 80 * p.score <= 100 * n.score and 100 * n.score <= 100 * p.score)
+select anchor_id, positive_id, rank::integer as rank, negative_id, positive_score, negative_score
+from negative where rank <= 5"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": DECONTAMINATION,
     "op2_substring_dedup": SUBSTRING_DEDUP,
     "op3_quality_rules": QUALITY_RULES,
     "op4_warc_dictionary": WARC,
+    "op11_url_filter": URL_FILTER,
+    "op12_lexical_search": LEXICAL_SEARCH,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontamination, langid, packing, quality_gam, quality_rules, sharding, simhash, substring,
-               token_counts, warc)
+from . import (decontamination, hard_negatives, langid, lexical, packing, quality_gam, quality_rules, sharding, simhash,
+               substring, token_counts, url_filter, warc)
 from ..session import scratch_dir
 from .common import read_table
 from .oracle import ORACLE_SQL
@@ -81,6 +81,26 @@ def op10_best_fit_packing(spark, sf):
     return packing.pack(read_table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
 
 
+#: The rules of the URL filter.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+ANCHOR_STEP = 100
+
+
+def op11_url_filter(spark, sf):
+    found = url_filter.judge(read_table(spark, sf, "pages"), url_filter.rule_table(spark, URL_RULES))
+    return found.withColumnRenamed("id", "page_id")
+
+
+def op12_lexical_search(spark, sf):
+    return lexical.search(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+
+
+def op13_hard_negatives(spark, sf):
+    rows = read_table(spark, sf, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("id") % ANCHOR_STEP == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_substring_dedup": op2_substring_dedup,
@@ -92,4 +112,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_jump_sharding": op9_jump_sharding,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_url_filter": op11_url_filter,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_hard_negatives": op13_hard_negatives,
 }
