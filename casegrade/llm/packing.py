@@ -5,14 +5,17 @@ sequence, cut into pieces of a full sequence (the first piece takes the rest).
 Which lengths share a sequence is then planned on the *histogram of lengths*
 (at most ``capacity`` counts, whatever the size of the corpus):
 
-1. Linear grouping: lengths above ``capacity / SMALL_SHARE`` are sorted and cut
-   into ``GROUPS`` groups of about equal cardinality (a length is never split
-   over groups); each counts as its group's largest.
-2. Configurations: for the largest group left, the fullest configuration of
-   groups that fits is found by dynamic programming over sums, and used as
-   often as the counts allow. Each step uses up a group.
-3. Substitution: the slots of a group take its actual lengths, so room appears.
-4. Best fit: the small lengths, longest first, go where the least room is left.
+1. Full pieces are sequences. Linear grouping: the other pieces longer than
+   ``capacity / SMALL_SHARE`` are sorted and cut into ``GROUPS`` groups of equal
+   cardinality; each counts as its group's longest, so few sizes are left.
+2. Configurations: how often to use which configuration of these sizes is a
+   linear program, solved by column generation (a knapsack over sums prices new
+   configurations). ``USED_SHARE`` of each amount, rounded down, is used.
+3. Substitution: a configuration's slots take the longest actual lengths that
+   fit them, its last slot the longest that fits the room left. (A slot taken by
+   a longer piece leaves a shorter one for a larger slot, so there is always one.)
+4. Best fit: the pieces left and the small ones, longest first, go where the
+   least room is left.
 
 The plan is a list of runs "the items of this length with ranks a to b go to
 sequences c to c + b - a at this offset". Its size depends on the capacity
@@ -30,6 +33,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from bisect import bisect_right
 from functools import lru_cache
 
 import numpy as np
@@ -42,13 +46,15 @@ from .common import slices, stored
 from .sharding import add_slots
 
 CAPACITY = 1024
-GROUPS = 1000
-SMALL_SHARE = 4
-#: The end-of-text id of the packing, the id of a line feed, and
-#: the splitting pattern of this kind of tokenizer.
+GROUPS = 60
+SMALL_SHARE = 3
+USED_SHARE = 0.9
+#: The end-of-text id of the packing, and the splitting pattern of
+#: this kind of tokenizer.
 END_ID = 2
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_CACHE_UNITS = 400_000
+#: The same pattern for ``single_spaced`` texts, where looking ahead changes nothing.
+SPACED_PATTERN = PATTERN.replace(r"\s+(?!\S)|\s+", r"\s")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
@@ -73,79 +79,72 @@ def single_spaced(text: str) -> bool:
         or _OTHER_SPACE.search(text))
 
 
+def plain_byte_bpe(spec: dict) -> bool:
+    """Whether a tokenizers JSON is what the fast path implements: nothing is
+    normalized, ``PATTERN`` splits, and merges come in the order of their ids."""
+    model, split = spec["model"], spec.get("pre_tokenizer") or {}
+    off = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    if (spec.get("normalizer") or spec.get("truncation") or spec.get("padding") or model.get("type") != "BPE"
+            or any(model.get(k) for k in off) or split.get("type") != "ByteLevel"
+            or split.get("add_prefix_space", True) or not split.get("use_regex", True)):
+        return False
+    vocab = model["vocab"]
+    merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "", 1) for m in model["merges"]]
+    order = [vocab.get(m, -1) for m in merged]
+    byte = _byte_of_symbol()
+    return (all(i < j for i, j in zip([-1, *order], order)) and all(c in vocab for c in byte)
+            and set(merged) == {t for t in vocab if len(t) > 1 and all(c in byte for c in t)})
+
+
 class Tokenizer:
-    """A byte-level BPE vocabulary (tokenizers JSON) with a memory of words.
-
-    A single-spaced text is cut before its spaces and line feeds; the ids of
-    each unit are kept as little-endian unsigned 32-bit values. Other texts are
-    encoded in one piece. Added tokens of the JSON (special ones too) are matched
-    in a text first, the leftmost and longest, and what lies between them is
-    encoded by itself; if one of them has matching rules of its own (single
-    words, stripped or normalized), texts that hold any go through the library.
+    """A byte-level BPE vocabulary (tokenizers JSON): the ids of texts as
+    little-endian unsigned 32-bit values.
+
+    Added tokens of the JSON (special ones too) are matched in a text first, the
+    leftmost and longest, and what lies between them is encoded by itself. Texts
+    that hold an added token with matching rules of its own (single words,
+    stripped or normalized), and all texts if the JSON is not ``plain_byte_bpe``,
+    go through the tokenizers library.
     """
 
     def __init__(self, path: str):
         import tiktoken
+        import tokenizers
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab = spec["model"]["vocab"]
         added = [t for t in spec.get("added_tokens") or [] if t["content"]]
-        del spec
-        self._added = {t["content"]: np.array([vocab.get(t["content"], t["id"])], "<u4").tobytes() for t in added}
-        self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self._added, key=len, reverse=True))) + ")")
+        self._plain_bpe = plain_byte_bpe(spec)
         self._library = None
-        if any(t.get(rule) for t in added for rule in ("single_word", "lstrip", "rstrip", "normalized")):
-            import tokenizers
+        if not self._plain_bpe or any(t.get(rule) for t in added for rule in ("single_word", "lstrip", "rstrip", "normalized")):
             self._library = tokenizers.Tokenizer.from_file(path)
-        byte = _byte_of_symbol()
-        ranks = {bytes(byte[c] for c in token): i for token, i in vocab.items() if all(c in byte for c in token)}
-        ranks = {b: i for b, i in ranks.items() if i < len(ranks)}
-        self._encoding = tiktoken.Encoding("corpus", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self._feed = ranks[b"\n"]
-        self._known: dict[str, bytes] = {}          # a word, or a line feed and a word -> ids
+        self._added = {t["content"]: np.array([vocab.get(t["content"], t["id"])], "<u4").tobytes() for t in added}
+        self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self._added, key=len, reverse=True))) + ")")
+        if self._plain_bpe:
+            byte = _byte_of_symbol()
+            ranks = {bytes(byte[c] for c in token): i for token, i in vocab.items() if all(c in byte for c in token)}
+            self._any, self._spaced = (tiktoken.Encoding(f"corpus-{i}", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+                                       for i, pattern in enumerate((PATTERN, SPACED_PATTERN)))
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self._encoding.encode_ordinary(text), "<u4").tobytes()
-
-    def _learn(self, units: set[str]) -> None:
-        """Encode units together, line feeds between them: each is one token there."""
-        starts = [u for u in units if u[0] == "\n"]
-        feed = np.array([self._feed], "<u4").tobytes()
-        for lead, before, words in (("\n", feed, [u[1:] for u in starts]), ("", b"", list(units.difference(starts)))):
-            if not words:
-                continue
-            text = "\n".join(words) if lead else " " + "\n ".join(words)
-            ids = np.array(self._encoding.encode_ordinary(text), "<u4")
-            ends = np.append(np.flatnonzero(ids == self._feed), len(ids)) * 4
-            data, at = ids.tobytes(), 0
-            for word, end in zip(words, ends.tolist(), strict=True):
-                self._known[lead + word] = before + data[at:end]
-                at = end + 4
+        """The ids of a text without added tokens."""
+        encoding = self._spaced if single_spaced(text) else self._any
+        return np.array(encoding.encode_ordinary(text), "<u4").tobytes() if text else b""
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text."""
-        held = {i for i, t in enumerate(texts) if t and any(s in t for s in self._added)}
-        if not held:
-            return self._plain(texts)
-        if self._library:
-            rest = iter(self._plain([t for i, t in enumerate(texts) if i not in held]))
-            return [np.array(self._library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if i in held
-                    else next(rest) for i, t in enumerate(texts)]
-        parts = [self._cut.split(t) if i in held else [t] for i, t in enumerate(texts)]    # every second is added
-        between = iter(self._plain([p for own in parts for p in own[::2]]))
-        return [b"".join(self._added[p] if k % 2 else next(between) for k, p in enumerate(own)) for own in parts]
-
-    def _plain(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of texts without added tokens."""
-        cut = [t.replace("\n", " \n").split(" ") if t and single_spaced(t) else None for t in texts]
-        units = set().union(*(u[1:] for u in cut if u))
-        new = {u for u in units if u not in self._known}
-        if len(self._known) + len(new) > _CACHE_UNITS:
-            self._known, new = {}, units
-        self._learn(new)
-        get = self._known.__getitem__
-        return [self._ids(u[0]) + b"".join(map(get, u[1:])) if u else self._ids(t) if t else b""
-                for t, u in zip(texts, cut)]
+        out = []
+        for text in texts:
+            text = text or ""
+            held = any(token in text for token in self._added)
+            if self._library and (held or not self._plain_bpe):
+                out.append(np.array(self._library.encode(text, add_special_tokens=False).ids, "<u4").tobytes())
+            elif held:                               # every second part is an added token
+                parts = self._cut.split(text)
+                out.append(b"".join(self._added[p] if k % 2 else self._ids(p) for k, p in enumerate(parts)))
+            else:
+                out.append(self._ids(text))
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -191,45 +190,68 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     return rows.mapInArrow(task, out.schema)
 
 
-def linear_groups(counts: dict[int, int], groups: int) -> list[list[int]]:
-    """Lengths, largest first, in runs of about equal cardinality."""
+def equal_groups(counts: dict[int, int], groups: int) -> list[list[list[int]]]:
+    """Runs [length, number], the longest first, in groups of equal cardinality.
+
+    A length may be split over groups; groups with the same largest length are one.
+    """
     total = sum(counts.values())
-    out: dict[int, list[int]] = {}
-    seen = 0
+    ends = [total * (g + 1) // groups for g in range(groups)]
+    out: dict[int, list[list[int]]] = {}              # by largest length
+    g = seen = size = 0
     for length in sorted(counts, reverse=True):
-        out.setdefault(seen * groups // total, []).append(length)
-        seen += counts[length]
+        left = counts[length]
+        while left:
+            if seen == ends[g] or not seen:
+                g, size = next(i for i in range(g, groups) if ends[i] > seen), length
+            n = min(left, ends[g] - seen)
+            out.setdefault(size, []).append([length, n])
+            seen, left = seen + n, left - n
     return list(out.values())
 
 
-def fullest(sizes: list[int], counts: list[int], room: int) -> list[int]:
-    """Indices (repeats allowed, within ``counts``) whose sizes fill ``room`` best.
-
-    ``sizes`` fall; sums reached with larger sizes are kept.
+def knapsack(sizes: list[int], worth: np.ndarray, room: int) -> tuple[float, list[int]]:
+    """The most that items (repeats allowed) within ``room`` are worth, and their indices."""
+    size, least = np.array(sizes), min(sizes)
+    best, last = np.zeros(room + 1), np.full(room + 1, -1)        # last: an item of the best filling
+    for w in range(least, room + 1):
+        fits = size <= w
+        ways = np.where(fits, best[np.where(fits, w - size, 0)] + worth, -np.inf)
+        i = int(ways.argmax())
+        best[w] = best[w - 1]
+        if ways[i] > best[w] + 1e-12:
+            best[w], last[w] = ways[i], i
+    config, w = [], room
+    while w >= least:
+        if last[w] < 0:
+            w -= 1
+        else:
+            config.append(int(last[w]))
+            w -= sizes[config[-1]]
+    return float(best[room]), config
+
+
+def configurations(sizes: list[int], demand: list[int], room: int) -> list[tuple[list[int], float]]:
+    """Configurations (indices of sizes, with repeats) and how often to use each.
+
+    The linear program "as few configurations as meet the demand" by column
+    generation: the knapsack over the duals prices a new configuration, which
+    enters the basis until none is worth more than the sequence it costs. Any
+    basis on the way is a plan, so the steps are bounded.
     """
-    mask = (1 << (room + 1)) - 1
-    reached, via = 1, {}
-    for i, (size, count) in enumerate(zip(sizes, counts)):
-        if not count or size > room:
-            continue
-        fresh = reached
-        for _ in range(min(count, room // size)):
-            fresh = (fresh << size) & mask & ~reached
-            if not fresh:
-                break
-            reached |= fresh
-            bits = fresh
-            while bits:
-                top = bits.bit_length() - 1
-                via[top] = i
-                bits ^= 1 << top
-        if reached >> room & 1:
+    n = len(sizes)
+    used = [[i] * (room // size) for i, size in enumerate(sizes)]
+    basis = np.diag([float(len(c)) for c in used])
+    for _ in range(40 * n + 200):
+        value, config = knapsack(sizes, np.linalg.solve(basis.T, np.ones(n)), room)
+        if value <= 1 + 1e-7:
             break
-    at, chosen = reached.bit_length() - 1, []
-    while at:
-        chosen.append(via[at])
-        at -= sizes[via[at]]
-    return chosen
+        column = np.bincount(config, minlength=n).astype(float)
+        amount, change = np.linalg.solve(basis, np.array(demand, float)), np.linalg.solve(basis, column)
+        ratio = np.where(change > 1e-9, np.maximum(amount, 0) / np.where(change > 1e-9, change, 1), np.inf)
+        leaves = int(ratio.argmin())
+        basis[:, leaves], used[leaves] = column, config
+    return list(zip(used, np.linalg.solve(basis, np.array(demand, float)).tolist()))
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS,
@@ -244,37 +266,38 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS,
         runs.append((length, taken[length], number, sequence, offset))
         taken[length] += number
 
-    large = {s: n for s, n in counts.items() if s > capacity // small_share and n}
-    members = linear_groups(large, groups)
-    sizes = [g[0] for g in members]
-    left = [sum(large[s] for s in g) for g in members]
-    queue = [[[s, large[s]] for s in reversed(g)] for g in members]      # the last of the list is the largest
-    for g, size in enumerate(sizes):
-        while left[g]:
-            left[g] -= 1
-            config = [g, *fullest(sizes[g:], left[g:], capacity - size)]
-            config[1:] = [g + i for i in config[1:]]
-            left[g] += 1
-            times = min(left[i] // config.count(i) for i in set(config))
-            classes = [(n_bins, times, 0)]
-            n_bins += times
-            for i in config:
-                left[i] -= times
-                filled = []
-                for sequence, number, used in classes:
-                    while number:
-                        run = queue[i][-1]
-                        n = min(number, run[1])
-                        put(run[0], n, sequence, used)
-                        filled.append((sequence, n, used + run[0]))
-                        sequence, number, run[1] = sequence + n, number - n, run[1] - n
-                        if not run[1]:
-                            queue[i].pop()
-                classes = filled
+    if counts.get(capacity):
+        put(capacity, counts[capacity], 0, 0)
+        n_bins = counts[capacity]
+    large = {s: n for s, n in counts.items() if capacity // small_share < s < capacity and n}
+    members = equal_groups(large, min(groups, sum(large.values())))
+    sizes = [g[0][0] for g in members]
+    found = configurations(sizes, [sum(n for _, n in g) for g in members], capacity) if members else []
+    lengths = sorted(large)                              # those of which some are left
+    for config, amount in sorted(found, key=lambda c: sorted((sizes[i] for i in c[0]), reverse=True), reverse=True):
+        times = int(amount * USED_SHARE + 1e-6)
+        if times <= 0:
+            continue
+        classes = [(n_bins, times, 0)]
+        n_bins += times
+        for slot, size in enumerate(sorted((sizes[i] for i in config), reverse=True), 1):
+            filled = []
             for sequence, number, used in classes:
-                bins.setdefault(capacity - used, []).append((sequence, number))
-    for length in sorted((s for s in counts if s <= capacity // small_share), reverse=True):
-        n = counts[length]
+                limit = capacity - used if slot == len(config) else size
+                while number:                            # at least as many lengths fit as slots are left
+                    at = bisect_right(lengths, limit) - 1
+                    length = lengths[at]
+                    n = min(number, large[length] - taken[length])
+                    put(length, n, sequence, used)
+                    filled.append((sequence, n, used + length))
+                    sequence, number = sequence + n, number - n
+                    if taken[length] == large[length]:
+                        del lengths[at]
+            classes = filled
+        for sequence, number, used in classes:
+            bins.setdefault(capacity - used, []).append((sequence, number))
+    for length in sorted((s for s in counts if s < capacity), reverse=True):
+        n = counts[length] - taken[length]
         while n:
             room = next((r for r in range(length, capacity + 1) if bins.get(r)), None)
             if room is None:
@@ -295,7 +318,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
          tokenizer_path: str | None = None, with_ids: bool = False) -> DataFrame:
     """The pieces with sequence_id and offset: one row per piece."""
     spark: SparkSession = docs.sparkSession
-    cut = stored(pieces(docs, id_col, text_col, capacity, tokenizer_path, with_ids), "packing-pieces")
+    cut = stored(pieces(docs, id_col, text_col, capacity, tokenizer_path, with_ids)
+                 .withColumn("__row", F.monotonically_increasing_id()), "packing-pieces")
     counts = {r.length: r.n for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     runs, _ = plan(counts, capacity)
     tables, by_length = {}, {}
@@ -315,9 +339,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
             run = np.searchsorted(first, rank[rows], side="right") - 1
             out[rows] = (sequence[run] + rank[rows] - first[run]) * (capacity + 1) + offset[run]
         return pd.Series(out)
-    ranked = add_slots(cut, "length", ["id", "piece", "ids_crc32"], "__rank")
+    ranked = add_slots(cut, "length", "__row", "__rank")
     spot = F.col("__spot")
     return (ranked.withColumn("__spot", place("length", "__rank"))
             .withColumns({"sequence_id": F.expr(f"__spot div {capacity + 1}"),
                           "offset": spot % (capacity + 1)})
-            .drop("__spot", "__rank"))
+            .drop("__spot", "__rank", "__row"))

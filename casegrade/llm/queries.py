@@ -74,7 +74,7 @@ def op9_jump_sharding(spark, sf):
     rows = read_table(spark, sf, "documents").select(
         "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
         F.crc32(F.coalesce(text, F.lit(b""))).alias("text_crc32"), F.lit("key").alias("law"))
-    return sharding.shard_rows(rows, "doc_id", SHARDS, ["text_crc32", "size"])
+    return sharding.shard_rows(rows, "doc_id", SHARDS)
 
 
 def op10_best_fit_packing(spark, sf):

@@ -6,8 +6,10 @@ shard counts at which the key would move. There is no ring table, and with one
 more shard a key either stays or moves into the new shard.
 
 ``slot`` numbers the rows of each shard from 0 without gaps. It is a two-level
-count: rows are ranked inside (shard, block), and the blocks' offsets come from
-a table of shards x blocks counts, so no task ever holds a whole shard.
+count: rows are dealt to blocks by the hash of a stored row number and ranked
+inside (shard, block), and the blocks' offsets come from a table of shards x
+blocks counts. So no task ever holds a whole shard, also if a third of all rows
+are equal.
 
 Defined cases: a null key is a key like any other (all null keys share a
 shard); equal rows get different slots of the same shard; an empty table gives
@@ -21,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions
+from .common import shuffle_partitions, stored
 
 #: Fixed values of the published algorithm: the generator's multiplier, and
 #: 2**31 over the generator's upper bits as the draw.
@@ -54,34 +56,36 @@ def shard_of(key_hash: Column, n_shards: int) -> Column:
     return jump(key_hash)
 
 
-def add_slots(df: DataFrame, shard_col: str, order_cols: list[str], slot_col: str,
-              blocks: int | None = None) -> DataFrame:
+def add_slots(df: DataFrame, shard_col: str, row_col: str, slot_col: str, blocks: int | None = None) -> DataFrame:
     """Number the rows of each ``shard_col`` value 0, 1, 2, ... in ``slot_col``.
 
-    The order is that of a hash of ``order_cols`` (their values then break
-    ties), so rows spread over blocks whatever the ids look like.
+    ``row_col`` is a stored number of the row, different for every row: rows are
+    dealt to blocks by its hash, so equal rows spread like others.
     """
     blocks = blocks or shuffle_partitions(df.sparkSession)
     block, base = "__slot_block", "__slot_base"
-    rows = df.withColumn(block, F.pmod(F.xxhash64(F.lit(7), *order_cols), F.lit(blocks)).cast("int"))
+    rows = df.withColumn(block, F.pmod(F.xxhash64(F.lit(7), row_col), F.lit(blocks)).cast("int"))
     counts = rows.groupBy(shard_col, block).agg(F.count(F.lit(1)).alias("__slot_n"))
     before = Window.partitionBy(shard_col).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select(F.col(shard_col).alias("__slot_shard"), F.col(block).alias("__slot_b"),
                           F.coalesce(F.sum("__slot_n").over(before), F.lit(0)).alias(base))
-    within = Window.partitionBy(shard_col, block).orderBy(*order_cols)
+    within = Window.partitionBy(shard_col, block).orderBy(row_col)
     return (rows.withColumn("__slot_rank", F.row_number().over(within) - 1)
             .join(bases, (F.col(shard_col) == F.col("__slot_shard")) & (F.col(block) == F.col("__slot_b")))
             .withColumn(slot_col, F.col(base) + F.col("__slot_rank"))
             .drop(block, base, "__slot_rank", "__slot_shard", "__slot_b"))
 
 
-def shard_rows(df: DataFrame, key_col: str, n_shards: int, tie_cols: list[str] = (),
-               shard_col: str = "shard", slot_col: str = "slot", grown_col: str = "grown_shard") -> DataFrame:
-    """``df`` with shard, gapless slot and the shard under ``n_shards + 1``."""
+def shard_rows(df: DataFrame, key_col: str, n_shards: int, shard_col: str = "shard", slot_col: str = "slot",
+               grown_col: str = "grown_shard") -> DataFrame:
+    """``df`` with shard, gapless slot and the shard under ``n_shards + 1``.
+
+    The rows are written once with their shards and row numbers.
+    """
     clash = {shard_col, slot_col, grown_col} & set(df.columns)
     if clash:
         raise ValueError(f"output columns exist already: {sorted(clash)}")
     key_hash = F.xxhash64(F.lit(3), F.col(key_col))
-    rows = df.withColumn(shard_col, shard_of(key_hash, n_shards))
-    rows = add_slots(rows, shard_col, [key_col, *tie_cols], slot_col)
-    return rows.withColumn(grown_col, shard_of(key_hash, n_shards + 1))
+    rows = df.withColumns({shard_col: shard_of(key_hash, n_shards), grown_col: shard_of(key_hash, n_shards + 1),
+                           "__slot_row": F.monotonically_increasing_id()})
+    return add_slots(stored(rows, "sharding-rows"), shard_col, "__slot_row", slot_col).drop("__slot_row")

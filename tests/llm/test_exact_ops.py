@@ -454,7 +454,7 @@ def test_sharding_query(spark, queries, table):
 
 def test_sharding_odd_rows(spark):
     from casegrade.llm import sharding as J
-    rows = J.shard_rows(docs_df(spark, ODD_ROWS * 20), "doc_id", 3, ["text"]).collect()
+    rows = J.shard_rows(docs_df(spark, ODD_ROWS * 20), "doc_id", 3).collect()
     assert len(rows) == 20 * len(ODD_ROWS)
     for shard in {r.shard for r in rows}:
         slots = sorted(r.slot for r in rows if r.shard == shard)

@@ -209,7 +209,7 @@ def test_packing_odd_rows(spark, library_tokens):
     assert all(zlib.crc32(r["ids"]) == r.ids_crc32 and len(r["ids"]) == 4 * r["length"] for r in ids)
 
 
-def test_tokenizer_equals_the_library(library_tokens, monkeypatch):
+def test_tokenizer_equals_the_library(library_tokens):
     from casegrade.llm import packing as K
     random.seed(9)
     alphabet = [" ", "\n", "a", "B", "'", "s", "1", ".", "é", "\t", "  ", "\xa0", "re", "<|", "日", "\x1c", "\r\n", "\U0001F600"]
@@ -217,9 +217,33 @@ def test_tokenizer_equals_the_library(library_tokens, monkeypatch):
     texts += [" ".join(random.choices(["the", "cat's", "x.\ny", "12ab", "日本", "e"], k=20)) for _ in range(200)] + [None, LONG]
     expected = [t[:-1].tobytes() for t in library_tokens(texts)]
     assert K.tokenizer(None).encode(texts) == expected
-    monkeypatch.setattr(K, "_CACHE_UNITS", 3)
-    small = K.Tokenizer(K.default_tokenizer())
-    assert [small.encode([t])[0] for t in texts[-300:]] == expected[-300:]
+
+
+def test_other_tokenizers_go_through_the_library(tmp_path):
+    import json
+
+    import public_tokenizers
+    from casegrade.llm import packing as K
+    from tokenizers import Tokenizer
+    texts = ["The Cat's  hat\n\n in 12 boxes", "", " x", "É日本 ab" * 5, "naïve the"]
+    with open(K.default_tokenizer(), encoding="utf-8") as f:
+        spec = json.load(f)
+    assert K.plain_byte_bpe(spec)
+    model, split = spec["model"], spec["pre_tokenizer"]
+    shuffled = model["merges"][:]
+    shuffled[0], shuffled[2] = shuffled[2], shuffled[0]
+    paths = [public_tokenizers.path("word_bpe_49k.json")]
+    for name, change in (("lower", {"normalizer": {"type": "Lowercase"}}), ("prefix", {"pre_tokenizer": split | {"add_prefix_space": True}}),
+                         ("plain", {"pre_tokenizer": split | {"use_regex": False}}), ("merges", {"model": model | {"merges": shuffled}}),
+                         ("whole", {"model": model | {"ignore_merges": True}})):
+        path = tmp_path / f"{name}.json"
+        path.write_text(json.dumps(spec | change), encoding="utf-8")
+        assert not K.plain_byte_bpe(spec | change)
+        paths.append(str(path))
+    for path in paths:
+        library = Tokenizer.from_file(path)
+        assert K.Tokenizer(path).encode([*texts, None]) == [
+            *(np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)), b""]
 
 
 def test_added_tokens_equal_the_library(library_tokens, tmp_path):
@@ -287,11 +311,36 @@ def test_plan_places_every_item_once(seed):
     assert len(runs) < 40 * capacity + 100                   # bounded by the capacity, not by the items
 
 
-def test_linear_groups_are_even():
+def test_equal_groups_round_to_few_sizes():
     from casegrade.llm import packing as K
-    groups = K.linear_groups({s: 10 for s in range(1, 101)}, 10)
-    assert [len(g) for g in groups] == [10] * 10 and groups[0] == list(range(100, 90, -1))
-    assert K.linear_groups({}, 5) == [] and K.linear_groups({7: 3}, 5) == [[7]]
+    groups = K.equal_groups({s: 10 for s in range(1, 101)}, 10)
+    assert groups == [[[s, 10] for s in range(high, high - 10, -1)] for high in range(100, 0, -10)]
+    assert K.equal_groups({}, 5) == [] and K.equal_groups({7: 3}, 3) == [[[7, 1], [7, 1], [7, 1]]]
+    assert K.equal_groups({9: 3, 5: 4, 4: 1}, 2) == [[[9, 3], [5, 1]], [[5, 3], [4, 1]]]     # 5 in two groups
+
+
+def test_configurations_meet_the_demand_at_the_optimum():
+    from itertools import combinations_with_replacement
+
+    from casegrade.llm import packing as K
+    rng = np.random.default_rng(4)
+    for room, n in ((100, 6), (60, 4), (100, 12)):
+        sizes = sorted(rng.choice(np.arange(room // 4 + 1, room), n, replace=False).tolist(), reverse=True)
+        demand = rng.integers(1, 500, n).tolist()
+        found = K.configurations(sizes, demand, room)
+        met, total = np.zeros(n), 0.0
+        for config, amount in found:
+            assert sum(sizes[i] for i in config) <= room and amount > -1e-6
+            met += amount * np.bincount(config, minlength=n)
+            total += amount
+        assert np.allclose(met, demand)
+        # weak duality: prices that no configuration exceeds bound every plan from below
+        worth = np.linalg.solve(np.array([np.bincount(c, minlength=n) for c, _ in found], float), np.ones(n))
+        every = [c for k in range(1, 4) for c in combinations_with_replacement(range(n), k) if sum(sizes[i] for i in c) <= room]
+        best = max(sum(worth[i] for i in c) for c in every)
+        assert best <= 1 + 1e-6 and abs(worth @ demand - total) < 1e-5 * total
+        value, config = K.knapsack(sizes, worth, room)
+        assert abs(value - max(0, best)) < 1e-9 and sum(sizes[i] for i in config) <= room
 
 
 # --- pipeline
