@@ -4,10 +4,11 @@ Re-aimed as Spark jobs over files already in a landing folder (the network
 transfer itself is not a Spark job and is not built):
 
 * ``scan_files``        — one manifest row per file with the wanted suffix
-                          (case-insensitive): size and SHA-256, read piece by
-                          piece inside a task, so a file of any size is hashed
-                          in bounded memory. A file that cannot be read is a
-                          FAILED row with the reason; the others go on.
+                          (case-insensitive): size and SHA-256. Files of up to
+                          ``INLINE_BYTES`` are hashed on the JVM, larger ones
+                          piece by piece inside a task, so a file of any size is
+                          hashed in bounded memory. A file that cannot be read is
+                          a FAILED row with the reason; the others go on.
 * ``payload_manifest``  — one row per JSON payload file: SHA-256 of its bytes,
                           record count, LANDED, or FAILED when it is not one
                           JSON document. ``layout="lines"`` counts JSON Lines
@@ -20,16 +21,25 @@ transfer itself is not a Spark job and is not built):
                           partial count per task, unlike a window).
 * ``append_manifest``   — append with the declared schema.
 * ``record_files`` / ``record_payloads`` — one ledger run: list the landing
-                          folder, leave out what the manifest has as LANDED,
-                          scan the rest, append.
+                          folder once, leave out what the manifest has as LANDED
+                          in one join, store the rest in pages of paths, scan and
+                          append page by page.
+
+A manifest that a ledger run made is bucketed by landing path (``manifest_table``):
+the join of a run brings the listing to the buckets, and the history stays where
+it is.
 """
 
 from __future__ import annotations
 
+import hashlib
 import time
+import uuid
+from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,13 +47,18 @@ from pyspark.sql import types as T
 from ..functions.exprs import let, plain_path, source_path
 from ..functions.payload import document_texts, payload_hash, payload_record_count
 from ..schemas import FAILED, FILE_MANIFEST, LANDED, PAYLOAD_MANIFEST
-from ..session import ship_package
+from ..session import scratch_dir, ship_package
 from ..sources import store
 from ..streaming.files import literal_paths
 from ..streaming.large_json import cut_files
 from ..streaming.medical_json import by_size, read_lines, read_whole
 from .skew import SkewGuard, salted_left_join
 
+#: Files of up to this size are read as one binary value.
+INLINE_BYTES = 4 << 20
+BUCKETS = 64
+FILES_PER_PAGE = 10_000
+
 
 def suffix_glob(suffix: str) -> str:
     """``.csv`` -> ``*.[cC][sS][vV]`` (a plain ``*.csv`` misses ``B.CSV``)."""
@@ -55,7 +70,10 @@ def _base_name(path: Column) -> Column:
 
 
 def list_files(spark: SparkSession, landing_dir: str, suffix: str | None = ".csv") -> DataFrame:
-    """(path, length, file_name) of the landed files; no content is read."""
+    """(path, length, file_name) of the landed files; no content is read.
+
+    Spark's file sources leave out files of no bytes.
+    """
     reader = spark.read.format("binaryFile")
     if suffix:
         reader = reader.option("pathGlobFilter", suffix_glob(suffix))
@@ -90,21 +108,66 @@ def hash_files(files: DataFrame) -> DataFrame:
     return files.mapInArrow(_hash_task, schema)
 
 
-def manifest_rows(files: DataFrame, source_system: str, remote_dir: str | None = None) -> DataFrame:
-    """``list_files`` rows -> FILE_MANIFEST rows."""
+def _row_of(hashed: DataFrame, source_system: str, remote_dir: str | None) -> DataFrame:
     ok = F.col("error_message").isNull()
     remote = F.concat(F.lit(remote_dir.rstrip("/") + "/"), "file_name") if remote_dir else F.lit(None).cast("string")
-    return hash_files(files.select("path", "file_name")).select(
+    return hashed.select(
         F.lit(source_system).alias("source_system"), "file_name", remote.alias("remote_path"),
         F.when(ok, F.col("path")).alias("landing_path"), "file_size_bytes", "file_hash",
         F.current_timestamp().alias("ingested_at"),
         F.when(ok, F.lit(LANDED)).otherwise(F.lit(FAILED)).alias("status"), "error_message")
 
 
+def manifest_rows(files: DataFrame, source_system: str, remote_dir: str | None = None) -> DataFrame:
+    """``list_files`` rows -> FILE_MANIFEST rows, every file read piece by piece."""
+    return _row_of(hash_files(files.select("path", "file_name")), source_system, remote_dir)
+
+
+def inline_bytes(spark: SparkSession) -> int:
+    """The largest file that is read as one value, here or by the session's own limit."""
+    return min(INLINE_BYTES, int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str(INLINE_BYTES))))
+
+
+def inline_hashes(files: DataFrame) -> DataFrame:
+    """(path, file_name, file_hash, file_size_bytes, error_message) of ``binaryFile`` rows."""
+    return files.select(plain_path("path").alias("path"), _base_name(F.col("path")).alias("file_name"),
+                        F.sha2("content", 256).alias("file_hash"), F.col("length").alias("file_size_bytes"),
+                        F.lit(None).cast("string").alias("error_message"))
+
+
+def page_rows(spark: SparkSession, files: dict[str, int], source_system: str, remote_dir: str | None = None) -> DataFrame:
+    """FILE_MANIFEST rows of the given files (path -> length).
+
+    A file that the JVM does not find any more, or not with its size, goes the
+    other way and gets its reason there.
+    """
+    most = inline_bytes(spark)
+    small = [p for p, n in files.items() if n <= most]
+    listed = spark.createDataFrame([(p, p.rpartition("/")[2]) for p in files], "path string, file_name string")
+    if not small:
+        return manifest_rows(listed.repartition(min(len(files), FILES_PER_PAGE)), source_system, remote_dir)
+    try:
+        read = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(literal_paths(small))
+    except AnalysisException:                        # some path is gone: every file by itself
+        return manifest_rows(listed.repartition(min(len(files), FILES_PER_PAGE)), source_system, remote_dir)
+    read = read.filter(F.col("length") <= most)
+    folder = scratch_dir(spark, "ledger-hashes")
+    inline_hashes(read).write.mode("overwrite").parquet(folder)
+    done = spark.read.schema(inline_hashes(read).schema).parquet(folder)
+    rest = listed.join(done.select("path"), "path", "left_anti").select("path", "file_name")
+    if len(small) < len(files):
+        rest = rest.repartition(min(len(files) - len(small), FILES_PER_PAGE))
+    return _row_of(done.unionByName(hash_files(rest)), source_system, remote_dir)
+
+
 def scan_files(spark: SparkSession, landing_dir: str, source_system: str, suffix: str = ".csv",
                remote_dir: str | None = None) -> DataFrame:
     """Manifest rows (FILE_MANIFEST columns) for every file in ``landing_dir``."""
-    return manifest_rows(list_files(spark, landing_dir, suffix), source_system, remote_dir)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", suffix_glob(suffix)).load(landing_dir)
+    most = inline_bytes(spark)
+    small = inline_hashes(listed.filter(F.col("length") <= most))
+    large = list_files(spark, landing_dir, suffix).filter(F.col("length") > most).select("path", "file_name")
+    return _row_of(small.unionByName(hash_files(large)), source_system, remote_dir)
 
 
 def _payload_row(source_system: str, api_url: str | None, ok: Column, digest: Column, count: Column,
@@ -225,18 +288,60 @@ def append_manifest(rows: DataFrame, path: str, kind: str = "file", batch_id: in
     """Append manifest rows with the declared schema (types never inferred).
 
     Rows go to their own ``batch_id=<n>`` folder (default: the current time
-    in microseconds; a write takes far longer than that), so a manifest folder
-    is a set of batch folders and a repeated batch id replaces its own rows.
-    Returns the LANDED and FAILED counts, taken in the same pass.
+    in microseconds; a write takes far longer than that), in the buckets of the
+    manifest's table. So a manifest folder is a set of batch folders, and a
+    repeated batch id replaces its own rows. Returns the LANDED and FAILED
+    counts, taken in the same pass.
     """
+    spark = rows.sparkSession
     bid = batch_id if batch_id is not None else time.time_ns() // 1000
+    table, buckets = manifest_table(spark, path, kind), manifest_buckets(spark, path)
     obs = Observation(f"{kind}_ledger")
     counted = _cast_to(rows, _schema(kind)).observe(
         obs, F.count_if(F.col("status") == LANDED).alias("landed"), F.count_if(F.col("status") == FAILED).alias("failed"))
-    counted.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={bid}")
+    view = f"manifest_rows_{uuid.uuid4().hex}"
+    counted.repartition(buckets, "landing_path").createOrReplaceTempView(view)
+    try:
+        spark.sql(f"insert overwrite table {table} partition (batch_id = {bid}) select * from {view}")
+    finally:
+        spark.catalog.dropTempView(view)
     return {k: int(v or 0) for k, v in obs.get.items()}
 
 
+def manifest_buckets(spark: SparkSession, path: str, buckets: int = BUCKETS) -> int:
+    """The number of buckets of a manifest folder, kept beside it from its first run."""
+    kept = f"{path.rstrip('/')}/_buckets"
+    try:
+        return int(spark.read.text(kept).first()[0])
+    except AnalysisException:                        # the first run
+        spark.createDataFrame([(str(buckets),)], "value string").coalesce(1).write.text(kept)
+        return buckets
+
+
+def manifest_table(spark: SparkSession, path: str, kind: str, buckets: int = BUCKETS) -> str:
+    """The name of the external table over a manifest folder: a partition per
+    batch, bucketed and sorted by landing path. Made where the catalog does not
+    have it; ``manifest_by_name`` finds the batches of other applications."""
+    name = f"audit.{kind}_manifest_{hashlib.md5(path.rstrip('/').encode()).hexdigest()[:12]}"
+    spark.sql("create schema if not exists audit")
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stored_schema(_schema(kind)).fields)
+        where = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"create table if not exists {name} ({columns}) using parquet partitioned by (batch_id) "
+                  f"clustered by (landing_path) sorted by (landing_path) into {manifest_buckets(spark, path, buckets)} buckets "
+                  f"location '{where}'")
+        spark.sql(f"alter table {name} recover partitions")
+    return name
+
+
+def manifest_by_name(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """The manifest read through its table."""
+    name = manifest_table(spark, path, kind)
+    spark.sql(f"alter table {name} recover partitions")
+    spark.sql(f"refresh table {name}")
+    return spark.table(name)
+
+
 def stored_schema(schema: T.StructType) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())])
 
@@ -246,44 +351,70 @@ def read_manifest(spark: SparkSession, path: str, kind: str = "file") -> DataFra
     return spark.read.schema(stored_schema(_schema(kind))).parquet(path)
 
 
-def _manifest_so_far(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """The manifest, made empty if there is none yet."""
-    append_manifest(spark.createDataFrame([], _schema(kind)), path, kind, batch_id=0)
-    return read_manifest(spark, path, kind)
-
-
 def _cast_to(rows: DataFrame, schema) -> DataFrame:
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def unrecorded(files: DataFrame, manifest: DataFrame, source_system: str, buckets: int, by_name: bool = False) -> DataFrame:
+    """The listed ``files`` (with ``landing_path``) without a LANDED row in a ``manifest_by_name``.
+
+    The history is not shuffled: the files are dealt to its buckets. With
+    ``by_name`` a row without a path (of an earlier manifest) counts for every
+    file of its ``file_name``.
+    """
+    fresh = new_files(files.repartition(buckets, "landing_path"), manifest, source_system, None, key="landing_path")
+    if by_name:
+        fresh = new_files(fresh, manifest.filter(F.col("landing_path").isNull()), source_system, None)
+    return fresh
+
+
+def pages(fresh: DataFrame, files_per_page: int) -> Iterator[dict[str, int]]:
+    """The files (landing_path -> length) in pages of about that many, in path order.
+
+    Ranged and stored once; a page is then a folder of its own.
+    """
+    spark = fresh.sparkSession
+    listed = scratch_dir(spark, "ledger-fresh")
+    fresh.select("landing_path", "length").write.mode("overwrite").parquet(f"{listed}/all")
+    stored = spark.read.schema("landing_path string, length bigint").parquet(f"{listed}/all")
+    n = -(-stored.count() // files_per_page)
+    if not n:
+        return
+    (stored.repartitionByRange(n, "landing_path").withColumn("page", F.spark_partition_id())
+     .write.mode("overwrite").partitionBy("page").parquet(f"{listed}/pages"))
+    paged = spark.read.schema("landing_path string, length bigint, page int").parquet(f"{listed}/pages")
+    for page in range(n):
+        files = {r.landing_path: r.length for r in paged.filter(F.col("page") == page).collect()}
+        if files:
+            yield files
+
+
+def _record(spark: SparkSession, landing_dir: str, manifest_path: str, kind: str, source_system: str, suffix: str | None,
+            files_per_page: int, rows_of) -> dict:
+    files = list_files(spark, landing_dir, suffix).select(F.col("path").alias("landing_path"), "length", "file_name")
+    fresh = unrecorded(files, manifest_by_name(spark, manifest_path, kind), source_system,
+                       manifest_buckets(spark, manifest_path), by_name=kind == "file")
+    totals = {"landed": 0, "failed": 0}
+    for page in pages(fresh, files_per_page):
+        run = append_manifest(rows_of(page), manifest_path, kind)
+        totals = {k: totals[k] + run[k] for k in totals}
+    return totals
+
+
 def record_files(spark: SparkSession, landing_dir: str, manifest_path: str, source_system: str,
-                 suffix: str = ".csv", remote_dir: str | None = None) -> dict:
+                 suffix: str = ".csv", remote_dir: str | None = None, files_per_page: int = FILES_PER_PAGE) -> dict:
     """Record the landed files whose paths are not LANDED yet; a FAILED file is
     offered again. Files of one name in several folders have a row each; a
     LANDED row without a path holds for every file of its name. Returns this
     run's ``{"landed": n, "failed": m}``."""
-    manifest = _manifest_so_far(spark, manifest_path, "file")
-    files = list_files(spark, landing_dir, suffix).select("path", "file_name", F.col("path").alias("landing_path"))
-    fresh = new_files(files, manifest.filter(F.col("landing_path").isNull()), source_system, None)
-    fresh = new_files(fresh, manifest, source_system, None, key="landing_path")
-    return append_manifest(manifest_rows(fresh, source_system, remote_dir), manifest_path)
+    return _record(spark, landing_dir, manifest_path, "file", source_system, suffix, files_per_page,
+                   lambda page: page_rows(spark, page, source_system, remote_dir))
 
 
 def record_payloads(spark: SparkSession, landing_dir: str, manifest_path: str, source_system: str,
                     api_url: str | None = None, suffix: str | None = None, layout: str = "document",
-                    files_per_batch: int = 10_000) -> dict:
+                    files_per_batch: int = FILES_PER_PAGE) -> dict:
     """Record the landed payloads that are not LANDED yet (hash, record count,
-    status), at most ``files_per_batch`` at a time."""
-    totals = {"landed": 0, "failed": 0}
-    manifest = _manifest_so_far(spark, manifest_path, "payload")
-    files = list_files(spark, landing_dir, suffix).select(F.col("path").alias("landing_path"), "length")
-    fresh = new_files(files, manifest, source_system, None, key="landing_path")
-    after = ""
-    while True:                                  # pages of paths; what one page holds is bounded
-        page = {r.landing_path: r.length for r in fresh.filter(F.col("landing_path") > after)
-                .orderBy("landing_path").limit(files_per_batch).collect()}
-        if not page:
-            return totals
-        after = max(page)
-        run = append_manifest(payload_file_rows(spark, page, source_system, api_url, layout), manifest_path, "payload")
-        totals = {k: totals[k] + run[k] for k in totals}
+    status), about ``files_per_batch`` at a time."""
+    return _record(spark, landing_dir, manifest_path, "payload", source_system, suffix, files_per_batch,
+                   lambda page: payload_file_rows(spark, page, source_system, api_url, layout))

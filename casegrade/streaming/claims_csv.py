@@ -19,13 +19,15 @@ must keep all of it. So, for each micro-batch of new files
 
 There is one scan and one plan whatever the number of header layouts, and no
 column name ever becomes a Spark column name, so no header can be ambiguous.
-Like the CSV reader's default mode this is line based. Headers of over
-``MAX_COLUMNS`` columns are not split: the lines of such a file are rescued
-whole.
+Like the CSV reader's default mode this is line based. The lines of files whose
+header has over ``MAX_COLUMNS`` columns are cut into cells by a pattern instead
+of the CSV parser, which would need a field for each column of the widest file.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -72,6 +74,20 @@ def cells(line: Column, width: int, sep: str) -> Column:
         F.array_position(found, _END), lambda end: F.when(end > 0, F.slice(found, 1, (end - 1).cast("int")))))
 
 
+def wide_cells(line: Column, sep: str) -> Column:
+    """The cells of a CSV line of any width: quoted ones (a backslash escapes a
+    quote in them) or what lies between separators. Null if a quote is not closed."""
+    mark = re.escape(sep)
+    quoted = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+    cell = f'(?s){mark}({quoted}(?={mark}|$)|"[^"]*$|.*?(?={mark}|$))'
+
+    def plain(c):
+        inside = F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('\\"'), F.lit('"'))
+        return F.nullif(F.when(F.regexp_like(c, F.lit(f"(?s)^{quoted}$")), inside).otherwise(c), F.lit(""))
+    return let(F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(cell), F.lit(1)), lambda found: F.when(
+        ~F.regexp_like(F.element_at(found, -1), F.lit('(?s)^"[^"]*$')), F.transform(found, plain)))
+
+
 def column_names(header: Column) -> Column:
     """The names of a header's cells, all different: a blank cell is named
     ``_c<i>``, and a name that came before gets ``_<i>`` (more underscores
@@ -89,10 +105,19 @@ def column_names(header: Column) -> Column:
     return let(trimmed, distinct)
 
 
-def named_headers(headers: DataFrame, width: int, sep: str) -> DataFrame:
-    """Per file: names, where the known columns are, and whether there are others."""
+def _n_columns(header: Column, sep: str) -> Column:
+    return F.size(F.split(header, F.concat(F.lit("\\Q"), F.lit(sep), F.lit("\\E"))))
+
+
+def named_headers(headers: DataFrame, width: int, sep: str, any_wide: bool) -> DataFrame:
+    """Per file: names, where the known columns are, whether there are others, and
+    whether it is wide."""
     mark = F.regexp_replace("header", "^﻿", "")
-    named = headers.select("_file", "_hpos", column_names(cells(mark, width, sep)).alias("_names"))
+    wide = (_n_columns(F.col("header"), sep) > MAX_COLUMNS) if any_wide else F.lit(False)
+    found = cells(mark, width, sep)
+    if any_wide:
+        found = F.when(wide, wide_cells(mark, sep)).otherwise(found)
+    named = headers.select("_file", "_hpos", wide.alias("_wide"), column_names(found).alias("_names"))
     places = [(F.array_position("_names", c) - 1).cast("int").alias(f"_at_{c}") for c in CLAIM_FIELDS]
     others = F.exists("_names", lambda n: ~n.isin(*CLAIM_FIELDS))
     return named.select("*", *places, others.alias("_others"))
@@ -108,21 +133,28 @@ def load_claim_files(spark: SparkSession, paths: list[str], sep: str = ",",
         return None
     lines = batch_lines(spark, paths)
     headers = headers if headers is not None else file_headers(lines)
-    count = F.least(F.size(F.split("header", F.concat(F.lit("\\Q"), F.lit(sep), F.lit("\\E")))), F.lit(MAX_COLUMNS))
-    widest, total = headers.agg(F.max(count), F.sum(F.length("header"))).first()
-    if widest is None:
+    count = _n_columns(F.col("header"), sep)
+    most, total = headers.agg(F.max(count), F.sum(F.length("header"))).first()
+    if most is None:
         return None
-    named = named_headers(headers, widest, sep)
+    widest, any_wide = min(most, MAX_COLUMNS), most > MAX_COLUMNS
+    named = named_headers(headers, widest, sep, any_wide)
     named = F.broadcast(named) if total <= HEADER_BYTES else named
     # column by column: each step is used several times below and computed once
+    value, others = F.col("value"), F.lit(None).cast("array<string>")
+    if any_wide:
+        others = let(wide_cells(value, sep), lambda found: F.when(F.size(found) <= most, found))
+        value = F.when(~F.col("_wide"), value)
     rows = (lines.join(named, F.col("_source_file") == F.col("_file"))
             .filter(F.col("_pos") != F.col("_hpos"))
-            .withColumn("_row", parsed(F.col("value"), widest, sep))
+            .withColumn("_row", parsed(value, widest, sep))
             .withColumn("_all", F.array(*[F.col("_row")[f"c{i}"] for i in range(widest + 1)]))
-            .withColumn("_n", (F.array_position("_all", _END) - 1).cast("int")))        # -1: no mark
-    known = [F.when(F.col(f"_at_{c}") < F.col("_n"), F.get("_all", F.col(f"_at_{c}"))).alias(c) for c in CLAIM_FIELDS]
-    whole = F.coalesce(F.col("_n") == F.size("_names"), F.lit(False))
-    extra = F.filter(F.arrays_zip("_names", F.slice("_all", F.lit(1), F.greatest("_n", F.lit(0))).alias("_cells")),
+            .withColumn("_end", F.array_position("_all", _END).cast("int"))
+            .withColumn("_cells", F.when(F.col("_end") > 0, F.slice("_all", F.lit(1), F.col("_end") - 1))
+                        .otherwise(others)))
+    known = [F.when(F.col(f"_at_{c}") >= 0, F.get("_cells", F.col(f"_at_{c}"))).alias(c) for c in CLAIM_FIELDS]
+    whole = F.coalesce(F.size("_cells") == F.size("_names"), F.lit(False))
+    extra = F.filter(F.arrays_zip("_names", "_cells"),
                      lambda x: x["_names"].isNotNull() & x["_cells"].isNotNull() & ~x["_names"].isin(*CLAIM_FIELDS))
     entries = F.concat(
         F.coalesce(F.transform(extra, lambda x: F.struct(x["_names"].alias("key"), x["_cells"].alias("value"))),

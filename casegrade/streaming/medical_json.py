@@ -18,10 +18,10 @@ streaming parse, and each record is parsed by itself:
 * a file that is not JSON, or not UTF-8, gives one row whose ``_rescued_data``
   holds the text (its claim id is null, so staging drops it and the ledger
   marks it FAILED); the other files of the batch load;
-* a file above ``WHOLE_FILE_BYTES`` may not fit a row: it is cut into its
-  records inside a task (``large_json``), which are parsed in the same way; one
-  that is not a single document is read by lines, each a document of its own,
-  and the text of one that is not JSON is rescued line by line;
+* a file above ``WHOLE_FILE_BYTES`` is cut into its records by many tasks
+  (``large_json``), which are parsed in the same way; one that is not a single
+  document is read by lines, each a document of its own, if every line is one;
+  the text of one that is not JSON is rescued line by line;
 * ``_source_file`` / ``_ingested_at`` lineage per row.
 
 The number of rows of a file is its record count in the ledger.
@@ -35,16 +35,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.exprs import let, source_path
-from ..functions.payload import document_texts, is_one_document, list_document, payload_record_texts
+from ..functions.exprs import let, plain_path, source_path
+from ..functions.payload import (document_texts, is_one_document, list_document, payload_record_count,
+                                 payload_record_texts)
 from ..schemas import BRONZE_MEDICAL, RAW_MEDICAL
 from .files import batch_folder, literal_paths, path_batches
 from .large_json import cut_files
 from .schema_registry import track_schema
 
 EVENTS_TYPE = "array<struct<type:string,date:string>>"
-#: A row, and so a file that is read whole, holds less than 2 GiB.
-WHOLE_FILE_BYTES = 1 << 30
+#: Larger files are cut by many tasks; what a file gives is the same either way.
+WHOLE_FILE_BYTES = 64 << 20
 LAYOUTS = ("document", "lines")
 
 # Keys kept in _rescued_data: unknown ones, and known ones whose value could
@@ -118,11 +119,12 @@ def parse_records(recs: DataFrame) -> DataFrame:
     return typed.select("claim_id", "medical_events", rescued.alias("_rescued_data"), "_source_file")
 
 
-def by_size(files: dict[str, int], layout: str) -> tuple[list[str], list[str]]:
+def by_size(files: dict[str, int], layout: str, whole_bytes: int | None = None) -> tuple[list[str], list[str]]:
     """The files to read whole, and the others."""
     if layout not in LAYOUTS:
         raise ValueError(layout)
-    whole = [p for p, n in files.items() if layout == "document" and n <= WHOLE_FILE_BYTES]
+    most = WHOLE_FILE_BYTES if whole_bytes is None else whole_bytes
+    whole = [p for p, n in files.items() if layout == "document" and n <= most]
     return whole, [p for p in files if p not in set(whole)]
 
 
@@ -136,17 +138,35 @@ def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
             .select("value", source_path().alias("_source_file")))
 
 
-def load_payload_files(spark: SparkSession, files: dict[str, int], layout: str = "document") -> DataFrame:
+def whole_lines(spark: SparkSession, paths: list[str]) -> dict[str, int | None]:
+    """The record counts of JSON Lines files; None for one of which a line is no document."""
+    read = let(document_texts("value"), lambda docs: F.struct(
+        docs.isNotNull().alias("ok"), payload_record_count(docs).alias("n")))
+    counted = (read_lines(spark, paths).select("_source_file", read.alias("read"))
+               .groupBy("_source_file").agg(F.bool_and("read.ok").alias("ok"), F.sum("read.n").alias("n")).collect())
+    own = {r._source_file: r.n if r.ok else None for r in counted}               # a row per file
+    spelled = spark.createDataFrame([(p,) for p in paths], "p string").select("p", plain_path("p").alias("plain")).collect()
+    return {r.p: own.get(r.plain) for r in spelled}
+
+
+def load_payload_files(spark: SparkSession, files: dict[str, int], layout: str = "document",
+                       whole_bytes: int | None = None, split_bytes: int | None = None) -> DataFrame:
     """Bronze medical rows of the given payload files (path -> length).
 
     ``layout="document"``: one payload document (or JSON Lines) per file.
     ``layout="lines"``: JSON Lines feeds of any size, read line by line so that
     large files are split over tasks; each line is a document.
+    ``whole_bytes`` and ``split_bytes`` set which files are cut by many tasks, and
+    by how many; the rows do not depend on them.
     """
-    whole, lines = by_size(files, layout)
+    whole, lines = by_size(files, layout, whole_bytes)
     parts = []
     if lines and layout == "document":
-        counts, records, single, lines, bad = cut_files(spark, {p: files[p] for p in lines})
+        counts, records, single, lines, bad = cut_files(spark, {p: files[p] for p in lines}, split_bytes)
+        if lines:
+            judged = whole_lines(spark, lines)
+            bad += [p for p, n in judged.items() if n is None]
+            lines = [p for p, n in judged.items() if n is not None]
         whole = whole + single
         none = F.lit(None).cast("string")
         if counts:
@@ -165,14 +185,15 @@ def load_payload_files(spark: SparkSession, files: dict[str, int], layout: str =
 
 def ingest_medical_json(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint_dir: str,
                         available_now: bool = True, path_glob: str | None = None,
-                        max_files_per_trigger: int = 10000, layout: str = "document") -> StreamingQuery:
+                        max_files_per_trigger: int = 10000, layout: str = "document",
+                        whole_bytes: int | None = None, split_bytes: int | None = None) -> StreamingQuery:
     """Start the ingest; with ``available_now`` it stops by itself when done."""
     if layout not in LAYOUTS:
         raise ValueError(layout)
     track_schema(spark, checkpoint_dir, RAW_MEDICAL)
 
     def write(files: dict[str, int], stream_id: str, batch_id: int) -> None:
-        load_payload_files(spark, files, layout).write.mode("overwrite").parquet(
+        load_payload_files(spark, files, layout, whole_bytes, split_bytes).write.mode("overwrite").parquet(
             batch_folder(table_dir, stream_id, batch_id))
     return path_batches(spark, landing_dir, checkpoint_dir, write, path_glob, max_files_per_trigger, available_now)
 

@@ -201,3 +201,50 @@ def test_one_name_in_two_folders_has_a_row_each(spark):
     rows = L.read_manifest(spark, f"{d}/m").collect()
     assert sorted(r.landing_path.split("/")[-2] for r in rows) == ["date=a", "date=b", "date=c"]
     assert len({r.file_hash for r in rows}) == 3 and {r.file_name for r in rows} == {"claims.csv"}
+
+
+def test_hashes_are_the_same_around_the_inline_bound(spark, monkeypatch):
+    d = scratch_dir(spark, "t-inline")
+    for i, data in enumerate((b"1", b"12345", b"123456", b"1234567")):
+        with open(f"{d}/f{i}.csv", "wb") as f:
+            f.write(data)
+    files = {f"file:{d}/f{i}.csv": os.path.getsize(f"{d}/f{i}.csv") for i in range(4)}
+
+    def rows(df):
+        return sorted((r.file_name, r.landing_path, r.file_size_bytes, r.file_hash, r.status, r.error_message) for r in df.collect())
+    results = []
+    for bound in (0, 1, 6, 1 << 20):
+        monkeypatch.setattr(L, "INLINE_BYTES", bound)
+        results += [rows(L.scan_files(spark, d, "s")), rows(L.page_rows(spark, files, "s"))]
+    assert all(r == results[0] for r in results) and len(results[0]) == 4
+    assert [r[3] for r in results[0]] == [hashlib.sha256(b).hexdigest() for b in (b"1", b"12345", b"123456", b"1234567")]
+    gone = rows(L.page_rows(spark, files | {f"file:{d}/gone.csv": 3}, "s"))
+    assert [r[4] for r in gone] == ["LANDED"] * 4 + ["FAILED"] and gone[:4] == results[0]
+
+
+def test_history_is_not_shuffled_and_a_run_lists_once(spark, monkeypatch):
+    d = scratch_dir(spark, "t-buckets")
+    os.makedirs(f"{d}/landing")
+    for i in range(30):
+        with open(f"{d}/landing/p{i}.json", "w") as f:
+            f.write('{"a":%d}' % i)
+    calls = []
+    for name in ("list_files", "new_files"):
+        plain = getattr(L, name)
+        monkeypatch.setattr(L, name, lambda *a, _f=plain, _n=name, **k: calls.append(_n) or _f(*a, **k))
+    assert L.record_payloads(spark, f"{d}/landing", f"{d}/m", "api", files_per_batch=7) == {"landed": 30, "failed": 0}
+    assert calls == ["list_files", "new_files"]              # one listing and one join, whatever the pages
+    manifest = L.manifest_by_name(spark, f"{d}/m", "payload")
+    assert manifest.select("batch_id").distinct().count() >= 4
+    assert manifest.count() == L.read_manifest(spark, f"{d}/m", "payload").count() == 30
+    files = L.list_files(spark, f"{d}/landing", None).withColumnRenamed("path", "landing_path")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = L.unrecorded(files, manifest, "api", L.manifest_buckets(spark, f"{d}/m"))
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Bucketed: true" in plan          # the listing's own
+        assert fresh.count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert L.manifest_buckets(spark, f"{d}/m", 7) == L.BUCKETS                   # kept from the first run
