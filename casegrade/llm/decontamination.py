@@ -9,16 +9,18 @@ DataFrame functions only; no Python runs on the executors.
 * ``windows``: the benchmark's runs of ``WINDOW`` consecutive words (an item of
   fewer words is one window), with their terms ordered by frequency in the
   stored postings.
-* ``intersect``: the posting list of a window's rarest term, moved by the
-  term's offset, gives candidate starts; the second rarest term's list, moved
-  by its own offset, is intersected with them. With ``slack`` the two may lie
-  that many words further apart or closer: a proximity match.
-* ``exact_phrases``: the candidates are held against the document's words.
+* ``intersect``: the posting lists of a window's terms, each moved by the term's
+  offset, are intersected from the rarest on: the two rarest meet first, and the
+  starts that both hold are looked up in the lists of all others. What is left
+  holds the whole phrase; the texts are not read again. With ``slack`` every term
+  may lie that many words from its place: a proximity match.
 
 Scale: postings are never grouped by term, so a term in every document is just
 many rows. The term table joins by broadcast while it is measured small, else
 by a join salted on the position; rarest terms make short lists. Lists meet on
-(document, position) keys. Nothing reaches the driver but row counts.
+(document, position) keys and are made distinct before they meet, so rows that
+repeat do not multiply. The outcome of a document goes back to its rows by a
+join that salts hot documents. Nothing reaches the driver but row counts.
 
 Words: A-Z lower-cased; runs of digits, letters a-z and characters above 0x7F.
 
@@ -33,6 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.skew import SkewGuard, salted_left_join
 from .common import id_order, named, stored, text_key
 
 WINDOW = 10
@@ -88,8 +91,8 @@ def lengths(index: DataFrame) -> DataFrame:
     return index.filter(F.col("term") == _END).select("d", "k", F.col("pos").cast("long").alias("n_words")).distinct()
 
 
-def anchors(index: DataFrame, cut: DataFrame) -> DataFrame:
-    """(window, rank, term, off): each window's two rarest terms; one of one word has one.
+def ranked_terms(index: DataFrame, cut: DataFrame) -> DataFrame:
+    """(window, size, rank, term, off): each window's places, those with rare terms first.
 
     A window with a term that no document holds is left out.
     """
@@ -101,52 +104,51 @@ def anchors(index: DataFrame, cut: DataFrame) -> DataFrame:
     ranked = (places.join(counts, "term")
               .withColumn("rank", F.row_number().over(rarest))
               .withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("window"))))
-    return stored(ranked.filter((F.col("held") == F.col("size")) & (F.col("rank") <= 2))
-                  .select("window", "size", "rank", "term", "off"), "decontamination-anchors")
-
+    return stored(ranked.filter(F.col("held") == F.col("size")).select("window", "size", "rank", "term", "off"),
+                  "decontamination-ranked")
+
+
+def intersect(index: DataFrame, ranked: DataFrame, slack: int = 0) -> DataFrame:
+    """(window, d, k, start): where all terms of a window lie within ``slack`` of their places."""
+    near = F.sequence(F.lit(-slack), F.lit(slack))
+
+    def starts(rank):
+        own = ranked.filter(F.col("rank") == rank).select("window", "size", F.col("term").alias("anchor"), "off")
+        found = (index.join(small(own), F.col("term") == F.col("anchor"))
+                 .select("window", "size", "d", "k", (F.col("pos") - F.col("off")).alias("start")))
+        if slack:
+            found = found.select("*", F.explode(near).alias("shift")).withColumn("start", F.col("start") + F.col("shift"))
+        # equal rows, and starts reached twice, meet the other lists once
+        return found.groupBy("window", "d", "k", "start").agg(F.first("size").alias("size"))
+    first = starts(1)
+    second = starts(2).drop("size")
+    both = first.filter("size > 1").join(second, ["window", "d", "k", "start"])
+    both = stored(both, "decontamination-pairs")
+    left = both.filter("size > 2")
+    documents = small(stored(left.select("d", "k").distinct(), "decontamination-documents"))
+    others = ranked.filter("rank > 2").select("window", "rank", "term", "off")
+    needed = left.join(small(others), "window").select(
+        "window", "d", "k", "start", "size", "rank", "term", (F.col("start") + F.col("off")).alias("pos"))
+    if slack:
+        needed = needed.select("*", F.explode(near).alias("shift")).withColumn("pos", F.col("pos") + F.col("shift"))
+    terms = small(others.select("term").distinct())
+    held = (index.join(documents, ["d", "k"], "left_semi").join(terms, "term", "left_semi")
+            .select("d", "k", "term", "pos").distinct())
+    met = needed.join(held, ["d", "k", "term", "pos"])
+    if slack:
+        met = met.groupBy("window", "d", "k", "start", "rank").agg(F.first("size").alias("size"))
+    whole = (met.groupBy("window", "d", "k", "start").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))
+             .filter(F.col("n") == F.col("size") - 2))
+    columns = ["window", "d", "k", "start"]
+    return (whole.select(*columns).unionByName(both.filter("size = 2").select(*columns))
+            .unionByName(first.filter("size = 1").select(*columns)))
 
-def intersect(index: DataFrame, pairs: DataFrame, slack: int = 0) -> DataFrame:
-    """(window, d, k, start, gap): where the two rarest terms of a window agree.
 
-    ``gap`` is how much further apart they are than in the window (0: exact).
-    """
-    def lists(rank):
-        own = pairs.filter(F.col("rank") == rank).select(
-            "window", "size", F.col("term").alias("anchor"), "off")
-        return (index.join(small(own), F.col("term") == F.col("anchor"))
-                .select("window", "size", "d", "k", (F.col("pos") - F.col("off")).alias("start")))
-    first, second = lists(1), lists(2)
-    alone = first.filter("size = 1").select("window", "d", "k", "start", F.lit(0).alias("gap"))
-    if slack:
-        near = F.explode(F.sequence(F.lit(-slack), F.lit(slack)))
-        first = first.select("*", near.alias("shift"))
-    else:
-        first = first.withColumn("shift", F.lit(0))
-    a, b = first.filter("size > 1").alias("a"), second.alias("b")
-    both = a.join(b, (F.col("a.window") == F.col("b.window")) & (F.col("a.d") == F.col("b.d"))
-                  & (F.col("a.k") == F.col("b.k")) & (F.col("a.start") + F.col("a.shift") == F.col("b.start")))
-    return both.select("a.window", "a.d", "a.k", "a.start", F.col("shift").alias("gap")).unionByName(alone).distinct()
-
-
-def exact_phrases(docs: DataFrame, candidates: DataFrame, cut: DataFrame, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
-    """(d, k, start, size, item): candidates whose words are the window's."""
-    texts = docs.select(id_order(id_col).alias("d"), text_key(id_col, text_col).alias("k"), text_col)
-    spots = candidates.filter("gap = 0 and start >= 0").groupBy("d", "k").agg(
-        F.collect_set(F.struct("start", "window")).alias("spots"))
-    sizes = cut.select("window", F.size("terms").alias("size")).distinct()
-    def words_at(w, s):
-        return F.array_join(F.slice(w, s["start"] + 1, F.size(F.split(s["window"], " "))), " ")
-    # the array of one makes `w` a variable: the text is cut into words once, not once a spot
-    read = (spots.join(texts, ["d", "k"])
-            .select("d", "k", F.explode(F.transform(F.array(words(F.col(text_col))), lambda w: F.transform(
-                F.col("spots"), lambda s: F.struct(s["start"].alias("start"), s["window"].alias("window"),
-                                                   words_at(w, s).alias("found"))))).alias("group"))
-            .select("d", "k", F.explode("group").alias("spot"))
-            .filter("spot.found = spot.window")
-            .select("d", "k", "spot.start", "spot.window"))
-    met = read.distinct().join(small(sizes), "window")
-    return met.join(small(cut.select("window", "item")), "window").select("d", "k", "start", "size", "item")
+def phrases(index: DataFrame, cut: DataFrame, slack: int = 0) -> DataFrame:
+    """(d, k, start, size, item): the stored matches of the items' windows."""
+    own = small(cut.select("window", "item", F.size("terms").alias("size")))
+    met = intersect(index, ranked_terms(index, cut), slack).join(own, "window")
+    return stored(met.select("d", "k", "start", "size", "item"), "decontamination-phrases")
 
 
 def covered(phrases: DataFrame) -> DataFrame:
@@ -162,30 +164,31 @@ def covered(phrases: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_id_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
-                  slack: int = 0) -> DataFrame:
+                  slack: int = 0, guard: SkewGuard = SkewGuard()) -> DataFrame:
     """(id, d, k, n_words, n_hit, items, contaminated[, near_items]) per row.
 
     ``d`` and ``k`` identify the row as ``id_order`` and ``text_key`` do. With
-    ``slack``, near_items lists the items whose windows' two rarest terms come
+    ``slack``, near_items lists the items with a window all of whose words lie
     within that many words of their places.
     """
     cut = stored(windows(items, item_id_col, item_text_col, window), "decontamination-windows")
     index = postings(docs, cut.select(F.explode("terms").alias("term")), id_col, text_col)
-    candidates = intersect(index, anchors(index, cut), slack)
+    found = lengths(index).join(covered(phrases(index, cut)), ["d", "k"], "left")
     if slack:
-        candidates = stored(candidates, "decontamination-candidates")
-    found = covered(stored(exact_phrases(docs, candidates, cut, id_col, text_col), "decontamination-phrases"))
+        close = (phrases(index, cut, slack).groupBy("d", "k")
+                 .agg(F.array_sort(F.collect_set("item")).alias("near_items")))
+        found = found.join(close, ["d", "k"], "left")
+
+    def key(d, k):
+        return F.concat_ws(":", d, k)
     rows = docs.select(F.col(id_col).alias("id"), id_order(id_col).alias("d"), text_key(id_col, text_col).alias("k"))
-    out = rows.join(lengths(index), ["d", "k"], "left").join(found, ["d", "k"], "left")
-    near = []
-    if slack:
-        close = (candidates.join(small(cut.select("window", "item")), "window")
-                 .groupBy("d", "k").agg(F.array_sort(F.collect_set("item")).alias("near_items")))
-        out = out.join(close, ["d", "k"], "left")
-        near = [F.coalesce("near_items", F.array().cast("array<string>")).alias("near_items")]
+    out = salted_left_join(rows.withColumn("dk", key("d", "k")), found.withColumn("dk", key("d", "k")).drop("d", "k"),
+                           "dk", guard)
+    none = F.array().cast("array<string>")
+    near = [F.coalesce("near_items", none).alias("near_items")] if slack else []
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return out.select("id", "d", "k", F.coalesce("n_words", F.lit(0)).cast("long").alias("n_words"),
-                      n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+                      n_hit.alias("n_hit"), F.coalesce("items", none).alias("items"),
                       (n_hit > 0).alias("contaminated"), *near)
 
 

@@ -8,8 +8,9 @@ of buckets, each language's log probabilities are gathered by bucket and summed
 per text.
 
 Characters: letters are lower-cased, everything else is one space, and a text
-starts and ends with a space. Texts longer than ``SEGMENT`` characters are cut
-into consecutive segments whose sums are added; no character is left out.
+starts and ends with a space. Texts longer than ``SEGMENT`` characters are read
+in segments that carry on the characters before them; their n-grams are those of
+the whole text.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 so is every text when there is nothing to learn from. Equal texts get equal
@@ -34,6 +35,7 @@ BUCKETS = 1 << BUCKET_BITS
 ORDERS = (1, 2, 3)
 SMOOTHING = 0.5
 SEGMENT = 1 << 20
+TASK_LANGUAGES = 256
 MAX_MATRIX_BYTES = 256 << 20
 UNKNOWN = "und"
 _SPACE = 32
@@ -51,57 +53,102 @@ def _letters() -> np.ndarray:
     return table
 
 
-def _segments(texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-    parts, owner = [], []
-    for i, text in enumerate(texts):
-        text = text or ""
-        for at in range(0, max(1, len(text)), SEGMENT):
-            parts.append(text[at:at + SEGMENT])
-            owner.append(i)
-    return parts, np.array(owner, np.int64)
+def _codes(text: str) -> np.ndarray:
+    return _letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+
+
+def _buckets(codes: np.ndarray, order: int) -> np.ndarray:
+    h = np.full(len(codes) - order + 1, order, np.uint64)
+    for j in range(order):
+        h += codes[j:j + len(h)] * _MIX[j]
+    h ^= h >> np.uint64(29)
+    h *= _MIX[0]
+    return (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
+def _run_buckets(texts: list[str], first: int):
+    """The n-grams of a run of whole texts, numbered from ``first``."""
+    codes = _codes(" " + "  ".join(texts) + " ")
+    doc = np.repeat(np.arange(first, first + len(texts)), [len(t) + 2 for t in texts])
+    space = codes == _SPACE
+    keep = np.ones(len(codes), bool)
+    keep[1:] = ~(space[1:] & space[:-1] & (doc[1:] == doc[:-1]))
+    codes, doc, space = codes[keep].astype(np.uint64), doc[keep], space[keep]
+    lettered = np.unique(doc[~space])
+    for order in ORDERS:
+        if len(codes) < order:
+            continue
+        inside = ~space if order == 1 else doc[:len(doc) - order + 1] == doc[order - 1:]
+        yield _buckets(codes, order)[inside], doc[:len(doc) - order + 1][inside], lettered
+
+
+def _long_buckets(text: str, number: int):
+    """The same of one long text, a segment at a time: each carries on the last
+    characters of the folded text before it, so no n-gram is lost at a cut."""
+    carried = np.array([_SPACE], np.uint64)
+    for at in range(0, len(text), SEGMENT):
+        fresh = _codes(text[at:at + SEGMENT] + (" " if at + SEGMENT >= len(text) else "")).astype(np.uint64)
+        codes = np.concatenate([carried, fresh])
+        space = codes == _SPACE
+        keep = np.ones(len(codes), bool)
+        keep[1:] = ~(space[1:] & space[:-1])
+        codes, space, old = codes[keep], space[keep], int(keep[:len(carried)].sum())
+        lettered = np.full(int((~space).any()), number)
+        for order in ORDERS:
+            start = max(0, old - order + 1)          # n-grams with a character of this segment
+            if len(codes) - start < order or len(codes) == old:
+                continue
+            found = _buckets(codes[start:], order)
+            if order == 1:
+                found = found[~space[start:]]
+            yield found, np.full(len(found), number), lettered
+        carried = codes[-(max(ORDERS) - 1):]
 
 
 def ngram_buckets(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Runs of (bucket, text index) of all n-grams, and the texts with a letter."""
-    parts, owner = _segments(texts)
     at = 0
-    while at < len(parts):
+    while at < len(texts):
         end, size = at, 0
-        while end < len(parts) and (end == at or size + len(parts[end]) <= SEGMENT):
-            size += len(parts[end])
+        while end < len(texts) and size + len(texts[end] or "") <= SEGMENT:
+            size += len(texts[end] or "")
+            end += 1
+        if end > at:
+            yield from _run_buckets([t or "" for t in texts[at:end]], at)
+        else:
+            yield from _long_buckets(texts[at], at)
             end += 1
-        run = parts[at:end]
-        joined = " " + "  ".join(run) + " "
-        codes = _letters()[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)]
-        doc = np.repeat(np.arange(at, end), [len(p) + 2 for p in run])
-        space = codes == _SPACE
-        keep = np.ones(len(codes), bool)
-        keep[1:] = ~(space[1:] & space[:-1] & (doc[1:] == doc[:-1]))
-        codes, doc, space = codes[keep].astype(np.uint64), doc[keep], space[keep]
-        lettered = np.unique(owner[doc[~space]])
-        for order in ORDERS:
-            n = len(codes) - order + 1
-            if n <= 0:
-                continue
-            h = np.full(n, order, np.uint64)
-            for j in range(order):
-                h += codes[j:j + n] * _MIX[j]
-            h ^= h >> np.uint64(29)
-            h *= _MIX[0]
-            inside = doc[:n] == doc[order - 1:]
-            if order == 1:
-                inside = ~space
-            yield (h[inside] >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), owner[doc[:n][inside]], lettered
         at = end
 
 
 def _count_task(batches):
-    """Dense counts per language in the task; one row for each bucket in use."""
+    """Dense counts per language in the task; one row for each bucket in use.
+
+    At most ``TASK_LANGUAGES`` tables are held; they are given away when more come.
+    """
     totals: dict[str, np.ndarray] = {}
     docs: dict[str, int] = {}
-    for run in slices(batches, 0):
+
+    def found():
+        for name, counts in totals.items():
+            used = np.flatnonzero(counts)
+            bucket = np.append(used, -1).astype(np.int32)        # -1: the number of texts
+            n = np.append(counts[used], docs[name])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(bucket), pa.string()), pa.array(bucket), pa.array(n)], ["lang", "bucket", "n"])
+
+    def parts():
+        for run in slices(batches, 0):
+            if len(set(run.column(1).to_pylist())) <= TASK_LANGUAGES:
+                yield run
+            else:
+                yield from (run.slice(i, TASK_LANGUAGES) for i in range(0, run.num_rows, TASK_LANGUAGES))
+    for run in parts():
         texts, langs = run.column(0).to_pylist(), run.column(1).to_pylist()
         names = sorted(set(langs))
+        if len(set(totals).union(names)) > TASK_LANGUAGES:
+            yield from found()
+            totals, docs = {}, {}
         index = np.array([names.index(x) for x in langs], np.int64)
         for name in names:
             totals.setdefault(name, np.zeros(BUCKETS, np.int64))
@@ -110,12 +157,7 @@ def _count_task(batches):
             flat = np.bincount(index[owner] * BUCKETS + bucket, minlength=len(names) * BUCKETS)
             for i, name in enumerate(names):
                 totals[name] += flat[i * BUCKETS:(i + 1) * BUCKETS]
-    for name, counts in totals.items():
-        used = np.flatnonzero(counts)
-        bucket = np.append(used, -1).astype(np.int32)        # -1: the number of texts
-        n = np.append(counts[used], docs[name])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([name] * len(bucket), pa.string()), pa.array(bucket), pa.array(n)], ["lang", "bucket", "n"])
+    yield from found()
 
 
 class Model:

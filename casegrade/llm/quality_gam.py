@@ -163,9 +163,10 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", usable: Column | None = None, rows: int = TRAIN_ROWS) -> Model:
-    """Fit on at most ``rows`` of the labels; ``usable`` filters label rows."""
+    """Fit on at most ``rows`` of the labels of documents in ``docs``; ``usable`` filters label rows."""
     known = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     known = known.filter(usable) if usable is not None else known
+    known = known.join(docs.select(F.col(id_col).alias("__held")).distinct(), F.col(id_col) == F.col("__held"), "left_semi")
     picked = (known.groupBy(F.col(id_col).alias("label_id")).agg(F.min(label_col).cast("int").alias("y"))
               .orderBy(F.xxhash64("label_id"), "label_id").limit(rows))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("t"))

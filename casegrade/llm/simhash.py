@@ -35,6 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import SkewGuard, salted_left_join
 from .common import id_order, map_arrow, named, slices, stored, text_key
 from .components import components
 
@@ -123,10 +124,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = stored(with_fingerprints(docs, id_col, text_col, width, keep), "simhash-fp")
     classes = stored(rows.groupBy("fp").agg(F.min("id").alias("least_id")), "simhash-classes")
     member = components(links(classes.select("fp")))
-    grouped = classes.join(member, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least_id", F.coalesce("component", "fp").alias("root"))
+    grouped = stored(classes.join(member, F.col("fp") == F.col("node"), "left").select(
+        "fp", "least_id", F.coalesce("component", "fp").alias("root")), "simhash-roots")
     roots = grouped.groupBy("root").agg(F.min("least_id").alias("component"))
-    of_class = grouped.join(roots, "root").select(F.col("fp").alias("class_fp"), "component")
+    of_class = salted_left_join(grouped, roots, "root", SkewGuard()).select(          # a component may hold most classes
+        F.col("fp").alias("class_fp"), "component")
     return rows.join(of_class, F.col("fp") == F.col("class_fp")).select("id", "fp", "component", *named(keep))
 
 

@@ -25,7 +25,7 @@ hashes rest on the 64-bit hashes of the words: v different words give another
 v^2 / 2^65 pairs of words that count as equal.
 
 Memory: a task holds one block (``BLOCK_WORDS`` words or one document) or one
-range, whose size is set by the number of shuffle partitions.
+range; there is a range for every ``RANGE_BYTES`` of measured text, at least.
 
 Defined cases: a null text has no words; a text shorter than a window has no
 windows; null ids come after all others and null-id rows do not remove each
@@ -48,6 +48,7 @@ from .common import id_order, map_arrow, named, shuffle_partitions, slices, text
 
 WINDOW = 13
 BLOCK_WORDS = 1 << 20
+RANGE_BYTES = 32 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 _CACHE_WORDS = 300_000
 
@@ -185,22 +186,25 @@ def _batches(rows, size: int = 1000):
 
 def _hash_task(parts: int, window: int):
     def task(batches):
-        hashes, ids, keys, texts, total = _WordHashes(), [], [], [], 0
+        hashes, ids, keys, texts, total, seen = _WordHashes(), [], [], [], 0, set()
 
         def flush():
             return _batches(_block_rows(np.array(ids, np.int64), np.array(keys, np.int64), texts, parts, window))
         for run in slices(batches, 2):
             for d, k, t in zip(run.column(0).to_pylist(), run.column(1).to_pylist(), run.column(2)):
+                if (d, k) in seen:                   # an equal row: its repeats are found once
+                    continue
                 words = (t.as_py() or b"").split()
                 if len(words) < window:
                     continue
+                seen.add((d, k))
                 ids.append(d)
                 keys.append(k)
                 texts.append(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)))
                 total += len(words)
                 if total >= BLOCK_WORDS:
                     yield from flush()
-                    ids, keys, texts, total = [], [], [], 0
+                    ids, keys, texts, total, seen = [], [], [], 0, set()
         yield from flush()
     return task
 
@@ -255,6 +259,8 @@ def _gather_task(batches):
     doc, key, at = np.concatenate(docs), np.concatenate(keys), np.concatenate(at)
     order = np.lexsort((at, key, doc))
     doc, key, at = doc[order], key[order], at[order]
+    other = np.r_[True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]) | (at[1:] != at[:-1])]
+    doc, key, at = doc[other], key[other], at[other]           # positions of equal rows: once
     first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])])
     ends = np.r_[first[1:], len(doc)]
     for i in range(0, len(first), 2000):
@@ -264,6 +270,12 @@ def _gather_task(batches):
                                          ["d", "k", "starts"])
 
 
+def n_ranges(docs: DataFrame, text_col: str) -> int:
+    """Ranges of about ``RANGE_BYTES`` of text each, as many as shuffle partitions at least."""
+    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    return max(shuffle_partitions(docs.sparkSession), -(-total // RANGE_BYTES))
+
+
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
             parts: int | None = None) -> DataFrame:
     """(d, k, starts): the repeated window starts of each document that has any.
@@ -271,7 +283,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     ``d`` and ``k`` identify rows as ``id_order`` and ``text_key`` do; ``starts``
     is the packed list of positions.
     """
-    parts = parts or shuffle_partitions(docs.sparkSession)
+    parts = parts or n_ranges(docs, text_col)
     rows = docs.select(id_order(id_col).alias("d"), text_key(id_col, text_col).alias("k"),
                        F.col(text_col).cast("binary").alias("t"))
     packed = rows.mapInArrow(_hash_task(parts, window), _PACKED)

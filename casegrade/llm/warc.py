@@ -2,23 +2,28 @@
 
 An archive (``.warc.zst``) starts with a skippable frame that holds the
 dictionary; each record follows as a Zstandard frame of its own, so a record
-can be read without its predecessors. The dictionary is trained on the
-archive's own records: on those that fill the first ``SAMPLE_BYTES``.
+can be read without its predecessors. The dictionary is trained on a bounded
+sample of the records of all archives: the ``SAMPLE_RECORDS`` with the smallest
+hashes of their places in the table, and of each the ``SAMPLE_BYTES`` from a place
+that the same hash names. It serves compression alone; records are stored whole.
 
 Payloads met before are ``revisit`` records: of the pages whose payloads are
-equal (length and SHA-1) and at least ``min_bytes`` long, that with the
-smallest id is the ``response``, the others refer to it. Only ids and digests
-are grouped; the pages themselves move once, by id.
+equal (SHA-256) and at least ``min_bytes`` long, that with the smallest id is the
+``response``, the others refer to it. Only ids and digests are grouped; the pages
+themselves move once, by digest, and a digest that very many pages share is
+salted over many tasks.
 
 Writers run in Spark tasks and write straight into the target folder, by any
 file system pyarrow knows. A file's name holds the task attempt; the manifest
 is a table that Spark commits, so an attempt that was lost or repeated leaves
-at most a file that no manifest names. Memory: the sample, or one record.
+at most a file that no manifest names. Memory: the sample on the driver, one record in a task.
 
 Defined cases: a null payload is an empty one; a null id is smaller than none
 (it is the response only where all ids are null) and comes back as null; rows
 with the same id and payload are all responses or all revisits of that id; an
-empty table gives no archive; control characters in URLs are percent-encoded.
+empty table gives no archive; control characters in URLs are percent-encoded; a
+payload of any length is one record; other columns, whatever their names, are
+not written.
 """
 
 from __future__ import annotations
@@ -38,7 +43,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_order, shuffle_partitions, slices, stored
+from ..operators.skew import SkewGuard, salted_left_join
+from .common import shuffle_partitions, slices, stored
 
 #: Fixed values of the formats: the skippable frame that carries a dictionary,
 #: the WARC version and the profile of a revisit.
@@ -46,7 +52,8 @@ DICTIONARY_FRAME = 0x184D2A5D
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-SAMPLE_BYTES = 4 << 20
+SAMPLE_RECORDS = 1024
+SAMPLE_BYTES = 8 << 10
 DICTIONARY_BYTES = 64 << 10
 ARCHIVE_BYTES = 256 << 20
 LEVEL = 3
@@ -94,6 +101,11 @@ def page_record(page_id: int | None, url: str | None, payload: bytes, refers_to:
     return record("revisit", fields, block)
 
 
+def as_dictionary(data: bytes) -> zstandard.ZstdCompressionDict:
+    """A stored dictionary again; one that was not trained starts without the magic number."""
+    return zstandard.ZstdCompressionDict(data)
+
+
 def train(samples: list[bytes], size: int = DICTIONARY_BYTES) -> zstandard.ZstdCompressionDict:
     """A trained dictionary; with too little to train on, the records' own bytes."""
     try:
@@ -103,33 +115,21 @@ def train(samples: list[bytes], size: int = DICTIONARY_BYTES) -> zstandard.ZstdC
                                              dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
-def write_archive(out, records: Iterator[bytes], limit: int = ARCHIVE_BYTES) -> tuple[int, int]:
+def write_archive(out, records: Iterator[bytes], known: zstandard.ZstdCompressionDict,
+                  limit: int = ARCHIVE_BYTES) -> tuple[int, int]:
     """One archive from the iterator, up to ``limit`` bytes; (bytes, records) written."""
-    sample, size = [], 0
-    for r in records:
-        sample.append(r)
-        size += len(r)
-        if size >= SAMPLE_BYTES:
-            break
-    if not sample:
-        return 0, 0
-    known = train(sample)
     data = known.as_bytes()
     compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=known, write_checksum=True)
-    out.write(struct.pack("<II", DICTIONARY_FRAME, len(data)) + data)
-    total, n = 8 + len(data), 0
-
-    def every():
-        sample.reverse()
-        while sample:
-            yield sample.pop()
-        yield from records
-    for r in every():
+    total, n = 0, 0
+    for r in records:
+        if not n:
+            out.write(struct.pack("<II", DICTIONARY_FRAME, len(data)) + data)
+            total = 8 + len(data)
         frame = compressor.compress(r)
         out.write(frame)
         total += len(frame)
         n += 1
-        if total >= limit and not sample:
+        if total >= limit:
             break
     return total, n
 
@@ -158,9 +158,10 @@ def read_archive(source) -> Iterator[tuple[dict[str, str], bytes]]:
         yield fields, block
 
 
-def _write_task(folder: str, date: str):
+def _write_task(folder: str, date: str, dictionary: bytes):
     def task(batches):
         context = TaskContext.get()
+        known = as_dictionary(dictionary)
         store, base = file_system(folder)
 
         def records():
@@ -178,7 +179,7 @@ def _write_task(folder: str, date: str):
                 yield first
                 yield from source
             with store.open_output_stream(path) as out:
-                size, n = write_archive(out, from_first())
+                size, n = write_archive(out, from_first(), known)
             rows.append((f"{folder.rstrip('/')}/{path.rpartition('/')[2]}", size, n))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["path", "bytes", "records"])
@@ -212,7 +213,7 @@ def _rows(rows):
 
 
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-          min_bytes: int = 0, date: datetime | None = None) -> DataFrame:
+          min_bytes: int = 0, date: datetime | None = None, guard: SkewGuard = SkewGuard()) -> DataFrame:
     """Write the archives; the manifest (path, bytes, records) is stored.
 
     Payloads shorter than ``min_bytes`` are always responses.
@@ -220,20 +221,29 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     when = (date or datetime.now(timezone.utc)).strftime("%Y-%m-%dT%H:%M:%SZ")
     payload = F.coalesce(F.col(html_col).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
-                        payload.alias("payload"), F.sha1(payload).alias("sha"), id_order(id_col).alias("d"))
-    seen = rows.select("id", "d", "sha", F.octet_length("payload").alias("size")).filter(F.col("size") >= min_bytes)
-    first = (seen.groupBy("sha", "size").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
-             .filter("n > 1").select(F.col("sha").alias("its_sha"), F.col("size").alias("its_size"), "first"))
-    again = (seen.join(first, (F.col("sha") == F.col("its_sha")) & (F.col("size") == F.col("its_size")))
-             .filter(F.col("id").isNull() | (F.col("id") > F.col("first"))).filter(F.col("first").isNotNull())
-             .groupBy("d", "sha").agg(F.min("first").alias("first")))
-    roles = again.select(F.col("d").alias("again_d"), F.col("sha").alias("again_sha"), "first")
-    ready = (rows.join(roles, (F.col("d") == F.col("again_d")) & (F.col("sha") == F.col("again_sha")), "left")
-             .select("id", "url", "payload", F.col("first").isNotNull().alias("revisit"), "first"))
-    return stored(ready.mapInArrow(_write_task(folder, when), "path string, bytes bigint, records bigint"),
+                        payload.alias("payload"), F.when(F.octet_length(payload) >= min_bytes, F.sha2(payload, 256)).alias("sha"))
+    first = (rows.filter(F.col("sha").isNotNull()).groupBy("sha").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+             .filter("n > 1 and first is not null").select("sha", "first"))
+    again = F.col("first").isNotNull() & (F.col("id").isNull() | (F.col("id") > F.col("first")))
+    # pages of no group are dealt by their digests too, short ones by a hash of their own
+    key = F.coalesce("sha", F.concat(F.lit("short "), F.xxhash64("id", "url", "payload").cast("string")))
+    ready = (salted_left_join(rows.withColumn("sha", key), first, "sha", guard)
+             .select("id", "url", "payload", again.alias("revisit"), F.when(again, F.col("first")).alias("first")))
+    dictionary = train(sample_records(rows, when)).as_bytes()
+    return stored(ready.mapInArrow(_write_task(folder, when, dictionary), "path string, bytes bigint, records bigint"),
                   "warc-manifest")
 
 
+def sample_records(rows: DataFrame, date: str) -> list[bytes]:
+    """Records of a bounded sample of pages, for the dictionary."""
+    place = F.xxhash64(F.lit(11), F.monotonically_increasing_id())
+    begin = F.pmod(F.shiftrightunsigned(F.col("place"), 8), F.greatest(F.octet_length("payload") - SAMPLE_BYTES, F.lit(1)))
+    some = (rows.select("id", "url", "payload", place.alias("place"))
+            .select("id", "url", "place", F.substring("payload", (begin + 1).cast("int"), F.lit(SAMPLE_BYTES)).alias("part"))
+            .orderBy("place").limit(SAMPLE_RECORDS).collect())
+    return [page_record(r.id, r.url and r.url[:SAMPLE_BYTES], bytes(r.part), None, False, date) for r in some]
+
+
 def read(manifest: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every record.
 

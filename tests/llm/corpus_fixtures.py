@@ -3,12 +3,13 @@
 #: doc_id, text and other columns whose names clash with those of the operators
 DOCS_DDL = ("doc_id long, text string, lang string, source string, n_chars long, id string, d string, k string, "
             "fp string, score string, length string, start string, term string, block string, t string, u string, "
-            "`odd.name` string")
+            "`odd.name` string, N_Words string, n_removed string, removed string, kept_text string, __d string, rank string, "
+            "size string, item string")
 
 
 def docs_df(spark, rows):
     """Rows of (doc_id, text[, lang]) as a table with clashing extra columns."""
-    full = [(r[0], r[1], r[2] if len(r) > 2 else "en", "src", len(r[1] or ""), *["x"] * 12) for r in rows]
+    full = [(r[0], r[1], r[2] if len(r) > 2 else "en", "src", len(r[1] or ""), *["x"] * 20) for r in rows]
     return spark.createDataFrame(full, DOCS_DDL)
 
 

@@ -10,6 +10,9 @@ import numpy as np
 import pytest
 import xxhash
 from corpus_fixtures import LONG, ODD_ROWS, docs_df
+from pyspark.sql import functions as F
+
+from casegrade.llm.common import stored
 
 SF = "/root/testdata/sf0.001"
 WORDS = re.compile("[^\x20\x09-\x0D]+")
@@ -106,6 +109,48 @@ def test_proximity_matches(spark):
     assert got[1] == (["1"], ["1"]) and got[2] == ([], ["1"]) and got[3][0] == []
 
 
+def test_proximity_takes_every_term_of_a_window(spark):
+    """Every word within the slack of its place, from some start."""
+    from casegrade.llm import decontamination as D
+    rng = np.random.default_rng(2)
+    words = [f"t{i}" for i in range(12)]
+    docs = [(i, " ".join(rng.choice(words, 30))) for i in range(60)]
+    items = [(i, " ".join(rng.choice(words, n))) for i, n in enumerate((1, 2, 3, 4, 5, 5, 6, 3))]
+
+    def near(text, phrase, slack):
+        w, p = text.split(), phrase.split()
+        return any(all(p[j] in w[max(0, s + j - slack):max(0, s + j + slack + 1)] for j in range(len(p)))
+                   for s in range(-slack, len(w) + slack))
+    for slack in (1, 2):
+        got = D.decontaminate(docs_df(spark, docs), spark.createDataFrame(items, "item_id long, text string"), window=5, slack=slack)
+        found = {r.id: set(r.near_items) for r in got.collect()}
+        want = {d: {str(i) for i, phrase in items for at in range(max(1, len(phrase.split()) - 4))
+                    if near(t, " ".join(phrase.split()[at:at + 5]), slack)} for d, t in docs}
+        assert found == want and any(want.values())
+
+
+def test_many_equal_rows_stay_linear(spark):
+    """A row that repeats 20,000 times meets the windows, and its own repeats, once."""
+    from casegrade.llm import decontamination as D
+    from casegrade.llm import substring as S
+    passage = " ".join(f"p{i}" for i in range(40))
+    n = 20_000
+    docs = spark.range(n).select(F.lit(7).cast("long").alias("doc_id"), F.lit(f"start {passage} end").alias("text")).unionByName(
+        spark.createDataFrame([(3, passage), (9, "other words")], "doc_id long, text string"))
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    cut = stored(D.windows(items), "test-windows")
+    index = D.postings(docs, cut.select(F.explode("terms").alias("term")))
+    met = D.intersect(index, D.ranked_terms(index, cut))
+    assert met.count() == 2 * 31                             # 31 windows in two different documents
+    found = {(r.doc_id, r.n): r.c for r in D.decontaminate(docs, items).groupBy(F.col("id").alias("doc_id"), F.col("n_hit").alias("n"))
+             .agg(F.count(F.lit(1)).alias("c")).collect()}
+    assert found == {(7, 40): n, (3, 40): 1, (9, 0): 1}
+    starts = S.repeats(docs).collect()
+    assert [r.d for r in starts] == [7] and len(starts[0].starts) == 4 * 28      # 28 windows, four bytes each
+    kept = S.remove_repeats(docs, keep=["doc_id"]).groupBy("doc_id", "n_removed").count().collect()
+    assert {(r.doc_id, r.n_removed, r["count"]) for r in kept} == {(7, 40, n), (3, 0, 1), (9, 0, 1)}
+
+
 # --- substring dedup
 
 def cut(docs, window=13):
@@ -283,15 +328,32 @@ def test_warc_odd_pages(spark, tmp_path):
     assert W.read(W.write(nulls.limit(0), str(tmp_path / "c"))).collect() == []
 
 
+def test_warc_dictionary_sample_covers_the_table_and_is_bounded(spark, tmp_path, monkeypatch):
+    from casegrade.llm import warc as W
+    rows = [(0, "http://big", "A" * 9_000_000)] + [(i, f"http://h/{i}", f"page {i} " * 50) for i in range(1, 400)]
+    df = spark.createDataFrame(rows, "id long, url string, payload string").withColumn("payload", F.col("payload").cast("binary"))
+    monkeypatch.setattr(W, "SAMPLE_RECORDS", 60)
+    sample = W.sample_records(df.coalesce(1), "2020-01-01T00:00:00Z")
+    assert len(sample) == 60 and max(map(len, sample)) < W.SAMPLE_BYTES + 1000
+    ids = sorted(int(s.split(b"Page-ID: ")[1].split(b"\r\n")[0]) for s in sample)
+    assert ids[-1] > 300 and sum(i < 200 for i in ids) > 10          # not the first ones
+    hot = spark.range(3000).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.when(F.col("id") % 3 > 0, F.concat(
+        F.lit("own "), "id")).otherwise(F.lit("error page")).alias("html"))
+    from casegrade.operators.skew import SkewGuard
+    got = W.read(W.write(hot, str(tmp_path), guard=SkewGuard(sample_fraction=1.0, factor=0.5))).collect()
+    assert len(got) == 3000 and sum(r.record_type == "response" for r in got) == 2001
+    assert {r.refers_to for r in got if r.record_type == "revisit"} == {0}
+
+
 def test_warc_archive_round_trip_and_rotation():
     import io
     from casegrade.llm import warc as W
     records = [W.page_record(i, f"http://h/{i}", (f"<p>{i}</p>" * 50).encode(), None, False, "2020-01-01T00:00:00Z")
                for i in range(500)]
-    left, ids = iter(records), []
+    left, ids, known = iter(records), [], W.as_dictionary(W.train(records).as_bytes())
     while True:
         out = io.BytesIO()
-        size, n = W.write_archive(out, left, limit=3000)
+        size, n = W.write_archive(out, left, known, limit=3000)
         if not n:
             break
         assert size == len(out.getvalue()) and out.getvalue()[:4] == bytes([0x5D, 0x2A, 0x4D, 0x18])

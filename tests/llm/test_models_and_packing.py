@@ -81,9 +81,38 @@ def test_language_odd_rows_and_segments(spark, monkeypatch):
     assert empty.languages == [] and {r.lang_pred for r in L.predict(docs, empty).collect()} == {"und"}
     assert L.train(docs.withColumn("lang", F.lit(None).cast("string"))).languages == []
     assert L.predict(docs.filter("false"), model).collect() == []
-    whole = L.predict_texts(model, [LONG])
-    monkeypatch.setattr(L, "SEGMENT", 1000)
-    assert L.predict_texts(model, [LONG])[0] == whole[0]
+    texts = [LONG, "", None, " a\n", "Ab--c  \u00fcber\t1x " * 40, "...", "  ", "x" * 99]
+
+    def grams(of):
+        count, lettered = {}, set()
+        for bucket, owner, with_letter in L.ngram_buckets(of):
+            lettered |= set(with_letter.tolist())
+            for b, o in zip(bucket.tolist(), owner.tolist()):
+                count[o, b] = count.get((o, b), 0) + 1
+        return count, lettered
+    whole, scores = grams(texts), L.predict_texts(model, texts)
+    for segment in (1000, 64, 7, 1):                 # the n-grams of the whole text, wherever it is cut
+        monkeypatch.setattr(L, "SEGMENT", segment)
+        assert grams(texts) == whole
+        cut = L.predict_texts(model, texts)
+        assert cut[0] == scores[0] and np.allclose(cut[1], scores[1])
+
+
+def test_language_counts_equal_brute_force_with_many_languages(spark, monkeypatch):
+    from casegrade.llm import langid as L
+    rows = [(i, t, f"l{i % 9}" if i % 4 else None) for i, (_, t) in enumerate([r[:2] for r in ODD_ROWS if r[1] != LONG] * 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(2)
+    model = L.train(docs)
+    langs = sorted({r[2] for r in rows if r[2]})
+    counts, n = np.zeros((len(langs), L.BUCKETS)), np.zeros(len(langs))
+    for _, text, lang in rows:
+        if lang:
+            n[langs.index(lang)] += 1
+            for bucket, _, _ in L.ngram_buckets([text]):
+                np.add.at(counts[langs.index(lang)], bucket, 1)
+    counts += L.SMOOTHING
+    assert model.languages == langs and np.allclose(model.priors, np.log(n / n.sum()))
+    assert np.allclose(model.matrix, np.log(counts / counts.sum(axis=1, keepdims=True)), atol=1e-5)
 
 
 # --- quality classifier
@@ -387,8 +416,10 @@ def test_pipeline_odd_rows(spark):
     from casegrade.llm.common import stored
     rows = [(i, t, None if i == 4 else "en") for i, t in ODD_ROWS]
     for table in (rows, []):
-        docs = docs_df(spark, table).select("doc_id", "text", "lang", "source", "n_chars")
+        docs = docs_df(spark, table)
+        columns = docs.columns
         for name, stage in P.STAGES:
+            assert docs.columns == columns
             docs = stored(stage(spark, docs, SF), f"odd-{name}")
         assert (docs.count() > 0) == bool(table)
 
@@ -402,6 +433,16 @@ def test_language_stage_without_labels(spark):
     assert lettered and sorted(r.text for r in kept.collect()) == sorted(lettered)
 
 
+def test_quality_labels_of_other_corpora_take_no_place(spark, monkeypatch):
+    from casegrade.llm import quality_gam as Q
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, "x") for i in range(3000)], "doc_id bigint, quality int, held string")
+    seen, fit = [], Q.fit
+    monkeypatch.setattr(Q, "fit", lambda x, y: seen.append(len(y)) or fit(x, y))
+    Q.train(docs, labels, rows=50)
+    assert seen == [20]
+
+
 def test_quality_trains_on_one_row_of_an_id(spark, monkeypatch):
     from casegrade.llm import quality_gam as Q
     rows = [(1, f"clean words number {i}") for i in range(300)] + [(1, None), (2, "## $$ %%"), (3, "some text"), (None, "none")]
