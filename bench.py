@@ -16,7 +16,8 @@ Prints ONE JSON line. ``value`` is the sum of the timed steps (seconds):
 Landing the files (setup) is reported separately and not in ``value``.
 Before the timed ingests, one untimed warm-up ingest of files landed from
 the next smaller supplied scale (sf 0.01 for sf 0.1) runs the same code
-paths, so the ingest figures are steady-state rather than JVM warm-up.
+paths, so the ingest figures are steady-state rather than JVM warm-up; the same
+holds for the ledger scan. ``machine_loop`` (extra) times a fixed CPU loop.
 """
 
 from __future__ import annotations
@@ -58,6 +59,15 @@ def warmup_dir(sf_dir: str) -> str | None:
     return os.path.join(base, smaller[-1]) if smaller else None
 
 
+def machine_seconds() -> float:
+    """A fixed CPU loop, so that runs on other machines can be compared."""
+    t = time.perf_counter()
+    total = 0
+    for i in range(20_000_000):
+        total += i & 7
+    return time.perf_counter() - t
+
+
 def timed(fn):
     t = time.perf_counter()
     out = fn()
@@ -73,6 +83,8 @@ def main() -> None:
     lay = P.Layout(scratch_dir(spark, "bench"))
     queries, extra = {}, {}
 
+    extra["machine_loop"] = machine_seconds()
+
     def land():
         for part in TT.claim_files_by_layout(spark, sf_dir):
             land_csv(part, lay.landing_claims)
@@ -89,6 +101,7 @@ def main() -> None:
         ingest_claims_csv(spark, warm.landing_claims, warm.bronze_claims, warm.checkpoint_claims).awaitTermination()
         ingest_medical_json(spark, warm.landing_medical, warm.bronze_medical, warm.checkpoint_medical).awaitTermination()
         extra["warmup_ingest"] = time.perf_counter() - t_warm
+        L.scan_files(spark, warm.landing_claims, SFTP_CLAIMS).write.format("noop").mode("overwrite").save()
         extra["warmup_sf"] = os.path.basename(warm_dir)
 
     queries["ingest_claims_csv"], _ = timed(lambda: ingest_claims_csv(

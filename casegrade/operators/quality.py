@@ -149,6 +149,44 @@ def violations(df: DataFrame, t: ColumnTest) -> DataFrame:
     raise ValueError(t.test)
 
 
+def all_violations(models: dict[str, DataFrame], key: str = "claim_id") -> DataFrame:
+    """(model, column_name, test, row_key, value, n_records): what fails, of all tests.
+
+    Rows are named by their ``key``. The not_null and accepted_values tests of a
+    model are one pass, in which a row gives an entry for each test it fails.
+    """
+    def entry(t: ColumnTest, value: Column) -> Column:
+        return F.struct(F.lit(t.column).alias("column_name"), F.lit(t.test).alias("test"),
+                        value.cast("string").alias("value"))
+    out = None
+    for name, df in models.items():
+        checks = []
+        for t in tests_for(name, ("not_null", "accepted_values")):
+            c = F.col(t.column)
+            failed = c.isNull() if t.test == "not_null" else c.isNotNull() & ~c.isin(*t.values)
+            checks.append(F.when(failed, entry(t, c)))
+        found = df.select(F.col(key).cast("string").alias("row_key"), F.explode(F.array_compact(F.array(*checks))).alias("v"))
+        parts = [found.select("v.column_name", "v.test", "row_key", "v.value")
+                 .groupBy("column_name", "test", "row_key", "value").agg(F.count(F.lit(1)).alias("n_records"))]
+        for t in tests_for(name, ("unique",)):
+            value = F.col(t.column).cast("string")
+            parts.append(violations(df, t).select(F.lit(t.column).alias("column_name"), F.lit(t.test).alias("test"),
+                                                  value.alias("row_key"), value.alias("value"), "n_records"))
+        for part in parts:
+            part = part.select(F.lit(name).alias("model"), "column_name", "test", "row_key", "value", "n_records")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def observed_rows(spark, tests: list[ColumnTest], observation) -> DataFrame:
+    """(model, column_name, test, n_rows, n_failed_rows) of an ``observe_tests`` after its write."""
+    got = observation.get
+    rows = [(t.model, t.column, t.test, int(got["n_rows"] or 0),
+             int(got[f"{t.column}:{'not_null' if t.test == 'not_null' else 'accepted_values_rows'}"] or 0))
+            for t in tests if t.test != "unique"]
+    return spark.createDataFrame(rows, "model string, column_name string, test string, n_rows bigint, n_failed_rows bigint")
+
+
 def observe_tests(df: DataFrame, tests: list[ColumnTest], name: str = "dq"):
     """Inline checks on a write: ``(observed_df, observation)``.
 

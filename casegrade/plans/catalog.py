@@ -7,7 +7,7 @@ carry table and column descriptions.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..operators.staging import LINEAGE
@@ -130,3 +130,25 @@ def register_view(spark: SparkSession, name: str) -> None:
     columns, query = VIEWS[name]
     listed = ", ".join(f"{c} comment '{_quote(COLUMN_COMMENTS[c])}'" for c in columns)
     spark.sql(f"create or replace view {name} ({listed}) comment '{_quote(TABLE_COMMENTS[name])}' as {query}")
+
+
+def described(spark: SparkSession, names: list[str]) -> DataFrame:
+    """(table_name, column_name, comment): the comments of tables and views as the
+    catalog has them. A null column name is the table itself; a missing comment
+    is a row with a null."""
+    out = None
+    for name in names:
+        # columns come first, then the partitioning and the detailed information
+        rows = spark.sql(f"describe table extended {name}").collect()
+        columns, details = [], {}
+        for r in rows:
+            if r.col_name.startswith("#"):
+                details["#"] = r.col_name
+            elif "#" in details:
+                details.setdefault(r.col_name, r.data_type)
+            elif r.col_name:
+                columns.append((name, r.col_name, r.comment or None))
+        found = spark.createDataFrame([(name, None, details.get("Comment") or None), *columns],
+                                      "table_name string, column_name string, comment string")
+        out = found if out is None else out.unionByName(found)
+    return out

@@ -9,17 +9,20 @@ from __future__ import annotations
 
 import uuid
 
+from pyarrow.fs import FileSelector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ledger as L
+from ..operators.skew import SkewGuard, salted_left_join
 from ..operators.staging import stage_claims, stage_medical
 from ..schemas import API_MEDICAL_ACTIVITY, BRONZE_MEDICAL, LANDED, SFTP_CLAIMS
 from ..session import scratch_dir
 from ..sources import testtables as TT
 from ..sources.landing import land_csv, land_json_payloads
+from ..sources.store import open_store
 from ..streaming.claims_csv import ingest_claims_csv, read_bronze_claims
-from ..streaming.medical_json import ingest_medical_json, read_bronze_medical
+from ..streaming.medical_json import ingest_medical_json, ingest_medical_table, read_bronze_medical
 from . import catalog
 
 CLAIM_BUSINESS = ("claim_id", "date_of_loss", "body_part", "is_litigated", "number_of_priors")
@@ -50,6 +53,44 @@ def q_ingest_medical_json(spark: SparkSession, sf: str) -> DataFrame:
     return stage_medical(read_bronze_medical(spark, f"{d}/bronze")).select("claim_id", "event_type", "event_date")
 
 
+def q_ingest_medical_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The payload files as if they were large: each is cut by many tasks."""
+    d = scratch_dir(spark, "ingest-split")
+    land_json_payloads(TT.medical_records(spark, sf), f"{d}/landing", records_per_doc=5000)
+    ingest_medical_json(spark, f"{d}/landing", f"{d}/bronze", f"{d}/checkpoint", whole_bytes=20_000,
+                        split_bytes=100_000).awaitTermination()
+    return stage_medical(read_bronze_medical(spark, f"{d}/bronze")).select("claim_id", "event_type", "event_date")
+
+
+def q_ingest_table_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """Two drops through the table sink. The last micro-batch is then run again as
+    after a failure before its commit, and a file that no finished batch wrote
+    lies in the table's folder: neither shows."""
+    d = scratch_dir(spark, "ingest-sink")
+    name = f"bronze.medical_sink_{uuid.uuid4().hex[:12]}"
+    catalog.setup_namespaces(spark)
+    records = TT.medical_records(spark, sf)
+
+    def run():
+        ingest_medical_table(spark, f"{d}/landing", name, f"{d}/bronze", f"{d}/checkpoint").awaitTermination()
+    for half in (0, 1):
+        land_json_payloads(records.filter(F.crc32(F.col("rec").cast("binary")) % 2 == half), f"{d}/landing")
+        run()
+    store, commits = open_store(f"{d}/checkpoint/commits")
+    names = [f.base_name for f in store.get_file_info(FileSelector(commits))]
+    last = max((n for n in names if n.isdigit()), key=int)
+    for n in {last, f".{last}.crc"}.intersection(names):
+        store.delete_file(f"{commits}/{n}")
+    stray = spark.table(name).limit(10)
+    stray.write.mode("overwrite").parquet(f"{d}/stray")
+    for f in store.get_file_info(FileSelector(open_store(f"{d}/stray")[1])):
+        if f.base_name.endswith(".parquet"):
+            store.copy_file(f.path, f"{open_store(f'{d}/bronze')[1]}/{f.base_name}")
+    run()
+    spark.catalog.refreshTable(name)
+    return stage_medical(spark.table(name)).select("claim_id", "event_type", "event_date")
+
+
 def q_ingest_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Two drops, three runs: each file lands in bronze exactly once."""
     d = scratch_dir(spark, "ingest-incremental")
@@ -79,7 +120,7 @@ def q_json_dirty_records(spark: SparkSession, sf: str) -> DataFrame:
         F.col("_rescued_data").startswith('{"_record"'), "repeated key").when(
         F.col("_rescued_data").startswith('{"_value"'), "no record").otherwise(
         F.regexp_replace("_rescued_data", "[0-9]{2,}", "#"))
-    return rows.join(counted, "_source_file", "left").select(
+    return salted_left_join(rows, counted, "_source_file", SkewGuard()).select(
         F.when(kind == "corrupt", F.lit(None).cast("string")).otherwise(F.col("claim_id")).alias("claim_id"),
         events.alias("n_events"), F.get("medical_events", 0)["type"].alias("first_type"), kind.alias("rescued"),
         F.coalesce("as_in_ledger", F.lit(False)).alias("as_in_ledger"))

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.exprs import let
 from ..functions.payload import document_texts, payload_hash, payload_record_count
 from ..operators import ledger as L
 from ..schemas import API_MEDICAL_ACTIVITY, FAILED, LANDED, SFTP_CLAIMS
@@ -56,6 +57,32 @@ def q_ledger_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return L.flag_duplicate_content(scan).select("file_hash", "n_copies", "is_duplicate_content")
 
 
+def q_ledger_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Four ledger runs over three drops of document files (the last finds nothing
+    new), read back by the manifest's name in the catalog."""
+    d = scratch_dir(spark, "ledger-runs")
+    docs = TT.table(spark, sf, "documents")
+    for drop in (0, 1, 2, None):
+        if drop is not None:
+            (docs.filter(F.col("doc_id") % 3 == drop).select("text")
+             .write.mode("append").option("maxRecordsPerFile", 1).text(f"{d}/landing"))
+        L.record_files(spark, f"{d}/landing", f"{d}/manifest", SFTP_CLAIMS, suffix=".txt", files_per_page=200_000)
+    m = L.manifest_by_name(spark, f"{d}/manifest", "file")
+    batches = sorted(r.batch_id for r in m.select("batch_id").distinct().collect())       # one for each run
+    run = F.array_position(F.array(*[F.lit(b) for b in batches]), F.col("batch_id")) - 1
+    return m.select(run.cast("int").alias("run"), "source_system", "file_size_bytes", "file_hash", "status")
+
+
+def q_ledger_payload_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Payload files recorded in many pages of one listing, by name."""
+    d = scratch_dir(spark, "ledger-pages")
+    land_json_payloads(TT.medical_records(spark, sf), f"{d}/landing", records_per_doc=2000)
+    L.record_payloads(spark, f"{d}/landing", f"{d}/manifest", API_MEDICAL_ACTIVITY, files_per_batch=20)
+    m = L.manifest_by_name(spark, f"{d}/manifest", "payload")
+    return m.groupBy("source_system", "status").agg(
+        F.sum("record_count").alias("n_records"), (F.count(F.lit(1)) - F.count_distinct("landing_path")).alias("n_twice"))
+
+
 def _suffix(lang):
     expr = F.lit(DEFAULT_SUFFIX)
     for k, v in LANG_SUFFIX.items():
@@ -94,11 +121,10 @@ def event_payloads(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_payload_record_count(spark: SparkSession, sf: str) -> DataFrame:
-    docs = document_texts(F.col("payload"))
-    return event_payloads(spark, sf).select(
-        "event_id",
+    read = let(document_texts(F.col("payload")), lambda docs: F.struct(
         payload_record_count(docs).alias("record_count"),
-        F.when(docs.isNotNull(), F.lit(LANDED)).otherwise(F.lit(FAILED)).alias("status"))
+        F.when(docs.isNotNull(), F.lit(LANDED)).otherwise(F.lit(FAILED)).alias("status")))
+    return event_payloads(spark, sf).select("event_id", read.alias("read")).select("event_id", "read.*")
 
 
 def q_payload_manifest(spark: SparkSession, sf: str) -> DataFrame:

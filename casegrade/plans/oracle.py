@@ -190,6 +190,8 @@ INGEST_SQL = {
         "select claim_id, '{\"policy_id\":\"P' || cast(o_custkey as varchar) || '\"}' as _rescued_data "
         "from stg_claims where body_part in ('back', 'knee')"),
     "ingest_medical_json": with_chain("select claim_id, event_type, event_date from stg_medical"),
+    "ingest_medical_split": with_chain("select claim_id, event_type, event_date from stg_medical"),
+    "ingest_table_sink": with_chain("select claim_id, event_type, event_date from stg_medical"),
     "ingest_incremental": with_chain(
         f"select {CLAIM}, case when is_litigated then 0 else 1 end as batch_id from stg_claims"),
     "json_dirty_records": DIRTY,
@@ -231,6 +233,13 @@ LEDGER_SQL = {
     "ledger_duplicates": f"""
         select sha256(content) as file_hash, count(*) over same as n_copies, count(*) over same > 1 as is_duplicate_content
         from {DOC_FILES} window same as (partition by sha256(content))""",
+    "ledger_runs": """
+        select (doc_id % 3)::integer as run, 'sftp_claims' as source_system, strlen(text || chr(10)) as file_size_bytes,
+               sha256(text || chr(10)) as file_hash, 'LANDED' as status
+        from documents""",
+    "ledger_payload_pages": """
+        select 'api_medical_activity' as source_system, 'LANDED' as status, count(*) as n_records, 0::bigint as n_twice
+        from lineitem""",
     "ledger_new_files": """
         with man as (
             select 'claims_' || cast(doc_id as varchar) || '.csv' as file_name
@@ -255,3 +264,106 @@ LEDGER_SQL = {
             from ({EVENT_MANIFEST}) e)
         select status, sum(times)::bigint as n_rows, sum(record_count)::bigint as n_records from m group by status""",
 }
+
+
+# (table, comment, its columns in order)
+_CLAIM = ["claim_id", "date_of_loss", "body_part", "is_litigated", "number_of_priors"]
+_LINEAGE = ["_source_file", "_ingested_at", "_rescued_data"]
+_FLAGS = ["has_surgery", "has_opioid", "complexity_score", "complexity_band"]
+COMMENTED = [
+    ("bronze.raw_claims", "Claim rows as landed in CSV files, all text, with lineage and rescued fields.",
+     [*_CLAIM, "_rescued_data", "_ingested_at", "_source_file"], "raw_claims"),
+    ("bronze.raw_medical_activity", "Medical-activity records as landed in JSON payload files, with lineage.",
+     ["claim_id", "medical_events", "_rescued_data", "_ingested_at", "_source_file"], "raw_medical"),
+    ("silver.stg_claims", "Claims cleaned and typed from the raw claims table.", [*_CLAIM, *_LINEAGE], "stg_claims"),
+    ("silver.stg_medical_activity", "One row per medical event, cleaned and typed.",
+     ["claim_id", "event_type", "event_date", *_LINEAGE], "stg_medical"),
+    ("silver.int_claim_complexity_score", "Claims joined to medical flags, scored and banded.",
+     [*_CLAIM, *_FLAGS, "_source_file", "_ingested_at"], "scored"),
+    ("gold.high_complexity_claims_daily", "High-complexity claims for reporting, rebuilt on every run.",
+     [*_CLAIM, *_FLAGS, "report_date", "processed_at", "_source_file", "_ingested_at"], "gold"),
+]
+COLUMN_COMMENTS = {
+    "claim_id": "Claim identifier (business key).", "date_of_loss": "Date the loss occurred.",
+    "body_part": "Injured body part, lower case.", "is_litigated": "Whether the claim is in litigation.",
+    "number_of_priors": "Number of earlier claims.", "medical_events": "Events of the record, as landed.",
+    "event_type": "Medical event type, lower case.", "event_date": "Date of the medical event.",
+    "has_surgery": "1 when any event of the claim is a surgery.",
+    "has_opioid": "1 when any event of the claim is an opioid prescription.",
+    "complexity_score": "Additive complexity score.", "complexity_band": "LOW, MEDIUM or HIGH.",
+    "report_date": "Date the report was built.", "processed_at": "Time the row was written to the report.",
+    "_rescued_data": "Unexpected or unreadable fields, as JSON.", "_ingested_at": "Time the record was loaded (UTC).",
+    "_source_file": "File the record came from, spelled as in the ledgers.",
+}
+
+
+def _comments_sql() -> str:
+    rows = []
+    for table, comment, columns, source in COMMENTED:
+        rows.append(f"select '{table}' as table_name, null::varchar as column_name, '{comment}' as comment, "
+                    f"(select count(*) from {source}) as n_rows")
+        rows += [f"select '{table}', '{c}', '{COLUMN_COMMENTS[c]}', null" for c in columns]
+    rows += ["select 'audit.no_comments', null, null, null", "select 'audit.no_comments', 'status', null, null"]
+    return with_chain("\nunion all\n".join(rows))
+
+
+def _observed(model: str, source: str, column: str, test: str, values: str) -> str:
+    failed = (f"count(*) - count({column})" if test == "not_null"
+              else f"count(*) filter (where {column} not in ({values}))")
+    return (f"select '{model}' as model, '{column}' as column_name, '{test}' as test, count(*) as n_rows, "
+            f"{failed} as n_failed_rows from {source}")
+
+
+def _violating(model: str, source: str, column: str, test: str, values: str) -> str:
+    head = f"select '{model}' as model, '{column}' as column_name, '{test}' as test, claim_id as row_key, "
+    if test == "not_null":
+        return head + f"null::varchar as value, count(*) as n_records from {source} where {column} is null group by claim_id"
+    if test == "unique":
+        return head + f"claim_id as value, count(*) as n_records from {source} group by claim_id having count(claim_id) > 1"
+    return head + (f"{column}::varchar as value, count(*) as n_records from {source} "
+                   f"where {column} not in ({values}) group by claim_id, {column}")
+
+
+INFERRED = """,
+texts as (
+    select claim_id, date_of_loss, body_part, is_litigated, number_of_priors, null::varchar as nothing from raw_claims),
+keys as (
+    select o_orderkey::varchar as whole, (o_orderkey::bigint * 10000000000)::varchar as big,
+           lpad(o_orderkey::varchar, 12, '0') as padded, o_totalprice::decimal(18, 4)::varchar as price from orders),
+vals as (
+    select 'claim_id' as c, trim(claim_id) as v from texts union all select 'date_of_loss', trim(date_of_loss) from texts
+    union all select 'body_part', trim(body_part) from texts union all select 'is_litigated', trim(is_litigated) from texts
+    union all select 'number_of_priors', trim(number_of_priors) from texts union all select 'nothing', nothing from texts
+    union all select 'whole', whole from keys union all select 'big', big from keys
+    union all select 'padded', padded from keys union all select 'price', price from keys),
+per as (
+    select c, count(*) filter (where v <> '') as n,
+           count(*) filter (where v in ('true', 'false')) as b,
+           count(*) filter (where regexp_matches(v, '^-?(0|[1-9][0-9]*)$') and try_cast(v as integer) is not null) as i,
+           count(*) filter (where regexp_matches(v, '^-?(0|[1-9][0-9]*)$') and try_cast(v as bigint) is not null) as l,
+           count(*) filter (where regexp_matches(v, '^-?(0|[1-9][0-9]*)([.][0-9]+)?$')) as d,
+           count(*) filter (where try_cast(v as date) is not null and length(v) = 10) as t
+    from vals group by c),
+ways as (
+    select c, n, 1 as place, 'boolean' as kind, b as held from per union all select c, n, 2, 'int', i from per
+    union all select c, n, 3, 'bigint', l from per union all select c, n, 4, 'double', d from per
+    union all select c, n, 5, 'date', t from per union all select c, n, 6, 'text', n from per)
+select c as column_name, kind as inferred_type, n as n_values, n - held as n_failing
+from ways where kind = 'text' or n > 0 and n - held <= 0.05 * n
+qualify row_number() over (partition by c order by place) = 1"""
+
+MODEL_SQL = {
+    "inferred_types": "with " + RAW_CLAIMS + INFERRED,
+    "payload_file_names": """
+        select event_id, 'medical_activity_' || strftime(ts, '%Y%m%d_%H%M%S') || '.json' as file_name from events""",
+    "schema_registry": """
+        select table_name, count(*)::integer as n_columns, true as same_again, true as change_stopped
+        from information_schema.columns
+        where table_name in ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events', 'documents',
+                             'embeddings', 'pages', 'benchmark', 'labels', 'conversations')
+        group by table_name""",
+    "gold_rebuild": with_chain("select * exclude (processed_at, report_date), date '2026-01-02' as report_date from gold"),
+    "catalog_comments": _comments_sql(),
+    "dq_observed": with_chain("\nunion all\n".join(_observed(*t) for t in TESTS if t[3] != "unique")),
+    "dq_violations": with_chain("\nunion all\n".join(_violating(*t) for t in TESTS)),
+}

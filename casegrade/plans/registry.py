@@ -24,7 +24,8 @@ from ..session import scratch_dir
 from ..sources.testtables import raw_claims, raw_medical
 from . import ingest_queries as IQ
 from . import ledger_queries as LQ
-from .oracle import CORE_SQL, INGEST_SQL, LEDGER_SQL
+from . import model_queries as MQ
+from .oracle import CORE_SQL, INGEST_SQL, LEDGER_SQL, MODEL_SQL
 
 SKEW_GUARD = SkewGuard()
 REPORT_DATE = dt.date(2026, 1, 1)
@@ -101,6 +102,22 @@ def _dq(kinds, with_passed):
     return q
 
 
+def q_gold_rebuild(spark, sf):
+    return MQ.gold_rebuild(spark, _scored(spark, sf))
+
+
+def q_catalog_comments(spark, sf):
+    return MQ.catalog_comments(spark, sf, _scored(spark, sf))
+
+
+def q_dq_observed(spark, sf):
+    return MQ.dq_observed(spark, models(spark, sf))
+
+
+def q_dq_violations(spark, sf):
+    return MQ.dq_violations(models(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     "stg_claims": q_stg_claims,
     "stg_medical_activity": q_stg_medical_activity,
@@ -128,6 +145,17 @@ QUERIES: dict[str, Query] = {
     "payload_manifest": LQ.q_payload_manifest,
     "ledger_status": LQ.q_ledger_status,
     "ledger_append": LQ.q_ledger_append,
+    "ledger_runs": LQ.q_ledger_runs,
+    "ledger_payload_pages": LQ.q_ledger_payload_pages,
+    "ingest_medical_split": IQ.q_ingest_medical_split,
+    "ingest_table_sink": IQ.q_ingest_table_sink,
+    "inferred_types": MQ.q_inferred_types,
+    "payload_file_names": MQ.q_payload_file_names,
+    "schema_registry": MQ.q_schema_registry,
+    "gold_rebuild": q_gold_rebuild,
+    "catalog_comments": q_catalog_comments,
+    "dq_observed": q_dq_observed,
+    "dq_violations": q_dq_violations,
 }
 
-ORACLE_SQL: dict[str, str] = {**CORE_SQL, **INGEST_SQL, **LEDGER_SQL}
+ORACLE_SQL: dict[str, str] = {**CORE_SQL, **INGEST_SQL, **LEDGER_SQL, **MODEL_SQL}

@@ -63,7 +63,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
-        return path.rstrip("/")
+        return qualified(spark, path.rstrip("/"))
     try:
         sc = spark.sparkContext
     except Exception:          # a remote session has no SparkContext here
@@ -80,6 +80,18 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its file system: a path without a scheme lies on the cluster's default one."""
+    if ":/" in path:
+        return path
+    try:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:          # a remote session: the path is the server's to read
+        return path
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(conf).makeQualified(place).toString().rstrip("/")
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh sub-folder of the shared folder for one run of one job."""
     base = shared_dir(spark)

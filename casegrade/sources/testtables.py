@@ -66,6 +66,10 @@ REORDERED_HEADER = ("number_of_priors", "claim_id", "is_litigated", "body_part",
 CLAIM_COLUMNS = ("claim_id", "date_of_loss", "body_part", "is_litigated", "number_of_priors")
 
 
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+          "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

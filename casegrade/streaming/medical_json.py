@@ -198,6 +198,32 @@ def ingest_medical_json(spark: SparkSession, landing_dir: str, table_dir: str, c
     return path_batches(spark, landing_dir, checkpoint_dir, write, path_glob, max_files_per_trigger, available_now)
 
 
+def ingest_medical_table(spark: SparkSession, landing_dir: str, table: str, table_dir: str, checkpoint_dir: str,
+                         available_now: bool = True, path_glob: str | None = None,
+                         max_files_per_trigger: int = 10000) -> StreamingQuery:
+    """The same rows through Spark's own table sink: ``table`` at ``table_dir``.
+
+    The sink keeps a log of the files of each finished micro-batch beside them.
+    Readers of the table see these files only, never those of a batch that is
+    being written or was cut off, and a batch that is run again is not added
+    twice. Payload files are read whole (each has to fit a row); names must not
+    hold the characters of file patterns.
+    """
+    if max_files_per_trigger < 1:
+        raise ValueError("max_files_per_trigger must be at least 1: it bounds what a batch lists")
+    track_schema(spark, checkpoint_dir, RAW_MEDICAL)
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
+    if path_glob:
+        reader = reader.option("pathGlobFilter", path_glob)
+    texts = reader.text(landing_dir, wholetext=True).select("value", source_path().alias("_source_file"))
+    rows = (parse_payloads(texts).withColumn("_ingested_at", F.current_timestamp())
+            .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_MEDICAL.fields]))
+    writer = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint_dir).option("path", table_dir)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.toTable(table)
+
+
 def read_bronze_medical(spark: SparkSession, table_dir: str) -> DataFrame:
     """The bronze table; ``stream_id`` and ``batch_id`` name the micro-batch."""
     return spark.read.schema(BRONZE_MEDICAL).parquet(table_dir)
