@@ -299,8 +299,10 @@ def append_manifest(rows: DataFrame, path: str, kind: str = "file", batch_id: in
     obs = Observation(f"{kind}_ledger")
     counted = _cast_to(rows, _schema(kind)).observe(
         obs, F.count_if(F.col("status") == LANDED).alias("landed"), F.count_if(F.col("status") == FAILED).alias("failed"))
-    view = f"manifest_rows_{uuid.uuid4().hex}"
-    counted.repartition(buckets, "landing_path").createOrReplaceTempView(view)
+    # rows may come from a join with this very manifest: they are read before its folder is written
+    folder, view = scratch_dir(spark, "ledger-batch"), f"manifest_rows_{uuid.uuid4().hex}"
+    counted.write.mode("overwrite").parquet(folder)
+    spark.read.schema(_schema(kind)).parquet(folder).repartition(buckets, "landing_path").createOrReplaceTempView(view)
     try:
         spark.sql(f"insert overwrite table {table} partition (batch_id = {bid}) select * from {view}")
     finally:
