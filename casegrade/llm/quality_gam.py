@@ -17,7 +17,8 @@ Defined cases: a null or empty text has the features of an empty text and a
 score like any other; a null label or id teaches nothing; of contradictory
 labels of one id the lowest counts; without labels of both kinds the score is
 the smoothed share of label 1 (0.5 without labels); one output row for each
-input row; equal texts get equal scores.
+input row; equal texts get equal scores; a text of any length is scored whole
+(a task holds its words).
 """
 
 from __future__ import annotations

@@ -17,7 +17,9 @@ law, 1 / ((r + 1) H). A character outside the vocabulary is its UTF-8 bytes, at
 with the longer last piece counts.
 
 Defined cases: a null text has no tokens; equal texts get equal counts; one
-output row for each input row; an empty table gives no rows.
+output row for each input row; an empty table gives no rows; a text of any length
+is counted whole (a task holds its words, and a path of the trie as long as its
+longest word).
 """
 
 from __future__ import annotations

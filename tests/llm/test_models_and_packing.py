@@ -1,5 +1,6 @@
 """Trained operators by held-out accuracy, packing by round trip, the pipeline by its promises."""
 
+import math
 import random
 import zlib
 
@@ -433,6 +434,77 @@ def test_language_stage_without_labels(spark):
     assert lettered and sorted(r.text for r in kept.collect()) == sorted(lettered)
 
 
+def boosted_by_hand(x, y, rounds, pair_rounds, n_pairs, bins, pair_bins):
+    """Cyclic boosting row by row: the score of each row."""
+    rows, m = range(len(x)), x.shape[1]
+    share = (sum(y) + 1) / (len(y) + 2)
+    total = [math.log(share / (1 - share))] * len(x)
+    edges = [sorted(set(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1]).tolist())) for j in range(m)]
+    fine = [[sum(e <= x[r, j] for e in edges[j]) for r in rows] for j in range(m)]
+    coarse = [[fine[j][r] * pair_bins // (len(edges[j]) + 1) for r in rows] for j in range(m)]
+
+    def slopes():
+        p = [1 / (1 + math.exp(-t)) for t in total]
+        return [y[r] - p[r] for r in rows], [p[r] * (1 - p[r]) for r in rows]
+
+    def worth(some, g, h):
+        return sum(g[r] for r in some) ** 2 / (sum(h[r] for r in some) + 1.0)
+
+    def grow(some, box, cells, g, h, depth, out):
+        best = (0.0, 0, 0)
+        for axis, (low, high) in enumerate(box) if depth else ():
+            top = (0.0, 0)
+            for cut in range(low + 1, high):
+                sides = [[r for r in some if cells[axis][r] < cut], [r for r in some if cells[axis][r] >= cut]]
+                if all(sum(h[r] for r in side) >= 1.0 for side in sides):
+                    gain = sum(worth(side, g, h) for side in sides) - worth(some, g, h)
+                    if gain > top[0] + 1e-12:
+                        top = gain, cut
+            if top[0] > 1e-9:
+                best = max(best, (top[0], axis, top[1]))
+        if not best[2]:
+            for r in some:
+                out[r] = sum(g[q] for q in some) / (sum(h[q] for q in some) + 1.0)
+            return
+        _, axis, cut = best
+        for low, high, keep in ((box[axis][0], cut, lambda c: c < cut), (cut, box[axis][1], lambda c: c >= cut)):
+            inside = [b if a != axis else (low, high) for a, b in enumerate(box)]
+            grow([r for r in some if keep(cells[axis][r])], inside, cells, g, h, depth - 1, out)
+
+    def step(cells, box):
+        g, h = slopes()
+        out = [0.0] * len(x)
+        grow(list(rows), box, cells, g, h, 2, out)
+        for r in rows:
+            total[r] += 0.1 * out[r]
+    for _ in range(rounds):
+        for j in range(m):
+            step([fine[j]], [(0, len(edges[j]) + 1)])
+    g, h = slopes()
+
+    def strength(pair):
+        cells = {}
+        for r in rows:
+            cells.setdefault((coarse[pair[0]][r], coarse[pair[1]][r]), []).append(r)
+        return sum(worth(c, g, h) for c in cells.values())
+    chosen = sorted([(i, j) for i in range(m) for j in range(i + 1, m)], key=lambda p: -strength(p))[:n_pairs]
+    for _ in range(pair_rounds):
+        for i, j in chosen:
+            step([coarse[i], coarse[j]], [(0, pair_bins)] * 2)
+    return [1 / (1 + math.exp(-t)) for t in total]
+
+
+def test_gam_equals_boosting_by_hand(monkeypatch):
+    from casegrade.llm import quality_gam as Q
+    for name, value in (("ROUNDS", 5), ("PAIR_ROUNDS", 4), ("PAIRS", 2), ("BINS", 12), ("PAIR_BINS", 5)):
+        monkeypatch.setattr(Q, name, value)
+    rng = np.random.default_rng(7)
+    x = np.round(rng.normal(size=(90, 4)), 2)
+    x[:, 3] = rng.integers(0, 3, 90)                 # few values: fewer bins
+    y = ((x[:, 0] * x[:, 1] > 0) ^ (rng.random(90) < 0.2)).astype(float)
+    assert np.allclose(Q.fit(x, y).score(x), boosted_by_hand(x, y, 5, 4, 2, 12, 5), atol=1e-9)
+
+
 def test_quality_labels_of_other_corpora_take_no_place(spark, monkeypatch):
     from casegrade.llm import quality_gam as Q
     docs = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "doc_id bigint, text string")
