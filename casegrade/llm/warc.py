@@ -3,9 +3,10 @@
 An archive (``.warc.zst``) starts with a skippable frame that holds the
 dictionary; each record follows as a Zstandard frame of its own, so a record
 can be read without its predecessors. The dictionary is trained on a bounded
-sample of the records of all archives: the ``SAMPLE_RECORDS`` with the smallest
-hashes of their places in the table, and of each the ``SAMPLE_BYTES`` from a place
-that the same hash names. It serves compression alone; records are stored whole.
+sample of the records of all archives: about ``SAMPLE_RECORDS`` (twice as many at
+most) by the hashes of their places in the table, and of each the ``SAMPLE_BYTES``
+from a place that the same hash names. It serves compression alone; records are
+stored whole.
 
 Payloads met before are ``revisit`` records: of the pages whose payloads are
 equal (SHA-256) and at least ``min_bytes`` long, that with the smallest id is the
@@ -236,11 +237,12 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
 
 def sample_records(rows: DataFrame, date: str) -> list[bytes]:
     """Records of a bounded sample of pages, for the dictionary."""
-    place = F.xxhash64(F.lit(11), F.monotonically_increasing_id())
+    share = min(1.0, SAMPLE_RECORDS / max(1, rows.count()))
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(11), F.monotonically_increasing_id()), 1)
     begin = F.pmod(F.shiftrightunsigned(F.col("place"), 8), F.greatest(F.octet_length("payload") - SAMPLE_BYTES, F.lit(1)))
-    some = (rows.select("id", "url", "payload", place.alias("place"))
-            .select("id", "url", "place", F.substring("payload", (begin + 1).cast("int"), F.lit(SAMPLE_BYTES)).alias("part"))
-            .orderBy("place").limit(SAMPLE_RECORDS).collect())
+    some = (rows.select("id", "url", "payload", place.alias("place")).filter(F.col("place") <= int(share * (2 ** 63 - 1)))
+            .select("id", "url", F.substring("payload", (begin + 1).cast("int"), F.lit(SAMPLE_BYTES)).alias("part"))
+            .limit(2 * SAMPLE_RECORDS).collect())            # about SAMPLE_RECORDS
     return [page_record(r.id, r.url and r.url[:SAMPLE_BYTES], bytes(r.part), None, False, date) for r in some]
 
 

@@ -334,7 +334,7 @@ def test_warc_dictionary_sample_covers_the_table_and_is_bounded(spark, tmp_path,
     df = spark.createDataFrame(rows, "id long, url string, payload string").withColumn("payload", F.col("payload").cast("binary"))
     monkeypatch.setattr(W, "SAMPLE_RECORDS", 60)
     sample = W.sample_records(df.coalesce(1), "2020-01-01T00:00:00Z")
-    assert len(sample) == 60 and max(map(len, sample)) < W.SAMPLE_BYTES + 1000
+    assert 30 < len(sample) <= 120 and max(map(len, sample)) < W.SAMPLE_BYTES + 1000
     ids = sorted(int(s.split(b"Page-ID: ")[1].split(b"\r\n")[0]) for s in sample)
     assert ids[-1] > 300 and sum(i < 200 for i in ids) > 10          # not the first ones
     hot = spark.range(3000).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.when(F.col("id") % 3 > 0, F.concat(
