@@ -56,7 +56,7 @@ from .skew import SkewGuard, salted_left_join
 
 #: Files of up to this size are read as one binary value.
 INLINE_BYTES = 4 << 20
-BUCKETS = 64
+BUCKETS = 32
 FILES_PER_PAGE = 10_000
 
 
