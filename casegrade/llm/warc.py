@@ -237,10 +237,10 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
 
 def sample_records(rows: DataFrame, date: str) -> list[bytes]:
     """Records of a bounded sample of pages, for the dictionary."""
-    share = min(1.0, SAMPLE_RECORDS / max(1, rows.count()))
+    most = min(2 ** 63 - 1, 2 ** 63 * SAMPLE_RECORDS // max(1, rows.count()))
     place = F.shiftrightunsigned(F.xxhash64(F.lit(11), F.monotonically_increasing_id()), 1)
     begin = F.pmod(F.shiftrightunsigned(F.col("place"), 8), F.greatest(F.octet_length("payload") - SAMPLE_BYTES, F.lit(1)))
-    some = (rows.select("id", "url", "payload", place.alias("place")).filter(F.col("place") <= int(share * (2 ** 63 - 1)))
+    some = (rows.select("id", "url", "payload", place.alias("place")).filter(F.col("place") <= most)
             .select("id", "url", F.substring("payload", (begin + 1).cast("int"), F.lit(SAMPLE_BYTES)).alias("part"))
             .limit(2 * SAMPLE_RECORDS).collect())            # about SAMPLE_RECORDS
     return [page_record(r.id, r.url and r.url[:SAMPLE_BYTES], bytes(r.part), None, False, date) for r in some]
