@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import codecs
 import hashlib
+import re
 
 from pyarrow import fs as pafs
 
 #: Schemes that pyarrow opens itself; others are read by Spark's own reader.
 STREAMED_SCHEMES = ("file", "hdfs", "s3", "gs", "gcs", "abfs", "abfss")
 PIECE = 8 << 20
+FIRST_PIECE = 16 << 10
+_BLANK = bytes(range(33))
 
 
 def scheme(uri: str) -> str:
@@ -24,11 +28,28 @@ def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 def sha256_of(uri: str) -> tuple[str, int]:
-    """Hex SHA-256 and size of a file of any size, read piece by piece."""
+    """Hex SHA-256 and size of a file of any size, read piece by piece (its bytes as they are)."""
     store, path = open_store(uri)
     digest, size = hashlib.sha256(), 0
-    with store.open_input_stream(path) as source:
+    with store.open_input_stream(path, compression=None) as source:
         while piece := source.read(PIECE):
             digest.update(piece)
             size += len(piece)
     return digest.hexdigest(), size
+
+
+def first_line(uri: str) -> str | None:
+    """The first line of a text file that is not white space alone, without a byte
+    order mark; None if there is none. The file is read up to that line."""
+    store, path = open_store(uri)
+    with store.open_input_stream(path) as source:
+        size, held = FIRST_PIECE, source.read(FIRST_PIECE).removeprefix(codecs.BOM_UTF8)
+        while True:
+            *lines, rest = re.split(b"[\r\n]", held)
+            found = next((line for line in lines if line.strip(_BLANK)), None)
+            if found is not None:
+                return found.decode("utf-8", "replace")
+            piece = source.read(size)
+            if not piece:
+                return rest.decode("utf-8", "replace") if rest.strip(_BLANK) else None
+            held, size = rest + piece, min(2 * size, PIECE)

@@ -6,20 +6,24 @@ in another order, extra columns, or rows of the wrong width, and a raw layer
 must keep all of it. So, for each micro-batch of new files
 (``streaming/files.py``):
 
-1. The files are read as text lines. A file's header is its first non-blank
-   line, found per file with a partial aggregate. One number reaches the
-   driver: the width of the widest header.
-2. Every line, header or not, is parsed once into an array of cells. A mark
-   appended to the line shows how many cells it really has; a line whose
-   quotes swallow the mark, or with more cells than any header, has none.
-3. The lines meet their file's header, and cells get their names by position:
+1. ``file_headers``: a file's header is its first non-blank line. Tasks open
+   the files and read them up to there; only the widest header's width and the
+   headers' total length reach the driver.
+2. The files are scanned once, as whole lines. Spark's CSV reader leaves each
+   file's header out; its separator is one that no line holds, so it cuts no
+   line (one that does hold it is kept whole as the reader's corrupt record).
+3. Every line is parsed once into an array of cells. A mark appended to the
+   line shows how many cells it really has; a line whose quotes swallow the
+   mark, or with more cells than any header, has none.
+4. The lines meet their file's header, and cells get their names by position:
    known columns are looked up, the others (and columns whose name came
    before) go to ``_rescued_data`` as JSON. A line with another number of cells
    than its header keeps its text there too.
 
 There is one scan and one plan whatever the number of header layouts, and no
 column name ever becomes a Spark column name, so no header can be ambiguous.
-Like the CSV reader's default mode this is line based. The lines of files whose
+Like the CSV reader's default mode this is line based, and lines of white space
+alone are no records. The lines of files whose
 header has over ``MAX_COLUMNS`` columns are cut into cells by a pattern instead
 of the CSV parser, which would need a field for each column of the widest file.
 """
@@ -28,12 +32,15 @@ from __future__ import annotations
 
 import re
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.exprs import let, source_path
+from ..functions.exprs import let, plain_path, source_path
 from ..schemas import BRONZE_CLAIMS, CLAIM_FIELDS, RAW_CLAIMS
+from ..session import ship_package
+from ..sources.store import STREAMED_SCHEMES, first_line, scheme
 from .files import batch_folder, literal_paths, path_batches
 from .schema_registry import track_schema
 
@@ -42,20 +49,45 @@ MAX_COLUMNS = 2000
 #: Headers are broadcast to the lines while their total length is below this.
 HEADER_BYTES = 64 << 20
 _END = "\x01end\x01"
+_UNCUT = "\x01uncut\x01"
+#: No character of Unicode text, so no line starts with the reader's quote.
+_UNQUOTED = "\uffff"
 
 
 def batch_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Text lines of the files with file, split start and position."""
-    return spark.read.text(literal_paths(paths)).select(
-        "value", source_path().alias("_source_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_pos")).filter(F.trim("value") != "")
+    """(value, _source_file): the files' lines without their headers, in one scan."""
+    whole = {"header": "true", "sep": _UNCUT, "quote": _UNQUOTED, "mode": "PERMISSIVE",
+             "columnNameOfCorruptRecord": "_cut", "columnPruning": "false", "ignoreLeadingWhiteSpace": "false",
+             "ignoreTrailingWhiteSpace": "false"}
+    return (spark.read.schema("value string, _cut string").options(**whole).csv(literal_paths(paths))
+            .select(F.coalesce("_cut", "value").alias("value"), source_path().alias("_source_file")))
 
 
-def file_headers(lines: DataFrame) -> DataFrame:
-    """(_file, _hpos, header): each file's first non-blank line."""
-    return (lines.filter(F.col("_block") == 0).groupBy(F.col("_source_file").alias("_file"))
-            .agg(F.min("_pos").alias("_hpos"), F.min_by("value", "_pos").alias("header")))
+def _header_task(batches):
+    for batch in batches:
+        found = [first_line(path) for path in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["path", "header"])
+
+
+def file_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(_file, header): each file's first non-blank line.
+
+    Files are read up to it; those of a store that pyarrow does not open are scanned.
+    """
+    opened = [(p,) for p in paths if scheme(p) in STREAMED_SCHEMES]
+    others = [p for p in paths if scheme(p) not in STREAMED_SCHEMES]
+    ship_package(spark)
+    read = (spark.createDataFrame(opened, "path string").mapInArrow(_header_task, "path string, header string")
+            .filter("header is not null").select(plain_path("path").alias("_file"), "header"))
+    return read.unionByName(scanned_headers(spark, others)) if others else read
+
+
+def scanned_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    lines = spark.read.text(literal_paths(paths)).select(
+        "value", source_path().alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_pos"))
+    return (lines.filter("_block = 0").filter(F.regexp_like("value", F.lit(r"[^\x00-\x20]")))
+            .groupBy("_file").agg(F.min_by("value", "_pos").alias("header")))
 
 
 def parsed(line: Column, width: int, sep: str) -> Column:
@@ -117,7 +149,7 @@ def named_headers(headers: DataFrame, width: int, sep: str, any_wide: bool) -> D
     found = cells(mark, width, sep)
     if any_wide:
         found = F.when(wide, wide_cells(mark, sep)).otherwise(found)
-    named = headers.select("_file", "_hpos", wide.alias("_wide"), column_names(found).alias("_names"))
+    named = headers.select("_file", wide.alias("_wide"), column_names(found).alias("_names"))
     places = [(F.array_position("_names", c) - 1).cast("int").alias(f"_at_{c}") for c in CLAIM_FIELDS]
     others = F.exists("_names", lambda n: ~n.isin(*CLAIM_FIELDS))
     return named.select("*", *places, others.alias("_others"))
@@ -132,7 +164,7 @@ def load_claim_files(spark: SparkSession, paths: list[str], sep: str = ",",
     if not paths:
         return None
     lines = batch_lines(spark, paths)
-    headers = headers if headers is not None else file_headers(lines)
+    headers = headers if headers is not None else file_headers(spark, paths)
     count = _n_columns(F.col("header"), sep)
     most, total = headers.agg(F.max(count), F.sum(F.length("header"))).first()
     if most is None:
@@ -146,7 +178,6 @@ def load_claim_files(spark: SparkSession, paths: list[str], sep: str = ",",
         others = let(wide_cells(value, sep), lambda found: F.when(F.size(found) <= most, found))
         value = F.when(~F.col("_wide"), value)
     rows = (lines.join(named, F.col("_source_file") == F.col("_file"))
-            .filter(F.col("_pos") != F.col("_hpos"))
             .withColumn("_row", parsed(value, widest, sep))
             .withColumn("_all", F.array(*[F.col("_row")[f"c{i}"] for i in range(widest + 1)]))
             .withColumn("_end", F.array_position("_all", _END).cast("int"))
@@ -174,7 +205,7 @@ def ingest_claims_csv(spark: SparkSession, landing_dir: str, table_dir: str, che
 
     def write(files: dict[str, int], stream_id: str, batch_id: int) -> None:
         paths = sorted(files)
-        headers = file_headers(batch_lines(spark, paths)).persist()        # one row per file, used twice
+        headers = file_headers(spark, paths).persist()        # one row per file, used twice
         try:
             raw = load_claim_files(spark, paths, sep, headers)
             if raw is not None:

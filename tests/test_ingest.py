@@ -92,11 +92,41 @@ def test_one_scan_for_any_number_of_headers(spark):
         _put(d, f"f{i}.csv", f"x{i},claim_id\nv,C{i}\n")
     df = load_claim_files(spark, [f"file:{d}/f{i}.csv" for i in range(30)])
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan text") == 2                 # the lines, and the headers among them
+    assert plan.count("FileScan") == 1 and plan.count("FileScan csv") == 1
     got = {r.claim_id: json.loads(r._rescued_data) for r in df.collect()}
     assert got == {f"C{i}": {f"x{i}": "v"} for i in range(30)}
 
 
+def test_each_file_loses_its_header_and_no_other_line(spark, monkeypatch):
+    from casegrade.sources import store
+    from casegrade.streaming import claims_csv as C
+    d = scratch_dir(spark, "t-csv-lines")
+    header = "claim_id,body_part," + ",".join(f"x{i}" for i in range(40))
+    rest = "," * 40
+    texts = {"again.csv": f"{header}\nA{rest},\n{header}\nB,{rest}\n{header}\n",
+             "blank.csv": f"\n \t\n\r\n{header}\r\n\t\r\nC,{rest}\r\n",
+             "mac.csv": f"{header}\rD,{rest}\rE,{rest}", "only.csv": header, "none.csv": "\n\n",
+             "odd.csv": f"{header}\n F ,\x00\x01,{rest[1:]}\n\x00G{rest},\n\x01uncut\x01H,{rest}\nI\x01uncut\x01,{rest}\n"
+                        f"J,é ,{rest[1:]}\n" + "," * 30_000 + "\n"}
+    for name, text in texts.items():
+        with open(f"{d}/{name}", "w", newline="", encoding="utf-8-sig" if name == "again.csv" else "utf-8") as f:
+            f.write(text)
+    paths = [f"file:{d}/{name}" for name in texts]
+
+    def rows():
+        found = C.load_claim_files(spark, paths).collect()
+        return sorted((r._source_file.rpartition("/")[2], r.claim_id or "", r.body_part or "") for r in found)
+    want = sorted([("again.csv", c, b) for c, b in (("A", ""), ("B", ""), *[("claim_id", "body_part")] * 2)]
+                  + [("blank.csv", "C", ""), ("mac.csv", "D", ""), ("mac.csv", "E", ""), ("odd.csv", " F ", "\x00\x01"),
+                     ("odd.csv", "\x00G", ""), ("odd.csv", "\x01uncut\x01H", ""), ("odd.csv", "I\x01uncut\x01", ""),
+                     ("odd.csv", "J", "é "), ("odd.csv", "", "")])
+    assert rows() == want
+    read = {r._file: r.header for r in C.file_headers(spark, paths).collect()}
+    assert read == {r._file: r.header for r in C.scanned_headers(spark, paths).collect()} and len(read) == 5
+    monkeypatch.setattr(store, "FIRST_PIECE", 5)     # a header longer than what is read first
+    assert {store.first_line(p) for p in paths} == {header, None}
+
+
 def test_csv_by_name_rescue_and_ids(spark):
     d = scratch_dir(spark, "t-csv")
     land = f"{d}/landing"
