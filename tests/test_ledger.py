@@ -248,3 +248,13 @@ def test_history_is_not_shuffled_and_a_run_lists_once(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert L.manifest_buckets(spark, f"{d}/m", 7) == L.BUCKETS                   # kept from the first run
+
+
+def test_a_compressed_file_is_hashed_as_it_is_stored(tmp_path):
+    import gzip
+
+    from casegrade.sources.store import first_line, sha256_of
+    stored = gzip.compress(b"\nclaim_id,body_part\nA,knee\n")
+    (tmp_path / "claims.csv.gz").write_bytes(stored)
+    assert sha256_of(f"file:{tmp_path}/claims.csv.gz") == (hashlib.sha256(stored).hexdigest(), len(stored))
+    assert first_line(f"file:{tmp_path}/claims.csv.gz") == "claim_id,body_part"
