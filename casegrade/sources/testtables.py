@@ -44,6 +44,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .landing import keyed, land_texts
+
 # --- fixed values -----------------------------------------------------------
 PRIORITY_TO_BODY_PART = {
     "1-URGENT": " Spine ",
@@ -192,11 +194,10 @@ def land_dirty_payloads(spark: SparkSession, sf_dir: str, landing_dir: str) -> N
     """The dirty records as files: lists by day, cut-off files, files in Latin-1."""
     records = dirty_records(spark, sf_dir)
     part = F.col("o_orderkey") % 64
-    lists = (records.filter(~part.isin(9, 17)).groupBy(F.trunc("day", "month")).agg(F.collect_list("rec").alias("recs"))
-             .select(F.concat(F.lit("["), F.concat_ws(",\n ", "recs"), F.lit("]")).alias("value")))
-    cut = records.filter(part == 9).select(F.concat(F.lit("["), "rec").alias("value"))
-    latin = records.filter(part == 17).select(F.concat(F.lit('[{"claim_id":"Mül'), "o_orderkey", F.lit('"}]')).alias("value"))
-    lists.unionByName(cut).write.mode("append").option("maxRecordsPerFile", 1).text(landing_dir)
-    # the text writer knows UTF-8 only: the CSV writer, with nothing in the value to quote
-    (latin.write.mode("append").option("maxRecordsPerFile", 1).option("encoding", "ISO-8859-1")
-     .option("quote", "").option("sep", "\x01").csv(landing_dir))
+    lists = (records.filter(~part.isin(9, 17)).groupBy(F.trunc("day", "month").alias("month")).agg(F.collect_list("rec").alias("recs"))
+             .select(F.col("month").alias("key"), F.concat(F.lit("["), F.concat_ws(",\n ", "recs"), F.lit("]")).alias("value")))
+    cut = keyed(F.concat(F.lit("["), "rec"), records.filter(part == 9))
+    latin = keyed(F.concat(F.lit('[{"claim_id":"Mül'), "o_orderkey", F.lit('"}]')), records.filter(part == 17))
+    land_texts(lists, landing_dir)
+    land_texts(cut, landing_dir)
+    land_texts(latin, landing_dir, suffix=".csv", encoding="ISO-8859-1")
