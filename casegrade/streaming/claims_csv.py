@@ -41,7 +41,7 @@ from ..functions.exprs import let, plain_path, source_path
 from ..schemas import BRONZE_CLAIMS, CLAIM_FIELDS, RAW_CLAIMS
 from ..session import ship_package
 from ..sources.store import STREAMED_SCHEMES, first_line, scheme
-from .files import batch_folder, literal_paths, path_batches
+from .files import batch_folder, few_listing_tasks, literal_paths, path_batches
 from .schema_registry import track_schema
 
 CORRUPT = "_corrupt_record"
@@ -59,8 +59,9 @@ def batch_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     whole = {"header": "true", "sep": _UNCUT, "quote": _UNQUOTED, "mode": "PERMISSIVE",
              "columnNameOfCorruptRecord": "_cut", "columnPruning": "false", "ignoreLeadingWhiteSpace": "false",
              "ignoreTrailingWhiteSpace": "false"}
-    return (spark.read.schema("value string, _cut string").options(**whole).csv(literal_paths(paths))
-            .select(F.coalesce("_cut", "value").alias("value"), source_path().alias("_source_file")))
+    with few_listing_tasks(spark):
+        lines = spark.read.schema("value string, _cut string").options(**whole).csv(literal_paths(paths))
+    return lines.select(F.coalesce("_cut", "value").alias("value"), source_path().alias("_source_file"))
 
 
 def _header_task(batches):

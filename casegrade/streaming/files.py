@@ -17,7 +17,8 @@ batch more than once. Only paths and lengths reach the driver, at most
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -30,6 +31,11 @@ BINARY_FILE = T.StructType([
     T.StructField("content", T.BinaryType()),
 ])
 
+#: Spark lists the paths of a read in up to 10,000 tasks, one path to a task; the
+#: result of each task is a message of its own to the driver.
+LISTING_TASKS = 64
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 _GLOB_CHARS = "\\*?[]{}"
 
 
@@ -42,6 +48,17 @@ def literal_paths(paths: list[str]) -> list[str]:
     return [literal_path(p) for p in paths]
 
 
+@contextmanager
+def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Reads of many paths, and streams, made inside list them in ``LISTING_TASKS`` tasks."""
+    before = spark.conf.get(_LISTING)
+    spark.conf.set(_LISTING, str(min(int(before), LISTING_TASKS)))
+    try:
+        yield
+    finally:
+        spark.conf.set(_LISTING, before)
+
+
 def batch_folder(table_dir: str, stream_id: str, batch_id: int) -> str:
     return f"{table_dir.rstrip('/')}/stream_id={stream_id}/batch_id={batch_id}"
 
@@ -67,4 +84,5 @@ def path_batches(spark: SparkSession, landing_dir: str, checkpoint_dir: str,
               .option("checkpointLocation", checkpoint_dir))
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start()
+    with few_listing_tasks(spark):                   # a stream keeps the settings it starts with
+        return writer.start()
