@@ -49,7 +49,7 @@ from ..functions.payload import document_texts, payload_hash, payload_record_cou
 from ..schemas import FAILED, FILE_MANIFEST, LANDED, PAYLOAD_MANIFEST
 from ..session import scratch_dir, ship_package
 from ..sources import store
-from ..streaming.files import literal_paths
+from ..streaming.files import few_listing_tasks, literal_paths
 from ..streaming.large_json import cut_files
 from ..streaming.medical_json import by_size, read_lines, read_whole
 from .skew import SkewGuard, salted_left_join
@@ -58,6 +58,8 @@ from .skew import SkewGuard, salted_left_join
 INLINE_BYTES = 4 << 20
 BUCKETS = 32
 FILES_PER_PAGE = 10_000
+#: Pages are read together up to about this many files; each has its own batch.
+FILES_AT_ONCE = 100_000
 
 
 def suffix_glob(suffix: str) -> str:
@@ -108,19 +110,19 @@ def hash_files(files: DataFrame) -> DataFrame:
     return files.mapInArrow(_hash_task, schema)
 
 
-def _row_of(hashed: DataFrame, source_system: str, remote_dir: str | None) -> DataFrame:
+def _row_of(hashed: DataFrame, source_system: str, remote_dir: str | None, keep: tuple = ()) -> DataFrame:
     ok = F.col("error_message").isNull()
     remote = F.concat(F.lit(remote_dir.rstrip("/") + "/"), "file_name") if remote_dir else F.lit(None).cast("string")
     return hashed.select(
         F.lit(source_system).alias("source_system"), "file_name", remote.alias("remote_path"),
         F.when(ok, F.col("path")).alias("landing_path"), "file_size_bytes", "file_hash",
         F.current_timestamp().alias("ingested_at"),
-        F.when(ok, F.lit(LANDED)).otherwise(F.lit(FAILED)).alias("status"), "error_message")
+        F.when(ok, F.lit(LANDED)).otherwise(F.lit(FAILED)).alias("status"), "error_message", *keep)
 
 
-def manifest_rows(files: DataFrame, source_system: str, remote_dir: str | None = None) -> DataFrame:
+def manifest_rows(files: DataFrame, source_system: str, remote_dir: str | None = None, keep: tuple = ()) -> DataFrame:
     """``list_files`` rows -> FILE_MANIFEST rows, every file read piece by piece."""
-    return _row_of(hash_files(files.select("path", "file_name")), source_system, remote_dir)
+    return _row_of(hash_files(files.select("path", "file_name")), source_system, remote_dir, keep)
 
 
 def inline_bytes(spark: SparkSession) -> int:
@@ -135,21 +137,27 @@ def inline_hashes(files: DataFrame) -> DataFrame:
                         F.lit(None).cast("string").alias("error_message"))
 
 
-def page_rows(spark: SparkSession, files: dict[str, int], source_system: str, remote_dir: str | None = None) -> DataFrame:
-    """FILE_MANIFEST rows of the given files (path -> length).
+def page_rows(spark: SparkSession, files: dict[str, int], source_system: str, remote_dir: str | None = None,
+              keep_path: bool = False) -> DataFrame:
+    """FILE_MANIFEST rows of the given files (path -> length); with ``keep_path``
+    their paths, of FAILED ones too, as ``_file``.
 
     A file that the JVM does not find any more, or not with its size, goes the
     other way and gets its reason there.
     """
     most = inline_bytes(spark)
+    keep = (F.col("path").alias("_file"),) if keep_path else ()
     small = [p for p, n in files.items() if n <= most]
     listed = spark.createDataFrame([(p, p.rpartition("/")[2]) for p in files], "path string, file_name string")
-    if not small:
-        return manifest_rows(listed.repartition(min(len(files), FILES_PER_PAGE)), source_system, remote_dir)
+    if not small or all(store.scheme(p) in store.STREAMED_SCHEMES for p in files):
+        # tasks open the files: a read by Spark would list each path again first
+        n = max(len(files) - len(small) + len(small) // 1000, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return manifest_rows(listed.repartition(min(len(files), n, FILES_PER_PAGE)), source_system, remote_dir, keep)
     try:
-        read = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(literal_paths(small))
+        with few_listing_tasks(spark):
+            read = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").load(literal_paths(small))
     except AnalysisException:                        # some path is gone: every file by itself
-        return manifest_rows(listed.repartition(min(len(files), FILES_PER_PAGE)), source_system, remote_dir)
+        return manifest_rows(listed.repartition(min(len(files), FILES_PER_PAGE)), source_system, remote_dir, keep)
     read = read.filter(F.col("length") <= most)
     folder = scratch_dir(spark, "ledger-hashes")
     inline_hashes(read).write.mode("overwrite").parquet(folder)
@@ -157,7 +165,7 @@ def page_rows(spark: SparkSession, files: dict[str, int], source_system: str, re
     rest = listed.join(done.select("path"), "path", "left_anti").select("path", "file_name")
     if len(small) < len(files):
         rest = rest.repartition(min(len(files) - len(small), FILES_PER_PAGE))
-    return _row_of(done.unionByName(hash_files(rest)), source_system, remote_dir)
+    return _row_of(done.unionByName(hash_files(rest)), source_system, remote_dir, keep)
 
 
 def scan_files(spark: SparkSession, landing_dir: str, source_system: str, suffix: str = ".csv",
@@ -166,7 +174,10 @@ def scan_files(spark: SparkSession, landing_dir: str, source_system: str, suffix
     listed = spark.read.format("binaryFile").option("pathGlobFilter", suffix_glob(suffix)).load(landing_dir)
     most = inline_bytes(spark)
     small = inline_hashes(listed.filter(F.col("length") <= most))
-    large = list_files(spark, landing_dir, suffix).filter(F.col("length") > most).select("path", "file_name")
+    # the same listing; few tasks start a Python worker, however many files were small
+    large = listed.filter(F.col("length") > most).select(
+        plain_path("path").alias("path"), _base_name(F.col("path")).alias("file_name")).repartition(
+        int(spark.conf.get("spark.sql.shuffle.partitions")))
     return _row_of(small.unionByName(hash_files(large)), source_system, remote_dir)
 
 
@@ -197,30 +208,34 @@ def payload_rows(texts: DataFrame, source_system: str, api_url: str | None = Non
         source_system, api_url, F.col("_read.ok"), payload_hash("value"), F.col("_read.n"), keep))
 
 
-def counted_rows(counted: DataFrame, hashed: DataFrame, source_system: str, api_url: str | None = None) -> DataFrame:
+def counted_rows(counted: DataFrame, hashed: DataFrame, source_system: str, api_url: str | None = None,
+                 keep: tuple = ()) -> DataFrame:
     """(_path, _ok, _n) of files, and the ``hash_files`` of their paths ->
     PAYLOAD_MANIFEST rows."""
     met = hashed.withColumnRenamed("path", "landing_path").join(
         counted, F.col("landing_path") == F.col("_path"), "left")
     ok = F.coalesce(F.col("_ok"), F.lit(False)) & F.col("file_hash").isNotNull()
     rows = _payload_row(source_system, api_url, ok, F.col("file_hash"), F.col("_n"))
-    return met.select(*rows[:-1], F.coalesce(F.col("error_message"), rows[-1]).alias("error_message"))
+    return met.select(*rows[:-1], F.coalesce(F.col("error_message"), rows[-1]).alias("error_message"), *keep)
 
 
-def payload_line_rows(lines: DataFrame, hashed: DataFrame, source_system: str, api_url: str | None = None) -> DataFrame:
+def payload_line_rows(lines: DataFrame, hashed: DataFrame, source_system: str, api_url: str | None = None,
+                      keep: tuple = ()) -> DataFrame:
     """(value, landing_path) lines of JSON Lines feeds, and the ``hash_files``
     of their paths -> PAYLOAD_MANIFEST rows. Lines are counted where they are read."""
     read = let(document_texts("value"), lambda docs: F.struct(
         docs.isNotNull().alias("ok"), payload_record_count(docs).alias("n")))
     counted = (lines.withColumn("_read", read).groupBy(F.col("landing_path").alias("_path"))
                .agg(F.bool_and(F.col("_read.ok")).alias("_ok"), F.sum(F.col("_read.n")).alias("_n")))
-    return counted_rows(counted, hashed, source_system, api_url)
+    return counted_rows(counted, hashed, source_system, api_url, keep)
 
 
 def payload_file_rows(spark: SparkSession, files: dict[str, int], source_system: str, api_url: str | None = None,
-                      layout: str = "document") -> DataFrame:
-    """PAYLOAD_MANIFEST rows of the given files (path -> length)."""
+                      layout: str = "document", keep_path: bool = False) -> DataFrame:
+    """PAYLOAD_MANIFEST rows of the given files (path -> length); with ``keep_path``
+    their paths, of FAILED ones too, as ``_file``."""
     whole, lines = by_size(files, layout)
+    keep = (F.col("landing_path").alias("_file"),) if keep_path else ()
     parts = []
 
     def hashed(paths):
@@ -233,13 +248,13 @@ def payload_file_rows(spark: SparkSession, files: dict[str, int], source_system:
         if known:
             counted = spark.createDataFrame(known, "p string, _ok boolean, _n bigint").select(
                 plain_path("p").alias("_path"), "_ok", "_n")
-            parts.append(counted_rows(counted, hashed([p for p, _, _ in known]), source_system, api_url))
+            parts.append(counted_rows(counted, hashed([p for p, _, _ in known]), source_system, api_url, keep))
     if whole:
-        texts = read_whole(spark, whole).withColumnRenamed("_source_file", "landing_path")
-        parts.append(payload_rows(texts, source_system, api_url))
+        texts = read_whole(spark, {p: files[p] for p in whole}).withColumnRenamed("_source_file", "landing_path")
+        parts.append(payload_rows(texts, source_system, api_url, keep))
     if lines:
         texts = read_lines(spark, lines).withColumnRenamed("_source_file", "landing_path")
-        parts.append(payload_line_rows(texts, hashed(lines), source_system, api_url))
+        parts.append(payload_line_rows(texts, hashed(lines), source_system, api_url, keep))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -284,27 +299,35 @@ def _schema(kind: str) -> T.StructType:
     return FILE_MANIFEST if kind == "file" else PAYLOAD_MANIFEST
 
 
-def append_manifest(rows: DataFrame, path: str, kind: str = "file", batch_id: int | None = None) -> dict:
+def append_manifest(rows: DataFrame, path: str, kind: str = "file", batch_id: int | None = None,
+                    page: str | None = None) -> dict:
     """Append manifest rows with the declared schema (types never inferred).
 
     Rows go to their own ``batch_id=<n>`` folder (default: the current time
     in microseconds; a write takes far longer than that), in the buckets of the
     manifest's table. So a manifest folder is a set of batch folders, and a
-    repeated batch id replaces its own rows. Returns the LANDED and FAILED
-    counts, taken in the same pass.
+    repeated batch id replaces its own rows. With ``page``, a column of small
+    numbers, the rows of each page go to a batch of their own, all in one write
+    (their new ids count up from the current time). Returns the LANDED and
+    FAILED counts, taken in the same pass.
     """
     spark = rows.sparkSession
     bid = batch_id if batch_id is not None else time.time_ns() // 1000
     table, buckets = manifest_table(spark, path, kind), manifest_buckets(spark, path)
     obs = Observation(f"{kind}_ledger")
-    counted = _cast_to(rows, _schema(kind)).observe(
+    own = [F.col(page).alias("_page")] if page else []
+    counted = rows.select(*_declared(_schema(kind)), *own).observe(
         obs, F.count_if(F.col("status") == LANDED).alias("landed"), F.count_if(F.col("status") == FAILED).alias("failed"))
     # rows may come from a join with this very manifest: they are read before its folder is written
     folder, view = scratch_dir(spark, "ledger-batch"), f"manifest_rows_{uuid.uuid4().hex}"
     counted.write.mode("overwrite").parquet(folder)
-    spark.read.schema(_schema(kind)).parquet(folder).repartition(buckets, "landing_path").createOrReplaceTempView(view)
+    stored = spark.read.schema(T.StructType(_schema(kind).fields + ([T.StructField("_page", T.LongType())] if page else [])))
+    stored.parquet(folder).repartition(buckets, "landing_path").createOrReplaceTempView(view)
     try:
-        spark.sql(f"insert overwrite table {table} partition (batch_id = {bid}) select * from {view}")
+        if page:                                     # into folders that no batch had before
+            spark.sql(f"insert into {table} select * except (_page), {bid} + _page from {view}")
+        else:
+            spark.sql(f"insert overwrite table {table} partition (batch_id = {bid}) select * from {view}")
     finally:
         spark.catalog.dropTempView(view)
     return {k: int(v or 0) for k, v in obs.get.items()}
@@ -353,8 +376,8 @@ def read_manifest(spark: SparkSession, path: str, kind: str = "file") -> DataFra
     return spark.read.schema(stored_schema(_schema(kind))).parquet(path)
 
 
-def _cast_to(rows: DataFrame, schema) -> DataFrame:
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+def _declared(schema: T.StructType) -> list[Column]:
+    return [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
 
 
 def unrecorded(files: DataFrame, manifest: DataFrame, source_system: str, buckets: int, by_name: bool = False) -> DataFrame:
@@ -370,8 +393,9 @@ def unrecorded(files: DataFrame, manifest: DataFrame, source_system: str, bucket
     return fresh
 
 
-def pages(fresh: DataFrame, files_per_page: int) -> Iterator[dict[str, int]]:
-    """The files (landing_path -> length) in pages of about that many, in path order.
+def pages(fresh: DataFrame, files_per_page: int) -> Iterator[dict[str, tuple[int, int]]]:
+    """The files (landing_path -> (length, page)) in pages of about that many, in
+    path order; as many whole pages at once as hold about ``FILES_AT_ONCE``.
 
     Ranged and stored once; a page is then a folder of its own.
     """
@@ -385,10 +409,11 @@ def pages(fresh: DataFrame, files_per_page: int) -> Iterator[dict[str, int]]:
     (stored.repartitionByRange(n, "landing_path").withColumn("page", F.spark_partition_id())
      .write.mode("overwrite").partitionBy("page").parquet(f"{listed}/pages"))
     paged = spark.read.schema("landing_path string, length bigint, page int").parquet(f"{listed}/pages")
-    for page in range(n):
-        files = {r.landing_path: r.length for r in paged.filter(F.col("page") == page).collect()}
-        if files:
-            yield files
+    step = max(1, FILES_AT_ONCE // files_per_page)
+    for first in range(0, n, step):
+        found = paged.filter(F.col("page").between(first, first + step - 1)).collect()
+        if found:
+            yield {r.landing_path: (r.length, r.page) for r in found}
 
 
 def _record(spark: SparkSession, landing_dir: str, manifest_path: str, kind: str, source_system: str, suffix: str | None,
@@ -397,8 +422,10 @@ def _record(spark: SparkSession, landing_dir: str, manifest_path: str, kind: str
     fresh = unrecorded(files, manifest_by_name(spark, manifest_path, kind), source_system,
                        manifest_buckets(spark, manifest_path), by_name=kind == "file")
     totals = {"landed": 0, "failed": 0}
-    for page in pages(fresh, files_per_page):
-        run = append_manifest(rows_of(page), manifest_path, kind)
+    for found in pages(fresh, files_per_page):
+        rows = rows_of({path: length for path, (length, _) in found.items()})
+        numbers = spark.createDataFrame([(path, page) for path, (_, page) in found.items()], "_file string, page bigint")
+        run = append_manifest(rows.join(F.broadcast(numbers), "_file"), manifest_path, kind, page="page")
         totals = {k: totals[k] + run[k] for k in totals}
     return totals
 
@@ -410,7 +437,7 @@ def record_files(spark: SparkSession, landing_dir: str, manifest_path: str, sour
     LANDED row without a path holds for every file of its name. Returns this
     run's ``{"landed": n, "failed": m}``."""
     return _record(spark, landing_dir, manifest_path, "file", source_system, suffix, files_per_page,
-                   lambda page: page_rows(spark, page, source_system, remote_dir))
+                   lambda files: page_rows(spark, files, source_system, remote_dir, keep_path=True))
 
 
 def record_payloads(spark: SparkSession, landing_dir: str, manifest_path: str, source_system: str,
@@ -419,4 +446,4 @@ def record_payloads(spark: SparkSession, landing_dir: str, manifest_path: str, s
     """Record the landed payloads that are not LANDED yet (hash, record count,
     status), about ``files_per_batch`` at a time."""
     return _record(spark, landing_dir, manifest_path, "payload", source_system, suffix, files_per_batch,
-                   lambda page: payload_file_rows(spark, page, source_system, api_url, layout))
+                   lambda files: payload_file_rows(spark, files, source_system, api_url, layout, keep_path=True))

@@ -31,6 +31,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -39,7 +40,9 @@ from ..functions.exprs import let, plain_path, source_path
 from ..functions.payload import (document_texts, is_one_document, list_document, payload_record_count,
                                  payload_record_texts)
 from ..schemas import BRONZE_MEDICAL, RAW_MEDICAL
-from .files import batch_folder, literal_paths, path_batches
+from ..session import ship_package
+from ..sources.store import STREAMED_SCHEMES, open_store, scheme
+from .files import batch_folder, few_listing_tasks, literal_paths, path_batches
 from .large_json import cut_files
 from .schema_registry import track_schema
 
@@ -47,6 +50,10 @@ EVENTS_TYPE = "array<struct<type:string,date:string>>"
 #: Larger files are cut by many tasks; what a file gives is the same either way.
 WHOLE_FILE_BYTES = 64 << 20
 LAYOUTS = ("document", "lines")
+#: Names of files that Spark's reader decompresses.
+COMPRESSED = ("gz", "bz2", "zst", "lz4", "snappy", "deflate")
+BATCH_BYTES = 4 << 20
+TASK_BYTES = 32 << 20
 
 # Keys kept in _rescued_data: unknown ones, and known ones whose value could
 # not be typed (an explicit JSON null is not rescued).
@@ -124,18 +131,62 @@ def by_size(files: dict[str, int], layout: str, whole_bytes: int | None = None)
     if layout not in LAYOUTS:
         raise ValueError(layout)
     most = WHOLE_FILE_BYTES if whole_bytes is None else whole_bytes
-    whole = [p for p, n in files.items() if layout == "document" and n <= most]
-    return whole, [p for p in files if p not in set(whole)]
-
-
-def read_whole(spark: SparkSession, paths: list[str]) -> DataFrame:
-    # wholetext must be the argument of text(): as an option it is overridden
-    return spark.read.text(literal_paths(paths), wholetext=True).select("value", source_path().alias("_source_file"))
+    def is_whole(n):
+        return layout == "document" and n <= most
+    return [p for p, n in files.items() if is_whole(n)], [p for p, n in files.items() if not is_whole(n)]
+
+
+def _opened(path: str, size: int) -> bool:
+    """Whether a task opens the file itself; Spark's reader takes other stores' files,
+    compressed ones and very large ones."""
+    return (scheme(path) in STREAMED_SCHEMES and size <= WHOLE_FILE_BYTES
+            and path.rpartition(".")[2].lower() not in COMPRESSED)
+
+
+def _content_task(batches):
+    def batch_of(rows):
+        paths, contents = zip(*rows)
+        return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(contents, pa.binary())], ["path", "content"])
+    for batch in batches:
+        held, size = [], 0
+        for path in batch.column(0).to_pylist():
+            store, place = open_store(path)
+            with store.open_input_stream(place, compression=None) as source:
+                held.append((path, source.read()))
+            size += len(held[-1][1])
+            if size >= BATCH_BYTES:
+                yield batch_of(held)
+                held, size = [], 0
+        if held:
+            yield batch_of(held)
+
+
+def read_whole(spark: SparkSession, files: dict[str, int]) -> DataFrame:
+    """(value, _source_file) of files (path -> length), dealt evenly to tasks: Spark's
+    reader puts files of a few megabytes and tiny ones alike 30 to a task, and
+    lists each path again first."""
+    opened = {p: n for p, n in files.items() if _opened(p, n)}
+    others = [p for p in files if p not in opened]
+    parts = []
+    if opened:
+        ship_package(spark)
+        by_bytes = -(-sum(opened.values()) // TASK_BYTES)
+        n = max(by_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        listed = spark.createDataFrame([(p,) for p in opened], "path string").repartition(min(len(opened), n))
+        parts.append(listed.mapInArrow(_content_task, "path string, content binary").select(
+            F.col("content").cast("string").alias("value"), plain_path("path").alias("_source_file")))
+    if others:
+        # wholetext must be the argument of text(): as an option it is overridden
+        with few_listing_tasks(spark):
+            texts = spark.read.text(literal_paths(others), wholetext=True)
+        parts.append(texts.select("value", source_path().alias("_source_file")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return (spark.read.text(literal_paths(paths)).filter(F.trim("value") != "")
-            .select("value", source_path().alias("_source_file")))
+    with few_listing_tasks(spark):
+        lines = spark.read.text(literal_paths(paths))
+    return lines.filter(F.trim("value") != "").select("value", source_path().alias("_source_file"))
 
 
 def whole_lines(spark: SparkSession, paths: list[str]) -> dict[str, int | None]:
@@ -175,7 +226,7 @@ def load_payload_files(spark: SparkSession, files: dict[str, int], layout: str =
             parts.append(parse_records(read_lines(spark, bad).select(
                 "_source_file", F.make_valid_utf8("value").alias("_bad"), none.alias("t"))))
     if whole:
-        parts.append(parse_payloads(read_whole(spark, whole)))
+        parts.append(parse_payloads(read_whole(spark, {p: files[p] for p in whole})))
     if lines:
         parts.append(parse_payloads(read_lines(spark, lines)))
     return (reduce(DataFrame.unionByName, parts)
@@ -221,7 +272,8 @@ def ingest_medical_table(spark: SparkSession, landing_dir: str, table: str, tabl
     writer = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint_dir).option("path", table_dir)
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.toTable(table)
+    with few_listing_tasks(spark):
+        return writer.toTable(table)
 
 
 def read_bronze_medical(spark: SparkSession, table_dir: str) -> DataFrame:
