@@ -23,7 +23,7 @@ transfer itself is not a Spark job and is not built):
 * ``record_files`` / ``record_payloads`` — one ledger run: list the landing
                           folder once, leave out what the manifest has as LANDED
                           in one join, store the rest in pages of paths, scan and
-                          append page by page.
+                          append many pages at once, each as its own batch.
 
 A manifest that a ledger run made is bucketed by landing path (``manifest_table``):
 the join of a run brings the listing to the buckets, and the history stays where
