@@ -42,6 +42,8 @@ SPLIT_BYTES = 32 << 20
 RUN_BYTES = 4 << 20
 PIECE_BYTES = 4 << 20
 MAX_TASKS = 100_000
+#: Up to this many ranges have a task each; more share tasks by their bytes.
+RANGE_TASKS = 1000
 #: A row holds less than 2 GiB.
 ROW_BYTES = (2 << 30) - (1 << 20)
 #: What a file is: a document around a record list, a single record, several
@@ -201,9 +203,10 @@ def n_ranges(files: dict[str, int], split_bytes: int) -> int:
 
 
 def n_tasks(spark: SparkSession, files: dict[str, int], split_bytes: int) -> int:
-    """A task reads ranges of ``SPLIT_BYTES`` in all, one at a time, however small they are."""
+    """Beyond ``RANGE_TASKS``, a task reads ranges of ``SPLIT_BYTES`` in all, one at a
+    time, however small they are."""
     by_bytes = -(-sum(files.values()) // max(split_bytes, SPLIT_BYTES))
-    return min(n_ranges(files, split_bytes), max(by_bytes, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return min(n_ranges(files, split_bytes), max(by_bytes, RANGE_TASKS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def _compose(ranges: pd.DataFrame) -> pd.DataFrame:

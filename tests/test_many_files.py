@@ -38,10 +38,9 @@ def test_many_paths_are_listed_by_few_tasks_and_the_setting_is_restored(spark):
 
 
 def test_small_ranges_share_tasks(spark):
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     files = {f"file:/p{i}": 1_000_000 for i in range(50)}
     assert large_json.n_ranges(files, 10_000) == 5000
-    assert large_json.n_tasks(spark, files, 10_000) == parts
+    assert large_json.n_tasks(spark, files, 10_000) == large_json.RANGE_TASKS
     assert large_json.n_tasks(spark, {"file:/p": 100 << 30}, 1 << 20) == 3200        # by bytes
 
 
