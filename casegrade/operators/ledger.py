@@ -32,6 +32,7 @@ it is.
 
 from __future__ import annotations
 
+import fnmatch
 import hashlib
 import time
 import uuid
@@ -47,9 +48,9 @@ from pyspark.sql import types as T
 from ..functions.exprs import let, plain_path, source_path
 from ..functions.payload import document_texts, payload_hash, payload_record_count
 from ..schemas import FAILED, FILE_MANIFEST, LANDED, PAYLOAD_MANIFEST
-from ..session import scratch_dir, ship_package
+from ..session import located, scratch_dir, ship_package
 from ..sources import store
-from ..streaming.files import few_listing_tasks, literal_paths
+from ..streaming.files import few_listing_tasks, literal_path, literal_paths
 from ..streaming.large_json import cut_files
 from ..streaming.medical_json import by_size, read_lines, read_whole
 from .skew import SkewGuard, salted_left_join
@@ -60,6 +61,8 @@ BUCKETS = 32
 FILES_PER_PAGE = 10_000
 #: Pages are read together up to about this many files; each has its own batch.
 FILES_AT_ONCE = 100_000
+#: Entries of a folder that the task which lists it holds.
+LISTED_AT_ONCE = 10_000
 
 
 def suffix_glob(suffix: str) -> str:
@@ -71,11 +74,59 @@ def _base_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+def _list_task(pattern: str | None):
+    def batch_of(rows):
+        paths, lengths, names, folders = zip(*rows)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(paths, pa.string()), pa.array(lengths, pa.int64()), pa.array(names, pa.string()), pa.array(folders, pa.bool_())],
+            ["path", "length", "file_name", "is_folder"])
+
+    def run(batches):
+        held = []
+        for folder in (f for batch in batches for f in batch.column(0).to_pylist()):
+            for name, is_folder, length in store.entries(folder):
+                # what Spark's file sources leave out: hidden names, files of no bytes
+                if name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name):
+                    continue
+                if is_folder or (length and (pattern is None or fnmatch.fnmatchcase(name, pattern))):
+                    held.append((f"{folder.rstrip('/')}/{name}", length, name, is_folder))
+                if len(held) == LISTED_AT_ONCE:
+                    yield batch_of(held)
+                    held = []
+        if held:
+            yield batch_of(held)
+    return run
+
+
+def stored_listing(spark: SparkSession, landing_dir: str, suffix: str | None) -> DataFrame | None:
+    """(path, length, file_name) of the files of one folder, listed by a task and stored:
+    Spark's readers hold every file of a listing in the driver.
+
+    None for what is left to Spark's reader: a folder that holds folders (these may
+    be partitions), a single file or a pattern, a store that pyarrow does not open.
+    """
+    folder = located(spark, landing_dir)
+    if literal_path(folder) != folder or store.scheme(folder) not in store.STREAMED_SCHEMES or not store.is_folder(folder):
+        return None
+    ship_package(spark)
+    stored, schema = scratch_dir(spark, "ledger-listing"), "path string, length bigint, file_name string, is_folder boolean"
+    roots = spark.createDataFrame([(folder,)], "folder string").coalesce(1)
+    (roots.mapInArrow(_list_task(suffix and suffix_glob(suffix)), schema)
+     .write.mode("overwrite").parquet(stored))
+    listed = spark.read.schema(schema).parquet(stored)
+    if not listed.filter("is_folder").isEmpty():
+        return None
+    return listed.select(plain_path("path").alias("path"), "length", "file_name")
+
+
 def list_files(spark: SparkSession, landing_dir: str, suffix: str | None = ".csv") -> DataFrame:
     """(path, length, file_name) of the landed files; no content is read.
 
-    Spark's file sources leave out files of no bytes.
+    Files of no bytes are left out, as Spark's file sources do.
     """
+    listed = stored_listing(spark, landing_dir, suffix)
+    if listed is not None:
+        return listed
     reader = spark.read.format("binaryFile")
     if suffix:
         reader = reader.option("pathGlobFilter", suffix_glob(suffix))

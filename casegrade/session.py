@@ -92,6 +92,13 @@ def qualified(spark: SparkSession, path: str) -> str:
     return place.getFileSystem(conf).makeQualified(place).toString().rstrip("/")
 
 
+def located(spark: SparkSession, path: str) -> str:
+    """``path`` as Hadoop spells it: with its file system, without doubled or last slashes."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(conf).makeQualified(place).toString()
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh sub-folder of the shared folder for one run of one job."""
     base = shared_dir(spark)

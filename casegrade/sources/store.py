@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import codecs
 import hashlib
+import os
 import re
+from collections.abc import Iterator
 
 from pyarrow import fs as pafs
 
@@ -27,6 +29,34 @@ def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
+def is_folder(uri: str) -> bool:
+    """Whether pyarrow opens the store here and finds a folder."""
+    try:
+        store, path = open_store(uri)
+        return store.get_file_info(path).type == pafs.FileType.Directory
+    except (OSError, ValueError, NotImplementedError):
+        return False
+
+
+def entries(uri: str) -> Iterator[tuple[str, bool, int]]:
+    """(name, whether it is a folder, length) of what lies in a folder; a local
+    folder of any size is read entry by entry."""
+    store, path = open_store(uri)
+    if not isinstance(store, pafs.LocalFileSystem):
+        for found in store.get_file_info(pafs.FileSelector(path)):
+            yield found.base_name, found.type == pafs.FileType.Directory, found.size or 0
+        return
+    with os.scandir(path) as listed:
+        for entry in listed:
+            try:
+                entry.name.encode()
+                folder = entry.is_dir()
+                size = 0 if folder else entry.stat().st_size
+            except (FileNotFoundError, UnicodeEncodeError):      # gone meanwhile, or a name that is no text
+                continue
+            yield entry.name, folder, size
+
+
 def sha256_of(uri: str) -> tuple[str, int]:
     """Hex SHA-256 and size of a file of any size, read piece by piece (its bytes as they are)."""
     store, path = open_store(uri)

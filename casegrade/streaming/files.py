@@ -22,7 +22,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
 BINARY_FILE = T.StructType([
     T.StructField("path", T.StringType()),
@@ -50,7 +50,7 @@ def literal_paths(paths: list[str]) -> list[str]:
 
 @contextmanager
 def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
-    """Reads of many paths, and streams, made inside list them in ``LISTING_TASKS`` tasks."""
+    """Reads of many paths made inside list them in ``LISTING_TASKS`` tasks."""
     before = spark.conf.get(_LISTING)
     spark.conf.set(_LISTING, str(min(int(before), LISTING_TASKS)))
     try:
@@ -59,6 +59,22 @@ def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_LISTING, before)
 
 
+def path_reader(spark: SparkSession) -> DataStreamReader:
+    """A reader for streams of paths, in a session that is a clone of ``spark``.
+
+    A file source lists the paths of every micro-batch with the settings that the
+    session of its reader has at that time, whatever they were at the start of the
+    stream. The clone (same context and catalog) has ``LISTING_TASKS`` for good,
+    and deals a batch's paths to about as many tasks as there are cores.
+    """
+    own = spark._jsparkSession.cloneSession()
+    own.conf().set(_LISTING, str(min(int(spark.conf.get(_LISTING)), LISTING_TASKS)))
+    own.conf().set("spark.sql.files.maxPartitionBytes", str(1 << 50))         # contents are not read
+    reader = spark.readStream
+    reader._jreader = own.readStream()
+    return reader
+
+
 def batch_folder(table_dir: str, stream_id: str, batch_id: int) -> str:
     return f"{table_dir.rstrip('/')}/stream_id={stream_id}/batch_id={batch_id}"
 
@@ -70,7 +86,7 @@ def path_batches(spark: SparkSession, landing_dir: str, checkpoint_dir: str,
     gets each micro-batch's paths with their lengths (never none)."""
     if max_files_per_trigger < 1:
         raise ValueError("max_files_per_trigger must be at least 1: it bounds what a batch lists")
-    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE)
+    reader = (path_reader(spark).format("binaryFile").schema(BINARY_FILE)
               .option("maxFilesPerTrigger", max_files_per_trigger))
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
@@ -84,5 +100,4 @@ def path_batches(spark: SparkSession, landing_dir: str, checkpoint_dir: str,
               .option("checkpointLocation", checkpoint_dir))
     if available_now:
         writer = writer.trigger(availableNow=True)
-    with few_listing_tasks(spark):                   # a stream keeps the settings it starts with
-        return writer.start()
+    return writer.start()

@@ -78,19 +78,19 @@ filter(transform(try_variant_get(r, '$.medical_events', 'array<variant>'), (e, i
 def parse_payloads(text: DataFrame) -> DataFrame:
     """(value, _source_file) payload texts -> bronze medical rows (without _ingested_at).
 
-    The file text is not carried through the ``explode`` (that would copy the
-    whole payload into every record row); only a file that is not JSON keeps
-    it, on its one output row.
+    Only the file's path is carried through the ``explode``: the text, or the list
+    it came from, beside every record would be copied once per record. A file that
+    is not JSON has its text in its one element.
     """
     docs = text.select("_source_file", "value", list_document("value").alias("_list"))
     docs = docs.withColumn("_docs", F.when(F.col("_list").isNull(), document_texts("value")))
-    ok = F.col("_list").isNotNull() | F.col("_docs").isNotNull()
-    records = (F.when(F.col("_list").isNotNull(), F.col("_list"))
-               .when(F.col("_docs").isNotNull(), payload_record_texts(F.col("_docs")))
-               .otherwise(F.array(F.lit(None).cast("string"))))
-    recs = docs.select("_source_file", F.when(~ok, F.make_valid_utf8("value")).alias("_bad"),
-                       F.explode(records).alias("t"))
-    return parse_records(recs)
+
+    def elements(texts):
+        return F.transform(texts, lambda t: F.struct(F.lit(None).cast("string").alias("_bad"), t.alias("t")))
+    records = (F.when(F.col("_list").isNotNull(), elements(F.col("_list")))
+               .when(F.col("_docs").isNotNull(), elements(payload_record_texts(F.col("_docs"))))
+               .otherwise(F.array(F.struct(F.make_valid_utf8("value").alias("_bad"), F.lit(None).cast("string").alias("t")))))
+    return parse_records(docs.select("_source_file", F.inline(records)))
 
 
 def parse_records(recs: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """What grows with the number of files: tasks, listings and passes, not results."""
 
 import hashlib
+import os
 
 from pyspark.sql import functions as F
 
@@ -8,8 +9,8 @@ from casegrade.operators import ledger as L
 from casegrade.session import scratch_dir
 from casegrade.sources.landing import keyed, land_texts
 from casegrade.streaming import large_json
-from casegrade.streaming.files import _LISTING, LISTING_TASKS, few_listing_tasks
-from casegrade.streaming.medical_json import load_payload_files, read_whole
+from casegrade.streaming.files import _LISTING, LISTING_TASKS, few_listing_tasks, path_batches
+from casegrade.streaming.medical_json import load_payload_files, parse_payloads, read_whole
 
 
 def landed(spark, texts, folder):
@@ -74,3 +75,49 @@ def test_a_scan_lists_its_folder_once(spark, monkeypatch):
     landed(spark, ["x"], f"{d}/l")
     monkeypatch.setattr(L, "list_files", lambda *a, **k: 1 / 0)
     assert L.scan_files(spark, f"{d}/l", "s", suffix=".txt").count() == 1
+
+
+def test_a_record_row_does_not_carry_the_text_of_its_file(spark):
+    text = spark.createDataFrame([("f", '[{"claim_id":"A"},null]'), ("g", '{"data":[{"claim_id":"B"}]}'), ("h", "{broken")],
+                                 "_source_file string, value string")
+    rows = parse_payloads(text)
+    node = rows._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Generate":
+        node = node.children().apply(0)
+    kept = node.requiredChildOutput()                            # neither the text nor the list of its records
+    assert [kept.apply(i).name() for i in range(kept.size())] == ["_source_file"]
+    assert sorted((r._source_file, r.claim_id or "", r._rescued_data or "") for r in rows.collect()) == [
+        ("f", "", ""), ("f", "A", ""), ("g", "B", ""), ("h", "", '{"_corrupt_record":"{broken"}')]
+
+
+def test_a_stream_lists_its_paths_in_few_tasks(spark):
+    d = scratch_dir(spark, "t-stream")
+    landed(spark, ["x"] * 150, f"{d}/l")
+    before, got = spark.conf.get(_LISTING), {}
+    query = path_batches(spark, f"{d}/l", f"{d}/c", lambda files, *_: got.update(files), max_files_per_trigger=1000)
+    query.awaitTermination()
+    assert len(got) == 150 and spark.conf.get(_LISTING) == before
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup(str(query.runId)) for s in tracker.getJobInfo(job).stageIds]
+    assert stages and max(tracker.getStageInfo(s).numTasks for s in stages) <= LISTING_TASKS
+
+
+def test_a_folder_is_listed_by_a_task_as_spark_lists_it(spark, monkeypatch):
+    d = scratch_dir(spark, "t-entries") + "/a b%20+é"
+    os.makedirs(d)
+    for name in ("a.csv", "B.CSV", "c.txt", "_h.csv", ".q.csv", "_k=1.csv", "p[1].csv", "x%20+y.csv", "new\nline.csv", "t.csv._COPYING_"):
+        with open(f"{d}/{name}", "w") as f:
+            f.write(name)
+    open(f"{d}/empty.csv", "w").close()
+    os.symlink(f"{d}/a.csv", f"{d}/link.csv")
+    os.symlink(f"{d}/nothing", f"{d}/dead.csv")
+    monkeypatch.setattr(L, "LISTED_AT_ONCE", 2)
+    for suffix in (".csv", None):
+        found = L.list_files(spark, d, suffix)
+        assert "binaryfile" not in found._jdf.queryExecution().executedPlan().toString().lower()
+        reader = spark.read.format("binaryFile").option("pathGlobFilter", L.suffix_glob(suffix) if suffix else "*")
+        theirs = reader.load(d).selectExpr("path", "length").collect()
+        assert sorted((r.path, r.length) for r in found.collect()) == sorted((r.path, r.length) for r in theirs)
+    assert {r.file_name for r in L.list_files(spark, d).collect()} == {
+        "a.csv", "B.CSV", "_k=1.csv", "p[1].csv", "x%20+y.csv", "new\nline.csv", "link.csv"}
+    assert [r.file_name for r in L.list_files(spark, f"{d}/a.csv").collect()] == ["a.csv"]
