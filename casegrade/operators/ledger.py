@@ -36,7 +36,7 @@ import fnmatch
 import hashlib
 import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pyarrow as pa
@@ -188,6 +188,14 @@ def inline_hashes(files: DataFrame) -> DataFrame:
                         F.lit(None).cast("string").alias("error_message"))
 
 
+def dealt(files: DataFrame, most_inline: int) -> DataFrame:
+    """Stored ``files`` (path, length, ...) dealt to tasks that open them: a task for
+    each large file and for each thousand of the others."""
+    n, small = files.agg(F.count(F.lit(1)), F.count_if(F.col("length") <= most_inline)).first()
+    tasks = max(n - small + small // 1000, int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return files.repartition(max(1, min(n, tasks, FILES_PER_PAGE)))
+
+
 def page_rows(spark: SparkSession, files: dict[str, int], source_system: str, remote_dir: str | None = None,
               keep_path: bool = False) -> DataFrame:
     """FILE_MANIFEST rows of the given files (path -> length); with ``keep_path``
@@ -444,8 +452,8 @@ def unrecorded(files: DataFrame, manifest: DataFrame, source_system: str, bucket
     return fresh
 
 
-def pages(fresh: DataFrame, files_per_page: int) -> Iterator[dict[str, tuple[int, int]]]:
-    """The files (landing_path -> (length, page)) in pages of about that many, in
+def pages(fresh: DataFrame, files_per_page: int) -> Iterator[DataFrame]:
+    """The files (landing_path, length, page) in pages of about ``files_per_page``, in
     path order; as many whole pages at once as hold about ``FILES_AT_ONCE``.
 
     Ranged and stored once; a page is then a folder of its own.
@@ -462,21 +470,26 @@ def pages(fresh: DataFrame, files_per_page: int) -> Iterator[dict[str, tuple[int
     paged = spark.read.schema("landing_path string, length bigint, page int").parquet(f"{listed}/pages")
     step = max(1, FILES_AT_ONCE // files_per_page)
     for first in range(0, n, step):
-        found = paged.filter(F.col("page").between(first, first + step - 1)).collect()
-        if found:
-            yield {r.landing_path: (r.length, r.page) for r in found}
+        found = paged.filter(F.col("page").between(first, first + step - 1))
+        if not found.isEmpty():
+            yield found
+
+
+def collected(found: DataFrame, rows_of: Callable[[dict[str, int]], DataFrame]) -> DataFrame:
+    """Ledger rows, with their page, by a function of paths and lengths in the driver."""
+    files = {r.landing_path: (r.length, r.page) for r in found.collect()}
+    numbers = found.sparkSession.createDataFrame([(path, page) for path, (_, page) in files.items()], "_file string, page bigint")
+    return rows_of({path: length for path, (length, _) in files.items()}).join(F.broadcast(numbers), "_file")
 
 
 def _record(spark: SparkSession, landing_dir: str, manifest_path: str, kind: str, source_system: str, suffix: str | None,
-            files_per_page: int, rows_of) -> dict:
+            files_per_page: int, rows_of: Callable[[DataFrame], DataFrame]) -> dict:
     files = list_files(spark, landing_dir, suffix).select(F.col("path").alias("landing_path"), "length", "file_name")
     fresh = unrecorded(files, manifest_by_name(spark, manifest_path, kind), source_system,
                        manifest_buckets(spark, manifest_path), by_name=kind == "file")
     totals = {"landed": 0, "failed": 0}
     for found in pages(fresh, files_per_page):
-        rows = rows_of({path: length for path, (length, _) in found.items()})
-        numbers = spark.createDataFrame([(path, page) for path, (_, page) in found.items()], "_file string, page bigint")
-        run = append_manifest(rows.join(F.broadcast(numbers), "_file"), manifest_path, kind, page="page")
+        run = append_manifest(rows_of(found), manifest_path, kind, page="page")
         totals = {k: totals[k] + run[k] for k in totals}
     return totals
 
@@ -486,9 +499,19 @@ def record_files(spark: SparkSession, landing_dir: str, manifest_path: str, sour
     """Record the landed files whose paths are not LANDED yet; a FAILED file is
     offered again. Files of one name in several folders have a row each; a
     LANDED row without a path holds for every file of its name. Returns this
-    run's ``{"landed": n, "failed": m}``."""
-    return _record(spark, landing_dir, manifest_path, "file", source_system, suffix, files_per_page,
-                   lambda files: page_rows(spark, files, source_system, remote_dir, keep_path=True))
+    run's ``{"landed": n, "failed": m}``.
+
+    Tasks open the files, and their paths do not reach the driver; other stores'
+    files are read by Spark, a page's paths at a time.
+    """
+    def rows(found: DataFrame) -> DataFrame:
+        if store.scheme(located(spark, landing_dir)) not in store.STREAMED_SCHEMES:
+            return collected(found, lambda files: page_rows(spark, files, source_system, remote_dir, keep_path=True))
+        files = found.select(F.col("landing_path").alias("path"), _base_name(F.col("landing_path")).alias("file_name"),
+                             "length", "page")
+        hashed = hash_files(dealt(files, inline_bytes(spark)).drop("length"))
+        return _row_of(hashed, source_system, remote_dir, (F.col("page").cast("long").alias("page"),))
+    return _record(spark, landing_dir, manifest_path, "file", source_system, suffix, files_per_page, rows)
 
 
 def record_payloads(spark: SparkSession, landing_dir: str, manifest_path: str, source_system: str,
@@ -497,4 +520,5 @@ def record_payloads(spark: SparkSession, landing_dir: str, manifest_path: str, s
     """Record the landed payloads that are not LANDED yet (hash, record count,
     status), about ``files_per_batch`` at a time."""
     return _record(spark, landing_dir, manifest_path, "payload", source_system, suffix, files_per_batch,
-                   lambda files: payload_file_rows(spark, files, source_system, api_url, layout, keep_path=True))
+                   lambda found: collected(found, lambda files: payload_file_rows(
+                       spark, files, source_system, api_url, layout, keep_path=True)))

@@ -4,8 +4,10 @@ import hashlib
 import os
 
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from casegrade.operators import ledger as L
+from casegrade.plans import ledger_queries
 from casegrade.session import scratch_dir
 from casegrade.sources.landing import keyed, land_texts
 from casegrade.streaming import large_json
@@ -121,3 +123,26 @@ def test_a_folder_is_listed_by_a_task_as_spark_lists_it(spark, monkeypatch):
     assert {r.file_name for r in L.list_files(spark, d).collect()} == {
         "a.csv", "B.CSV", "_k=1.csv", "p[1].csv", "x%20+y.csv", "new\nline.csv", "link.csv"}
     assert [r.file_name for r in L.list_files(spark, f"{d}/a.csv").collect()] == ["a.csv"]
+
+
+def test_a_file_run_keeps_paths_out_of_the_driver(spark, monkeypatch):
+    d = scratch_dir(spark, "t-far")
+    landed(spark, [f"x{i}" for i in range(23)], f"{d}/l")
+    monkeypatch.setattr(L, "FILES_AT_ONCE", 8)
+    sizes, plain = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: sizes.append(len(rows := plain(self))) or rows)
+    assert L.record_files(spark, f"{d}/l", f"{d}/m", "sftp", ".txt", files_per_page=4) == {"landed": 23, "failed": 0}
+    assert max(sizes, default=0) <= 1
+    monkeypatch.undo()
+    m = L.manifest_by_name(spark, f"{d}/m", "file")
+    assert {r.file_hash for r in m.collect()} == {hashlib.sha256(f"x{i}\n".encode()).hexdigest() for i in range(23)}
+    assert m.count() == 23 and m.select("batch_id").distinct().count() >= 5
+
+
+def test_the_runs_of_the_ledger_are_numbered_whatever_their_pages(spark, monkeypatch):
+    d = scratch_dir(spark, "t-runs")
+    spark.createDataFrame([(i, f"text {i}") for i in range(20)], "doc_id bigint, text string").write.parquet(f"{d}/documents.parquet")
+    monkeypatch.setattr(ledger_queries, "FILES_PER_PAGE", 2)
+    rows = ledger_queries.q_ledger_runs(spark, d).collect()
+    assert sorted((r.run, r.file_hash) for r in rows) == sorted(
+        (i % 3, hashlib.sha256(f"text {i}\n".encode()).hexdigest()) for i in range(20))
