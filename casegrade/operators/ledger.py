@@ -4,11 +4,13 @@ Re-aimed as Spark jobs over files already in a landing folder (the network
 transfer itself is not a Spark job and is not built):
 
 * ``scan_files``        — one manifest row per file with the wanted suffix
-                          (case-insensitive): size and SHA-256. Files of up to
-                          ``INLINE_BYTES`` are hashed on the JVM, larger ones
-                          piece by piece inside a task, so a file of any size is
-                          hashed in bounded memory. A file that cannot be read is
-                          a FAILED row with the reason; the others go on.
+                          (case-insensitive): size and SHA-256. Files are listed
+                          by a task and hashed piece by piece inside tasks, so a
+                          file of any size is hashed in bounded memory, and the
+                          driver holds no file. (What Spark's reader has to list
+                          is hashed on the JVM up to ``INLINE_BYTES``.) A file
+                          that cannot be read is a FAILED row with the reason;
+                          the others go on.
 * ``payload_manifest``  — one row per JSON payload file: SHA-256 of its bytes,
                           record count, LANDED, or FAILED when it is not one
                           JSON document. ``layout="lines"`` counts JSON Lines
@@ -229,9 +231,15 @@ def page_rows(spark: SparkSession, files: dict[str, int], source_system: str, re
 
 def scan_files(spark: SparkSession, landing_dir: str, source_system: str, suffix: str = ".csv",
                remote_dir: str | None = None) -> DataFrame:
-    """Manifest rows (FILE_MANIFEST columns) for every file in ``landing_dir``."""
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", suffix_glob(suffix)).load(landing_dir)
+    """Manifest rows (FILE_MANIFEST columns) for every file in ``landing_dir``.
+
+    Tasks list and open the files of a plain folder; the driver holds none of them.
+    """
     most = inline_bytes(spark)
+    stored = stored_listing(spark, landing_dir, suffix)
+    if stored is not None:
+        return _row_of(hash_files(dealt(stored, most).select("path", "file_name")), source_system, remote_dir)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", suffix_glob(suffix)).load(landing_dir)
     small = inline_hashes(listed.filter(F.col("length") <= most))
     # the same listing; few tasks start a Python worker, however many files were small
     large = listed.filter(F.col("length") > most).select(

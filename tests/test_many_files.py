@@ -146,3 +146,14 @@ def test_the_runs_of_the_ledger_are_numbered_whatever_their_pages(spark, monkeyp
     rows = ledger_queries.q_ledger_runs(spark, d).collect()
     assert sorted((r.run, r.file_hash) for r in rows) == sorted(
         (i % 3, hashlib.sha256(f"text {i}\n".encode()).hexdigest()) for i in range(20))
+
+
+def test_a_scan_keeps_the_files_of_a_folder_out_of_the_driver(spark, monkeypatch):
+    d = scratch_dir(spark, "t-scan-far")
+    landed(spark, ["a", "a", "b"] + [f"x{i}" for i in range(40)], f"{d}/l")
+    monkeypatch.setattr(L, "INLINE_BYTES", 2)
+    scan = L.scan_files(spark, f"{d}/l", "s", suffix=".txt")
+    assert "binaryfile" not in scan._jdf.queryExecution().executedPlan().toString().lower()
+    assert sorted(r.file_hash for r in scan.collect()) == sorted(
+        hashlib.sha256(f"{t}\n".encode()).hexdigest() for t in ["a", "a", "b"] + [f"x{i}" for i in range(40)])
+    assert sorted(r.n_copies for r in L.flag_duplicate_content(scan).collect()) == [1] * 41 + [2, 2]
