@@ -54,6 +54,7 @@ LAYOUTS = ("document", "lines")
 COMPRESSED = ("gz", "bz2", "zst", "lz4", "snappy", "deflate")
 BATCH_BYTES = 4 << 20
 TASK_BYTES = 32 << 20
+SMALL_TASK_BYTES = 1 << 20
 
 # Keys kept in _rescued_data: unknown ones, and known ones whose value could
 # not be typed (an explicit JSON null is not rescued).
@@ -170,8 +171,9 @@ def read_whole(spark: SparkSession, files: dict[str, int]) -> DataFrame:
     parts = []
     if opened:
         ship_package(spark)
-        by_bytes = -(-sum(opened.values()) // TASK_BYTES)
-        n = max(by_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        size, cores = sum(opened.values()), spark.sparkContext.defaultParallelism
+        # few bytes in many files: a round of tasks for the cores, not one for each partition
+        n = max(-(-size // TASK_BYTES), min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(2 * cores, size // SMALL_TASK_BYTES)))
         listed = spark.createDataFrame([(p,) for p in opened], "path string").repartition(min(len(opened), n))
         parts.append(listed.mapInArrow(_content_task, "path string, content binary").select(
             F.col("content").cast("string").alias("value"), plain_path("path").alias("_source_file")))

@@ -157,3 +157,14 @@ def test_a_scan_keeps_the_files_of_a_folder_out_of_the_driver(spark, monkeypatch
     assert sorted(r.file_hash for r in scan.collect()) == sorted(
         hashlib.sha256(f"{t}\n".encode()).hexdigest() for t in ["a", "a", "b"] + [f"x{i}" for i in range(40)])
     assert sorted(r.n_copies for r in L.flag_duplicate_content(scan).collect()) == [1] * 41 + [2, 2]
+
+
+def test_few_bytes_in_many_files_are_dealt_to_few_tasks(spark):
+    d = scratch_dir(spark, "t-few")
+    files = landed(spark, ["[]"] * 300, f"{d}/l")
+    before, cores = spark.conf.get("spark.sql.shuffle.partitions"), spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        assert 4 < read_whole(spark, files).rdd.getNumPartitions() <= max(5, 2 * cores)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
